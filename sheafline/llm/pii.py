@@ -20,6 +20,9 @@ from pyspark.sql import functions as F
 from .common import SPACE, SPACE_SQL, texts, written
 
 DISCLOSURE, LEAST_TOGETHER, NEAR = 0.8, 5, 8
+#: Characters on either side of an entity in which its near words are looked for; matches placed at a time.
+REACH, BLOCK = 160, 256
+SPANS = "array<struct<start:int,kind:int,end:int,value:string>>"
 KINDS = ("email", "ip", "card", "phone", "term")
 
 # The base patterns. A run that cannot match from its start cannot match from within, so matching begins
@@ -64,11 +67,14 @@ def with_spans(df: DataFrame, text: str = "text", out: str = "found") -> DataFra
             f"(a, i) -> named_struct('at', a.at + length(_p{k}[i]) + length(_m{k}[i]), 'out', concat(a.out, array(named_struct("
             f"'start', a.at + length(_p{k}[i]), 'kind', {k}, 'end', a.at + length(_p{k}[i]) + length(_m{k}[i]), 'value', _m{k}[i]))))"
         )
-        empty = "named_struct('at', 0, 'out', cast(array() AS array<struct<start:int,kind:int,end:int,value:string>>))"
-        spans[f"_s{k}"] = F.expr(f"CASE WHEN size(_m{k}) > 0 THEN filter(aggregate(sequence(0, size(_m{k}) - 1), {empty}, {step}, a -> a.out), x -> {_ok(n, 'x.value')}) END")
+        # BLOCK matches at a time, so that a text with many of them does not copy a long array for each
+        inner = f"aggregate(sequence(b * {BLOCK}, least(size(_m{k}), (b + 1) * {BLOCK}) - 1), named_struct('at', o.at, 'out', cast(array() AS {SPANS})), {step})"
+        outer = f"(o, b) -> transform(array({inner}), x -> named_struct('at', x.at, 'out', concat(o.out, array(x.out))))[0]"
+        fold = f"aggregate(sequence(0, (size(_m{k}) - 1) div {BLOCK}), named_struct('at', 0, 'out', cast(array() AS array<{SPANS}>)), {outer}, o -> flatten(o.out))"
+        spans[f"_s{k}"] = F.expr(f"CASE WHEN size(_m{k}) > 0 THEN filter({fold}, x -> {_ok(n, 'x.value')}) END")
     whole = rest.withColumns(spans)
     any_ = " OR ".join(f"size(_s{k}) > 0" for k in range(4))
-    none = "cast(array() AS array<struct<start:int,kind:int,end:int,value:string>>)"
+    none = f"cast(array() AS {SPANS})"
     joined = ", ".join(f"coalesce(_s{k}, {none})" for k in range(4))
     return whole.withColumn(out, F.expr(f"CASE WHEN {any_} THEN array_sort(concat({joined})) END")).drop(*[f"_{x}{k}" for x in "mps" for k in range(4)])
 
@@ -76,10 +82,12 @@ def with_spans(df: DataFrame, text: str = "text", out: str = "found") -> DataFra
 def contexts(docs: DataFrame, found: DataFrame) -> DataFrame:
     """entity, line and term: what stands near each entity, once for each different context."""
     lines = found.where("found IS NOT NULL").select(F.explode(F.split("text", "\n")).alias("line")).where(F.col("line").rlike("[0-9@]")).distinct()
-    spotted = with_spans(lines, "line", "inside").where("inside IS NOT NULL").select("line", F.explode("inside").alias("x"))
+    spotted = with_spans(lines, "line", "inside").where("inside IS NOT NULL")
     words = lambda part: f"filter(split({part}, '{SPACE_SQL}+'), w -> w != '')"
-    near = f"concat(slice(reverse({words('substring(line, 1, x.start)')}), 1, {NEAR}), slice({words('substring(line, x.end + 1)')}, 1, {NEAR}))"
-    return spotted.select(F.concat_ws(":", F.col("x.kind").cast("string"), F.col("x.value")).alias("entity"), F.expr(near).alias("near")).distinct()
+    before, after = f"substring(line, greatest(1, x.start + 1 - {REACH}), least(x.start, {REACH}))", f"substring(line, x.end + 1, {REACH})"
+    near = f"concat(slice(reverse({words(before)}), 1, {NEAR}), slice({words(after)}, 1, {NEAR}))"
+    each = F.expr(f"transform(inside, x -> struct(concat(x.kind, ':', x.value) AS entity, {near} AS near))")
+    return spotted.select(F.explode(each).alias("x")).select("x.entity", "x.near").distinct()
 
 
 def plain(word: str) -> str:

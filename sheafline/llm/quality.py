@@ -31,11 +31,11 @@ def measure(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", stratum
         "doc_id",
         "stratum",
         F.expr(f"filter(split(text, '{SPACE_SQL}+'), w -> w != '')").alias("words"),
-        F.expr(r"length(translate(text, ' \t\n\u000b\f\r', ''))").cast("long").alias("word_chars"),
+        F.expr(r"length(translate(text, ' \t\n\u000b\u000c\r', ''))").cast("long").alias("word_chars"),
         F.expr("length(text) - length(translate(text, '#*$%&|<>', ''))").cast("long").alias("n_symbols"),
         F.expr("length(text) - length(translate(text, '!', ''))").cast("long").alias("n_shouts"),
         F.expr(r"regexp_count(text, '\\p{Lu}')").cast("long").alias("n_upper"),
-        F.expr(r"filter(split(text, '\n'), s -> length(translate(s, ' \t\u000b\f\r', '')) > 0)").alias("lines"),
+        F.expr(r"filter(split(text, '\n'), s -> length(translate(s, ' \t\u000b\u000c\r', '')) > 0)").alias("lines"),
     )
     hashed = cut.select(
         "*",
