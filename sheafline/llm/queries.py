@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, licenses, long_repeats, mixing, near_copies, pii, quality, secrets, toxicity
+from . import byte_bpe, licenses, long_repeats, mixing, near_copies, neighbours, pii, quality, secrets, toxicity
 from .common import table
 
 
@@ -15,6 +15,10 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op3_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_copies.near_copies(table(spark, sf_dir, "documents"))
 
@@ -51,7 +55,7 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality, op3_near_copies, op4_long_repeats, op5_toxicity, op6_licenses, op7_mixing, op8_byte_bpe, op9_secrets, op10_personal_data)}
+    return {f.__name__: f for f in (op1_quality, op2_neighbours, op3_near_copies, op4_long_repeats, op5_toxicity, op6_licenses, op7_mixing, op8_byte_bpe, op9_secrets, op10_personal_data)}
 
 
 def oracle_sql() -> dict[str, str]:
