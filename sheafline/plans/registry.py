@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import assembly
+from . import assembly, biology, networks, reporting
 
-MODULES = (assembly,)
+MODULES = (assembly, networks, reporting, biology)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
