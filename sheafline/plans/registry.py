@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import assembly, biology, networks, reporting
+from . import assembly, biology, networks, reporting, upkeep
 
-MODULES = (assembly, networks, reporting, biology)
+MODULES = (assembly, networks, reporting, biology, upkeep)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
