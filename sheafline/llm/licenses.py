@@ -97,5 +97,5 @@ def oracle() -> str:
     per AS (SELECT rid, string_agg(id, ',' ORDER BY k) AS ids, count(*) AS n FROM found GROUP BY rid),
     whole AS (SELECT doc_id, coalesce(ids, '') AS sentence_ids, CAST(coalesce(n, 0) AS BIGINT) AS n_sentences
         FROM (SELECT DISTINCT doc_id, rid FROM cut) d LEFT JOIN per USING (rid))
-    SELECT doc_id, sentence_ids, n_sentences, array_to_string(list_filter([{names}], x -> x IS NOT NULL), ',') AS licenses FROM whole
+    SELECT doc_id, sentence_ids, n_sentences, array_to_string(list_filter([{names}], lambda x: x IS NOT NULL), ',') AS licenses FROM whole
     """
