@@ -46,3 +46,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
 def texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id and text alone, a null text as an empty one; any other column of the input is left out."""
     return docs.select(docs[doc_id].cast("long").alias("doc_id"), F.coalesce(docs[text].cast("string"), F.lit("")).alias("text"))
+
+
+def apart(df: DataFrame) -> DataFrame:
+    """An aggregate with a shuffle of its own after it.
+
+    A join with it is then one between two shuffles, and Spark splits the partitions of a hot key on the other side; right on
+    top of an aggregate by the same key it could not.
+    """
+    return df.hint("rebalance")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import apart, written
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -23,10 +23,10 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     for _ in range(rounds):
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.join(apart(least), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         pairs = F.explode(F.array(F.struct(F.col("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("x")
-        small = large.join(least, "u").select(pairs).select("x.u", "x.v").where("u <> v").distinct()
+        small = large.join(apart(least), "u").select(pairs).select("x.u", "x.v").where("u <> v").distinct()
         now, before = written(small, "edges"), state
         state = _state(now)
         if state == before:

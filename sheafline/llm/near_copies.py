@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import texts, written
+from .common import apart, texts, written
 from .components import components
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -96,7 +96,7 @@ def groups(nodes: DataFrame, trees: int = TREES, levels: int = LEVELS, threshold
     cuts = [F.xxhash64(F.lit(t), F.expr(f"substring(sig, {2 * levels * t + 1}, {2 * d})")) for t, d in enumerate(depths(threshold, trees, levels, target))]
     rows = nodes.where("sig IS NOT NULL").select("node", F.explode(F.array(*cuts)).alias("bucket"))
     shared = rows.groupBy("bucket").agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first < last").select("bucket", "first")
-    ties = rows.join(shared, "bucket").where("node <> first").select(F.col("node").alias("u"), F.col("first").alias("v"))
+    ties = rows.join(apart(shared), "bucket").where("node <> first").select(F.col("node").alias("u"), F.col("first").alias("v"))
     return components(ties)
 
 
@@ -144,7 +144,7 @@ def _verify(threshold: float):
 def verified(docs: DataFrame, nodes: DataFrame, members: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK) -> DataFrame:
     """Partner counts (u = v) and links of a spanning forest (u <> v) among the members of each group."""
     sizes = members.groupBy("component").agg(F.count("*").alias("size"))
-    placed = members.join(sizes, "component").withColumn("blocks", F.ceil(F.col("size") / block).cast("int"))
+    placed = members.join(apart(sizes), "component").withColumn("blocks", F.ceil(F.col("size") / block).cast("int"))
     placed = placed.withColumn("block", F.pmod(F.xxhash64(F.lit(5), "node"), F.col("blocks")).cast("int"))
     one = texts(docs).select("doc_id", F.xxhash64("text").alias("node"), "text")
     wanted = placed.join(nodes.select("node", "copies", F.col("doc_id").alias("rep")), "node")
@@ -167,7 +167,7 @@ def near_copies(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     per_node = nodes.select("node", "doc_id", "copies").join(links, "node", "left").join(classes.join(least, "component").select("node", "class_id"), "node", "left")
     per_node = per_node.select("node", F.coalesce("class_id", "doc_id").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.col("copies").alias("n_copies"))
     rows = marked.select("doc_id", F.when(F.col("sig").isNotNull(), F.col("node")).alias("node"))
-    out = rows.join(per_node, "node", "left")
+    out = rows.join(written(per_node, "classes"), "node", "left")
     return out.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("n_copies", F.lit(1)).cast("long").alias("n_copies"))
 
 
