@@ -121,7 +121,7 @@ def term_spans(docs: DataFrame, terms: DataFrame) -> DataFrame:
     piece = F.posexplode(F.split("text", SPACE)).alias("k", "word")
     known = written(terms.select("term").distinct(), "pii-terms")
     if known.isEmpty():
-        return docs.sparkSession.createDataFrame([], "doc_id long, terms array<struct<start:int,kind:int,end:int>>")
+        return known.select(F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("array<struct<start:int,kind:int,end:int>>").alias("terms"))
     # positions of the pieces: each is one character, the space before it, beyond the end of the last
     ends = F.expr("aggregate(sizes, named_struct('at', 0, 'out', cast(array() AS array<int>)), (a, n) -> named_struct('at', a.at + n + 1, 'out', concat(a.out, array(a.at))), a -> a.out)")
     cut = texts(docs).select("doc_id", "text").where("doc_id IS NOT NULL")
