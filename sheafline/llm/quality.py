@@ -124,3 +124,42 @@ def judge(docs: DataFrame, labels: DataFrame, risk: float = RISK, confidence: fl
     both = measured.alias("m").join(limits.alias("l"), F.col("m.stratum").eqNullSafe(F.col("l.stratum")), "left")
     hit = F.array_join(F.array_compact(F.array(*[F.when(F.col(f"m.{r}") >= F.col(f"l.most_{r}"), F.lit(r)) for r in RULES])), ",")
     return both.select("m.doc_id", "m.n_words", "m.word_chars", "m.n_symbols", "m.n_dup_lines", "m.n_repeat_words", "m.base_failed", (~F.col("m.base_failed") & (hit == "")).alias("kept"), hit.alias("rejected_by"))
+
+
+def oracle() -> str:
+    """The same rows in DuckDB's SQL."""
+    measures = {
+        "symbols": f"{4 * CELLS} * n_symbols / greatest(word_chars, 1)", "upper": f"{CELLS} * n_upper / greatest(word_chars, 1)", "shouts": f"{CELLS} * n_shouts / greatest(n_words, 1)",
+        "dup_lines": f"{CELLS} * n_dup_lines / greatest(n_lines, 1)", "repeats": f"{CELLS} * n_repeat_words / greatest(n_words, 1)",
+    }
+    cells = ", ".join(f"CAST(least({CELLS}, floor({m})) AS INTEGER) AS {r}" for r, m in measures.items())
+    long = " UNION ALL ".join(f"SELECT stratum, good, '{r}' AS rule, {r} AS cell FROM held" for r in RULES)
+    hit = ", ".join(f"CASE WHEN m.{r} >= (SELECT cutoff FROM cuts WHERE rule = '{r}' AND stratum IS NOT DISTINCT FROM m.stratum) THEN '{r}' END" for r in RULES)
+    share = RISK / len(RULES)
+    term = f"exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({share}) + (n - i) * ln(1 - {share}))"
+    return f"""
+    WITH d AS (SELECT row_number() OVER () AS rid, doc_id, lang AS stratum, coalesce(text, '') AS text FROM documents),
+    w AS (SELECT *, list_filter(regexp_split_to_array(text, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS words,
+      list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines FROM d),
+    places AS (SELECT rid, words, unnest(range(1, len(words) - 6)) AS i FROM w WHERE len(words) >= 8),
+    win AS (SELECT rid, i, array_to_string(words[i:i + 7], ' ') AS s FROM places),
+    rep AS (SELECT rid, i FROM win QUALIFY count(*) OVER (PARTITION BY rid, s) > 1),
+    cov AS (SELECT rid, count(DISTINCT p) AS n FROM (SELECT rid, unnest(range(i, i + 8)) AS p FROM rep) GROUP BY rid),
+    base AS (SELECT w.rid, doc_id, stratum, CAST(len(words) AS BIGINT) AS n_words, CAST(len(lines) AS BIGINT) AS n_lines, CAST(length(regexp_replace(text, '[\\x20\\x09-\\x0D]+', '', 'g')) AS BIGINT) AS word_chars,
+      CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, length(text) - length(replace(text, '!', '')) AS n_shouts,
+      length(text) - length(regexp_replace(text, '\\p{{Lu}}', '', 'g')) AS n_upper, CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, CAST(coalesce(cov.n, 0) AS BIGINT) AS n_repeat_words
+      FROM w LEFT JOIN cov ON w.rid = cov.rid),
+    m AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed, {cells} FROM base),
+    good AS (SELECT doc_id, max(quality) AS good FROM labels WHERE quality IS NOT NULL GROUP BY doc_id),
+    held AS (SELECT m.*, good FROM m JOIN good USING (doc_id) WHERE NOT base_failed),
+    counts AS (SELECT stratum, rule, cell, count(*) FILTER (good = 1) AS good, count(*) FILTER (good = 0) AS bad FROM ({long}) GROUP BY ALL),
+    summed AS (SELECT stratum, rule, cell, sum(good) OVER o AS k, sum(bad) OVER o AS caught, CAST(sum(good) OVER (PARTITION BY stratum, rule) AS BIGINT) AS n FROM counts WINDOW o AS (PARTITION BY stratum, rule ORDER BY cell DESC ROWS UNBOUNDED PRECEDING)),
+    strata AS (SELECT count(DISTINCT coalesce(stratum, chr(0))) AS strata FROM counts),
+    sizes AS (SELECT DISTINCT n FROM summed),
+    cdf AS (SELECT n, i, sum({term}) OVER (PARTITION BY n ORDER BY i ROWS UNBOUNDED PRECEDING) AS c FROM (SELECT n, unnest(range(0, CAST(floor(n * {share}) AS BIGINT) + 1)) AS i FROM sizes)),
+    most AS (SELECT n, max(i) AS most FROM cdf, strata WHERE c <= {CONFIDENCE} / ({len(RULES)} * strata) GROUP BY n),
+    cuts AS (SELECT stratum, rule, cell AS cutoff FROM summed JOIN most USING (n) WHERE k <= most AND cell > 0 AND caught > {COST} * k
+      QUALIFY row_number() OVER (PARTITION BY stratum, rule ORDER BY caught - {COST} * k DESC, cell DESC) = 1),
+    out AS (SELECT m.*, array_to_string(list_filter([{hit}], lambda x: x IS NOT NULL), ',') AS rejected_by FROM m)
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND rejected_by = '' AS kept, rejected_by FROM out
+    """

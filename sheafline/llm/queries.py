@@ -59,4 +59,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_licenses": licenses.oracle()}
+    return {"op1_quality": quality.oracle(), "op6_licenses": licenses.oracle()}
