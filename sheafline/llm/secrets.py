@@ -197,9 +197,6 @@ def find_secrets(docs: DataFrame, rate: float = RATE, doc_id: str = "doc_id", te
     """doc_id, counts and digest of the base kinds, and all spans as text and as an array found."""
     scanned = written(scan(docs, doc_id, text), "secrets")
     least = thresholds(scanned, rate)
-    limit = F.lit(CELLS)
-    for k, cell in least.items():
-        limit = F.when(F.col("x.class") == k, F.lit(cell)).otherwise(limit)
     text_of = " ".join(f"WHEN {k} THEN {c}" for k, c in least.items())
     passed = f"filter(cand, x -> x.cell >= CASE x.class {text_of} ELSE {CELLS} END)" if least else "filter(cand, x -> false)"
     added = F.expr(f"transform({passed}, x -> struct(x.start AS start, 3 AS kind, x.end AS end))")
