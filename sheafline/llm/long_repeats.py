@@ -27,42 +27,34 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import texts, written
+from .common import apart, texts, written
 
 LENGTH, GRAM, STEP = 400, 100, 16
 #: Bytes of a segment, and of the segments that are looked at together.
 SEGMENT = 1 << 20
 K = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0x27D4EB2F165667C5)]
-_TABLE = np.random.Generator(np.random.PCG64(99)).integers(0, 2**63, 256, np.uint64)
 
 
 def _pair(a: np.ndarray, b: np.ndarray, k: int = 0) -> np.ndarray:
     """Identifier of a pair of identifiers, in order."""
-    x = a * K[k] + (b ^ (b >> np.uint64(29))) * K[k + 1]
+    x = a * K[k]
+    x += b * K[k + 1]
     x ^= x >> np.uint64(32)
     x *= K[3]
-    x ^= x >> np.uint64(29)
     return x
 
 
-def _later(a: np.ndarray, by: int) -> np.ndarray:
-    """Identifiers at an offset; those beyond the end are 0 and belong to no window."""
-    out = np.zeros_like(a)
-    out[: len(a) - by] = a[by:]
-    return out
-
-
 def identifiers(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """For each start: buckets of 100 and 200 bytes, and two independent ones of 400."""
-    h = _TABLE[data]
-    size = 1
-    while size < 64:
-        h = _pair(h, _later(h, size))
-        size *= 2
-    h100 = _pair(h, _later(h, GRAM - 64))
-    h200 = _pair(h100, _later(h100, GRAM))
-    last = _later(h200, 2 * GRAM)
-    return h100, h200, _pair(h200, last), _pair(h200, last, 1)
+    """For each start with enough bytes behind it: buckets of 100 and 200 bytes, and two independent ones of 400."""
+    raw, n = data.tobytes(), len(data) - 7
+    h = np.empty(n, np.uint64)  # the eight bytes at each start are their own bucket
+    for i in range(min(8, n)):
+        h[i::8] = np.frombuffer(raw, "<u8", len(h[i::8]), i)
+    for size in (8, 16, 32):
+        h = _pair(h[:-size], h[size:])
+    h100 = _pair(h[: 64 - GRAM], h[GRAM - 64 :])
+    h200 = _pair(h100[:-GRAM], h100[GRAM:])
+    return h100, h200, _pair(h200[: -2 * GRAM], h200[2 * GRAM :]), _pair(h200[: -2 * GRAM], h200[2 * GRAM :], 1)
 
 
 def segments(data: bytes):
@@ -135,50 +127,77 @@ BLOCKS = "key long, doc long, first int, n int, sure boolean, core long, a long,
 SINGLES = "key long, doc long, first int, sure boolean, a long, b long"
 
 
+def _lists(column) -> list[dict[str, np.ndarray]]:
+    """The arrays of a column of lists of structs, row by row."""
+    at, inner = column.offsets.to_numpy(), column.values
+    fields = {f.name: inner.field(k).to_numpy(zero_copy_only=False) for k, f in enumerate(inner.type)}
+    return [{n: v[i:j] for n, v in fields.items()} for i, j in zip(at[:-1], at[1:], strict=True)]
+
+
+def _stretches(first: np.ndarray, last: np.ndarray):
+    """Slices of sorted runs that lie within about SEGMENT bytes together."""
+    lo = 0
+    for k in range(1, len(first) + 1):
+        if k == len(first) or last[k] - first[lo] > SEGMENT:
+            yield slice(lo, k)
+            lo = k
+
+
+def _spread(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each of so many parts: the row it belongs to and its number within the row."""
+    row = np.repeat(np.arange(len(counts)), counts)
+    return row, np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
+
+
+def _rows(found: list[tuple], types: list, names: list[str]):
+    cols = [np.concatenate(c) for c in zip(*found, strict=True)] if found else [np.zeros(0, np.int64)] * len(names)
+    return pa.RecordBatch.from_arrays([pa.array(c.view(np.int64) if c.dtype == np.uint64 else c).cast(t) for c, t in zip(cols, types, strict=True)], names)
+
+
 def _block_rows(batches):
     """Aligned blocks of the undecided runs of each text, and of decided runs that are to be partners."""
-    names = [x.split()[0] for x in BLOCKS.split(", ")]
+    names, types = [x.split()[0] for x in BLOCKS.split(", ")], [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.int64(), pa.int64(), pa.int64()]
     for batch in batches:
-        for row in batch.to_pylist():
-            data = np.frombuffer(row["text"].encode(), np.uint8)
-            out = [[] for _ in names]
-            for s, width, lead, sure in sorted({(r["first"], r["width"], r["lead"], r["sure"]) for r in row["runs"]}):
-                lo = max(0, s - STEP)
-                part = data[lo : s + width + LENGTH + STEP]
-                h100, h200, ha, hb = identifiers(part)
-                anchor, at = s + lead, s
-                while at <= s + width:
-                    b = anchor + ((at - anchor) // STEP) * STEP
-                    end = min(b + STEP, s + width + 1)
-                    whole = at == b and end == b + STEP
-                    # common to the windows of the aligned block: from b + STEP - 1 to b + LENGTH, LENGTH - STEP + 1 bytes
-                    x = b + STEP - 1 - lo
-                    core = _pair(h200[x : x + 1], h200[x + LENGTH - STEP + 1 - 2 * GRAM :][:1], 2)[0]
-                    if whole:
-                        y = b - lo
-                        a, c = _pair(ha[y : y + 1], ha[y + STEP - 1 :][:1], 2)[0], _pair(hb[y : y + 1], hb[y + STEP - 1 :][:1])[0]
-                    else:
-                        a = c = np.uint64(0)
-                    for col, v in zip(out, (row["key"], row["doc"], at, end - at if not whole else STEP, sure, int(core.view(np.int64)), int(a.view(np.int64)), int(c.view(np.int64))), strict=True):
-                        col.append(v)
-                    at = end
-            types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.int64(), pa.int64(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], names)
+        found = []
+        for key, doc, text, runs in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), _lists(batch.column(3)), strict=True):
+            data = np.frombuffer(text.as_py().encode(), np.uint8)
+            order = np.unique(runs["first"], return_index=True)[1]
+            first, width, lead, sure = (runs[n][order].astype(np.int64) for n in ("first", "width", "lead", "sure"))
+            for part in _stretches(first, first + width):
+                s, w, anchor, known = first[part], width[part], first[part] + lead[part], sure[part]
+                lo = max(0, int(s[0]) - STEP)
+                h100, h200, ha, hb = identifiers(data[lo : int((s + w).max()) + LENGTH + STEP])
+                low, high = (s - anchor) // STEP, (s + w - anchor) // STEP
+                row, k = _spread(high - low + 1)
+                b = anchor[row] + (low[row] + k) * STEP
+                at, end = np.maximum(b, s[row]), np.minimum(b + STEP, s[row] + w[row] + 1)
+                whole = end - at == STEP
+                # common to the windows of the aligned block: LENGTH - STEP + 1 bytes from its last start on
+                x = b + STEP - 1 - lo
+                core = _pair(h200[x], h200[x + LENGTH - STEP + 1 - 2 * GRAM], 2)
+                y = np.where(whole, b - lo, 0)
+                z = np.where(whole, y + STEP - 1, 0)
+                a, c = _pair(ha[y], ha[z], 2), _pair(hb[y], hb[z])
+                a[~whole], c[~whole] = 0, 0
+                found.append((np.full(len(b), key), np.full(len(b), doc), at, end - at, known[row].astype(bool), core, a, c))
+        yield _rows(found, types, names)
 
 
 def _single_rows(batches):
-    names = [x.split()[0] for x in SINGLES.split(", ")]
+    names, types = [x.split()[0] for x in SINGLES.split(", ")], [pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.int64(), pa.int64()]
     for batch in batches:
-        for row in batch.to_pylist():
-            data = np.frombuffer(row["text"].encode(), np.uint8)
-            cols = [[] for _ in names]
-            for s, n, sure in sorted({(r["first"], r["n"], r["sure"]) for r in row["blocks"]}):
-                _, _, ha, hb = identifiers(data[s : s + n - 1 + LENGTH])
-                for k in range(n):
-                    for col, v in zip(cols, (row["key"], row["doc"], s + k, sure, int(ha[k].view(np.int64)), int(hb[k].view(np.int64))), strict=True):
-                        col.append(v)
-            types = [pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.int64(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names)
+        found = []
+        for key, doc, text, blocks in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), _lists(batch.column(3)), strict=True):
+            data = np.frombuffer(text.as_py().encode(), np.uint8)
+            order = np.unique(blocks["first"], return_index=True)[1]
+            first, n, sure = (blocks[c][order].astype(np.int64) for c in ("first", "n", "sure"))
+            for part in _stretches(first, first + n):
+                lo = int(first[part][0])
+                _, _, ha, hb = identifiers(data[lo : int((first[part] + n[part]).max()) - 1 + LENGTH])
+                row, k = _spread(n[part])
+                at = first[part][row] + k
+                found.append((np.full(len(at), key), np.full(len(at), doc), at, sure[part][row].astype(bool), ha[at - lo], hb[at - lo]))
+        yield _rows(found, types, names)
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -227,25 +246,25 @@ def long_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and the removed spans (bytes) of each document."""
     keyed = _keyed(docs)
     runs = written(keyed.select("key", "doc", "text").mapInArrow(_runs, RUNS), "runs")
-    live = written(runs.join(_twice(runs, "gram"), "gram", "left_semi"), "live-runs")
+    live = written(runs.join(apart(_twice(runs, "gram")), "gram", "left_semi"), "live-runs")
     same = _twice(live, "a", "b").withColumn("sure", F.lit(True))
-    decided = written(live.join(same, ["a", "b"], "left").withColumn("sure", F.coalesce("sure", F.lit(False))), "decided-runs")
+    decided = written(live.join(apart(same), ["a", "b"], "left").withColumn("sure", F.coalesce("sure", F.lit(False))), "decided-runs")
     open_ = decided.where("NOT sure")
     # one run of each kind that is decided, where an undecided one has the same anchor bucket
-    partners = decided.where("sure").join(open_.select("gram").distinct(), "gram", "left_semi").groupBy("a", "b").agg(F.min_by(F.struct("key", "doc", "first", "width", "lead", "sure"), F.struct("key", "doc", "first")).alias("x")).select("x.*")
+    partners = decided.where("sure").join(apart(open_.select("gram").distinct()), "gram", "left_semi").groupBy("a", "b").agg(F.min_by(F.struct("key", "doc", "first", "width", "lead", "sure"), F.struct("key", "doc", "first")).alias("x")).select("x.*")
     wanted = open_.select("key", "doc", "first", "width", "lead", "sure").unionByName(partners)
     per_doc = wanted.groupBy("key", "doc").agg(F.collect_list(F.struct("first", "width", "lead", "sure")).alias("runs"))
     touched = decided.select("key", "doc").distinct()
     bodies = written(keyed.select("key", "doc", "text").join(touched, ["key", "doc"], "left_semi").dropDuplicates(["key", "doc"]), "touched")
     blocks = written(bodies.join(per_doc, ["key", "doc"]).mapInArrow(_block_rows, BLOCKS), "blocks")
     whole = _twice(blocks.where("a <> 0 OR b <> 0"), "a", "b").withColumn("full", F.lit(True))
-    judged = written(blocks.join(_twice(blocks, "core"), "core", "left_semi").join(whole, ["a", "b"], "left").withColumn("full", F.coalesce("full", F.lit(False))), "judged-blocks")
+    judged = written(blocks.join(apart(_twice(blocks, "core")), "core", "left_semi").join(apart(whole), ["a", "b"], "left").withColumn("full", F.coalesce("full", F.lit(False))), "judged-blocks")
     undecided = judged.where("NOT full")
-    with_ = judged.where("full").join(undecided.select("core").distinct(), "core", "left_semi").groupBy("a", "b").agg(F.min_by(F.struct("key", "doc", "first", "n"), F.struct("key", "doc", "first")).alias("x")).select("x.*", F.lit(True).alias("sure"))
+    with_ = judged.where("full").join(apart(undecided.select("core").distinct()), "core", "left_semi").groupBy("a", "b").agg(F.min_by(F.struct("key", "doc", "first", "n"), F.struct("key", "doc", "first")).alias("x")).select("x.*", F.lit(True).alias("sure"))
     singles = undecided.select("key", "doc", "first", "n", "sure").unionByName(with_)
     per_doc = singles.groupBy("key", "doc").agg(F.collect_list(F.struct("first", "n", "sure")).alias("blocks"))
     ones = written(bodies.join(per_doc, ["key", "doc"]).mapInArrow(_single_rows, SINGLES), "single-starts")
-    hits = ones.join(_twice(ones, "a", "b"), ["a", "b"], "left_semi")
+    hits = ones.join(apart(_twice(ones, "a", "b")), ["a", "b"], "left_semi")
     span = lambda df, end: df.select("key", "doc", F.col("first").alias("start"), F.expr(end).alias("end"))
     gone = span(decided.where("sure"), f"first + width + {LENGTH}")
     gone = gone.unionByName(span(judged.where("full"), f"first + n - 1 + {LENGTH}")).unionByName(span(hits, f"first + {LENGTH}"))
