@@ -113,6 +113,29 @@ def test_random_tokens_are_told_from_words(spark):
     assert sum("[SECRET]" in r["text"] for r in clean) == found
 
 
+def test_random_keys_of_all_lengths_without_long_words(spark):
+    import random
+
+    rng = random.Random(5)
+    words = "the report of a calm day in town was read by all who came and then they left for home in 1999 or 2004 again".split()
+    kinds = [secrets.ALNUM, secrets.BASE64[:62] + "+/", secrets.BASE32]
+    plain = ["the-report-of-the-town-was-read-2", "Home_And_Report_Of_1999", "CAMETHENALLLEFTFORHOME7", "/report/2004/the-calm-day-in-the-town/home"]
+    rows, keys = [], {}
+    for i, size in enumerate([21, 24, 28, 32, 40, 64, 65, 100, 128, 200] * 12):
+        keys[i] = "".join(rng.choice(kinds[i % 3]) for _ in range(size - 2)) + ("7K" if i % 3 == 2 else "7k")
+        rows.append((i, " ".join(rng.choice(words) for _ in range(60)) + f" {keys[i]} {plain[i % 4]} end"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    hits = {}
+    for r in secrets.find_secrets(docs).collect():
+        text = rows[r["doc_id"]][1]
+        shown = [text[int(s) : int(e)] for _, s, e in (x.split(":") for x in r["spans"].split(",") if x)]
+        assert all(x == keys[r["doc_id"]] for x in shown), shown
+        hits[len(keys[r["doc_id"]])] = hits.get(len(keys[r["doc_id"]]), 0) + len(shown)
+    assert all(n >= 9 for n in hits.values()) and sum(hits.values()) >= 112, hits
+    clean = secrets.redact(docs).collect()
+    assert sum("[SECRET]" in r["text"] for r in clean) == sum(hits.values())
+
+
 def luhn(d):
     return sum(x if i % 2 == 0 else (2 * x - 9 if x > 4 else 2 * x) for i, x in enumerate(map(int, reversed(d)))) % 10 == 0
 
