@@ -57,8 +57,8 @@ def q37_hit_conflicts(spark, d):
 
 def q38_slot_match(spark, d):
     e = table(spark, d, "events")
-    seqs = e.groupBy("user_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("ts", "event_id", "event_type"))), lambda x: F.array(x["event_type"])).alias("genes"))
-    return pathways.slot_scores(seqs.select("user_id", F.slice("genes", 1, 12).alias("genes")), [["view"], ["click", "signup"], ["purchase"], ["error"]]).select("user_id", "slots_matched")
+    genes = e.select("user_id", "ts", "event_id", F.array("event_type").alias("genes"))
+    return pathways.slot_fold(genes, "user_id", ["ts", "event_id"], "genes", [["view"], ["click", "signup"], ["purchase"], ["error"]])
 
 
 def q40_capped_fill(spark, d):

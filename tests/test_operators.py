@@ -2,13 +2,15 @@
 
 import random
 import zlib
+from datetime import datetime, timedelta
+from functools import lru_cache
 
 import pytest
 from pyspark.sql import functions as F
 
 from sheafline.functions import sequences
 from sheafline.operators import graph, intervals, metrics, partition, pathways, select, votes
-from sheafline.plans import registry
+from sheafline.plans import biology, registry
 
 
 def test_every_query_gives_rows_of_a_stable_schema(spark, small):
@@ -146,6 +148,46 @@ def test_slots_and_conflicts():
     assert out["A"][0] == out["B"][0] == "ambiguous" and out["C"][0] == "competing_hit" and out["D"][0] == "accepted"
 
 
+def slots_by_hand(genes, slots):
+    @lru_cache(None)
+    def most(i, j):
+        if i == len(genes) or j == len(slots):
+            return 0
+        out = max(most(i + 1, j), most(i, j + 1))
+        if genes[i] & slots[j]:
+            out = max(out, 1 + most(i + 1, j + 1), *[2 + most(i + 1, k + 1) for k in range(j + 1, len(slots)) if genes[i] & slots[k] and not slots[j] & slots[k]])
+        return out
+
+    return most(0, 0)
+
+
+def test_slot_fold_equals_brute_force(spark):
+    rng = random.Random(8)
+    slots = [["a"], ["b", "c"], ["d"], ["a", "e"], ["f"]]
+    wanted = [frozenset(s) for s in slots]
+    seqs = {u: [rng.sample("abcdefxyz", rng.randint(0, 2)) for _ in range(rng.randint(1, 9))] for u in range(150)} | {None: [["x"], ["a"], ["d"]]}
+    # one sequence that lies in many tasks, its slots filled far apart and backwards
+    seqs[1000] = [["x"]] * 6000
+    for k, c in enumerate("fedca"):
+        seqs[1000][1100 * k + 50] = [c]
+    rows = [(u, i, g) for u, genes in seqs.items() for i, g in enumerate(genes)]
+    rng.shuffle(rows)
+    got = {r["u"]: r["slots_matched"] for r in pathways.slot_fold(spark.createDataFrame(rows, "u long, i long, g array<string>"), "u", ["i"], "g", slots).collect()}
+    for u, genes in seqs.items():
+        sets = [frozenset(g) for g in genes]
+        both = max(pathways.slot_matches(sets, wanted), pathways.slot_matches(sets[::-1], wanted))
+        assert got[u] == both == (5 if u == 1000 else max(slots_by_hand(sets, wanted), slots_by_hand(sets[::-1], wanted))), u
+    assert got.keys() == seqs.keys()
+
+
+def test_slot_match_reads_every_event(spark, tmp_path):
+    day = lambda k: datetime(2024, 1, 1) + timedelta(minutes=k)
+    late = ["view"] * 14 + ["click", "purchase", "error"]
+    rows = [(u * 100 + k, u, t, day(k)) for u in (1, 2) for k, t in enumerate(late if u == 1 else late[:13])]
+    spark.createDataFrame(rows, "event_id long, user_id long, event_type string, ts timestamp").write.parquet(f"{tmp_path}/events.parquet")
+    assert {r["user_id"]: r["slots_matched"] for r in biology.q38_slot_match(spark, str(tmp_path)).collect()} == {1: 4, 2: 1}
+
+
 def test_sequence_functions(spark):
     df = spark.createDataFrame([("ACGTN", "10M2I5=3X4S"), ("", "*"), ("GGCC", "4M")], "s string, c string")
     got = df.select(sequences.gc_percent(F.col("s")), sequences.gc_weighted(F.col("s")), sequences.aligned_bases(F.col("c")), sequences.kmer_counts(2)("s")).collect()
