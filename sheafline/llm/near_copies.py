@@ -154,8 +154,11 @@ def verified(docs: DataFrame, nodes: DataFrame, members: DataFrame, threshold: f
     return pairs.groupBy("component", "i", "j").applyInPandas(_verify(threshold), VERIFIED)
 
 
-def near_copies(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, class_id (the least doc_id of the class), n_links (documents at or above the threshold) and n_copies."""
+def _classes(docs: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """The signed documents, and of each node with words: node, doc_id (its least), class_id, class_node, n_links, n_copies.
+
+    class_id is the least doc_id of the class and class_node its node; where no document has an id, the least node.
+    """
     marked = written(signed(docs), "signed")
     nodes = written(marked.where("sig IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), F.first("sig").alias("sig")), "nodes")
     members = written(groups(nodes, threshold=threshold), "groups")
@@ -163,15 +166,31 @@ def near_copies(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     links = found.where("u = v").groupBy(F.col("u").alias("node")).agg(F.sum("links").alias("links"))
     classes = components(found.where("u <> v").select("u", "v"))
     named = classes.join(nodes.select("node", "doc_id"), "node")
-    least = named.groupBy("component").agg(F.min("doc_id").alias("class_id"))
-    per_node = nodes.select("node", "doc_id", "copies").join(links, "node", "left").join(classes.join(least, "component").select("node", "class_id"), "node", "left")
-    per_node = per_node.select("node", F.coalesce("class_id", "doc_id").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.col("copies").alias("n_copies"))
+    first = F.min_by("node", F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "node"))
+    least = named.groupBy("component").agg(F.min("doc_id").alias("class_id"), first.alias("class_node"))
+    per_node = nodes.select("node", "doc_id", "copies").join(links, "node", "left").join(classes.join(least, "component").select("node", "class_id", "class_node"), "node", "left")
+    per_node = per_node.select(
+        "node", "doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("class_node", "node").alias("class_node"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.col("copies").alias("n_copies")
+    )
+    return marked, written(per_node, "classes")
+
+
+def near_copies(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """doc_id, class_id (the least doc_id of the class), n_links (documents at or above the threshold) and n_copies."""
+    marked, per_node = _classes(docs, threshold)
     rows = marked.select("doc_id", F.when(F.col("sig").isNotNull(), F.col("node")).alias("node"))
-    out = rows.join(written(per_node, "classes"), "node", "left")
+    out = rows.join(per_node.select("node", "class_id", "n_links", "n_copies"), "node", "left")
     return out.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("n_copies", F.lit(1)).cast("long").alias("n_copies"))
 
 
 def drop_near_copies(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """One document of each class, the one of the least doc_id, with all columns."""
-    kept = near_copies(docs, threshold).where("doc_id = class_id OR doc_id IS NULL").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(F.col("_kept")), "left_semi").dropDuplicates(["doc_id"])
+    """One document of each class, with all columns: the text that has the class's least doc_id, in one of its rows with that id.
+
+    Documents are told apart by id and text: null and repeated ids are no copies of each other. All rows without words stay.
+    """
+    _, per_node = _classes(docs, threshold)
+    kept = per_node.where("node = class_node").select(F.col("node").alias("_kept"), F.col("doc_id").alias("_id"))
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    keyed = docs.withColumn("_node", F.xxhash64(text))
+    one = keyed.where(text.rlike(WORD.pattern)).join(kept, (F.col("_node") == F.col("_kept")) & F.col("doc_id").cast("long").eqNullSafe(F.col("_id")), "left_semi").dropDuplicates(["_node"])
+    return one.unionByName(keyed.where(~text.rlike(WORD.pattern))).drop("_node")

@@ -104,6 +104,21 @@ def test_components(spark):
     assert got == {x: top(x) for a, b in edges if a != b for x in (a, b)}
 
 
+def test_survivors_with_null_and_repeated_ids(spark):
+    make = lambda k, n=60: " ".join(f"w{k}x{i}" for i in range(n))
+    near = make(9) + " more"
+    rows = [(None, make(k)) for k in range(5)] + [(None, make(2)), (None, make(6)), (6, make(6)), (7, make(7)), (7, make(8)), (8, make(9)), (9, near), (9, make(10)), (None, make(9) + " other")]
+    rows += [(None, make(11)), (None, make(11) + " more"), (None, None), (None, ""), (12, None), (12, " ")]
+    docs = spark.createDataFrame([(i, t, str(k)) for k, (i, t) in enumerate(rows)], "doc_id long, text string, tag string")
+    kept = near_copies.drop_near_copies(docs)
+    assert kept.columns == docs.columns
+    got = sorted([(r["doc_id"], r["text"]) for r in kept.collect()], key=repr)
+    unnamed = [(i, t) for i, t in got if i is None and t and t.startswith("w11x0")]
+    assert len(unnamed) == 1 and unnamed[0] in rows
+    want = [(None, make(k)) for k in range(5)] + [(6, make(6)), (7, make(7)), (7, make(8)), (8, make(9)), (9, make(10)), (None, None), (None, ""), (12, None), (12, " ")]
+    assert sorted(want + unnamed, key=repr) == got
+
+
 def brute_repeats(rows, length=400):
     where = defaultdict(int)
     data = [(i, (t or "").encode()) for i, t in rows]
