@@ -8,8 +8,8 @@ LEAST_TOGETHER different contexts that hold both. Lines count once each however
 a document make no term revealing. Revealing terms are reported wherever they occur, as kind "term"; sanitise()
 removes direct identifiers and generalises revealing terms.
 
-Null texts count as empty. Positions are code points, ends exclusive. Repeated rows give repeated rows; documents with
-a null id are reported with their base kinds alone. Empty tables give empty results.
+Null texts count as empty. Positions are code points, ends exclusive. Repeated rows give repeated rows. Documents
+are told apart by a 64-bit hash of id and text, so null and repeated ids do no harm. Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -117,48 +117,58 @@ def revealing_terms(docs: DataFrame, found: DataFrame, disclosure: float = DISCL
 
 
 def term_spans(docs: DataFrame, terms: DataFrame) -> DataFrame:
-    """doc_id and an array of the spans of the given terms in it."""
+    """key and an array of the spans of the given terms in it; docs: key and text."""
     piece = F.posexplode(F.split("text", SPACE)).alias("k", "word")
     known = written(terms.select("term").distinct(), "pii-terms")
     if known.isEmpty():
-        return known.select(F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("array<struct<start:int,kind:int,end:int>>").alias("terms"))
+        return known.select(F.lit(None).cast("long").alias("key"), F.lit(None).cast("array<struct<start:int,kind:int,end:int>>").alias("terms"))
     # positions of the pieces: each is one character, the space before it, beyond the end of the last
     ends = F.expr("aggregate(sizes, named_struct('at', 0, 'out', cast(array() AS array<int>)), (a, n) -> named_struct('at', a.at + n + 1, 'out', concat(a.out, array(a.at))), a -> a.out)")
-    cut = texts(docs).select("doc_id", "text").where("doc_id IS NOT NULL")
-    hits = cut.select("doc_id", "text", piece).withColumn("term", F.expr(plain("word"))).join(known, "term", "left_semi").select("doc_id", "text").distinct()
+    hits = docs.select("key", "text", piece).withColumn("term", F.expr(plain("word"))).join(known, "term", "left_semi").select("key", "text").distinct()
     placed = hits.withColumn("sizes", F.expr(f"transform(split(text, '{SPACE_SQL}'), w -> length(w))")).withColumn("at", ends)
-    each = placed.select("doc_id", F.posexplode(F.split("text", SPACE)).alias("k", "word"), "at").withColumn("term", F.expr(plain("word"))).join(known, "term")
+    each = placed.select("key", F.posexplode(F.split("text", SPACE)).alias("k", "word"), "at").withColumn("term", F.expr(plain("word"))).join(known, "term")
     lead = r"length(word) - length(regexp_replace(word, '^[^\\p{L}\\p{N}]+', ''))"
-    span = each.select("doc_id", F.expr(f"struct(at[k] + {lead} AS start, 4 AS kind, at[k] + {lead} + length(term) AS end)").alias("x"))
-    return span.groupBy("doc_id").agg(F.array_sort(F.collect_set("x")).alias("terms"))
+    span = each.select("key", F.expr(f"struct(at[k] + {lead} AS start, 4 AS kind, at[k] + {lead} + length(term) AS end)").alias("x"))
+    return span.groupBy("key").agg(F.array_sort(F.collect_set("x")).alias("terms"))
 
 
-def find_personal_data(docs: DataFrame, disclosure: float = DISCLOSURE, together: int = LEAST_TOGETHER, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, counts and digest of the base kinds, and all spans as text and as an array found."""
-    given = texts(docs, doc_id, text)
+def _keyed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """key (a hash of id and text) tells documents apart whose id is null or repeated."""
+    return texts(docs, doc_id, text).withColumn("key", F.xxhash64("doc_id", "text"))
+
+
+def _found(docs: DataFrame, disclosure: float, together: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """key, and the columns of find_personal_data()."""
+    given = _keyed(docs, doc_id, text)
     spotted = with_spans(given)
     # the texts with an entity are kept for their contexts; of the others only the id is
-    kept = written(spotted.select("doc_id", F.when(F.col("found").isNotNull(), F.col("text")).alias("text"), "found"), "pii")
+    kept = written(spotted.select("key", "doc_id", F.when(F.col("found").isNotNull(), F.col("text")).alias("text"), "found"), "pii")
     terms = term_spans(given, revealing_terms(given, kept, disclosure, together))
     base = F.coalesce(F.expr("transform(found, x -> struct(x.start AS start, x.kind AS kind, x.end AS end))"), F.expr("cast(array() AS array<struct<start:int,kind:int,end:int>>)"))
-    whole = kept.select("doc_id", base.alias("base")).join(terms, "doc_id", "left")
+    whole = kept.select("key", "doc_id", base.alias("base")).join(terms, "key", "left")
     names = ", ".join(f"'{k}'" for k in KINDS)
     show = lambda a: F.expr(f"array_join(transform({a}, x -> concat(element_at(array({names}), x.kind + 1), ':', x.start, ':', x.end)), ',')")
     counts = [F.expr(f"bigint(size(filter(base, x -> x.kind = {k})))").alias(f"n_{KINDS[k]}") for k in range(4)]
     return (
         whole.withColumn("found", F.expr("array_sort(concat(base, coalesce(terms, cast(array() AS array<struct<start:int,kind:int,end:int>>))))"))
-        .select("doc_id", *counts, F.sha2(show("base"), 256).alias("base_sha256"), show("found").alias("spans"), "found")
+        .select("key", "doc_id", *counts, F.sha2(show("base"), 256).alias("base_sha256"), show("found").alias("spans"), "found")
     )
 
 
+def find_personal_data(docs: DataFrame, disclosure: float = DISCLOSURE, together: int = LEAST_TOGETHER, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, counts and digest of the base kinds, and all spans as text and as an array found."""
+    return _found(docs, disclosure, together, doc_id, text).drop("key")
+
+
 def sanitise(docs: DataFrame, disclosure: float = DISCLOSURE, together: int = LEAST_TOGETHER) -> DataFrame:
     """The documents with direct identifiers replaced by their kind in brackets and revealing terms by their first letter."""
-    found = find_personal_data(docs, disclosure, together).where("size(found) > 0").select("doc_id", "found").dropDuplicates(["doc_id"])
+    found = _found(docs, disclosure, together).where("size(found) > 0").select(F.col("key").alias("_key"), F.col("found").alias("_spans")).dropDuplicates(["_key"])
     names = ", ".join(f"'[{k.upper()}]'" for k in KINDS)
     step = (
         f"(a, x) -> CASE WHEN x.start >= a.at THEN named_struct('out', concat(a.out, substring(text, a.at + 1, x.start - a.at), "
         f"CASE WHEN x.kind = 4 THEN concat(substring(text, x.start + 1, 1), '.') ELSE element_at(array({names}), x.kind + 1) END), 'at', x.end) "
         f"ELSE named_struct('out', a.out, 'at', greatest(a.at, x.end)) END"
     )
-    clean = F.expr(f"CASE WHEN found IS NULL OR text IS NULL THEN text ELSE aggregate(found, named_struct('out', '', 'at', 0), {step}, a -> concat(a.out, substring(text, a.at + 1))) END")
-    return docs.join(found, "doc_id", "left").withColumn("text", clean).drop("found")
+    clean = F.expr(f"CASE WHEN _spans IS NULL OR text IS NULL THEN text ELSE aggregate(_spans, named_struct('out', '', 'at', 0), {step}, a -> concat(a.out, substring(text, a.at + 1))) END")
+    keyed = docs.withColumn("_key", F.xxhash64(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit(""))))
+    return keyed.join(found, "_key", "left").withColumn("text", clean).select(*docs.columns)

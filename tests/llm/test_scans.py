@@ -172,6 +172,21 @@ def test_revealing_terms(spark):
     assert clean[500] == "Q., again" and "[EMAIL]" in clean[0] and "Quillfeather" not in clean[0] and clean[150] == dict(rows)[150]
 
 
+def test_personal_data_with_null_and_repeated_ids(spark):
+    filler = "lorem ipsum dolor sit amet consectetur elit sed do eiusmod".split()
+    rows = [(i, f"report {filler[i % 10]} by Quillfeather at q.f@ex.org about {filler[(i * 3) % 10]} number w{i}\nplain line {i}") for i in range(8)]
+    rows += [(100 + i, f"the report {filler[i % 10]} at noon line {i} about things") for i in range(200)]
+    odd = {
+        (None, "Quillfeather, again"): ("term:0:12", "Q., again"), (None, "so Quillfeather wrote a@b.org"): ("term:3:15,email:22:29", "so Q. wrote [EMAIL]"), (None, "nothing here"): ("", "nothing here"),
+        (700, "told of Quillfeather"): ("term:8:20", "told of Q."), (700, "x@y.org is theirs"): ("email:0:7", "[EMAIL] is theirs"), (700, "no data in this one"): ("", "no data in this one"), (None, None): ("", None),
+    }
+    docs = spark.createDataFrame(rows + list(odd) + [(None, "Quillfeather, again")], "doc_id long, text string")
+    want = sorted([(i, s) for (i, _), (s, _) in odd.items()] + [(None, "term:0:12")], key=repr)
+    assert rows_of(pii.find_personal_data(docs).where("doc_id IS NULL OR doc_id = 700"), "doc_id", "spans") == want
+    want = sorted([(i, c) for (i, _), (_, c) in odd.items()] + [(None, "Q., again")], key=repr)
+    assert rows_of(pii.sanitise(docs).where("doc_id IS NULL OR doc_id = 700"), "doc_id", "text") == want
+
+
 def test_long_texts_do_not_overflow(spark):
     rows = [(1, "1" * 50_000), (2, "a." * 20_000 + "@" + "b." * 20_000 + "c"), (3, "1.2" * 20_000), (4, "x" * 200_000)]
     got = {r["doc_id"]: r for r in pii.find_personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
