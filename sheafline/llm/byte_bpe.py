@@ -1,10 +1,11 @@
 """Byte-level BPE: encoding with the tokenizers library over Arrow batches, and decoding through the byte table.
 
-A text is cut before each single space, around each single line break, and between a small Latin letter and a
-following comma or full stop. No match of the pre-tokeniser's pattern crosses such a cut, so the pieces can be
-encoded on their own, and a piece met before in the task is not encoded again. Texts in which white space characters adjoin are encoded whole.
+A text is cut before each single space between two other characters. No match of the pre-tokeniser's pattern crosses such
+a cut, so the pieces can be encoded on their own, and a piece met lately in the task is not encoded again. New pieces are
+encoded together, as one text; the byte table tells which ids belong to which piece.
 
-Null texts count as empty and give no tokens. Repeated rows give repeated rows. Other columns are left out.
+Null texts count as empty and give no tokens. Repeated rows give repeated rows. Other columns are left out. Memory beyond
+the text itself is bounded: only short pieces are kept, and the older half of them is forgotten when there are too many.
 """
 
 from __future__ import annotations
@@ -14,7 +15,6 @@ import hashlib
 import json
 import os
 import re
-from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -24,10 +24,10 @@ from pyspark.sql import DataFrame
 
 from .common import texts
 
-#: Pieces that a task keeps at most; beyond this it forgets them and goes on, which changes nothing but speed.
-KEPT_PIECES = 300_000
+#: Pieces that a task keeps in each of two generations, and the characters that a piece has at most to be kept.
+KEPT_PIECES, LONGEST_KEPT = 250_000, 64
 ADJOINING = re.compile(r"\s\s")
-CUT = re.compile(r"(?<=[a-z])(?=[,.])|(?<=\S)(?=\n)|(?<=\n)(?=\S)")
+CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
 def vocabulary_path() -> str:
@@ -67,36 +67,62 @@ def byte_table(path: str) -> list[bytes]:
 
 
 class Encoder:
-    """Encodes texts one by one, keeping the ids of pieces (as packed 32-bit integers)."""
+    """Encodes texts one by one, keeping the ids (packed 32-bit integers) of the pieces after a space."""
 
     def __init__(self, path: str, kept: int = KEPT_PIECES):
-        self.tokenizer, self.kept, self.ids = _tokenizer(path), kept, {}
-
-    def learn(self, pieces: set[str]) -> None:
-        new = [p for p in pieces if p not in self.ids]
-        if len(self.ids) + 2 * len(new) > self.kept:
-            self.ids, new = {}, list(pieces)
-        cut = {p: CUT.split(p) for p in new}
-        fresh = list({x for parts in cut.values() for x in parts if x not in self.ids})
-        if fresh:
-            found = self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)
-            self.ids.update((x, array("I", e.ids).tobytes()) for x, e in zip(fresh, found, strict=True))
-        for p, parts in cut.items():
-            if len(parts) > 1:
-                self.ids[p] = b"".join([self.ids[x] for x in parts])
-
-    def encode(self, text: str) -> list[int]:
+        self.tokenizer, self.kept = _tokenizer(path), kept
+        self.sizes = np.array([len(x) for x in byte_table(path)], np.int64)
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def _batch(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def learn(self, pieces: list[str]) -> dict[str, bytes]:
+        """The ids of distinct pieces, each with the space before it."""
+        # a piece that ends in white space would run into the next one's space
+        joint = [p for p in pieces if p and not p[-1].isspace()]
+        alone = [p for p in pieces if not p or p[-1].isspace()]
+        first, *rest = self._batch([" " + " ".join(joint) if joint else "", *(" " + p for p in alone)])
+        ends = np.cumsum([len(p.encode()) + 1 for p in joint])
+        cuts = (np.searchsorted(np.cumsum(self.sizes[first]), ends) + 1).tolist()
+        packed, at, found = first.tobytes(), 0, {}
+        for p, end in zip(joint, cuts, strict=True):
+            found[p] = packed[4 * at : 4 * end]
+            at = end
+        found.update((p, x.tobytes()) for p, x in zip(alone, rest, strict=True))
+        for p, x in found.items():
+            if len(p) <= LONGEST_KEPT:
+                self.young[p] = x
+        if len(self.young) >= self.kept:
+            self.young, self.old = {}, self.young
+        return found
+
+    def packed(self, text: str) -> bytes:
+        """The ids of a text as packed 32-bit integers."""
         if not text:
-            return []
-        if ADJOINING.search(text):
-            return self.tokenizer.encode(text, add_special_tokens=False).ids
-        first, *rest = text.split(" ")
-        pieces = ([first] if first else []) + [" " + p for p in rest]
-        found = list(map(self.ids.get, pieces))
+            return b""
+        first, *pieces = CUT.split(text) if ADJOINING.search(text) else text.split(" ")
+        found = list(map(self.young.get, pieces))
         if None in found:
-            self.learn(set(pieces))
-            found = [self.ids[p] for p in pieces]
-        return np.frombuffer(b"".join(found), np.uint32).tolist()
+            gone = [k for k, x in enumerate(found) if x is None]
+            new = {}
+            for k in gone:
+                p = pieces[k]
+                x = found[k] = self.old.get(p)
+                if x is None:
+                    new[p] = x
+                else:
+                    self.young[p] = x
+            if new:
+                new = self.learn(list(new))
+                for k in gone:
+                    if found[k] is None:
+                        found[k] = new[pieces[k]]
+        return b"".join([*(x.tobytes() for x in self._batch([first]) if first), *found])
+
+    def encode(self, text: str) -> list[int]:
+        return np.frombuffer(self.packed(text), np.uint32).tolist()
 
 
 def decode(ids: Iterable[int], table: list[bytes]) -> bytes:
