@@ -243,7 +243,7 @@ def _twice(df: DataFrame, *by: str) -> DataFrame:
 
 
 def long_repeats(docs: DataFrame) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and the removed spans (bytes) of each document."""
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, n_kept (bytes left), repeats (whether any went) and the removed spans (bytes) of each document."""
     keyed = _keyed(docs)
     runs = written(keyed.select("key", "doc", "text").mapInArrow(_runs, RUNS), "runs")
     live = written(runs.join(apart(_twice(runs, "gram")), "gram", "left_semi"), "live-runs")
@@ -273,4 +273,4 @@ def long_repeats(docs: DataFrame) -> DataFrame:
     every = keyed.select("doc_id", "key", "doc", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("whole"))
     out = every.join(cut, ["key", "doc"], "left")
     zero = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
-    return out.select("doc_id", "n_bytes", zero("n_removed"), zero("n_spans"), F.coalesce("kept_sha256", "whole").alias("kept_sha256"), "spans")
+    return out.select("doc_id", "n_bytes", zero("n_removed"), zero("n_spans"), F.coalesce("kept_sha256", "whole").alias("kept_sha256"), (F.col("n_bytes") - F.coalesce("n_removed", F.lit(0))).alias("n_kept"), (F.coalesce("n_removed", F.lit(0)) > 0).alias("repeats"), "spans")

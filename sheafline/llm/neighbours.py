@@ -2,17 +2,19 @@
 
 Vectors are projected onto DIMS random Gaussian directions, which keep Euclidean distances in distribution: the squared
 projected distance over the squared distance is chi-squared with DIMS degrees of freedom. A kd-tree on the projections,
-with its upper splits fitted on a bounded sample (SAMPLE vectors of the least hash) and shared by all tasks, deals every
-vector to a cell. Within a task, a cell is a kd-tree down to leaves of LEAF vectors; its leaves are taken in the order of
-their projected distance from the query, and their vectors verified by their true distance, until the chi-square test
-holds: with d the k-th best distance so far and r the projected distance of the next leaf, any nearer vector would have been
-met with probability at least CONFIDENCE once P(chi2 <= (r / d)^2) reaches it. In a first round each query searches its own
-cell; its k-th distance then shows which other cells the test cannot rule out, and only these are searched in a second round.
-
-Cells of more than BLOCK vectors are dealt out in blocks, and queries in blocks of QUERIES, so that a task's work is bounded.
-Equal vectors are one point with its K + 1 least ids, which is all that any result can hold of them. Vectors that are
+with its upper splits fitted on a bounded sample (the projections of SAMPLE vectors of the least hash, PER_CELL at least to a
+cell) and shared by all tasks, deals every vector to a cell. Within a task, a cell is a kd-tree down to leaves of LEAF vectors;
+its leaves are taken in the order of their projected distance from the query, and their vectors verified by their true
+distance, until the chi-square test holds: with d the k-th best distance so far, the query's own row left out, and r the
+projected distance of the next leaf, any nearer vector would have been met with probability at least CONFIDENCE once
+P(chi2 <= (r / d)^2) reaches it. In a first round each query searches its own cell; its k-th distance then shows which other
+cells the test cannot rule out, and only these are searched in a second round. A small table is one cell, on the same path.
+
+A cell of more than BLOCK vectors is dealt out in blocks, and more than QUERIES queries of a cell in blocks of queries, by the
+cell's own counts, so that a task's work is bounded.
+Equal vectors are one point with its k + 1 least ids, which is all that any result can hold of them. Vectors that are
 null, zero, of another length than the index or with a null or non-finite component take no part. Ties go to the smaller
-id; a repeated id counts once per vector. Fewer than K candidates give fewer rows; empty tables give none.
+id; a repeated id counts once per vector. Fewer than k candidates give fewer rows; empty tables give none.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ from pyspark.sql import functions as F
 
 from .common import written
 
-K, DIMS, LEAF, SAMPLE, CELL, BLOCK, QUERIES, CONFIDENCE = 10, 12, 64, 20_000, 50_000, 50_000, 2_000, 0.99
+K, DIMS, LEAF, SAMPLE, PER_CELL, CELL, BLOCK, QUERIES, CONFIDENCE = 10, 12, 64, 100_000, 16, 8192, 50_000, 2_000, 0.99
 
 
 @lru_cache(maxsize=8)
@@ -82,16 +84,22 @@ def cell_of(points: np.ndarray, tree: list[tuple[int, float]]) -> np.ndarray:
     return at - len(tree)
 
 
-def cell_gaps(points: np.ndarray, tree: list[tuple[int, float]]) -> np.ndarray:
-    """Squared projected distance from each point to each cell."""
-    boxes = [(np.full(points.shape[1], -np.inf), np.full(points.shape[1], np.inf))]
-    for d, m in tree:
-        lo, hi = boxes.pop(0)
-        left, right = hi.copy(), lo.copy()
-        left[d], right[d] = m, m
-        boxes += [(lo, left), (right, hi)]
-    lo, hi = np.array([b[0] for b in boxes]), np.array([b[1] for b in boxes])
-    return (np.maximum(0, np.maximum(lo[None] - points[:, None], points[:, None] - hi[None])) ** 2).sum(axis=2)
+def open_cells(points: np.ndarray, tree: list[tuple[int, float]], limits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(point, cell) of all cells whose squared projected distance is within the point's limit, from the root of the tree down."""
+    at, node, gap = np.arange(len(points)), np.zeros(len(points), np.int64), np.zeros(len(points))
+    off = np.zeros(points.shape)  # the distance in each dimension
+    axes, cuts = np.array([t[0] for t in tree], np.int64), np.array([t[1] for t in tree])
+    for _ in range(int(math.log2(len(tree) + 1))):
+        d, side = axes[node], points[at, axes[node]] - cuts[node]
+        reach = np.maximum(off[np.arange(len(at)), d], np.abs(side))
+        beyond = gap - off[np.arange(len(at)), d] ** 2 + reach**2
+        far = np.flatnonzero(beyond <= limits[at])
+        other = off[far]
+        other[np.arange(len(far)), d[far]] = reach[far]
+        near = 2 * node + 1 + (side > 0)
+        node = np.concatenate([near, (4 * node + 3 - near)[far]])
+        at, gap, off = np.concatenate([at, at[far]]), np.concatenate([gap, beyond[far]]), np.concatenate([off, other])
+    return at, node - len(tree)
 
 
 class Leaves:
@@ -110,19 +118,19 @@ class Leaves:
         self.low = np.array([points[x].min(axis=0) for x in self.members])
         self.high = np.array([points[x].max(axis=0) for x in self.members])
 
-    def search(self, point, query, vectors, own, found, limit):
-        """The k best (squared distance, row) for a query, starting from the best distances known; own is left out."""
+    def search(self, point, query, vectors, own, found, limit, k):
+        """The k best (squared distance, row) for a query, starting from the best distances known; the rows in own are left out."""
         gap = (np.maximum(0, np.maximum(self.low - point, point - self.high)) ** 2).sum(axis=1)
         order = np.argsort(gap, kind="stable")
         best, at, step = found, 0, 4
         while at < len(order):
-            worst = best[K - 1][0] if len(best) >= K else np.inf
+            worst = best[k - 1][0] if len(best) >= k else np.inf
             if gap[order[at]] > limit * worst:
                 break
             rows = np.concatenate([self.members[x] for x in order[at : at + step]])
             d = ((vectors[rows] - query) ** 2).sum(axis=1)
             near = np.flatnonzero(d <= worst)
-            best = sorted(best + [(d[x], rows[x]) for x in near if rows[x] != own])[: K + 1]
+            best = sorted(best + [(d[x], rows[x]) for x in near if rows[x] not in own])[:k]
             at, step = at + step, min(2 * step, 64)
         return best
 
@@ -130,19 +138,24 @@ class Leaves:
 HITS = "query long, distance double, ids array<bigint>"
 
 
-def _search(size: int, confidence: float):
+def _search(size: int, confidence: float, k: int):
     def run(key: tuple, points: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(points) and len(queries):
             points = points.sort_values("vec_id", kind="stable")
             vectors, ids = np.array(points["vector"].tolist()), points["ids"].tolist()
             projected, limit = vectors @ directions(size), chi_square_limit(DIMS, confidence)
-            leaves = Leaves(projected)
+            leaves, asked = Leaves(projected), set(queries["vec_id"])
+            # points that no one but the query itself holds
+            own: dict[int, list[int]] = {}
+            for row, held in enumerate(ids):
+                if len(held) == 1 and held[0] in asked:
+                    own.setdefault(held[0], []).append(row)
             for qid, vector, worst in queries.sort_values("vec_id")[["vec_id", "vector", "worst"]].itertuples(index=False):
                 q = np.array(vector)
                 # a bound known from another block stands for k candidates that are not in this one
-                known = [] if not np.isfinite(worst) else [(worst**2 * (1 + 1e-12), len(vectors))] * K
-                for d, row in leaves.search(q @ directions(size), q, vectors, -1, known, limit):
+                known = [] if not np.isfinite(worst) else [(worst**2 * (1 + 1e-12), len(vectors))] * k
+                for d, row in leaves.search(q @ directions(size), q, vectors, own.get(qid, ()), known, limit, k):
                     if row < len(vectors):
                         out.append((qid, math.sqrt(d), ids[row]))
         return pd.DataFrame(out, columns=["query", "distance", "ids"])
@@ -171,41 +184,45 @@ def nearest(table: DataFrame, queries: DataFrame | None = None, k: int = K, conf
     size, count = sizes["n"], sizes["count"]
     points = points.where(F.col("n") == size)
     asked = (usable(queries) if queries is not None else rows.where("vec_id % 100 = 0")).where(F.size("vector") == size).dropDuplicates(["vec_id"])
-    tree = []
-    if count > CELL:
-        sample = points.orderBy(F.xxhash64("vec_id")).limit(SAMPLE).select("vector").toPandas()
-        tree = splits(np.array(sample["vector"].tolist()) @ directions(size), -(-count // CELL))
-    blocks = max(1, -(-count // (BLOCK * (len(tree) + 1))))
+
+    @F.pandas_udf("array<double>")
+    def project(vectors: pd.Series) -> pd.Series:
+        return pd.Series(list(np.array(vectors.tolist()).reshape(len(vectors), -1) @ directions(size)))
+
+    sample = points.orderBy(F.xxhash64("vec_id")).limit(SAMPLE).select(project("vector").alias("p")).toPandas()
+    tree = splits(np.array(sample["p"].tolist()), min(-(-count // CELL), max(1, len(sample) // PER_CELL)))
 
     @F.pandas_udf("long")
     def cell(vectors: pd.Series) -> pd.Series:
-        return pd.Series(cell_of(np.array(vectors.tolist()).reshape(len(vectors), -1) @ directions(size), tree)) if tree else pd.Series(np.zeros(len(vectors), np.int64))
+        return pd.Series(cell_of(np.array(vectors.tolist()).reshape(len(vectors), -1) @ directions(size), tree))
 
     @F.pandas_udf("array<long>")
     def others(vectors: pd.Series, worst: pd.Series) -> pd.Series:
-        if not tree:
-            return pd.Series([[] for _ in vectors])
-        p = np.array(vectors.tolist()) @ directions(size)
-        gaps, own = cell_gaps(p, tree), cell_of(p, tree)
-        open_ = gaps <= chi_square_limit(DIMS, confidence) * worst.to_numpy()[:, None] ** 2
-        open_[np.arange(len(p)), own] = False
-        return pd.Series([np.flatnonzero(x).tolist() for x in open_])
-
-    placed = written(points.select("vec_id", "vector", "ids", cell("vector").alias("cell"), F.pmod(F.xxhash64(F.lit(3), "vec_id"), F.lit(blocks)).alias("block")), "cells")
+        p = np.array(vectors.tolist()).reshape(len(vectors), -1) @ directions(size)
+        at, cells = open_cells(p, tree, chi_square_limit(DIMS, confidence) * worst.to_numpy() ** 2)
+        away, found = cells != cell_of(p, tree)[at], [[] for _ in vectors]
+        for i, c in zip(at[away].tolist(), cells[away].tolist(), strict=True):
+            found[i].append(c)
+        return pd.Series(found)
+
+    placed = written(points.select("vec_id", "vector", "ids", cell("vector").alias("cell")), "cells")
     home = written(asked.select("vec_id", "vector", cell("vector").alias("cell")).withColumn("worst", F.lit(float("inf"))), "queries")
-    deals = max(1, -(-home.count() // QUERIES))
+    # a row for each cell, of which there are as many as the sample allows
+    blocks = written(placed.groupBy("cell").agg(F.ceil(F.count("*") / BLOCK).alias("blocks")), "cell-blocks")
 
     def search(these: DataFrame) -> DataFrame:
-        """The hits of each query in its cell; every block of vectors meets every block of queries."""
-        dealt = these.withColumn("deal", F.pmod(F.xxhash64(F.lit(4), "vec_id"), F.lit(deals))).withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
-        against = placed.withColumn("deal", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(deals - 1).cast("long"))))
+        """The hits of each query in its cell; every block of a cell's vectors meets every block of the cell's queries."""
+        parts = written(blocks.join(these.groupBy("cell").agg(F.ceil(F.count("*") / QUERIES).alias("deals")), "cell"), "cell-parts")
+        every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+        mine = lambda n, seed: F.pmod(F.xxhash64(F.lit(seed), "vec_id"), F.col(n))
+        dealt = these.join(parts, "cell").select("cell", mine("deals", 4).alias("deal"), every("blocks").alias("block"), "vec_id", "vector", "worst")
+        against = placed.join(parts.toDF("cell", "n_blocks", "n_deals"), "cell").select("cell", mine("n_blocks", 3).alias("block"), every("n_deals").alias("deal"), "vec_id", "vector", "ids")
         keys = ["cell", "block", "deal"]
-        return against.groupBy(*keys).cogroup(dealt.groupBy(*keys)).applyInPandas(_search(size, confidence), HITS)
+        return against.groupBy(*keys).cogroup(dealt.groupBy(*keys)).applyInPandas(_search(size, confidence, k), HITS)
 
     hits = written(search(home), "hits")
-    if tree:
-        first = _best(hits, k).groupBy("query").agg(F.max("distance").alias("worst"), F.count("*").alias("n"))
-        bound = home.drop("worst").join(first, home["vec_id"] == first["query"], "left").withColumn("worst", F.when(F.col("n") >= k, F.col("worst")).otherwise(F.lit(float("inf"))))
-        again = bound.select("vec_id", "vector", "worst", F.explode(others("vector", "worst")).alias("cell"))
-        hits = hits.unionByName(written(search(again.select("vec_id", "vector", "cell", "worst")), "hits"))
+    first = _best(hits, k).groupBy("query").agg(F.max("distance").alias("worst"), F.count("*").alias("n"))
+    bound = home.drop("worst").join(first, home["vec_id"] == first["query"], "left").withColumn("worst", F.when(F.col("n") >= k, F.col("worst")).otherwise(F.lit(float("inf"))))
+    again = written(bound.select("vec_id", "vector", "worst", F.explode(others("vector", "worst")).alias("cell")), "other-cells")
+    hits = hits.unionByName(written(search(again), "hits"))
     return _best(hits, k).select(F.col("query").alias("query_id"), F.col("rank").cast("int").alias("rank"), "vec_id", F.col("distance").alias("score"))

@@ -53,6 +53,33 @@ def test_recall_and_ties(spark, rows, monkeypatch, cell):
             assert not exact or abs(exact[v] - s) < 1e-9
 
 
+def test_every_rank(spark):
+    """The query's own vector takes no place among the nearest, which would loosen the last rank's bound."""
+    v = np.random.default_rng(11).standard_normal((6000, 32))
+    data = [(i, v[i].tolist()) for i in range(6000)]
+    got, want = found(neighbours.nearest(spark.createDataFrame(data, "vec_id long, embedding array<double>"))), brute(data)
+    for rank in range(10):
+        assert np.mean([want[q][rank][1] in {x for _, x in got[q]} for q in want]) >= 0.99, rank
+
+
+def test_open_cells_are_those_in_reach():
+    rng = np.random.default_rng(2)
+    points = rng.standard_normal((400, neighbours.DIMS))
+    tree = neighbours.splits(points, 16)
+    at, cells = neighbours.open_cells(points[:50], tree, np.full(50, 0.5))
+    own = neighbours.cell_of(points, tree)
+    reached = set(zip(at.tolist(), cells.tolist(), strict=True))
+    assert all((i, own[i]) in reached for i in range(50))
+    near = ((points[:50, None] - points[None]) ** 2).sum(axis=2) <= 0.5
+    assert all((i, own[j]) in reached for i, j in zip(*np.nonzero(near), strict=True))
+
+
+def test_other_columns_and_clashing_names(spark):
+    data = [(i, [float(i), 1.0], i, "x") for i in range(120)]
+    got = neighbours.nearest(spark.createDataFrame(data, "vec_id long, embedding array<double>, cell long, query string")).collect()
+    assert sorted((r["query_id"], r["rank"], r["vec_id"]) for r in got)[:3] == [(0, 1, 1), (0, 2, 2), (0, 3, 3)]
+
+
 def test_table_recall(spark):
     table = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
     got = found(neighbours.nearest(table))
