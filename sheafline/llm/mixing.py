@@ -3,17 +3,18 @@
 Targets: sources in code-point order, null last, weigh WEIGHTS in turn and share SHARE of all words; a target stops at
 MOST times its source's size, and what it cannot take is shared by weight among the others (water-filling).
 
-Documents fall into BLOCKS blocks of each source by a hash. A source is taken whole as often as its target allows, and
-the rest of the target by whole blocks in a permuted order; the block that crosses the target gives documents in a
-permuted order, and the document that crosses it gives its first words, so that the words taken are the target to the
-word. Every pass over a block is an item, and a splitting tree deals the items to the output shards: at each node the
-left half's share of every source is drawn from the multivariate hypergeometric distribution (source after source, by
-inversion, from hashed uniform numbers), so that block quotas stay exact and reruns agree. A shard takes disjoint runs of
-each source's permuted items, and its documents are in the order of a hash.
+Documents fall into blocks of each source by a hash, as many blocks as there are BLOCK documents, BLOCKS at least. A source
+is taken whole as often as its target allows, and the rest of the target by whole blocks in a permuted order; the block that
+crosses the target gives documents in a permuted order, and the document that crosses it gives its first words, so that the
+words taken are the target to the word. Every pass over a block is an item of its source's block quota, and a splitting tree
+deals the quotas to the output shards (a power of two, about SHARD words each, SHARDS at least): at each node the left half's
+share of every source is drawn from the multivariate hypergeometric distribution (source after source, by inversion, from
+hashed uniform numbers), so that block quotas stay exact and reruns agree. A shard draws disjoint runs of each source's
+permuted items, which decides where each copy of a document goes, and shuffles its documents locally, by a hash.
 
 Null texts and texts without words have size 0 and are never taken; documents without source form a source of their own;
-repeated rows are documents of their own. Without any words all targets are 0. Sources are few enough that a row for each
-can be sorted together; nothing else is gathered.
+repeated rows are documents of their own. Without any words all targets are 0. Extra columns stay, whatever their names.
+Sources are few enough that a row for each can be sorted together; nothing else is gathered.
 """
 
 from __future__ import annotations
@@ -24,14 +25,21 @@ from pyspark.sql import functions as F
 from .common import WORD, written
 from .quality import log_factorial
 
-WEIGHTS, SHARE, MOST, BLOCKS, SHARDS, SEED = (3, 1, 2), 1.5, 2, 4096, 16, 7
+WEIGHTS, SHARE, MOST, SEED = (3, 1, 2), 1.5, 2, 7
+#: Least numbers of blocks of a source and of shards; documents of a block and words of a shard, about.
+BLOCKS, SHARDS, BLOCK, SHARD = 4096, 16, 20_000, 50_000_000
 
 
 def measured(docs: DataFrame, seed: int = SEED) -> DataFrame:
-    """The documents with size, a hash and the block; these columns begin with an underscore."""
+    """doc_id, source, _size, _hash, and the whole row as a struct row, which keeps every column of any name."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    sized = docs.withColumn("_size", F.regexp_count(text, F.lit(WORD)).cast("long")).withColumn("_hash", F.xxhash64(F.lit(seed), F.col("doc_id"), text))
-    return sized.withColumn("_block", F.pmod(F.xxhash64(F.lit(seed), "_hash"), F.lit(BLOCKS)).cast("int"))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    return docs.select("doc_id", "source", F.regexp_count(text, F.lit(WORD)).cast("long").alias("_size"), F.xxhash64(F.lit(seed), F.col("doc_id"), text).alias("_hash"), row)
+
+
+def in_blocks(rows: DataFrame, blocks: int, seed: int = SEED) -> DataFrame:
+    """The rows with their _block."""
+    return rows.withColumn("_block", F.pmod(F.xxhash64(F.lit(seed), "_hash"), F.lit(blocks)).cast("int"))
 
 
 def targets(sizes: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
@@ -99,36 +107,58 @@ def blocks(sizes: DataFrame, aims: DataFrame, shards: int = SHARDS, seed: int =
     items = wanted.where("passes > 0").select("place", "_block", F.explode(F.sequence(F.lit(1), "passes")).alias("pass"))
     ranked = items.withColumn("rank", F.row_number().over(Window.partitionBy("place").orderBy(F.xxhash64(F.lit(seed + 1), "place", "_block", "pass"), "_block", "pass")) - 1)
     shares = quotas(items.groupBy("place").agg(F.count("*").alias("n")), shards, seed)
-    dealt = ranked.alias("r").join(shares.alias("q"), (F.col("r.place") == F.col("q.place")) & (F.col("r.rank") >= F.col("q.first")) & (F.col("r.rank") < F.col("q.last")))
+    dealt = ranked.alias("r").join(shares.hint("merge").alias("q"), (F.col("r.place") == F.col("q.place")) & (F.col("r.rank") >= F.col("q.first")) & (F.col("r.rank") < F.col("q.last")))
     lists = dealt.groupBy("r.place", "r._block").agg(F.expr("transform(array_sort(collect_list(struct(r.pass, q.shard))), x -> x.shard)").alias("shards"))
-    return wanted.join(lists, ["place", "_block"], "left").select("source", "_block", "source_size", "target", "whole", "wanted", "shards")
+    return wanted.join(lists.hint("merge"), ["place", "_block"], "left").select("source", "_block", "source_size", "target", "whole", "wanted", "shards")
 
 
 def draw(rows: DataFrame, plan: DataFrame, seed: int = SEED) -> DataFrame:
     """The rows with _source_size, _target, _taken and _draws: an array of shard, order within it, and words taken."""
     renamed = plan.select(*[F.col(c).alias(f"_plan_{c}") for c in plan.columns])
-    both = rows.join(renamed, rows["source"].eqNullSafe(F.col("_plan_source")) & (rows["_block"] == F.col("_plan__block")))
+    # the plan grows with the corpus, so both sides are shuffled by block
+    both = rows.join(renamed.hint("merge"), rows["source"].eqNullSafe(F.col("_plan_source")) & (rows["_block"] == F.col("_plan__block")))
     before = Window.partitionBy("_plan_source", "_plan__block").orderBy("_hash", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
     some = both.withColumn("_part", F.greatest(F.lit(0), F.least("_size", F.col("_plan_wanted") - F.coalesce(F.sum("_size").over(before), F.lit(0)))))
     order = f"xxhash64({seed}, i, _hash)"
     whole = f"CASE WHEN _size > 0 AND _plan_whole > 0 THEN transform(sequence(1, _plan_whole), i -> struct(_plan_shards[i - 1] AS shard, {order} AS place, _size AS words)) ELSE cast(array() AS array<struct<shard:int,place:bigint,words:bigint>>) END"
     part = f"CASE WHEN _part > 0 THEN array(struct(_plan_shards[_plan_whole] AS shard, {order.replace('i,', '0,')} AS place, _part AS words)) ELSE cast(array() AS array<struct<shard:int,place:bigint,words:bigint>>) END"
-    drawn = some.withColumn("_draws", F.expr(f"concat({whole}, {part})")).withColumn("_taken", (F.col("_size") * F.col("_plan_whole") + F.col("_part")).cast("long"))
-    return drawn.withColumn("_source_size", F.col("_plan_source_size")).withColumn("_target", F.col("_plan_target")).drop(*renamed.columns, "_part")
+    drawn = some.withColumn("_draws", F.expr(f"concat({whole}, {part})"))
+    return drawn.withColumn("_taken", F.expr("aggregate(_draws, 0L, (a, x) -> a + x.words)")).withColumn("_source_size", F.col("_plan_source_size")).withColumn("_target", F.col("_plan_target")).drop(*renamed.columns, "_part")
+
+
+def _power(n: float, least: int) -> int:
+    """The first power of two from least on that is not under n."""
+    while least < n:
+        least *= 2
+    return least
+
+
+def prepare(docs: DataFrame, shards: int | None = None, seed: int = SEED) -> tuple[DataFrame, DataFrame, int]:
+    """The measured sizes without the rows, the plan for every block (both written), and the number of blocks of a source."""
+    sizes = written(measured(docs.select("doc_id", "text", "source"), seed).drop("row"), "mixing-sizes")
+    n = sizes.agg(F.count("*").alias("docs"), F.coalesce(F.sum("_size"), F.lit(0)).alias("words")).first()
+    count = _power(n["docs"] / BLOCK, BLOCKS)
+    sizes = in_blocks(sizes, count, seed)
+    plan = blocks(sizes, targets(sizes), shards or _power(SHARE * n["words"] / SHARD, SHARDS), seed)
+    return sizes, written(plan, "mixing-plan"), count
+
 
+def drawn(docs: DataFrame, shards: int | None = None, seed: int = SEED) -> DataFrame:
+    """doc_id, size, source_size, target, taken and draws, shard:words for each draw, of every document."""
+    sizes, plan, _ = prepare(docs, shards, seed)
+    show = F.expr("array_join(transform(_draws, x -> concat(x.shard, ':', x.words)), ',')")
+    return draw(sizes, plan, seed).select("doc_id", F.col("_size").alias("size"), F.col("_source_size").alias("source_size"), F.col("_target").alias("target"), F.col("_taken").alias("taken"), show.alias("draws"))
 
-def prepare(docs: DataFrame, shards: int = SHARDS, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
-    """The measured sizes without texts, and the plan for every block; both written."""
-    sizes = written(measured(docs.select("doc_id", "text", "source"), seed).drop("text"), "mixing-sizes")
-    return sizes, written(blocks(sizes, targets(sizes), shards, seed), "mixing-plan")
 
+def placed(docs: DataFrame, shards: int | None = None, seed: int = SEED) -> DataFrame:
+    """row (a struct of the document's columns, a document taken in part with its first words), shard and place, once for each draw."""
+    _, plan, count = prepare(docs, shards, seed)
+    each = draw(in_blocks(measured(docs, seed), count, seed), plan, seed).select("row", "_size", F.explode("_draws").alias("_draw"))
+    first = F.expr(r"array_join(slice(filter(split(row.text, '[\\x20\\x09-\\x0D]+'), w -> w != ''), 1, int(_draw.words)), ' ')")
+    text = F.when(F.col("_draw.words") < F.col("_size"), first).otherwise(F.col("row.text"))
+    return each.select(F.col("row").withField("text", text).alias("row"), "_draw.shard", "_draw.place")
 
-def mixture(docs: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
-    """The mixed documents, once for each draw, with shard and place; a document taken in part holds its first words.
 
-    Written by shard and sorted by place within, this is the shuffled mixture.
-    """
-    _, plan = prepare(docs, shards, seed)
-    drawn = draw(measured(docs, seed), plan, seed).withColumn("_draw", F.explode("_draws"))
-    cut = F.when(F.col("_draw.words") < F.col("_size"), F.expr(r"array_join(slice(filter(split(text, '[\\x20\\x09-\\x0D]+'), w -> w != ''), 1, int(_draw.words)), ' ')")).otherwise(F.col("text"))
-    return drawn.withColumn("text", cut).withColumn("shard", F.col("_draw.shard")).withColumn("place", F.col("_draw.place")).drop("_size", "_hash", "_block", "_draws", "_taken", "_source_size", "_target", "_draw")
+def mixture(docs: DataFrame, shards: int | None = None, seed: int = SEED) -> DataFrame:
+    """The mixed documents with their own columns, brought together by shard and in the shuffled order within it."""
+    return placed(docs, shards, seed).repartition("shard").sortWithinPartitions("shard", "place").select("row.*")

@@ -2,11 +2,13 @@
 
 The base kinds (email, ip, card, phone) are matched by pattern and checked. Their values are the protected entities.
 A term is revealing if the corpus shows it with one entity so often that reading the term tells the entity: with
-contexts (an entity's line and the NEAR words on either side of it) counted once each, the pointwise mutual
-information of term and entity must reach DISCLOSURE times the information of the entity itself, with at least
-LEAST_TOGETHER different contexts that hold both. Lines count once each however often they are repeated, so copies of
-a document make no term revealing. Revealing terms are reported wherever they occur, as kind "term"; sanitise()
-removes direct identifiers and generalises revealing terms.
+contexts (the NEAR words on either side of an entity within its line) counted once each, the share of the different lines
+with the term that are contexts of the entity has a lower confidence bound (Wilson, BOUND standard errors); the information
+on the entity that is left open once the term is read, -ln(bound), must be at most 1 - DISCLOSURE of the information of the
+entity itself, ln(lines / contexts of the entity). A single context is no repetition and reveals nothing: LEAST_TOGETHER
+different ones are asked for. Lines count once each however often they are repeated, so copies of a document make no term
+revealing. Revealing terms are reported wherever they occur, as kind "term"; sanitise() removes direct identifiers and
+generalises revealing terms.
 
 Null texts count as empty. Positions are code points, ends exclusive. Repeated rows give repeated rows. Documents
 are told apart by a 64-bit hash of id and text, so null and repeated ids do no harm. Empty tables give empty results.
@@ -19,8 +21,8 @@ from pyspark.sql import functions as F
 
 from .common import SPACE, SPACE_SQL, texts, written
 
-DISCLOSURE, LEAST_TOGETHER, NEAR = 0.8, 5, 8
-#: Characters on either side of an entity in which its near words are looked for; matches placed at a time.
+DISCLOSURE, LEAST_TOGETHER, NEAR, BOUND = 0.8, 2, 8, 1.96
+#: Characters on either side of an entity in which its near words are looked for first; items folded at a time.
 REACH, BLOCK = 160, 256
 SPANS = "array<struct<start:int,kind:int,end:int,value:string>>"
 KINDS = ("email", "ip", "card", "phone", "term")
@@ -79,56 +81,86 @@ def with_spans(df: DataFrame, text: str = "text", out: str = "found") -> DataFra
     return whole.withColumn(out, F.expr(f"CASE WHEN {any_} THEN array_sort(concat({joined})) END")).drop(*[f"_{x}{k}" for x in "mps" for k in range(4)])
 
 
-def contexts(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """entity, line and term: what stands near each entity, once for each different context."""
+def _words(part: str) -> str:
+    return f"filter(split({part}, '{SPACE_SQL}+'), w -> w != '')"
+
+
+def _near(side: str) -> str:
+    """SQL for the NEAR words before or after the entity x of a line; the whole side is cut only if REACH characters do not hold them."""
+    if side == "before":
+        whole, part, edge = "substring(line, 1, x.start)", f"substring(line, greatest(1, x.start + 1 - {REACH}), least(x.start, {REACH}))", rf"^[^\\x20\\x09-\\x0D]++"
+        short, pick = f"x.start <= {REACH}", lambda w: f"slice(reverse({w}), 1, {NEAR})"
+    else:
+        whole, part, edge = "substring(line, x.end + 1)", f"substring(line, x.end + 1, {REACH})", rf"(?<![^\\x20\\x09-\\x0D])[^\\x20\\x09-\\x0D]++$"
+        short, pick = f"length(line) - x.end <= {REACH}", lambda w: f"slice({w}, 1, {NEAR})"
+    inner = _words(f"regexp_replace({part}, '{edge}', '')")  # without the word at the edge, which may go on
+    return f"CASE WHEN {short} OR size({inner}) < {NEAR} THEN {pick(_words(whole))} ELSE {pick(inner)} END"
+
+
+def contexts(found: DataFrame) -> DataFrame:
+    """entity and near: the words near each entity, once for each different context."""
     lines = found.where("found IS NOT NULL").select(F.explode(F.split("text", "\n")).alias("line")).where(F.col("line").rlike("[0-9@]")).distinct()
-    spotted = with_spans(lines, "line", "inside").where("inside IS NOT NULL")
-    words = lambda part: f"filter(split({part}, '{SPACE_SQL}+'), w -> w != '')"
-    before, after = f"substring(line, greatest(1, x.start + 1 - {REACH}), least(x.start, {REACH}))", f"substring(line, x.end + 1, {REACH})"
-    near = f"concat(slice(reverse({words(before)}), 1, {NEAR}), slice({words(after)}, 1, {NEAR}))"
-    each = F.expr(f"transform(inside, x -> struct(concat(x.kind, ':', x.value) AS entity, {near} AS near))")
-    return spotted.select(F.explode(each).alias("x")).select("x.entity", "x.near").distinct()
+    spotted = with_spans(lines, "line", "inside").where("inside IS NOT NULL").select("line", F.explode("inside").alias("x"))
+    return spotted.select(F.expr("concat(x.kind, ':', x.value)").alias("entity"), F.expr(f"concat({_near('before')}, {_near('after')})").alias("near")).distinct()
+
+
+#: Punctuation around a word; matching begins at its first character only, so that long runs of it take linear time.
+EDGES = r"^[^\\p{L}\\p{N}]++|(?<![^\\p{L}\\p{N}])[^\\p{L}\\p{N}]++$"
+BETWEEN = r"(?<![^\\p{L}\\p{N}\\x20\\x09-\\x0D])[^\\p{L}\\p{N}\\x20\\x09-\\x0D]*+[\\x20\\x09-\\x0D][^\\p{L}\\p{N}]*+"
 
 
 def plain(word: str) -> str:
     """SQL for a word as a term: small letters, without the punctuation around it."""
-    return rf"regexp_replace(lower({word}), '^[^\\p{{L}}\\p{{N}}]+|[^\\p{{L}}\\p{{N}}]+$', '')"
+    return f"regexp_replace(lower({word}), '{EDGES}', '')"
+
+
+def terms_of(text: str) -> str:
+    """SQL for the distinct terms of a text, in one cut."""
+    return f"array_distinct(split({plain(text)}, '{BETWEEN}'))"
 
 
 def revealing_terms(docs: DataFrame, found: DataFrame, disclosure: float = DISCLOSURE, together: int = LEAST_TOGETHER) -> DataFrame:
     """Terms that reveal an entity: entity, term, joint, disclosure."""
-    seen = written(contexts(docs, found), "pii-contexts")
-    pairs = seen.select("entity", F.explode(F.expr(f"array_distinct(transform(near, w -> {plain('w')}))")).alias("term")).where(F.col("term").rlike(r"\p{L}"))
+    seen = written(contexts(found), "pii-contexts")
+    pairs = seen.select("entity", F.explode(F.expr(f"array_distinct(transform(near, w -> {plain('w')}))")).alias("term")).where(F.col("term").rlike(r"\p{L}") & (F.col("term") != F.lower(F.expr("substring(entity, 3)"))))
     joint = written(pairs.groupBy("entity", "term").agg(F.count("*").alias("joint")).where(F.col("joint") >= together), "pii-joint")
     if joint.isEmpty():
         return joint.withColumn("disclosure", F.lit(None).cast("double"))
-    # counts over the lines of the whole corpus, each different line once
-    lines = texts(docs).select(F.explode(F.split("text", "\n")).alias("line")).where("line != ''")
-    distinct = lines.groupBy(F.xxhash64("line").alias("h"), F.xxhash64(F.lit(1), "line").alias("g")).agg(F.first("line").alias("line"))
-    terms = joint.select("term").distinct()
-    all_lines = written(distinct.select(F.expr(f"array_distinct(transform(split(line, '{SPACE_SQL}+'), w -> {plain('w')}))").alias("terms")), "pii-lines")
-    total = all_lines.agg(F.count("*").alias("total"))
-    n_term = all_lines.select(F.explode("terms").alias("term")).join(terms, "term", "left_semi").groupBy("term").agg(F.count("*").alias("n_term"))
+    # counts over the lines of the whole corpus, each different line once; only hashes of lines are shuffled
+    lines = texts(docs).select(F.explode(F.expr("array_distinct(split(text, '\\n'))")).alias("line")).where("line != ''")
+    named = lines.select(F.xxhash64("line").alias("h"), F.xxhash64(F.lit(1), "line").alias("g"), "line")
+    total = named.select("h", "g").distinct().agg(F.count("*").alias("total"))
+    terms = written(joint.select("term").distinct(), "pii-candidates")
+    n_term = named.select("h", "g", F.explode(F.expr(terms_of("line"))).alias("term")).join(terms, "term", "left_semi").distinct().groupBy("term").agg(F.count("*").alias("n_term"))
     n_entity = seen.groupBy("entity").agg(F.count("*").alias("n_entity"))
-    scored = joint.join(n_term, "term").join(n_entity, "entity").join(F.broadcast(total))
-    pmi = F.log(F.col("total") * F.col("joint") / (F.col("n_term") * F.col("n_entity")))
+    scored = joint.join(n_term, "term").join(n_entity, "entity").join(F.broadcast(total))  # one row
+    n = F.greatest("n_term", "joint")
+    p, z = F.col("joint") / n, BOUND**2
+    bound = (p + z / (2 * n) - F.sqrt(z * (p * (1 - p) + z / (4 * n)) / n)) / (1 + z / n)
     info = F.log(F.greatest(F.col("total") / F.col("n_entity"), F.lit(1.0000001)))
-    return scored.select("entity", "term", "joint", F.least(F.lit(1.0), pmi / info).alias("disclosure")).where(F.col("disclosure") >= disclosure)
+    return scored.select("entity", "term", "joint", (1 + F.log(F.greatest(bound, F.lit(1e-300))) / info).alias("disclosure")).where(F.col("disclosure") >= disclosure)
+
+
+def _starts(sizes: str) -> str:
+    """SQL for the positions of pieces of these sizes with one character between them, BLOCK pieces at a time."""
+    step = "(a, n) -> named_struct('at', a.at + n + 1, 'out', concat(a.out, array(a.at)))"
+    inner = f"aggregate(slice({sizes}, b * {BLOCK} + 1, {BLOCK}), named_struct('at', o.at, 'out', cast(array() AS array<int>)), {step})"
+    outer = f"(o, b) -> transform(array({inner}), x -> named_struct('at', x.at, 'out', concat(o.out, array(x.out))))[0]"
+    return f"aggregate(sequence(0, (size({sizes}) - 1) div {BLOCK}), named_struct('at', 0, 'out', cast(array() AS array<array<int>>)), {outer}, o -> flatten(o.out))"
 
 
 def term_spans(docs: DataFrame, terms: DataFrame) -> DataFrame:
     """key and an array of the spans of the given terms in it; docs: key and text."""
-    piece = F.posexplode(F.split("text", SPACE)).alias("k", "word")
     known = written(terms.select("term").distinct(), "pii-terms")
     if known.isEmpty():
         return known.select(F.lit(None).cast("long").alias("key"), F.lit(None).cast("array<struct<start:int,kind:int,end:int>>").alias("terms"))
-    # positions of the pieces: each is one character, the space before it, beyond the end of the last
-    ends = F.expr("aggregate(sizes, named_struct('at', 0, 'out', cast(array() AS array<int>)), (a, n) -> named_struct('at', a.at + n + 1, 'out', concat(a.out, array(a.at))), a -> a.out)")
-    hits = docs.select("key", "text", piece).withColumn("term", F.expr(plain("word"))).join(known, "term", "left_semi").select("key", "text").distinct()
-    placed = hits.withColumn("sizes", F.expr(f"transform(split(text, '{SPACE_SQL}'), w -> length(w))")).withColumn("at", ends)
-    each = placed.select("key", F.posexplode(F.split("text", SPACE)).alias("k", "word"), "at").withColumn("term", F.expr(plain("word"))).join(known, "term")
-    lead = r"length(word) - length(regexp_replace(word, '^[^\\p{L}\\p{N}]+', ''))"
-    span = each.select("key", F.expr(f"struct(at[k] + {lead} AS start, 4 AS kind, at[k] + {lead} + length(term) AS end)").alias("x"))
+    # the texts that hold a term are found first, so that words are placed in those alone
+    holders = docs.select("key", F.explode(F.expr(terms_of("text"))).alias("term")).join(known, "term", "left_semi").select("key").distinct()
+    cut = docs.join(holders, "key", "left_semi").dropDuplicates(["key"]).select("key", F.split("text", SPACE).alias("words"))
+    placed = cut.withColumn("sizes", F.expr("transform(words, w -> length(w))")).select("key", F.explode(F.arrays_zip("words", F.expr(_starts("sizes")).alias("at"))).alias("x"))
+    each = placed.select("key", F.col("x.words").alias("word"), F.col("x.at").alias("at")).withColumn("term", F.expr(plain("word"))).join(known, "term")
+    lead = r"length(word) - length(regexp_replace(word, '^[^\\p{L}\\p{N}]++', ''))"
+    span = each.select("key", F.expr(f"struct(at + {lead} AS start, 4 AS kind, at + {lead} + length(term) AS end)").alias("x"))
     return span.groupBy("key").agg(F.array_sort(F.collect_set("x")).alias("terms"))
 
 
@@ -151,12 +183,12 @@ def _found(docs: DataFrame, disclosure: float, together: int, doc_id: str = "doc
     counts = [F.expr(f"bigint(size(filter(base, x -> x.kind = {k})))").alias(f"n_{KINDS[k]}") for k in range(4)]
     return (
         whole.withColumn("found", F.expr("array_sort(concat(base, coalesce(terms, cast(array() AS array<struct<start:int,kind:int,end:int>>))))"))
-        .select("key", "doc_id", *counts, F.sha2(show("base"), 256).alias("base_sha256"), show("found").alias("spans"), "found")
+        .select("key", "doc_id", *counts, F.sha2(show("base"), 256).alias("base_sha256"), show("found").alias("spans"), F.size("found").cast("long").alias("n_found"), "found")
     )
 
 
 def find_personal_data(docs: DataFrame, disclosure: float = DISCLOSURE, together: int = LEAST_TOGETHER, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, counts and digest of the base kinds, and all spans as text and as an array found."""
+    """doc_id, counts and digest of the base kinds, all spans as text, their number n_found, and as an array found."""
     return _found(docs, disclosure, together, doc_id, text).drop("key")
 
 
@@ -164,11 +196,13 @@ def sanitise(docs: DataFrame, disclosure: float = DISCLOSURE, together: int = LE
     """The documents with direct identifiers replaced by their kind in brackets and revealing terms by their first letter."""
     found = _found(docs, disclosure, together).where("size(found) > 0").select(F.col("key").alias("_key"), F.col("found").alias("_spans")).dropDuplicates(["_key"])
     names = ", ".join(f"'[{k.upper()}]'" for k in KINDS)
+    # the pieces are gathered in an array and joined once, so that a long text with many spans is not copied for each
     step = (
-        f"(a, x) -> CASE WHEN x.start >= a.at THEN named_struct('out', concat(a.out, substring(text, a.at + 1, x.start - a.at), "
-        f"CASE WHEN x.kind = 4 THEN concat(substring(text, x.start + 1, 1), '.') ELSE element_at(array({names}), x.kind + 1) END), 'at', x.end) "
+        f"(a, x) -> CASE WHEN x.start >= a.at THEN named_struct('out', concat(a.out, array(substring(text, a.at + 1, x.start - a.at), "
+        f"CASE WHEN x.kind = 4 THEN concat(substring(text, x.start + 1, 1), '.') ELSE element_at(array({names}), x.kind + 1) END)), 'at', x.end) "
         f"ELSE named_struct('out', a.out, 'at', greatest(a.at, x.end)) END"
     )
-    clean = F.expr(f"CASE WHEN _spans IS NULL OR text IS NULL THEN text ELSE aggregate(_spans, named_struct('out', '', 'at', 0), {step}, a -> concat(a.out, substring(text, a.at + 1))) END")
+    fold = f"aggregate(_spans, named_struct('out', cast(array() AS array<string>), 'at', 0), {step}, a -> array_join(concat(a.out, array(substring(text, a.at + 1))), ''))"
+    clean = F.expr(f"CASE WHEN _spans IS NULL OR text IS NULL THEN text ELSE {fold} END")
     keyed = docs.withColumn("_key", F.xxhash64(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit(""))))
     return keyed.join(found, "_key", "left").withColumn("text", clean).select(*docs.columns)

@@ -37,9 +37,7 @@ def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sizes, plan = mixing.prepare(table(spark, sf_dir, "documents"))
-    drawn = mixing.draw(sizes, plan)
-    return drawn.select("doc_id", F.col("_size").alias("size"), F.col("_source_size").alias("source_size"), F.col("_target").alias("target"), F.col("_taken").alias("taken"))
+    return mixing.drawn(table(spark, sf_dir, "documents"))
 
 
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

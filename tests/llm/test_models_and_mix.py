@@ -62,7 +62,7 @@ def sources(spark):
 
 
 def test_targets_and_takes(spark, sources):
-    sizes, plan = mixing.prepare(sources)
+    sizes, plan, _ = mixing.prepare(sources)
     got = mixing.draw(sizes, plan).collect()
     per, taken = defaultdict(int), defaultdict(int)
     for r in got:
@@ -76,7 +76,7 @@ def test_targets_and_takes(spark, sources):
         assert abs(r["_target"] - aims[r["source"]]) < 1e-6 and r["_source_size"] == per[r["source"]]
     for s, want in aims.items():
         assert abs(taken[s] - want) <= 0.5
-    again = mixing.draw(*mixing.prepare(sources)).collect()
+    again = mixing.draw(*mixing.prepare(sources)[:2]).collect()
     assert sorted(map(str, got)) == sorted(map(str, again))
 
 
@@ -97,8 +97,23 @@ def test_hypergeometric_mean(spark):
 
 
 def test_mixture_rows_hold_the_words_taken(spark, sources):
-    mixed = mixing.mixture(sources)
-    assert mixed.columns == [*sources.columns, "shard", "place"] or set(sources.columns) - {"_size"} <= set(mixed.columns)
+    clash = sources
+    for name in ("_hash", "_block", "_draws", "shard", "place", "row", "_plan_source", "words", "a.b"):
+        clash = clash.withColumn(name, F.lit(name))
+    mixed = mixing.mixture(clash)
+    assert mixed.columns == clash.columns and mixed.where("_size <> 'clash' OR shard <> 'shard' OR `a.b` <> 'a.b'").isEmpty()
     words = mixed.select(F.sum(F.size(F.expr("filter(split(text, ' '), w -> w != '')"))).alias("n")).first()["n"]
-    sizes, plan = mixing.prepare(sources)
-    assert words == mixing.draw(sizes, plan).agg(F.sum("_taken")).first()[0]
+    drawn = mixing.drawn(clash)
+    assert drawn.count() == clash.count() and words == drawn.agg(F.sum("taken")).first()[0]
+
+
+def test_the_tree_places_every_copy(spark, sources):
+    """Shards hold what the quotas say, each shard in the order of its places, and another tree gives other shards."""
+    sizes, plan, _ = mixing.prepare(sources, 32)
+    one = mixing.placed(sources, 32).select("row.doc_id", "row.text", "shard", "place").collect()
+    assert len(one) == sum(len(r["_draws"]) for r in mixing.draw(sizes, plan).collect()) and {r["shard"] for r in one} <= set(range(32))
+    where = lambda rows: sorted((r["doc_id"] or -1, r["shard"]) for r in rows)
+    other = mixing.placed(sources, 32, seed=8).select("row.doc_id", "shard").collect()
+    assert where(one) != where(other)
+    order = [r["shard"] for r in mixing.placed(sources, 32).repartition("shard").sortWithinPartitions("shard", "place").select("shard").collect()]
+    assert sum(a != b for a, b in zip(order, order[1:], strict=False)) == len(set(order)) - 1

@@ -175,7 +175,7 @@ def test_revealing_terms(spark):
 def test_personal_data_with_null_and_repeated_ids(spark):
     filler = "lorem ipsum dolor sit amet consectetur elit sed do eiusmod".split()
     rows = [(i, f"report {filler[i % 10]} by Quillfeather at q.f@ex.org about {filler[(i * 3) % 10]} number w{i}\nplain line {i}") for i in range(8)]
-    rows += [(100 + i, f"the report {filler[i % 10]} at noon line {i} about things") for i in range(200)]
+    rows += [(1000 + i, f"the report {filler[i % 10]} at noon line {i} about things") for i in range(1500)]
     odd = {
         (None, "Quillfeather, again"): ("term:0:12", "Q., again"), (None, "so Quillfeather wrote a@b.org"): ("term:3:15,email:22:29", "so Q. wrote [EMAIL]"), (None, "nothing here"): ("", "nothing here"),
         (700, "told of Quillfeather"): ("term:8:20", "told of Q."), (700, "x@y.org is theirs"): ("email:0:7", "[EMAIL] is theirs"), (700, "no data in this one"): ("", "no data in this one"), (None, None): ("", None),
@@ -187,6 +187,68 @@ def test_personal_data_with_null_and_repeated_ids(spark):
     assert rows_of(pii.sanitise(docs).where("doc_id IS NULL OR doc_id = 700"), "doc_id", "text") == want
 
 
+def terms_by_hand(rows, near=8, disclosure=0.8, together=2, z=1.96):
+    """The revealing terms of (text,) rows, in plain Python."""
+    import math
+    from collections import Counter
+
+    strip = lambda w: re.sub(r"^[\W_]+|[\W_]+$", "", w.lower())
+    lines = {x for t in rows for x in t.split("\n") if x}
+    seen = set()
+    for line in lines:
+        for s, k, e in personal_by_hand(line):
+            before, after = WORD.findall(line[:s]), WORD.findall(line[e:])
+            seen.add(((k, line[s:e]), tuple(before[::-1][:near] + after[:near])))
+    joint, n_entity = Counter(), Counter(e for e, _ in seen)
+    for entity, words in seen:
+        joint.update((entity, w) for w in {strip(w) for w in words} if re.search(r"[^\W\d_]", w) and w != entity[1].lower())
+    n_term = Counter(w for line in lines for w in {strip(w) for w in WORD.findall(line)})
+    out = set()
+    for (entity, term), k in joint.items():
+        n = max(n_term[term], k)
+        p = k / n
+        bound = (p + z * z / (2 * n) - math.sqrt(z * z * (p * (1 - p) + z * z / (4 * n)) / n)) / (1 + z * z / n)
+        if k >= together and 1 + math.log(bound) / math.log(max(len(lines) / n_entity[entity], 1.0000001)) >= disclosure:
+            out.add((f"{entity[0]}:{entity[1]}", term))
+    return out
+
+
+def test_terms_equal_brute_force(spark):
+    import random
+
+    rng = random.Random(9)
+    people = [(f"Name{k}son", f"n{k}@mail.example.org") for k in range(12)]
+    word = lambda: f"w{rng.randrange(300)}"
+    texts = []
+    for i in range(400):
+        lines = [" ".join(word() for _ in range(12)) for _ in range(3)]
+        if i % 4 == 0:
+            name, mail = people[rng.randrange(12)]
+            long = "x" * 200 if i % 16 == 0 else word()  # a word beyond the first reach
+            lines.append(f"{word()} {long} ({name}), {word()} {mail}; {word()} {long} {word()} \u00e9t\u00e9")
+        texts.append("\n".join(lines))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    keyed = pii._keyed(docs)
+    got = {(r["entity"], r["term"]) for r in pii.revealing_terms(keyed, pii.with_spans(keyed)).collect()}
+    want = terms_by_hand(texts)
+    assert got == want and sum(t.startswith("name") for _, t in want) >= 8
+
+
+def test_terms_of_long_texts_take_linear_time(spark):
+    import time
+
+    def run(n):
+        rows = [(1, " ".join("Quillfeather," if i % 50 == 0 else f"w{i % 97}" for i in range(n)))]
+        rows += [(2 + i, f"note {i} by Quillfeather at q.f@ex.org n{i}") for i in range(8)] + [(100 + i, f"plain line {i} w{i % 97}") for i in range(4000)]
+        start = time.time()
+        row = pii.find_personal_data(spark.createDataFrame(rows, "doc_id long, text string")).where("doc_id = 1").first()
+        return row["n_found"], time.time() - start
+
+    run(1000)
+    (few, a), (many, b) = run(40_000), run(80_000)
+    assert (few, many) == (800, 1600) and b < 2 * a + 5
+
+
 def test_long_texts_do_not_overflow(spark):
     rows = [(1, "1" * 50_000), (2, "a." * 20_000 + "@" + "b." * 20_000 + "c"), (3, "1.2" * 20_000), (4, "x" * 200_000)]
     got = {r["doc_id"]: r for r in pii.find_personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
