@@ -2,7 +2,7 @@
 
 The base kinds (email, ip, card, phone) are matched by pattern and checked. Their values are the protected entities.
 A term is revealing if the corpus shows it with one entity so often that reading the term tells the entity: with
-contexts (the NEAR words on either side of an entity within its line) counted once each, the share of the different lines
+contexts (the NEAR words on either side of an entity within its line, cut at white space and at entities) counted once each, the share of the different lines
 with the term that are contexts of the entity has a lower confidence bound (Wilson, BOUND standard errors); the information
 on the entity that is left open once the term is read, -ln(bound), must be at most 1 - DISCLOSURE of the information of the
 entity itself, ln(lines / contexts of the entity). A single context is no repetition and reveals nothing: LEAST_TOGETHER
@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 from .common import SPACE, SPACE_SQL, texts, written
 
 DISCLOSURE, LEAST_TOGETHER, NEAR, BOUND = 0.8, 2, 8, 1.96
-#: Characters on either side of an entity in which its near words are looked for first; items folded at a time.
-REACH, BLOCK = 160, 256
+#: Items folded at a time.
+BLOCK = 256
 SPANS = "array<struct<start:int,kind:int,end:int,value:string>>"
 KINDS = ("email", "ip", "card", "phone", "term")
 
@@ -85,23 +85,26 @@ def _words(part: str) -> str:
     return f"filter(split({part}, '{SPACE_SQL}+'), w -> w != '')"
 
 
-def _near(side: str) -> str:
-    """SQL for the NEAR words before or after the entity x of a line; the whole side is cut only if REACH characters do not hold them."""
-    if side == "before":
-        whole, part, edge = "substring(line, 1, x.start)", f"substring(line, greatest(1, x.start + 1 - {REACH}), least(x.start, {REACH}))", rf"^[^\\x20\\x09-\\x0D]++"
-        short, pick = f"x.start <= {REACH}", lambda w: f"slice(reverse({w}), 1, {NEAR})"
-    else:
-        whole, part, edge = "substring(line, x.end + 1)", f"substring(line, x.end + 1, {REACH})", rf"(?<![^\\x20\\x09-\\x0D])[^\\x20\\x09-\\x0D]++$"
-        short, pick = f"length(line) - x.end <= {REACH}", lambda w: f"slice({w}, 1, {NEAR})"
-    inner = _words(f"regexp_replace({part}, '{edge}', '')")  # without the word at the edge, which may go on
-    return f"CASE WHEN {short} OR size({inner}) < {NEAR} THEN {pick(_words(whole))} ELSE {pick(inner)} END"
-
-
 def contexts(found: DataFrame) -> DataFrame:
-    """entity and near: the words near each entity, once for each different context."""
+    """entity and near: the NEAR words before and after each entity, once for each different context.
+
+    A line is cut at its entities and at white space once; an entity's words are a slice of that list around its place.
+    """
     lines = found.where("found IS NOT NULL").select(F.explode(F.split("text", "\n")).alias("line")).where(F.col("line").rlike("[0-9@]")).distinct()
-    spotted = with_spans(lines, "line", "inside").where("inside IS NOT NULL").select("line", F.explode("inside").alias("x"))
-    return spotted.select(F.expr("concat(x.kind, ':', x.value)").alias("entity"), F.expr(f"concat({_near('before')}, {_near('after')})").alias("near")).distinct()
+    spotted = with_spans(lines, "line", "inside").where("inside IS NOT NULL")
+    pieces = "array<struct<before:string,entity:string,value:string>>"
+    gap = "CASE WHEN x.start > a.at THEN substring(line, a.at + 1, x.start - a.at) ELSE '' END"
+    step = f"(a, x) -> named_struct('at', greatest(a.at, x.end), 'out', concat(a.out, array(named_struct('before', {gap}, 'entity', concat(x.kind, ':', x.value), 'value', x.value))))"
+    inner = f"aggregate(slice(inside, b * {BLOCK} + 1, {BLOCK}), named_struct('at', o.at, 'out', cast(array() AS {pieces})), {step})"
+    outer = f"(o, b) -> transform(array({inner}), x -> named_struct('at', x.at, 'out', concat(o.out, array(x.out))))[0]"
+    fold = f"aggregate(sequence(0, (size(inside) - 1) div {BLOCK}), named_struct('at', 0, 'out', cast(array() AS array<{pieces}>)), {outer}, o -> struct(flatten(o.out) AS out, o.at AS at))"
+    cut = spotted.withColumn("c", F.expr(fold)).withColumn("words", F.expr(f"transform(c.out, p -> {_words('p.before')})")).withColumn("sizes", F.expr("transform(words, w -> size(w))"))
+    tokens = f"concat(flatten(transform(words, (w, i) -> concat(w, array(c.out[i].value)))), {_words('substring(line, c.at + 1)')})"
+    listed = cut.withColumn("tokens", F.expr(tokens)).withColumn("at", F.expr(_starts("sizes")))
+    place = "(at[i] + sizes[i])"  # of the entity among the tokens, from 0
+    near = f"concat(reverse(slice(tokens, greatest(1, {place} + 1 - {NEAR}), least({NEAR}, {place}))), slice(tokens, {place} + 2, {NEAR}))"
+    each = listed.select(F.explode(F.expr(f"transform(c.out, (p, i) -> struct(p.entity AS entity, {near} AS near))")).alias("x"))
+    return each.select("x.entity", "x.near").distinct()
 
 
 #: Punctuation around a word; matching begins at its first character only, so that long runs of it take linear time.
@@ -126,12 +129,13 @@ def revealing_terms(docs: DataFrame, found: DataFrame, disclosure: float = DISCL
     joint = written(pairs.groupBy("entity", "term").agg(F.count("*").alias("joint")).where(F.col("joint") >= together), "pii-joint")
     if joint.isEmpty():
         return joint.withColumn("disclosure", F.lit(None).cast("double"))
-    # counts over the lines of the whole corpus, each different line once; only hashes of lines are shuffled
+    # counts over the lines of the whole corpus, each different line once; a line's end stands for the line itself
     lines = texts(docs).select(F.explode(F.expr("array_distinct(split(text, '\\n'))")).alias("line")).where("line != ''")
-    named = lines.select(F.xxhash64("line").alias("h"), F.xxhash64(F.lit(1), "line").alias("g"), "line")
-    total = named.select("h", "g").distinct().agg(F.count("*").alias("total"))
-    terms = written(joint.select("term").distinct(), "pii-candidates")
-    n_term = named.select("h", "g", F.explode(F.expr(terms_of("line"))).alias("term")).join(terms, "term", "left_semi").distinct().groupBy("term").agg(F.count("*").alias("n_term"))
+    different = lines.groupBy(F.xxhash64("line").alias("h"), F.xxhash64(F.lit(1), "line").alias("g")).agg(F.first("line").alias("line"))
+    wanted = written(joint.select("term").unionByName(docs.sparkSession.range(1).select(F.lit("\n").alias("term"))).distinct(), "pii-candidates")
+    counts = different.select(F.explode(F.expr(f"concat({terms_of('line')}, array('\\n'))")).alias("term")).join(wanted, "term", "left_semi").groupBy("term").agg(F.count("*").alias("n_term"))
+    n_term = written(counts, "pii-counts")
+    total = n_term.where("term = '\n'").select(F.col("n_term").alias("total"))
     n_entity = seen.groupBy("entity").agg(F.count("*").alias("n_entity"))
     scored = joint.join(n_term, "term").join(n_entity, "entity").join(F.broadcast(total))  # one row
     n = F.greatest("n_term", "joint")

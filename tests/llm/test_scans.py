@@ -196,9 +196,15 @@ def terms_by_hand(rows, near=8, disclosure=0.8, together=2, z=1.96):
     lines = {x for t in rows for x in t.split("\n") if x}
     seen = set()
     for line in lines:
+        tokens, places, at = [], [], 0
         for s, k, e in personal_by_hand(line):
-            before, after = WORD.findall(line[:s]), WORD.findall(line[e:])
-            seen.add(((k, line[s:e]), tuple(before[::-1][:near] + after[:near])))
+            tokens += WORD.findall(line[at:s])
+            places.append(((k, line[s:e]), len(tokens)))
+            tokens.append(line[s:e])
+            at = max(at, e)
+        tokens += WORD.findall(line[at:])
+        for entity, i in places:
+            seen.add((entity, tuple(tokens[max(0, i - near) : i][::-1] + tokens[i + 1 : i + 1 + near])))
     joint, n_entity = Counter(), Counter(e for e, _ in seen)
     for entity, words in seen:
         joint.update((entity, w) for w in {strip(w) for w in words} if re.search(r"[^\W\d_]", w) and w != entity[1].lower())
