@@ -1,11 +1,16 @@
 """N-gram Jaccard join by a MinHash LSH forest with exact verification.
 
 A document's shingles are all runs of five words (all its words, if fewer). Texts that are equal are one node. Each node
-has a signature per tree, LEVELS min-hashes of two bytes in a row; a tree is the sorted trie of these. Two nodes are
-candidates if their signatures agree in a prefix of some tree. Prefixes start at full depth and are shortened, tree by
-tree, until a pair of the threshold's similarity would be found with probability TARGET.
+has a signature per tree, LEVELS min-hashes of two bytes in a row. A tree is the sorted list of these, which is a prefix trie:
+two nodes meet at a depth if all signatures between them agree in a prefix of that length. All trees are sorted together, over
+the whole cluster; a task walks along its part once and notes, for every depth, the first node of the run that each node is in.
 
-Nodes of a bucket are tied to its least node; the connected groups of these ties hold all candidate pairs, and every pair
+Prefixes are matched at full depth first. The candidates are compared exactly, and each link found with similarity s counts
+1 / p(s) times, p(s) = 1 - (1 - s^depth)^trees being the chance to find it at that depth: this estimates how many links there
+are. While those found are less than TARGET of the estimate, all prefixes are shortened by one level, down to SHORTEST, and
+the groups that have grown are compared again.
+
+Nodes of a run are tied to its first node; the connected groups of these ties hold all candidate pairs, and every pair
 within a group is compared exactly, on whole shingle sets, in blocks of at most BLOCK nodes: a large group becomes
 many tasks. A task returns, for each of its nodes, the number of partners, and a spanning forest of its links, never the
 pairs. Classes are the connected components of the links.
@@ -29,16 +34,19 @@ from .common import apart, texts, written
 from .components import components
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
-SHINGLE, THRESHOLD, TREES, LEVELS, TARGET, BLOCK = 5, 0.8, 32, 8, 0.999, 256
+SHINGLE, THRESHOLD, TREES, LEVELS, SHORTEST, TARGET, BLOCK = 5, 0.8, 32, 8, 4, 0.9995, 256
+#: Cells of the histogram of the similarities found, from the threshold to 1.
+CELLS = 50
 
 
-def depths(threshold: float = THRESHOLD, trees: int = TREES, levels: int = LEVELS, target: float = TARGET) -> list[int]:
-    """The prefix length of each tree: full at first, then one tree after another is shortened until the target is met."""
-    found, at = [levels] * trees, 0
-    while 1 - np.prod([1 - threshold**d for d in found]) < target and min(found) > 1 or max(found) < 1:
-        found[at % trees] -= 1
-        at += 1
-    return found
+def missed(found: dict[int, int], depth: int, threshold: float = THRESHOLD, trees: int = TREES) -> float:
+    """Estimate of the links not found at a depth: each one found stands for (1 - p) / p others; found counts links by cell."""
+    total = 0.0
+    for cell, n in found.items():
+        s = threshold + (1 - threshold) * cell / CELLS
+        p = 1 - (1 - s**depth) ** trees
+        total += n * (1 - p) / p
+    return total
 
 
 def shingles(text: str, n: int = SHINGLE) -> np.ndarray:
@@ -91,28 +99,86 @@ def signed(docs: DataFrame, trees: int = TREES, levels: int = LEVELS) -> DataFra
     return keyed.mapInArrow(run, "doc_id long, node long, sig binary")
 
 
-def groups(nodes: DataFrame, trees: int = TREES, levels: int = LEVELS, threshold: float = THRESHOLD, target: float = TARGET) -> DataFrame:
-    """node and component for all nodes that share a bucket with another one; nodes: node, sig."""
-    cuts = [F.xxhash64(F.lit(t), F.expr(f"substring(sig, {2 * levels * t + 1}, {2 * d})")) for t, d in enumerate(depths(threshold, trees, levels, target))]
-    rows = nodes.where("sig IS NOT NULL").select("node", F.explode(F.array(*cuts)).alias("bucket"))
-    shared = rows.groupBy("bucket").agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first < last").select("bucket", "first")
-    ties = rows.join(apart(shared), "bucket").where("node <> first").select(F.col("node").alias("u"), F.col("first").alias("v"))
-    return components(ties)
+TRIE = "node long, leads array<long>, edge int, task int, tree int, key binary"
+
 
+def trie(nodes: DataFrame, trees: int = TREES, levels: int = LEVELS, shortest: int = SHORTEST) -> DataFrame:
+    """The sorted signatures of all trees, as far as they share a prefix: node and leads, the first node of its run at each
+    depth from shortest to levels. Rows with an edge are the first (1) and the last (2) of a task, for the runs that go on."""
+
+    def run(batches):
+        from pyspark import TaskContext
 
-VERIFIED = "u long, v long, links long"
+        task, last = TaskContext.get().partitionId(), None
+        depths = np.arange(shortest, levels + 1)
+
+        def edge(kind, tree, key, node, leads):
+            cols = [[int(node)], [leads.tolist()], [kind], [task], [int(tree)], [key]]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names)
+
+        names = [x.split()[0] for x in TRIE.split(", ")]
+        types = [pa.int64(), pa.list_(pa.int64()), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            tree, node, keys = batch.column(0).to_numpy(), batch.column(2).to_numpy(), batch.column(1).to_pylist()
+            key = np.frombuffer(b"".join(keys), ">u2").reshape(len(keys), levels)
+            if last is None:
+                yield edge(1, tree[0], keys[0], node[0], np.full(len(depths), node[0]))
+                last = (tree[0], key[0], node[0], np.full(len(depths), node[0]))
+            same = np.vstack([last[1], key[:-1]]) == key
+            shared = np.where(np.concatenate([[last[0]], tree[:-1]]) == tree, np.cumprod(same, axis=1).sum(axis=1), 0)
+            # the row at which each one's run begins, 0 for the runs of the batch before
+            begins = np.where(shared[:, None] < depths, np.arange(1, len(node) + 1)[:, None], 0)
+            begins = np.maximum.accumulate(begins, axis=0)
+            leads = np.where(begins == 0, last[3], node[np.maximum(begins - 1, 0)])
+            kept = np.flatnonzero((shared >= shortest) & (leads != node[:, None]).any(axis=1))
+            if len(kept):
+                flat = pa.ListArray.from_arrays(pa.array(np.arange(len(kept) + 1) * len(depths), pa.int32()), pa.array(leads[kept].ravel()))
+                none = lambda t: pa.nulls(len(kept), t)
+                yield pa.RecordBatch.from_arrays([pa.array(node[kept]), flat, pa.array(np.zeros(len(kept), np.int32)), none(pa.int32()), none(pa.int32()), none(pa.binary())], names)
+            last = (tree[-1], key[-1], node[-1], leads[-1])
+        if last is not None:
+            yield edge(2, last[0], last[1].tobytes(), last[2], last[3])
+
+    keys = F.array(*[F.expr(f"substring(sig, {2 * levels * t + 1}, {2 * levels})") for t in range(trees)])
+    rows = nodes.where("sig IS NOT NULL").select("node", F.posexplode(keys).alias("tree", "key")).select("tree", "key", "node")
+    order = ["tree", "key", "node"]
+    return rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(run, TRIE)
+
+
+def joints(found: DataFrame, levels: int = LEVELS, shortest: int = SHORTEST) -> list[tuple[int, int, int]]:
+    """(depth, node, node) where a run goes on from one task to the next; two rows for each task are all that is looked at."""
+    out, before = [], None
+    for r in sorted(found.where("edge > 0").collect(), key=lambda r: (r["task"], r["edge"])):
+        if r["edge"] == 1 and before is not None and before["tree"] == r["tree"]:
+            a, b = (np.frombuffer(bytes(x["key"]), ">u2") for x in (before, r))
+            shared = int(np.cumprod(a == b).sum())
+            out += [(d, r["node"], before["leads"][d - shortest]) for d in range(shortest, shared + 1)]
+        before = r if r["edge"] == 2 else before
+    return out
+
+
+def groups(found: DataFrame, across: list[tuple[int, int, int]], depth: int, shortest: int = SHORTEST) -> DataFrame:
+    """node and component for all nodes that share a prefix of a depth with another one; found: trie(), across: joints()."""
+    ties = found.where("edge = 0").select(F.col("node").alias("u"), F.col("leads")[depth - shortest].alias("v")).where("u <> v").distinct()
+    over = [(u, v) for d, u, v in across if d == depth and u != v]
+    return components(ties.unionByName(found.sparkSession.createDataFrame(over, "u long, v long")) if over else ties)
+
+
+VERIFIED = "component long, u long, v long, links long, cell int"
 
 
 def _verify(threshold: float):
     def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        _, i, j = key
+        component, i, j = key
         pdf = pdf.sort_values("node", kind="stable").reset_index(drop=True)
         sets = [shingles(t) for t in pdf["text"]]
         sizes = np.array([len(s) for s in sets])
         vocab, code = np.unique(np.concatenate(sets), return_inverse=True)
         starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
         nodes, copies, side = pdf["node"].to_numpy(), pdf["copies"].to_numpy(), pdf["block"].to_numpy()
-        links, root, forest = np.zeros(len(pdf), np.int64), list(range(len(pdf))), []
+        links, root, forest, cells = np.zeros(len(pdf), np.int64), list(range(len(pdf))), [], np.zeros(CELLS + 1, np.int64)
 
         def top(x):
             while root[x] != x:
@@ -135,14 +201,17 @@ def _verify(threshold: float):
             hit = np.flatnonzero(near) + k + 1
             links[k] += copies[hit].sum()
             links[hit] += copies[k]
-        rows = [(n, n, c) for n, c in zip(nodes, links, strict=True) if c] + [(u, v, 0) for u, v in forest]
-        return pd.DataFrame(rows, columns=["u", "v", "links"]).astype("int64")
+            alike = common[near] / (sizes[k] + sizes[hit] - common[near])
+            cells += np.bincount(np.clip((alike - threshold) / (1 - threshold) * CELLS, 0, CELLS).astype(int), minlength=CELLS + 1)
+        rows = [(component, n, n, c, -1) for n, c in zip(nodes, links, strict=True) if c] + [(component, u, v, 0, -1) for u, v in forest]
+        rows += [(component, 0, 0, n, c) for c, n in enumerate(cells) if n]
+        return pd.DataFrame(rows, columns=["component", "u", "v", "links", "cell"]).astype({"component": "int64", "u": "int64", "v": "int64", "links": "int64", "cell": "int32"})
 
     return run
 
 
 def verified(docs: DataFrame, nodes: DataFrame, members: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK) -> DataFrame:
-    """Partner counts (u = v) and links of a spanning forest (u <> v) among the members of each group."""
+    """Partner counts (u = v), links of a spanning forest (u <> v), and links by cell of similarity among the members of each group."""
     sizes = members.groupBy("component").agg(F.count("*").alias("size"))
     placed = members.join(apart(sizes), "component").withColumn("blocks", F.ceil(F.col("size") / block).cast("int"))
     placed = placed.withColumn("block", F.pmod(F.xxhash64(F.lit(5), "node"), F.col("blocks")).cast("int"))
@@ -161,8 +230,23 @@ def _classes(docs: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
     """
     marked = written(signed(docs), "signed")
     nodes = written(marked.where("sig IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), F.first("sig").alias("sig")), "nodes")
-    members = written(groups(nodes, threshold=threshold), "groups")
-    found = written(verified(docs, nodes, members, threshold), "links")
+    sorted_ = written(trie(nodes), "trie")
+    across, depth, members, found = joints(sorted_), LEVELS, None, None
+    while True:
+        now = written(groups(sorted_, across, depth), "groups")
+        if found is None:
+            found = written(verified(docs, nodes, now, threshold), "links")
+        else:
+            # groups of the same least node and size are the same groups
+            sized = lambda m: m.groupBy("component").agg(F.count("*").alias("n"))
+            same = written(sized(members).join(sized(now), ["component", "n"]).select("component"), "same-groups")
+            new = verified(docs, nodes, now.join(apart(same), "component", "left_anti"), threshold)
+            found = written(found.join(apart(same), "component", "left_semi").unionByName(new), "links")
+        cells = {r["cell"]: r["n"] for r in found.where("cell >= 0").groupBy("cell").agg(F.sum("links").alias("n")).collect()}
+        if depth == SHORTEST or missed(cells, depth, threshold) <= (1 - TARGET) * sum(cells.values()):
+            break
+        members, depth = now, depth - 1
+    found = found.where("cell < 0")
     links = found.where("u = v").groupBy(F.col("u").alias("node")).agg(F.sum("links").alias("links"))
     classes = components(found.where("u <> v").select("u", "v"))
     named = classes.join(nodes.select("node", "doc_id"), "node")

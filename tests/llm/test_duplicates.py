@@ -69,12 +69,61 @@ def test_classes_and_links_equal_brute_force(docs):
     assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == sorted({top(i) for i in ids})
 
 
-def test_depths_meet_the_target():
-    d = near_copies.depths()
-    recall = 1
-    for k in d:
-        recall *= 1 - 0.8**k
-    assert 1 - recall >= near_copies.TARGET and max(d) <= near_copies.LEVELS and 1 - recall < 0.9999
+def test_prefixes_are_shortened_by_what_is_found():
+    """Many links just over the threshold call for shorter prefixes, links near 1 for none."""
+    low, high = {0: 1000}, {near_copies.CELLS: 1000}
+    enough = lambda cells, depth: near_copies.missed(cells, depth) <= (1 - near_copies.TARGET) * sum(cells.values())
+    assert enough(high, near_copies.LEVELS) and not enough(low, near_copies.LEVELS) and enough(low, near_copies.SHORTEST)
+    assert near_copies.missed({}, 8) == 0
+
+
+def test_trie_equals_prefix_groups(spark):
+    """Nodes are in one group of the sorted tries exactly if equal prefixes connect them, over tasks too."""
+    rng = random.Random(8)
+    nodes = []
+    for i in range(600):
+        sig = bytearray()
+        for _ in range(near_copies.TREES):
+            sig += b"".join(bytes([0, rng.choice([1, 1, 1, 1, 1, 1, 1, 1, 1, 2, 3])]) for _ in range(near_copies.LEVELS)) if rng.random() < 0.08 else rng.randbytes(2 * near_copies.LEVELS)
+        nodes.append((i * 7 + 1, bytes(sig)))
+    nodes += [(10_000 + i, nodes[3][1]) for i in range(50)]
+    found = near_copies.trie(spark.createDataFrame(nodes, "node long, sig binary").repartition(3)).cache()
+    across = near_copies.joints(found)
+    assert found.where("edge = 1").count() > 1
+    for depth in (4, 6, 8):
+        root = {n: n for n, _ in nodes}
+
+        def top(x):
+            while root[x] != x:
+                x = root[x]
+            return x
+
+        first = {}
+        for n, sig in nodes:
+            for t in range(near_copies.TREES):
+                k = (t, sig[2 * near_copies.LEVELS * t :][: 2 * depth])
+                x, y = sorted((top(first.setdefault(k, n)), top(n)))
+                root[y] = x
+        got = {r["node"]: r["component"] for r in near_copies.groups(found, across, depth).collect()}
+        alone = {n for n, _ in nodes if sum(top(m) == top(n) for m, _ in nodes) == 1}
+        assert got == {n: top(n) for n, _ in nodes if n not in alone}
+
+
+def test_recall_near_the_threshold(spark):
+    """Pairs of similarity just over 0.8 are found nearly all, which the first prefixes alone would not do."""
+    rng = random.Random(12)
+    make = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    rows = []
+    for i in range(1500):
+        w = [make() for _ in range(200)]
+        v = list(w)
+        for k in rng.sample(range(10, 190, 12), 4):
+            v[k] = make()
+        rows += [(2 * i, " ".join(w)), (2 * i + 1, " ".join(v))]
+    like = [len(a & b) / len(a | b) for a, b in ((set(near_copies.shingles(rows[2 * i][1]).tolist()), set(near_copies.shingles(rows[2 * i + 1][1]).tolist())) for i in range(1500))]
+    want = {2 * i for i in range(1500) if like[i] >= 0.8}
+    got = {r["class_id"] for r in near_copies.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).where("n_links > 0").collect()}
+    assert got <= want and len(got) >= 0.999 * len(want) and len(want) > 1000, (len(got), len(want))
 
 
 def test_signatures_estimate_similarity():
