@@ -318,6 +318,105 @@ def test_licenses(spark):
     assert got == {1: "MIT", 2: "MIT", 3: "", 4: "", 5: "", 6: "Apache-2.0,CC-BY-NC-4.0"}
 
 
+NOTICES = {
+    "Apache-2.0": """# Copyright 2021 The Authors. All Rights Reserved.
+#
+# Licensed under the Apache License, Version 2.0 (the "License");
+# you may not use this file except in compliance with the License.
+# You may obtain a copy of the License at
+#
+#     http://www.apache.org/licenses/LICENSE-2.0
+#
+# Unless required by applicable law or agreed to in writing, software
+# distributed under the License is distributed on an "AS IS" BASIS,
+# WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+# See the License for the specific language governing permissions and
+# limitations under the License.
+import os""",
+    "MIT": """MIT License
+
+Copyright (c) 2020 Some One
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.""",
+    "GPL-3.0": """/*
+ * This program is free software: you can redistribute it and/or modify
+ * it under the terms of the GNU General Public License as published by
+ * the Free Software Foundation, either version 3 of the License, or
+ * (at your option) any later version.
+ *
+ * This program is distributed in the hope that it will be useful,
+ * but WITHOUT ANY WARRANTY; without even the implied warranty of
+ * MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+ * GNU General Public License for more details.
+ */""",
+    "BSD-3-Clause": """Copyright (c) 2019, A Person
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+3. Neither the name of Example Works nor the names of its contributors may be
+   used to endorse or promote products derived from this software without
+   specific prior written permission.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND
+ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED
+WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.""",
+    "MPL-2.0": """// This Source Code Form is subject to the terms of the Mozilla Public
+// License, v. 2.0. If a copy of the MPL was not distributed with this
+// file, You can obtain one at https://mozilla.org/MPL/2.0/.""",
+    "LGPL-2.1": """This library is free software; you can redistribute it and/or
+modify it under the terms of the GNU Lesser General Public
+License as published by the Free Software Foundation; either
+version 2.1 of the License, or (at your option) any later version.
+
+This library is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.""",
+    "Unlicense": """This is free and unencumbered software released into the public domain.
+
+Anyone is free to copy, modify, publish, use, compile, sell, or
+distribute this software, either in source code form or as a compiled
+binary, for any purpose, commercial or non-commercial, and by any
+means.""",
+    "Proprietary": "some words\nAll rights reserved.\nmore words",
+}
+
+
+def test_wrapped_notices(spark):
+    rows = [(i, t) for i, t in enumerate(NOTICES.values())] + [(50, "one line\nReleased under the MIT License" + " " * 400 + "\nnext line"), (51, "int x; // SPDX-License-Identifier: Apache-2.0\n")]
+    got = {r["doc_id"]: r["licenses"] for r in licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == dict(enumerate(NOTICES)) | {50: "MIT", 51: "Apache-2.0"}
+
+
+def test_licenses_equal_sql(spark, docs):
+    import duckdb
+    import pandas as pd
+
+    rows = [(i, r["text"]) for i, r in enumerate(docs.select("text").collect())] + [(5000 + i, t) for i, t in enumerate(NOTICES.values())]
+    documents = pd.DataFrame(rows, columns=["doc_id", "text"])  # noqa: F841
+    want = sorted(duckdb.sql(licenses.oracle()).fetchall())
+    got = licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(tuple(r) for r in got.collect()) == want
+
+
 @pytest.mark.parametrize("name", ["op1_quality", "op6_licenses", "op7_mixing", "op8_byte_bpe", "op9_secrets", "op10_personal_data", "op5_toxicity"])
 def test_empty_tables(spark, small, tmp_path, name):
     for t in ("documents", "labels"):
