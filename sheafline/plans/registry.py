@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import assembly, biology, networks, reporting, upkeep
+from . import assembly, biology, networks, reads, reporting, upkeep
 
-MODULES = (assembly, networks, reporting, biology, upkeep)
+MODULES = (assembly, networks, reporting, biology, upkeep, reads)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
