@@ -40,15 +40,22 @@ def same_sets(members: DataFrame, group: str, key: str) -> DataFrame:
     return per.join(F.broadcast(first)).select(group, "n", (F.struct("n", "h", "g") == F.col("f")).alias("same"))
 
 
-def numbered(rows: DataFrame, order: list[str], prefix: str, width: int, parts: Column) -> DataFrame:
-    """Sequential identifiers in order. parts gives a number whose order follows the order wanted; each part is numbered on its
-    own and starts after the rows of the parts before it, so that no task sees all rows."""
-    marked = rows.withColumn("_part", parts)
-    sizes = marked.groupBy("_part").agg(F.count("*").alias("_n"))
-    before = sizes.withColumn("_off", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
-    inner = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
-    ids = marked.withColumn("_k", inner).join(before, "_part")
-    return ids.withColumn("new_id", F.concat(F.lit(prefix), F.lpad((F.col("_off") + F.col("_k")).cast("string"), width, "0"))).drop("_part", "_k", "_off")
+def running(rows: DataFrame, order: list, value: Column, name: str) -> DataFrame:
+    """Adds the running sum of a whole number over the whole table in order, the row itself included.
+
+    The table is sorted in ranges; each range sums its own rows and starts from the sum of the ranges before it, so that no
+    task sees all rows. Rows with equal keys follow one another in no set order: give a key that is unique.
+    """
+    sorted_ = rows.withColumn("_value", F.coalesce(value.cast("long"), F.lit(0))).repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
+    sums = sorted_.groupBy("_part").agg(F.sum("_value").alias("_sum"))
+    before = sums.withColumn("_before", F.coalesce(F.sum("_sum").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("_part", "_before")  # a row for each range
+    inner = F.sum("_value").over(Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    return sorted_.withColumn("_inner", inner).join(F.broadcast(before), "_part").withColumn(name, F.col("_before") + F.col("_inner")).drop("_part", "_value", "_inner", "_before")
+
+
+def numbered(rows: DataFrame, order: list, prefix: str, width: int) -> DataFrame:
+    """Sequential identifiers in order, counted in sorted ranges (see running())."""
+    return running(rows, order, F.lit(1), "_k").withColumn("new_id", F.concat(F.lit(prefix), F.lpad(F.col("_k").cast("string"), width, "0"))).drop("_k")
 
 
 def median_with_zeros(rows: DataFrame, group: str, value: str, length: int) -> DataFrame:

@@ -62,15 +62,29 @@ def unique_match(queries: DataFrame, segments: DataFrame) -> DataFrame:
     return per.select("qid", F.when(one, F.col("sid")).alias("sid"), F.when(one, F.col("orient")).alias("orient"), reason.alias("method"))
 
 
-def closure(parents: DataFrame, depth: int) -> DataFrame:
-    """node, ancestor and distance for a tree given as (node, parent), itself included; roots have no parent or themselves."""
-    up = parents.where("parent IS NOT NULL AND parent <> node")
+def closure(parents: DataFrame, most: int = 64) -> DataFrame:
+    """node, ancestor and distance for a tree given as (node, parent), itself included; roots have no parent or themselves.
+
+    Levels are added until no path goes on; each is cut off by a checkpoint where the session has a folder for them. A tree
+    of more than the most levels, or a circle, is an error.
+    """
+    up = cut(parents.where("parent IS NOT NULL AND parent <> node").select(F.col("node").alias("_n"), F.col("parent").alias("_p")))
     now = parents.select("node", F.col("node").alias("ancestor"), F.lit(0).cast("long").alias("distance")).distinct()
     out = now
-    for k in range(1, depth + 1):
-        now = now.alias("a").join(up.alias("p"), F.col("a.ancestor") == F.col("p.node")).select("a.node", F.col("p.parent").alias("ancestor"), F.lit(k).cast("long").alias("distance"))
+    for k in range(1, most + 1):
+        now = cut(now.join(up, F.col("ancestor") == F.col("_n")).select("node", F.col("_p").alias("ancestor"), F.lit(k).cast("long").alias("distance")))
+        if now.isEmpty():
+            return out
         out = out.unionByName(now)
-    return out
+    raise ValueError(f"the tree has more than {most} levels or a circle")
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """The table without its lineage, by a checkpoint in the session's folder; without a folder it is cached."""
+    named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+    if named and df.sparkSession.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
+        df.sparkSession.sparkContext.setCheckpointDir(named)
+    return df.cache() if df.sparkSession.sparkContext._jsc.sc().getCheckpointDir().isEmpty() else df.checkpoint()
 
 
 def common_ancestor(members: DataFrame, group: str, tree: DataFrame, share: float = 1.0) -> DataFrame:

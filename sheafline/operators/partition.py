@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .checks import running
+from .graph import cut
+
 UNCLASSIFIED = "Unclassified"
 
 
@@ -29,17 +32,19 @@ def labels(calls: list[str], suffix: Column, genus: int | None = None) -> Column
 def cascade(contigs: DataFrame, size: str, least: int, least_contigs: int = 1, rounds: int = 9) -> DataFrame:
     """Contigs with their final label; contigs has an array options (from labels()).
 
-    Groups that are too small fall to the next level that their members have a name at, until none is; groups named at the
-    top level stay. A contig carries its options, so a round is one aggregation by label and a window over it; the plan is
-    unrolled for the rounds that a number of levels can need.
+    Groups that are too small fall to the next level that their members have a name at, until none is, in at most so many
+    rounds as the definition allows; groups named at the top level stay. A round is an aggregation by label and a join with the
+    small labels; its result is cut off, so that plans do not grow.
     """
     now = contigs.withColumn("_now", F.element_at("options", -1))
     for _ in range(rounds):
         per = now.groupBy(F.col("_now.label").alias("label")).agg(F.sum(size).alias("_size"), F.count("*").alias("_count"), F.max("_now.level").alias("_top"))
-        small = per.where((F.col("label") != UNCLASSIFIED) & (F.col("_top") > 0) & ((F.col("_size") < least) | (F.col("_count") < least_contigs))).select(F.col("label").alias("_small"))
+        small = cut(per.where((F.col("label") != UNCLASSIFIED) & (F.col("_top") > 0) & ((F.col("_size") < least) | (F.col("_count") < least_contigs))).select(F.col("label").alias("_small")))
+        if small.isEmpty():
+            break
         joined = now.join(small, F.col("_now.label") == F.col("_small"), "left")
         lower = F.when(F.col("_now.level") > 0, F.get("options", F.col("_now.level") - 1)).otherwise(F.struct(F.lit(UNCLASSIFIED).alias("label"), F.lit(-1).alias("level")))
-        now = joined.withColumn("_now", F.when(F.col("_small").isNotNull(), lower).otherwise(F.col("_now"))).drop("_small")
+        now = cut(joined.withColumn("_now", F.when(F.col("_small").isNotNull(), lower).otherwise(F.col("_now"))).drop("_small"))
     return now.withColumn("label", F.col("_now.label")).drop("_now", "options")
 
 
@@ -51,6 +56,6 @@ def verify(assembly: DataFrame, membership: DataFrame, key: str, size: str, bin_
 
 
 def dictionary(rows: DataFrame, column: str, order: str) -> DataFrame:
-    """Codes of the distinct values in the order in which they are first seen."""
+    """Codes of the distinct values in the order in which they are first seen, counted in sorted ranges."""
     firsts = rows.groupBy(F.coalesce(F.col(column), F.lit("NA")).alias("level")).agg(F.min(order).alias("_first"), F.count("*").cast("long").alias("n"))
-    return firsts.select("level", "n", (F.row_number().over(Window.orderBy("_first")) - 1).cast("long").alias("code"))
+    return running(firsts, ["_first", "level"], F.lit(1), "_k").select("level", "n", (F.col("_k") - 1).cast("long").alias("code"))

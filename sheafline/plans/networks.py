@@ -56,17 +56,17 @@ def _tree(spark, d):
 
 
 def q50_closure(spark, d):
-    return graph.closure(_tree(spark, d), 3)
+    return graph.closure(_tree(spark, d))
 
 
 def q50b_common_ancestor(spark, d):
     members = table(spark, d, "lineitem").select("l_partkey", F.concat(F.lit("s"), "l_suppkey").alias("node"))
-    return graph.common_ancestor(members, "l_partkey", graph.closure(_tree(spark, d), 3))
+    return graph.common_ancestor(members, "l_partkey", graph.closure(_tree(spark, d)))
 
 
 def q50c_share_ancestor(spark, d):
     members = table(spark, d, "lineitem").select("l_partkey", F.concat(F.lit("s"), "l_suppkey").alias("node"))
-    return graph.common_ancestor(members, "l_partkey", graph.closure(_tree(spark, d), 3), 0.7)
+    return graph.common_ancestor(members, "l_partkey", graph.closure(_tree(spark, d)), 0.7)
 
 
 def q45_reverse_complement(spark, d):

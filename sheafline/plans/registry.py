@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import assembly, biology, networks, reads, reporting, upkeep
+from . import assembly, biology, bins, networks, reads, reporting, taxa, upkeep
 
-MODULES = (assembly, networks, reporting, biology, upkeep, reads)
+MODULES = (assembly, networks, reporting, biology, upkeep, reads, taxa, bins)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

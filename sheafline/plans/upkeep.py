@@ -71,7 +71,7 @@ def q69_top_per_group(spark, d):
 
 def q70_sequential_ids(spark, d):
     docs = table(spark, d, "documents").select("doc_id", "n_chars")
-    return checks.numbered(docs, ["doc_id"], "c", 7, F.floor(F.col("doc_id") / 100)).select("doc_id", "new_id")
+    return checks.numbered(docs, ["doc_id"], "c", 7).select("doc_id", "new_id")
 
 
 def q71_depth_profile(spark, d):

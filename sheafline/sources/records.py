@@ -12,15 +12,30 @@ from pyspark.sql import functions as F
 from ..schemas import DEPTH, PAF
 
 
-def fasta(spark: SparkSession, path: str, upper: bool = True) -> DataFrame:
-    """id (first word of the header), header and seq; records without an id are left out. Files begin with a header."""
-    rows = spark.read.option("lineSep", "\n>").text(path)
-    # only a file's first record still has its own mark
+def parse_fasta(rows: DataFrame, upper: bool = True, headless=None) -> DataFrame:
+    """id (first word of the header), header and seq of records in a column value, with or without their mark."""
     body = F.regexp_replace("value", "^>", "")
     header = F.trim(F.regexp_extract(body, r"^([^\r\n]*)", 1))
     seq = F.regexp_replace(F.regexp_replace(body, r"^[^\r\n]*", ""), r"\s+", "")
-    out = rows.select(F.regexp_extract(header, r"^(\S+)", 1).alias("id"), header.alias("header"), (F.upper(seq) if upper else seq).alias("seq"))
-    return out.where("id <> ''")
+    more = [] if headless is None else [headless.alias("headless")]
+    return rows.select(F.regexp_extract(header, r"^(\S+)", 1).alias("id"), header.alias("header"), (F.upper(seq) if upper else seq).alias("seq"), *more)
+
+
+def fasta(spark: SparkSession, path: str, upper: bool = True, strict: bool = False) -> DataFrame:
+    """id (first word of the header), header and seq of the records of files.
+
+    Lines before a file's first header are no record; strict makes them, an empty identifier and an empty sequence an error.
+    """
+    rows = spark.read.option("lineSep", "\n>").text(path).select("value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_row"))
+    # a file's first piece is the only one that was not cut at a mark: without one of its own it is no record
+    first = rows.where("_block = 0").groupBy(F.col("_file").alias("_f")).agg(F.min("_row").alias("_first"))
+    marked = rows.join(first, (F.col("_file") == F.col("_f")) & (F.col("_row") == F.col("_first")), "left")
+    read = parse_fasta(marked, upper, F.col("_first").isNotNull() & ~F.col("value").startswith(">"))
+    if not strict:
+        return read.where("NOT headless AND id <> ''").drop("headless")
+    wrong = F.when(F.col("headless") & (F.col("header") != ""), "text before the first header").when(~F.col("headless") & (F.col("id") == ""), "record without identifier").when(~F.col("headless") & (F.col("seq") == ""), "record without sequence")
+    checked = F.when(wrong.isNotNull(), F.raise_error(F.concat(wrong, F.lit(": "), F.col("header"))).cast("string")).otherwise(F.col("seq"))
+    return read.withColumn("seq", checked).where("seq IS NOT NULL AND NOT headless").drop("headless")
 
 
 def duplicates(records: DataFrame, key: str = "id") -> DataFrame:
