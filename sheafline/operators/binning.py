@@ -41,20 +41,25 @@ def selected() -> Column:
     return F.col("decision").startswith("search") | F.col("audited")
 
 
+def _removed(pre: DataFrame, calls: DataFrame) -> DataFrame:
+    """What the prefilter takes away, with the domain that an audit found."""
+    return pre.where(F.col("decision").isin("skip_eukarya", "skip_organelle")).select("contig", "length", "audited").join(calls.select("contig", "domain"), "contig", "left")
+
+
 def exclusions(pre: DataFrame, calls: DataFrame, kingdoms: tuple[str, ...]) -> DataFrame:
     """contig and why for what is left out of the bins: by kingdom, or by the prefilter unless an audited contig is prokaryotic.
 
     calls: contig, domain, kingdom. Unknown contigs are never left out by the prefilter.
     """
     by_kingdom = calls.where(F.col("kingdom").isin(*kingdoms)).select("contig", F.lit("kingdom").alias("why"))
-    removed = pre.where(F.col("decision").isin("skip_eukarya", "skip_organelle")).join(calls.select("contig", "domain"), "contig", "left")
+    removed = _removed(pre, calls)
     saved = F.col("audited") & F.coalesce(F.col("domain").isin("Bacteria", "Archaea"), F.lit(False))
     return by_kingdom.unionByName(removed.where(~saved).select("contig", F.lit("prefilter").alias("why"))).groupBy("contig").agg(F.array_join(F.array_sort(F.collect_set("why")), ";").alias("why"))
 
 
 def audit_estimate(pre: DataFrame, calls: DataFrame) -> DataFrame:
     """One row: audited removed contigs, prokaryotic ones, and their share of length times the removed length."""
-    removed = pre.where(F.col("decision").isin("skip_eukarya", "skip_organelle")).join(calls.select("contig", "domain"), "contig", "left")
+    removed = _removed(pre, calls)
     good = F.col("audited") & F.coalesce(F.col("domain").isin("Bacteria", "Archaea"), F.lit(False))
     bp = lambda c: F.coalesce(F.sum(F.when(c, F.col("length"))), F.lit(0))
     n = lambda c: F.sum(c.cast("int")).cast("long")
@@ -145,9 +150,9 @@ def classification(contigs: DataFrame, calls: DataFrame, coverage: DataFrame, ge
     )
 
 
-def number(x: Column, places: int, missing: str = "NA") -> Column:
-    """A number with so many places, or NA."""
-    return F.coalesce(F.format_string(f"%.{places}f", x), F.lit(missing)) if missing is not None else F.format_string(f"%.{places}f", x)
+def number(x: Column, places: int, missing: str | None = "NA") -> Column:
+    """A number with so many places, halves to the even digit; what stands for a missing one."""
+    return F.when(x.isNull(), F.lit(missing)).otherwise(F.format_string(f"%.{places}f", F.bround(x.cast("double"), places)))
 
 
 def replaced(originals: DataFrame, accepted: DataFrame) -> DataFrame:
