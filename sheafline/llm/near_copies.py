@@ -159,11 +159,38 @@ def joints(found: DataFrame, levels: int = LEVELS, shortest: int = SHORTEST) ->
     return out
 
 
-def groups(found: DataFrame, across: list[tuple[int, int, int]], depth: int, shortest: int = SHORTEST) -> DataFrame:
-    """node and component for all nodes that share a prefix of a depth with another one; found: trie(), across: joints()."""
-    ties = found.where("edge = 0").select(F.col("node").alias("u"), F.col("leads")[depth - shortest].alias("v")).where("u <> v").distinct()
+def groups(found: DataFrame, across: list[tuple[int, int, int]], depth: int, before: DataFrame | None = None, shortest: int = SHORTEST) -> DataFrame:
+    """node and component for all nodes that share a prefix of a depth with another one; found: trie(), across: joints().
+
+    before holds the groups of the next longer prefix: then only the ties that are new join them.
+    """
+    rows, lead = found.where("edge = 0"), F.col("leads")[depth - shortest]
+    if before is not None:
+        rows = rows.where(lead != F.col("leads")[depth + 1 - shortest])
+    ties = rows.select(F.col("node").alias("u"), lead.alias("v")).where("u <> v").distinct()
     over = [(u, v) for d, u, v in across if d == depth and u != v]
-    return components(ties.unionByName(found.sparkSession.createDataFrame(over, "u long, v long")) if over else ties)
+    ties = ties.unionByName(found.sparkSession.createDataFrame(over, "u long, v long")) if over else ties
+    if before is None:
+        # the runs of a group in all trees have few least nodes, but as many first ones as trees: tied to the former, most ties are one
+        least = ties.groupBy("v").agg(F.least(F.min("u"), F.col("v")).alias("m"))
+        ends = F.explode(F.array("u", "v")).alias("u")
+        return components(ties.join(apart(least), "v").select(ends, F.col("m").alias("v")).where("u <> v").distinct())
+    of = lambda c: before.select(F.col("node").alias(c), F.col("component").alias(f"{c}_group"))
+    named = ties.join(apart(of("u")), "u", "left").join(apart(of("v")), "v", "left")
+    joined = written(components(named.select(F.coalesce("u_group", "u").alias("u"), F.coalesce("v_group", "v").alias("v")).where("u <> v").distinct()), "joined-groups")
+    moved = before.join(apart(joined.select(F.col("node").alias("component"), F.col("component").alias("now"))), "component", "left").select("node", F.coalesce("now", "component").alias("component"))
+    return moved.unionByName(joined.join(before.select("node"), "node", "left_anti").select("node", "component"))
+
+
+def bodies(docs: DataFrame, nodes: DataFrame, found: DataFrame, across: list[tuple[int, int, int]]) -> DataFrame:
+    """node and text of the nodes that share even the shortest prefix with another one; the documents are shuffled here alone."""
+    met = found.where("edge = 0").select(F.explode(F.array_append("leads", F.col("node"))).alias("node"))
+    over = [(x,) for d, u, v in across for x in (u, v)]
+    met = met.unionByName(found.sparkSession.createDataFrame(over, "node long")) if over else met
+    wanted = met.distinct().join(nodes.select("node", F.col("doc_id").alias("rep")), "node")
+    one = texts(docs).select("doc_id", F.xxhash64("text").alias("node"), "text")
+    # of the same kind at every size: the list of nodes grows with the corpus
+    return one.join(wanted.hint("merge"), (one["node"] == wanted["node"]) & one["doc_id"].eqNullSafe(wanted["rep"])).select(wanted["node"], "text").dropDuplicates(["node"])
 
 
 VERIFIED = "component long, u long, v long, links long, cell int"
@@ -210,14 +237,12 @@ def _verify(threshold: float):
     return run
 
 
-def verified(docs: DataFrame, nodes: DataFrame, members: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK) -> DataFrame:
+def verified(texts_of: DataFrame, nodes: DataFrame, members: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK) -> DataFrame:
     """Partner counts (u = v), links of a spanning forest (u <> v), and links by cell of similarity among the members of each group."""
     sizes = members.groupBy("component").agg(F.count("*").alias("size"))
     placed = members.join(apart(sizes), "component").withColumn("blocks", F.ceil(F.col("size") / block).cast("int"))
     placed = placed.withColumn("block", F.pmod(F.xxhash64(F.lit(5), "node"), F.col("blocks")).cast("int"))
-    one = texts(docs).select("doc_id", F.xxhash64("text").alias("node"), "text")
-    wanted = placed.join(nodes.select("node", "copies", F.col("doc_id").alias("rep")), "node")
-    bodies = one.join(wanted, (one["node"] == wanted["node"]) & one["doc_id"].eqNullSafe(wanted["rep"])).select(wanted["node"], "component", "copies", "blocks", "block", "text").dropDuplicates(["node"])
+    bodies = placed.join(nodes.select("node", "copies"), "node").join(texts_of, "node")
     pairs = bodies.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
     pairs = pairs.select("component", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "copies", "block", "text")
     return pairs.groupBy("component", "i", "j").applyInPandas(_verify(threshold), VERIFIED)
@@ -232,15 +257,16 @@ def _classes(docs: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
     nodes = written(marked.where("sig IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), F.first("sig").alias("sig")), "nodes")
     sorted_ = written(trie(nodes), "trie")
     across, depth, members, found = joints(sorted_), LEVELS, None, None
+    held = written(bodies(docs, nodes, sorted_, across), "bodies")
     while True:
-        now = written(groups(sorted_, across, depth), "groups")
+        now = written(groups(sorted_, across, depth, members), "groups")
         if found is None:
-            found = written(verified(docs, nodes, now, threshold), "links")
+            found = written(verified(held, nodes, now, threshold), "links")
         else:
             # groups of the same least node and size are the same groups
             sized = lambda m: m.groupBy("component").agg(F.count("*").alias("n"))
             same = written(sized(members).join(sized(now), ["component", "n"]).select("component"), "same-groups")
-            new = verified(docs, nodes, now.join(apart(same), "component", "left_anti"), threshold)
+            new = verified(held, nodes, now.join(apart(same), "component", "left_anti"), threshold)
             found = written(found.join(apart(same), "component", "left_semi").unionByName(new), "links")
         cells = {r["cell"]: r["n"] for r in found.where("cell >= 0").groupBy("cell").agg(F.sum("links").alias("n")).collect()}
         if depth == SHORTEST or missed(cells, depth, threshold) <= (1 - TARGET) * sum(cells.values()):

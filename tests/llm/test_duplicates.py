@@ -106,6 +106,9 @@ def test_trie_equals_prefix_groups(spark):
                 root[y] = x
         got = {r["node"]: r["component"] for r in near_copies.groups(found, across, depth).collect()}
         alone = {n for n, _ in nodes if sum(top(m) == top(n) for m, _ in nodes) == 1}
+        before = near_copies.groups(found, across, depth + 1) if depth < near_copies.LEVELS else None
+        if before is not None:
+            assert got == {r["node"]: r["component"] for r in near_copies.groups(found, across, depth, before).collect()}
         assert got == {n: top(n) for n, _ in nodes if n not in alone}
 
 
