@@ -16,11 +16,11 @@ def gc_percent(seq: Column) -> Column:
 
 def gc_weighted(seq: Column) -> Column:
     """GC equivalents: each ambiguity code counts by its share of G and C."""
-    # Sixths of G or C in each code.
-    weights = {"G": 6, "C": 6, "S": 6, "R": 3, "Y": 3, "K": 3, "M": 3, "N": 3, "B": 4, "V": 4, "D": 2, "H": 2}
+    # Sixths of G or C in the codes.
+    weights = {6: "GCS", 4: "BV", 3: "RYKMN", 2: "DH"}
     out = F.lit(0)
-    for code, w in weights.items():
-        out = out + w * (F.length(seq) - F.length(F.replace(seq, F.lit(code), F.lit(""))))
+    for w, codes in weights.items():
+        out = out + w * (F.length(seq) - F.length(F.translate(seq, codes, "")))
     return out / 6
 
 
@@ -31,9 +31,12 @@ def aligned_bases(cigar: Column, kinds: str = "M=X") -> Column:
 
 def kmer_counts(k: int):
     """A vectorised function that counts k-mers on both strands, 4^k cells; windows with other letters count nothing."""
-    code = np.full(256, 4, np.int64)
+    code = np.full(256, -1, np.int64)
     code[[ord(c) for c in "ACGT"]] = range(4)
-    weight = 4 ** np.arange(k)[::-1]
+    every = np.arange(4**k)
+    turned = np.zeros(4**k, np.int64)  # the reverse complement of each k-mer
+    for i in range(k):
+        turned = turned * 4 + 3 - every // 4**i % 4
 
     @F.pandas_udf("array<long>")
     def count(seqs: pd.Series) -> pd.Series:
@@ -41,36 +44,81 @@ def kmer_counts(k: int):
             if s is None:
                 return None
             x = code[np.frombuffer(s.encode(), np.uint8)]
-            if len(x) < k:
+            n = len(x) - k + 1
+            if n <= 0:
                 return np.zeros(4**k, np.int64)
-            w = np.lib.stride_tricks.sliding_window_view(x, k)
-            w = w[(w < 4).all(axis=1)]
-            return np.bincount(w @ weight, minlength=4**k) + np.bincount((3 - w[:, ::-1]) @ weight, minlength=4**k)
+            value, bad = np.zeros(n, np.int64), np.zeros(n, bool)
+            for i in range(k):
+                value = value * 4 + x[i : i + n]
+                bad |= x[i : i + n] < 0
+            ahead = np.bincount(value[~bad], minlength=4**k)
+            return ahead + ahead[turned]
 
         return seqs.map(one)
 
     return count
 
 
+def canonical_kmers(counts: list[int] | np.ndarray, k: int) -> np.ndarray:
+    """Counts of both strands, one cell for a k-mer and its reverse complement (136 for k = 4), in the order of the smaller code."""
+    every = np.arange(4**k)
+    turned = np.zeros(4**k, np.int64)
+    for i in range(k):
+        turned = turned * 4 + 3 - every // 4**i % 4
+    return np.asarray(counts)[every <= turned]
+
+
+def kmer_frequencies(k: int = 4):
+    """A vectorised function: shares of the canonical k-mers; null for sequences without any."""
+    inner = kmer_counts(k).func
+
+    @F.pandas_udf("array<double>")
+    def share(seqs: pd.Series) -> pd.Series:
+        def one(c):
+            x = canonical_kmers(c, k).astype(float)
+            return x / x.sum() if x.sum() else None
+
+        return inner(seqs).map(lambda c: None if c is None else one(c))
+
+    return share
+
+
+def longest_border(data: bytes, limit: int) -> int:
+    """The longest n up to a limit for which the first n bytes are the last n.
+
+    Prefix sums of the bytes times powers of an odd number give every prefix and suffix a hash at once; the lengths at which
+    they agree are compared from the longest on.
+    """
+    n = len(data)
+    if limit <= 0:
+        return 0
+    with np.errstate(over="ignore"):
+        power = np.ones(limit + 1, np.uint64)
+        power[1:] = np.cumprod(np.full(limit, 0x9E3779B97F4A7C15, np.uint64))
+
+        def sums(start):
+            out = np.zeros(limit + 1, np.uint64)
+            out[1:] = np.cumsum((np.frombuffer(data, np.uint8, limit, start).astype(np.uint64) + np.uint64(1)) * power[:limit])
+            return out
+
+        head, tail = sums(0), sums(n - limit)
+        sizes = np.arange(limit, 0, -1)
+        # the last k bytes start at limit - k in the tail: their sum is shifted by that power
+        agree = head[sizes] * power[limit - sizes] == tail[limit] - tail[limit - sizes]
+    return next((int(k) for k in sizes[agree] if data[:k] == data[n - k :]), 0)
+
+
 def terminal_overlap(least: int = 30, most: int = 10_000):
-    """A vectorised function: the longest proper suffix that is a prefix, up to a fifth of the length; 0 if that has other letters than ACGT."""
+    """A vectorised function: the longest suffix that is a prefix, up to a fifth of the length; 0 if it is short or has other letters than ACGT."""
 
     @F.pandas_udf("long")
     def overlap(seqs: pd.Series) -> pd.Series:
         def one(s):
             if s is None:
                 return None
-            limit = min(most, len(s) // 5)
-            head, tail = s[:limit], s[len(s) - limit :] if limit else ""
-            text = head + "\0" + tail
-            fail = [0] * len(text)
-            for i in range(1, len(text)):
-                j = fail[i - 1]
-                while j and text[i] != text[j]:
-                    j = fail[j - 1]
-                fail[i] = j + (text[i] == text[j])
-            n = fail[-1] if text and limit else 0
-            return n if n >= least and set(s[:n]) <= set("ACGT") else 0
+            data = s.encode()
+            n = longest_border(data, min(most, len(data) // 5))
+            return n if n >= least and not data[:n].strip(b"ACGT") and set(data[:n]) <= set(b"ACGT") else 0
 
         return seqs.map(one)
 

@@ -23,43 +23,83 @@ def canonical_edges(edges: DataFrame) -> DataFrame:
 def within_hops(edges: DataFrame, seeds: DataFrame, hops: int) -> DataFrame:
     """Nodes within so many steps of a seed, with the least number of steps; edges (u, v) go both ways, seeds has node.
 
-    Each step joins the frontier alone with the edges and keeps the least step of a node.
+    Each step joins the frontier alone with the edges, keeps the least step of a node, and is cut off from the plan.
     """
     both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))).where("u <> v").distinct()
     reached = frontier = seeds.select("node").distinct().withColumn("hop", F.lit(0).cast("long"))
     for k in range(1, hops + 1):
         met = frontier.join(both, frontier["node"] == both["u"]).select(F.col("v").alias("node")).distinct()
-        frontier = met.join(reached.select("node"), "node", "left_anti").withColumn("hop", F.lit(k).cast("long"))
+        frontier = cut(met.join(reached.select("node"), "node", "left_anti").withColumn("hop", F.lit(k).cast("long")))
         reached = reached.unionByName(frontier)
     return reached
 
 
+def induced(edges: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The edges (u, v) of which both ends are among the nodes."""
+    n = nodes.select("node").distinct()
+    return edges.join(n.select(F.col("node").alias("u")), "u", "left_semi").join(n.select(F.col("node").alias("v")), "v", "left_semi")
+
+
 def end_overlaps(seqs: DataFrame, k: int) -> DataFrame:
     """Oriented overlaps of k letters: the last k letters of one oriented sequence are the first k of another one.
 
-    seqs has id and seq. Only runs of the four letters count, and sequences must be longer than k. Each edge is kept in
-    its canonical form.
+    seqs has id and seq. Only runs of the four letters count, and sequences must be longer than k. Only the ends are cut out
+    and complemented. Each edge is kept in its canonical form. A k-mer at which many ends meet gives all pairs of them, which
+    is what the graph holds there; ends(seqs, k) counts them first.
     """
-    long = seqs.where(F.length("seq") > k)
-    oriented = long.select("id", F.explode(F.array(F.struct(F.lit("+").alias("o"), F.col("seq").alias("x")), F.struct(F.lit("-").alias("o"), reverse_complement(F.col("seq")).alias("x")))).alias("y")).select("id", "y.o", "y.x")
-    ends = oriented.select(F.col("id").alias("s"), F.col("o").alias("so"), F.expr(f"right(x, {k})").alias("kmer")).where(F.col("kmer").rlike("^[ACGT]+$"))
-    starts = oriented.select(F.col("id").alias("t"), F.col("o").alias("to"), F.expr(f"left(x, {k})").alias("kmer"))
-    return canonical_edges(ends.join(starts, "kmer").select("s", "so", "t", "to"))
+    cut_ = ends(seqs, k)
+    last = cut_.select(F.col("id").alias("s"), F.col("o").alias("so"), F.col("last").alias("kmer")).where(F.col("kmer").rlike("^[ACGT]+$"))
+    first = cut_.select(F.col("id").alias("t"), F.col("o").alias("to"), F.col("first").alias("kmer"))
+    return canonical_edges(last.join(first, "kmer").select("s", "so", "t", "to"))
+
+
+def ends(seqs: DataFrame, k: int) -> DataFrame:
+    """id, o, first and last: the k letters at the ends of each oriented sequence longer than k."""
+    both = seqs.where(F.length("seq") > k).select("id", F.expr(f"left(seq, {k})").alias("a"), F.expr(f"right(seq, {k})").alias("b"))
+    turned = F.struct(F.lit("-").alias("o"), reverse_complement(F.col("b")).alias("first"), reverse_complement(F.col("a")).alias("last"))
+    return both.select("id", F.explode(F.array(F.struct(F.lit("+").alias("o"), F.col("a").alias("first"), F.col("b").alias("last")), turned)).alias("x")).select("id", "x.*")
+
+
+def keyed(seqs: DataFrame, key: str) -> DataFrame:
+    """key, length and SHA-256 of each sequence and of its other strand; the sequences themselves stay behind."""
+    return seqs.select(key, F.length("seq").alias("n"), F.sha2("seq", 256).alias("h"), F.sha2(reverse_complement(F.col("seq")), 256).alias("r"))
 
 
 def unique_match(queries: DataFrame, segments: DataFrame) -> DataFrame:
     """The one segment that equals a query on either strand; none or several give a reason instead.
 
-    queries: qid, seq; segments: sid, seq. Sequences meet by length and SHA-256 of themselves.
+    queries: qid, seq; segments: sid, seq. Sequences meet by length and SHA-256 of themselves; the segments of a key are
+    counted before the join, so that many equal ones are one row.
     """
-    keyed = lambda df, i: df.select(i, F.length("seq").alias("n"), F.sha2("seq", 256).alias("h"))
-    other = segments.select("sid", reverse_complement(F.col("seq")).alias("seq"))
-    both = keyed(segments, "sid").withColumn("o", F.lit("+")).unionByName(keyed(other, "sid").withColumn("o", F.lit("-")))
-    found = keyed(queries, "qid").join(both, ["n", "h"], "left")
-    per = found.groupBy("qid").agg(F.countDistinct("sid").alias("hits"), F.min("sid").alias("sid"), F.min("o").alias("orient"))
+    both = keyed(segments, "sid").select("sid", "n", F.explode(F.array(F.struct(F.lit("+").alias("o"), F.col("h")), F.struct(F.lit("-").alias("o"), F.col("r").alias("h")))).alias("x"))
+    per = both.groupBy("n", F.col("x.h").alias("h")).agg(F.countDistinct("sid").alias("hits"), F.min("sid").alias("sid"), F.min("x.o").alias("orient"))
+    wanted = queries.select("qid", F.length("seq").alias("n"), F.sha2("seq", 256).alias("h"))
     one = F.col("hits") == 1
     reason = F.when(one, "unique_exact_sequence").when(F.col("hits") > 1, "ambiguous_exact_sequence").otherwise("no_exact_segment_match")
-    return per.select("qid", F.when(one, F.col("sid")).alias("sid"), F.when(one, F.col("orient")).alias("orient"), reason.alias("method"))
+    return wanted.join(per, ["n", "h"], "left").select("qid", F.when(one, F.col("sid")).alias("sid"), F.when(one, F.col("orient")).alias("orient"), reason.alias("method"))
+
+
+def resolve_contigs(contigs: DataFrame, aliases: DataFrame, paths: DataFrame, segments: DataFrame) -> DataFrame:
+    """contig, place (a path or segment), orient and method, or the reason why a contig has no place in the graph.
+
+    contigs: contig, seq (null if unknown); aliases: contig, alias; paths: path; segments: segment, length, seq (null if not
+    recorded). A recorded alias goes before the contig's own name; a path goes before a segment of the name, and a segment counts only
+    if its content agrees as far as it is known; contigs without a name in the graph are looked up by their sequence.
+    """
+    key = contigs.join(aliases, "contig", "left").select("contig", "seq", F.coalesce("alias", "contig").alias("key"), F.col("alias").isNotNull().alias("recorded"))
+    key = key.select("contig", "key", "recorded", F.length("seq").alias("n"), F.sha2("seq", 256).alias("h"))
+    p = paths.select(F.col("path").alias("key"), F.lit(True).alias("is_path")).distinct()
+    own = keyed(segments, "segment").select(F.col("segment").alias("key"), "h", "r").join(segments.select(F.col("segment").alias("key"), "length"), "key").select("key", F.col("h").alias("sh"), F.col("r").alias("sr"), "length", F.lit(True).alias("is_segment"))
+    same = unique_match(contigs.where("seq IS NOT NULL").select(F.col("contig").alias("qid"), "seq"), segments.where("seq IS NOT NULL").select(F.col("segment").alias("sid"), "seq")).select(F.col("qid").alias("contig"), "sid", F.col("orient").alias("match_orient"), F.col("method").alias("match"))
+    j = key.join(p, "key", "left").join(own, "key", "left").join(same, "contig", "left")
+    known, ahead, back = F.col("n").isNotNull(), F.col("h") == F.col("sh"), F.col("h") == F.col("sr")
+    named = F.when(F.col("recorded"), "recorded_segment").otherwise("source_segment_name")
+    at_segment = F.when(~known, named).when(F.coalesce(ahead | back, F.lit(False)), named).when(F.col("length").isNotNull() & (F.col("length") != F.col("n")), "source_name_length_mismatch").when(F.col("sh").isNotNull(), "source_name_sequence_mismatch").otherwise(named)
+    method = F.when(F.col("is_path"), F.when(F.col("recorded"), "recorded_path").otherwise("source_path_name")).when(F.col("is_segment"), at_segment).when(known, F.col("match")).otherwise("no_recorded_graph_identifier")
+    by_name = method.isin("recorded_path", "source_path_name", "recorded_segment", "source_segment_name")
+    place = F.when(by_name, F.col("key")).when(method == "unique_exact_sequence", F.col("sid"))
+    orient = F.when(method == "unique_exact_sequence", F.col("match_orient")).when(by_name & F.col("is_path").isNull(), F.when(known & F.coalesce(~ahead & back, F.lit(False)), "-").otherwise("+"))
+    return j.select("contig", place.alias("place"), orient.alias("orient"), method.alias("method"))
 
 
 def closure(parents: DataFrame, most: int = 64) -> DataFrame:

@@ -74,3 +74,29 @@ def in_polygon(x: Column, y: Column, corners: list[tuple[float, float]]) -> Colu
         cross = ((F.lit(ay) > y) != (F.lit(by) > y)) & (x < F.lit(bx - ax) * (y - F.lit(ay)) / F.lit(by - ay if by != ay else 1.0) + F.lit(ax))
         inside = inside != cross
     return inside
+
+
+def sanitised(name: Column) -> Column:
+    """A name for files: all but letters and digits of any script, dots, underscores and hyphens as underscores, none at the ends."""
+    return F.regexp_replace(F.regexp_replace(name, r"[^\p{L}\p{N}._-]", "_"), "^_+|_+$", "")
+
+
+def centroids(rows: DataFrame, group: str, vector: str) -> DataFrame:
+    """group and centre: the mean of each component of whole-number vectors, rounded down."""
+    parts = rows.select(group, F.posexplode(vector).alias("_i", "_x")).groupBy(group, "_i").agg(F.floor(F.avg("_x")).cast("long").alias("_c"))
+    return parts.groupBy(group).agg(F.transform(F.array_sort(F.collect_list(F.struct("_i", "_c"))), lambda x: x["_c"]).alias("centre"))
+
+
+def nearest_centroid(rows: DataFrame, key: str, vector: str, centres: DataFrame, ratio: float) -> DataFrame:
+    """key, nearest group, distance and clear (the second nearest is farther by the ratio); centres: group, centre.
+
+    Each row meets each centre once; distances are reduced to the two least of a row before the shuffle ends. The centres are few
+    against the rows, and Spark decides by their size how they travel.
+    """
+    group = next(c for c in centres.columns if c != "centre")
+    dist = F.aggregate(F.zip_with(vector, "centre", lambda a, b: (a - b) * (a - b)), F.lit(0).cast("long"), lambda s, x: s + x)
+    listed = centres.agg(F.array_sort(F.collect_list(F.struct(F.col(group).alias("g"), "centre"))).alias("_all"))
+    both = rows.join(F.broadcast(listed)).select(key, vector, F.explode("_all").alias("_c")).select(key, F.col("_c.g").alias("g"), vector, F.col("_c.centre").alias("centre"))  # one row
+    near = both.select(key, F.struct(dist.alias("d"), "g").alias("x")).groupBy(key).agg(F.slice(F.array_sort(F.collect_list("x")), 1, 2).alias("two"))
+    d = lambda i: F.sqrt(F.get("two", F.lit(i))["d"].cast("double"))
+    return near.select(key, F.col("two")[0]["g"].alias("nearest"), F.round(d(0), 6).alias("distance"), F.coalesce(d(0) <= ratio * d(1), F.lit(True)).alias("clear"))

@@ -18,11 +18,13 @@ def q28_edge_dedup(spark, d):
     return graph.canonical_edges(_edges(spark, d))
 
 
+def _links(spark, d):
+    return table(spark, d, "lineitem").select(F.col("l_partkey").alias("u"), (F.col("l_suppkey") + 1_000_000_000).alias("v"))
+
+
 def q29_khop(spark, d):
-    line = table(spark, d, "lineitem").where("l_linenumber = 1 AND l_returnflag = 'R' AND l_quantity > 45")
-    links = line.select(F.col("l_partkey").alias("u"), (F.col("l_suppkey") + 1_000_000_000).alias("v"))
     seeds = table(spark, d, "supplier").where("s_nationkey = 7").select((F.col("s_suppkey") + 1_000_000_000).alias("node"))
-    return graph.within_hops(links, seeds, 2)
+    return graph.within_hops(_links(spark, d), seeds, 1)
 
 
 def _sequences(spark, d):
@@ -36,7 +38,8 @@ def q30_end_overlaps(spark, d):
 
 def q31_unique_match(spark, d):
     seqs = _sequences(spark, d)
-    other = seqs.where("id % 2 = 0").select(F.col("id").alias("sid"), F.when(F.col("id") % 4 == 0, F.col("seq")).otherwise(graph.reverse_complement(F.col("seq"))).alias("seq"))
+    turned = F.when(F.col("id") % 4 == 0, F.col("seq")).when(F.col("id") % 4 == 2, graph.reverse_complement(F.col("seq"))).otherwise(F.concat(F.lit("A"), "seq"))
+    other = seqs.select(F.col("id").alias("sid"), turned.alias("seq"))
     return graph.unique_match(seqs.select(F.col("id").alias("qid"), "seq"), other)
 
 
@@ -88,12 +91,12 @@ SELECT l_partkey, ancestor AS lca FROM k WHERE p = 1"""
 
 SQL = {
     "q28_edge_dedup": f"""WITH e AS (SELECT l_partkey % 500 AS s, CASE WHEN l_linenumber % 2 = 0 THEN '+' ELSE '-' END AS so, l_suppkey % 500 AS t, CASE WHEN l_returnflag = 'A' THEN '+' ELSE '-' END AS "to" FROM lineitem), {_CANON}""",
-    "q29_khop": """WITH RECURSIVE b AS (SELECT l_partkey AS u, l_suppkey + 1000000000 AS v FROM lineitem WHERE l_linenumber = 1 AND l_returnflag = 'R' AND l_quantity > 45),
+    "q29_khop": """WITH RECURSIVE b AS (SELECT l_partkey AS u, l_suppkey + 1000000000 AS v FROM lineitem),
 e AS (SELECT u, v FROM b UNION SELECT v, u FROM b), w AS (SELECT s_suppkey + 1000000000 AS node, CAST(0 AS BIGINT) AS hop FROM supplier WHERE s_nationkey = 7
-UNION SELECT v, hop + 1 FROM w JOIN e ON node = u WHERE hop < 2) SELECT node, min(hop) AS hop FROM w GROUP BY node""",
+UNION SELECT v, hop + 1 FROM w JOIN e ON node = u WHERE hop < 1) SELECT node, min(hop) AS hop FROM w GROUP BY node""",
     "q30_end_overlaps": f"""WITH {_SEQ}, o AS (SELECT id, '+' AS o, seq AS x FROM seqs WHERE length(seq) > 8 UNION ALL SELECT id, '-', {_RC.format('seq')} FROM seqs WHERE length(seq) > 8),
 e AS (SELECT a.id AS s, a.o AS so, b.id AS t, b.o AS "to" FROM o a JOIN o b ON right(a.x, 8) = left(b.x, 8) WHERE regexp_full_match(right(a.x, 8), '[ACGT]+')), {_CANON}""",
-    "q31_unique_match": f"""WITH {_SEQ}, g AS (SELECT id AS sid, CASE WHEN id % 4 = 0 THEN seq ELSE {_RC.format('seq')} END AS seq FROM seqs WHERE id % 2 = 0),
+    "q31_unique_match": f"""WITH {_SEQ}, g AS (SELECT id AS sid, CASE id % 4 WHEN 0 THEN seq WHEN 2 THEN {_RC.format('seq')} ELSE 'A' || seq END AS seq FROM seqs),
 b AS (SELECT sid, seq, '+' AS o FROM g UNION ALL SELECT sid, {_RC.format('seq')}, '-' FROM g),
 f AS (SELECT q.id AS qid, count(DISTINCT sid) AS hits, min(sid) AS sid, min(o) AS o FROM seqs q LEFT JOIN b ON q.seq = b.seq GROUP BY q.id)
 SELECT qid, CASE WHEN hits = 1 THEN sid END AS sid, CASE WHEN hits = 1 THEN o END AS orient, CASE WHEN hits = 1 THEN 'unique_exact_sequence' WHEN hits > 1 THEN 'ambiguous_exact_sequence' ELSE 'no_exact_segment_match' END AS method FROM f""",

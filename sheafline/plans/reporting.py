@@ -81,17 +81,19 @@ def q33_mate_routing(spark, d):
 
 
 def q39_conditional_rank(spark, d):
+    """Rank among the customers that are kept, over the whole table, and each one's share of all."""
+    from ..operators.checks import running
+
     orders = table(spark, d, "orders").groupBy("o_custkey").agg(F.count("*").cast("long").alias("n"))
     kept = F.col("n") >= 10
-    w = Window.partitionBy(F.col("o_custkey") % 10).orderBy(F.desc("n"), "o_custkey")
-    whole = Window.partitionBy(F.col("o_custkey") % 10)
-    rank = F.sum(kept.cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    return orders.select("o_custkey", "n", F.when(kept, rank).cast("long").alias("rank_retained"), F.round(F.col("n") / F.sum("n").over(whole), 8).alias("fraction_all"))
+    ranked = running(orders, [F.desc("n"), F.col("o_custkey")], kept.cast("int"), "rank")
+    total = orders.agg(F.sum("n").alias("total"))
+    return ranked.join(F.broadcast(total)).select("o_custkey", "n", F.when(kept, F.col("rank")).alias("rank_retained"), F.round(F.col("n") / F.col("total"), 8).alias("fraction_all"))  # one row
 
 
 def q46_sanitise(spark, d):
     safe = lambda c: F.regexp_replace(c, "[^A-Za-z0-9_.-]", "_")
-    return table(spark, d, "part").select("p_partkey", safe(F.concat_ws("#", "p_name", "p_brand")).alias("safe"), F.expr("trim(BOTH '_' FROM regexp_replace(concat(' ', p_type, ' x '), '[^A-Za-z0-9._-]', '_'))").alias("label"))
+    return table(spark, d, "part").select("p_partkey", safe(F.concat_ws("#", "p_name", "p_brand")).alias("safe"), select.sanitised(F.concat(F.lit(" "), "p_type", F.lit(" é x "))).alias("label"))
 
 
 def q47_json_extract(spark, d):
@@ -165,9 +167,8 @@ SELECT c_custkey, coalesce(s_name, n_name) AS source_name, CASE WHEN s_name IS N
     "q33_mate_routing": """WITH p AS (SELECT count(DISTINCT role) AS roles, max(CASE WHEN role = 'user' THEN length(text) END) AS u, max(CASE WHEN role = 'assistant' THEN length(text) END) AS a FROM conversations GROUP BY conv_id)
 SELECT CASE WHEN roles < 2 THEN 'unmapped_or_ambiguous' WHEN u % 7 <> a % 7 THEN 'cross_bin' WHEN u % 7 = 0 THEN 'unassigned' ELSE 'accepted' END AS routing, count(*) AS n FROM p GROUP BY 1""",
     "q39_conditional_rank": """WITH o AS (SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1)
-SELECT o_custkey, n, CASE WHEN n >= 10 THEN CAST(sum(CASE WHEN n >= 10 THEN 1 ELSE 0 END) OVER (PARTITION BY o_custkey % 10 ORDER BY n DESC, o_custkey ROWS UNBOUNDED PRECEDING) AS BIGINT) END AS rank_retained,
-  round(CAST(n AS DOUBLE) / sum(n) OVER (PARTITION BY o_custkey % 10), 8) AS fraction_all FROM o""",
-    "q46_sanitise": """SELECT p_partkey, regexp_replace(p_name || '#' || p_brand, '[^A-Za-z0-9_.-]', '_', 'g') AS safe, trim(regexp_replace(' ' || p_type || ' x ', '[^A-Za-z0-9._-]', '_', 'g'), '_') AS label FROM part""",
+SELECT o_custkey, n, CASE WHEN n >= 10 THEN CAST(sum(CASE WHEN n >= 10 THEN 1 ELSE 0 END) OVER (ORDER BY n DESC, o_custkey ROWS UNBOUNDED PRECEDING) AS BIGINT) END AS rank_retained, round(CAST(n AS DOUBLE) / sum(n) OVER (), 8) AS fraction_all FROM o""",
+    "q46_sanitise": """SELECT p_partkey, regexp_replace(p_name || '#' || p_brand, '[^A-Za-z0-9_.-]', '_', 'g') AS safe, trim(regexp_replace(' ' || p_type || ' é x ', '[^\\p{L}\\p{N}._-]', '_', 'g'), '_') AS label FROM part""",
     "q47_json_extract": "SELECT event_id, CAST(coalesce(props->>'$.key', props->>'$.k') AS BIGINT) AS k FROM events",
     "q48_tolerant_numbers": """SELECT doc_id, TRY_CAST(CASE WHEN doc_id % 4 = 0 THEN CAST(n_chars AS VARCHAR) WHEN doc_id % 4 = 1 THEN 'NA' WHEN doc_id % 4 = 2 THEN '-' ELSE substring(split_part(text, ' ', 1), 1, 3) END AS DOUBLE) AS v FROM documents""",
     "q51_freshness": """WITH o AS (SELECT doc_id, sha256(CASE WHEN doc_id % 3 = 0 THEN upper(text) ELSE text END) AS old FROM documents WHERE doc_id % 5 <> 0)

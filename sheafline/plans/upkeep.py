@@ -13,7 +13,8 @@ def q60_latest_record(spark, d):
 
 
 def q61_reconcile(spark, d):
-    docs, labels = table(spark, d, "documents").where("doc_id % 7 <> 0"), table(spark, d, "labels")
+    moved = F.when(F.col("doc_id") % 7 == 0, -F.col("doc_id") - 1).otherwise(F.col("doc_id"))
+    docs, labels = table(spark, d, "documents").select(moved.alias("doc_id")), table(spark, d, "labels")
     return checks.reconcile(docs, labels, "doc_id").groupBy("place").agg(F.count("*").cast("long").alias("n"))
 
 
@@ -89,7 +90,7 @@ def q72_complete_groups(spark, d):
 SQL = {
     "q60_latest_record": "SELECT user_id, event_type, event_id, value FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1",
     "q61_reconcile": """SELECT CASE WHEN a.doc_id IS NOT NULL AND b.doc_id IS NOT NULL THEN 'both' WHEN a.doc_id IS NOT NULL THEN 'left_only' ELSE 'right_only' END AS place, count(*) AS n
-FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id % 7 <> 0) a FULL JOIN (SELECT DISTINCT doc_id FROM labels) b ON a.doc_id = b.doc_id GROUP BY 1""",
+FROM (SELECT DISTINCT CASE WHEN doc_id % 7 = 0 THEN -doc_id - 1 ELSE doc_id END AS doc_id FROM documents) a FULL JOIN (SELECT DISTINCT doc_id FROM labels) b ON a.doc_id = b.doc_id GROUP BY 1""",
     "q62_metadata_override": """WITH g AS (SELECT n_nationkey, CASE WHEN n_nationkey % 2 = 0 THEN n_nationkey % 3 END AS level, n_name AS code FROM nation WHERE n_nationkey < 15)
 SELECT s_suppkey, coalesce(x.code, y.code) AS code FROM supplier LEFT JOIN g x ON x.n_nationkey = s_nationkey AND x.level = s_nationkey % 3 LEFT JOIN g y ON y.n_nationkey = s_nationkey AND y.level IS NULL""",
     "q63_or_join": """SELECT l_returnflag, count(*) AS n, CAST(sum(l_quantity) AS BIGINT) AS q FROM lineitem WHERE l_suppkey IN (SELECT s_suppkey FROM supplier WHERE s_nationkey = 3)

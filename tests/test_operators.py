@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sheafline.functions import sequences
-from sheafline.operators import graph, intervals, metrics, partition, pathways, select, votes
+from sheafline.operators import binning, checks, graph, intervals, mapping, metrics, partition, pathways, select, taxonomy, votes
 from sheafline.plans import biology, registry
 
 
@@ -139,13 +139,124 @@ def test_nx(spark):
     assert {r["g"]: (r["n50"], r["l50"]) for r in metrics.nx_lx(spark.createDataFrame(rows, "g int, n long"), ["g"], "n").collect()} == want
 
 
-def test_slots_and_conflicts():
+def test_slot_matches():
     f = lambda *x: [frozenset(i.split("+")) for i in x]
     assert pathways.slot_matches(f("a", "x", "b", "c"), f("a", "b", "c")) == 3
     assert pathways.slot_matches(f("a+b", "c"), f("a", "b", "c")) == 3 and pathways.slot_matches(f("a"), f("a", "a")) == 1
-    hit = lambda acc, m, comp, lo, hi: {"accession": acc, "target": acc, "call_type": "specific", "components": comp, "margin": m, "coverage": 1.0, "lo": lo, "hi": hi, "status": "accepted"}
-    out = {h["accession"]: (h["status"], h["call_type"]) for h in pathways.resolve_group([hit("A", 1.0, ["x"], 1, 100), hit("B", 0.95, ["y"], 1, 100), hit("C", 0.5, ["z"], 1, 100), hit("D", 0.9, ["q"], 300, 400)])}
-    assert out["A"][0] == out["B"][0] == "ambiguous" and out["C"][0] == "competing_hit" and out["D"][0] == "accepted"
+
+
+def settled_by_hand(hits):
+    """Statuses and call types by the rule as it is told, hit by hit."""
+    state = {h["accession"]: [h["status"], h["call_type"]] for h in hits}
+    stronger = []
+    for h in sorted((h for h in hits if h["status"] == "accepted"), key=lambda h: (-h["margin"], -h["coverage"], h["accession"])):
+        place = {p for lo, hi in h["spans"] for p in range(lo, hi + 1)}
+        near, far = [], []
+        for o in stronger:
+            other = {p for lo, hi in o["spans"] for p in range(lo, hi + 1)}
+            if state[o["accession"]][0] == "competing_hit" or o["target"] == h["target"] or len(place & other) < 0.5 * min(len(place), len(other)):
+                continue
+            close = o["margin"] - h["margin"] <= 0.1
+            if not set(h["components"]) & set(o["components"]):
+                (near if close else far).append(o)
+            elif close and state[h["accession"]][1] == state[o["accession"]][1] == "specific":
+                state[h["accession"]][1] = state[o["accession"]][1] = "shared_family"
+        for o in [h, *near] if near else []:
+            state[o["accession"]][0] = "ambiguous"
+        if far and not near:
+            state[h["accession"]][0] = "competing_hit"
+        stronger.append(h)
+    return {k: tuple(v) for k, v in state.items()}
+
+
+def test_conflicts_equal_brute_force(spark):
+    rng = random.Random(14)
+    rows = []
+    for protein in range(60):
+        for k in range(rng.randint(1, 9)):
+            spans = [(lo, lo + rng.randint(3, 25)) for lo in (rng.randint(1, 40) for _ in range(rng.randint(1, 3)))]
+            rows.append({"protein": protein, "accession": f"a{k}", "target": f"t{rng.randrange(5)}", "call_type": rng.choice(["specific", "specific", "domain_only"]), "components": rng.sample("xyz", rng.randint(1, 2)), "margin": rng.randrange(64) / 64, "coverage": rng.randrange(4) / 4, "spans": spans, "status": rng.choice(["accepted"] * 5 + ["fragment_candidate"])})
+    df = spark.createDataFrame(rows, "protein int, accession string, target string, call_type string, components array<string>, margin double, coverage double, spans array<struct<lo:long,hi:long>>, status string")
+    got = {(r["protein"], r["accession"]): (r["status"], r["call_type"]) for r in pathways.resolve_hits(df, ["protein"]).collect()}
+    want = {(p, a): v for p in range(60) for a, v in settled_by_hand([r for r in rows if r["protein"] == p]).items()}
+    assert got == want and {v[0] for v in got.values()} == {"accepted", "ambiguous", "competing_hit", "fragment_candidate"} and "shared_family" in {v[1] for v in got.values()}
+
+
+def test_operon_score_takes_the_better_orientation(spark):
+    slots = [["a"], ["b"], ["c"]]
+    rows = [(1, [(1, 1, ["a"]), (2, 1, ["x"]), (3, 1, ["b"]), (4, -1, ["c"])]), (2, [(1, -1, ["c"]), (2, -1, ["b"]), (5, -1, ["a"])]), (3, [(1, 1, ["a"]), (2, 1, ["x"])]), (4, [(1, 1, ["a", "b"]), (2, 1, ["c"])])]
+    df = spark.createDataFrame(rows, "w int, genes array<struct<place:long,strand:int,components:array<string>>>")
+    got = {r["w"]: (round(r["score"], 6), r["orientation"], r["matched_slots"], r["matched_genes"]) for r in pathways.operons(df, slots).collect()}
+    assert got == {1: (round(2 / 3, 6), 1, "1;2;3", "1;3;4"), 2: (1.0, -1, "1;2;3", "5;2;1"), 4: (1.0, 1, "1;2;3", "1;1;2")}
+    assert pathways.operon_score([(1, 1, ["a"]), (2, -1, ["b"])], [frozenset(s) for s in slots], 2, 0.5, 1, use_strand="strict") is None
+
+
+def test_chains_are_longest(spark):
+    rng = random.Random(3)
+    for _ in range(300):
+        genes = [frozenset(rng.sample("abcd", rng.randint(0, 2))) for _ in range(rng.randint(0, 7))]
+        slots = [frozenset(rng.sample("abcd", rng.randint(1, 2))) for _ in range(rng.randint(1, 5))]
+        chain = pathways.best_chain(genes, slots)
+        assert len(chain) == slots_by_hand(genes, slots)
+        assert all(genes[i] & slots[j] for i, j in chain) and [j for _, j in chain] == sorted({j for _, j in chain}) and [i for i, _ in chain] == sorted(i for i, _ in chain)
+
+
+def test_borders_equal_brute_force():
+    rng = random.Random(4)
+    for _ in range(300):
+        s = "".join(rng.choice("AC") for _ in range(rng.randint(1, 60))).encode()
+        limit = rng.randint(0, len(s))
+        assert sequences.longest_border(s, limit) == max((k for k in range(limit + 1) if s[:k] == s[len(s) - k :]), default=0)
+    assert len(sequences.canonical_kmers(range(256), 4)) == 136
+
+
+def test_depth_and_routing(spark):
+    rows = [
+        ("r1", 64, "c1", 1, 30, "10M", 0), ("r1", 128 + 16, "c2", 5, 30, "4M2D4M", 0), ("r2", 64, "c1", 1, 30, "5M", 0), ("r2", 128, "c3", 1, 30, "5M", 0),
+        ("r3", 64, "c1", 1, 5, "5M", 0), ("r3", 128, "c1", 1, 50, "5M", 0), ("r4", 64, "c1", 95, 50, "10M", 0), ("r4", 128, "c1", 3, 50, "5M", 0), ("r4", 256 + 64, "c2", 1, 50, "5M", 0), ("r5", 64, "c1", 1, 50, "5M", 0),
+    ]
+    df = spark.createDataFrame(rows, "qname string, flag int, rname string, pos long, mapq long, cigar string, nm int")
+    bins = spark.createDataFrame([("c1", "b1"), ("c2", "b1")], "contig string, bin string")
+    got = {r["qname"]: (r["routing"], r["bin"]) for r in mapping.route_pairs(df, bins, strict=False).collect()}
+    assert got == {"r1": ("accepted", "b1"), "r2": ("cross_bin", None), "r3": ("unmapped_or_ambiguous", None), "r4": ("accepted", "b1"), "r5": ("invalid_pair", None)}
+    with pytest.raises(Exception, match="two primary records"):
+        mapping.route_pairs(df, bins).collect()
+    depth = {r["contig"]: (r["mean_depth"], r["covered_fraction"]) for r in mapping.depth_breadth(df, spark.createDataFrame([("c1", 100), ("c2", 10), ("c9", 5)], "contig string, length long")).collect()}
+    assert depth == {"c1": (0.4, 0.16), "c2": (0.8, 0.6), "c9": (0.0, 0.0)}
+
+
+def test_closure_finds_deep_trees_and_circles(spark):
+    chain = spark.createDataFrame([(i, i - 1) for i in range(1, 12)] + [(0, None)], "node long, parent long")
+    assert graph.closure(chain).where("node = 11").count() == 12
+    with pytest.raises(ValueError, match="circle"):
+        graph.closure(spark.createDataFrame([(1, 2), (2, 1)], "node long, parent long"), 5)
+    merged = spark.createDataFrame([(1, 2), (2, 3), (5, 6), (6, 5), (4, 5)], "old long, new long")
+    got = {r["taxid"]: r["current"] for r in taxonomy.resolve_merged(spark.createDataFrame([(i,) for i in range(1, 8)], "taxid long"), merged).collect()}
+    assert got == {1: 3, 2: 3, 3: 3, 4: 5, 5: 5, 6: 6, 7: 7}
+
+
+def test_running_sums_over_ranges(spark):
+    rng = random.Random(1)
+    rows = [(i, rng.randrange(5)) for i in range(500)]
+    got = {r["k"]: r["s"] for r in checks.running(spark.createDataFrame(rows, "k int, v int").repartition(7), [F.desc("k")], F.col("v"), "s").collect()}
+    total, want = 0, {}
+    for k, v in sorted(rows, reverse=True):
+        total += v
+        want[k] = total
+    assert got == want
+
+
+def test_prefilter_audits_a_seeded_share(spark):
+    contigs = spark.createDataFrame([(f"c{i}", 1000, ["bacteria", "eukarya", "organelle", None][i % 4]) for i in range(400)], "contig string, length long, tiara string")
+    genes = spark.createDataFrame([(f"c{i}", 1, i % 10 * 100) for i in range(400) if i % 5], "contig string, orfs long, coding_bp long")
+    rows = binning.prefilter(contigs, genes, 0.6, audit=0.3).collect()
+    for r in rows:
+        i = int(r["contig"][1:])
+        density = i % 10 / 10 if i % 5 else 0.0
+        kind = ["bacteria", "eukarya", "organelle", "unknown"][i % 4]
+        want = "search" if i % 4 == 0 else "skip_eukarya" if i % 4 == 1 else "search_rescued_coding_density" if density > 0.6 else f"skip_{kind}"
+        assert r["decision"] == want and r["audited"] == (want.startswith("skip") and i % 5 != 0 and zlib.crc32(r["contig"].encode(), 17) < int(0.3 * 2**32))
+    assert sum(r["audited"] for r in rows) > 20
 
 
 def slots_by_hand(genes, slots):
