@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from .common import texts
 
 #: Pieces that a task keeps in each of two generations, and the characters that a piece has at most to be kept.
-KEPT_PIECES, LONGEST_KEPT = 250_000, 64
+KEPT_PIECES, LONGEST_KEPT = 150_000, 48
 ADJOINING = re.compile(r"\s\s")
 CUT = re.compile(r"(?<=\S) (?=\S)")
 
@@ -125,12 +125,6 @@ class Encoder:
         return np.frombuffer(self.packed(text), np.uint32).tolist()
 
 
-@lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
-    """One encoder for all tasks of a worker; what it keeps changes nothing but speed."""
-    return Encoder(path)
-
-
 def decode(ids: Iterable[int], table: list[bytes]) -> bytes:
     """The bytes of the ids. Ids outside the vocabulary are an error."""
     return b"".join([table[i] for i in ids])
@@ -160,7 +154,7 @@ def encode_texts(docs: DataFrame, path: str | None = None, with_offsets: bool =
     path = path or vocabulary_path()
 
     def run(batches):
-        known, table = encoder(path), byte_table(path)
+        known, table = Encoder(path), byte_table(path)
         sizes = np.array([len(x) for x in table])
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
@@ -197,7 +191,7 @@ def encode_digests(docs: DataFrame, path: str | None = None, doc_id: str = "doc_
     path = path or vocabulary_path()
 
     def run(batches):
-        known, table = encoder(path), byte_table(path)
+        known, table = Encoder(path), byte_table(path)
         names = [str(i) for i in range(len(table))]
         for batch in batches:
             rows = []

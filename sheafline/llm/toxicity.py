@@ -80,7 +80,7 @@ class Model:
     """Weights by feature, and the bias."""
 
     #: Words whose known parts are kept at most; beyond this they are forgotten.
-    KEPT_WORDS = 300_000
+    KEPT_WORDS = 150_000
 
     def __init__(self, weights: dict[str, float], bias: float):
         self.weights, self.bias = weights, bias
