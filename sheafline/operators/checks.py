@@ -72,3 +72,18 @@ def median_with_zeros(rows: DataFrame, group: str, value: str, length: int) -> D
         F.round(mean, 6).alias("mean_depth"), ((few((length + 1) // 2, lo) + few(length // 2 + 1, hi)) / 2.0).alias("median_depth"),
         F.round(F.max("_covered") / length, 6).alias("breadth"), F.round(F.when(mean > 0, F.sqrt(F.greatest(var, F.lit(0.0))) / mean), 4).alias("cv"),
     )
+
+
+def freshness(current: DataFrame, recorded: DataFrame, key: str) -> DataFrame:
+    """key and source_state: whether the recorded digest is the current one; without a record nothing is verified, a record without a
+    current row has lost its bin. Both have key and digest."""
+    old = recorded.select(key, F.col("digest").alias("_old"))
+    j = current.select(key, F.col("digest").alias("_new")).join(old, key, "full")
+    state = F.when(F.col("_new").isNull(), "missing_bin").when(F.col("_old").isNull(), "unverified").when(F.col("_old") == F.col("_new"), "current").otherwise("stale_input")
+    return j.select(key, state.alias("source_state"))
+
+
+def top_each(rows: DataFrame, group: list[str], order: list, k: int, name: str = "k") -> DataFrame:
+    """The first k rows of each group in order, numbered."""
+    w = Window.partitionBy(*group).orderBy(*order)
+    return rows.withColumn(name, F.row_number().over(w).cast("long")).where(F.col(name) <= k)

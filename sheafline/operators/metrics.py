@@ -46,21 +46,46 @@ def rank_totals(bins: DataFrame, rank: str, size: str, classified, name: str) ->
 def profile(depths: DataFrame, group: str, pos: str, depth: str, length: int, window: int) -> DataFrame:
     """Tumbling windows over positions 0..length-1 with missing positions as depth 0, without making a row for each position.
 
-    Every group gets all its windows; a window's flag compares its mean with the group's.
+    Every group gets all its windows: those without depth are made from the group's total, which also gives a window's flag.
     """
     some = depths.groupBy(group, F.floor(F.col(pos) / window).cast("long").alias("window_no")).agg(F.sum(depth).alias("total"), F.countDistinct(pos).alias("covered"))
     windows = -(-length // window)
-    # all windows of a group hang on its own rows: no join with a list of positions
-    per = some.groupBy(group).agg(F.sum("total").alias("all"), F.map_from_entries(F.collect_list(F.struct("window_no", F.struct("total", "covered")))).alias("m"))
-    each = per.select(group, "all", "m", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(windows - 1).cast("long"))).alias("window_no"))
+    all_ = some.groupBy(group).agg(F.sum("total").alias("all"))
+    each = all_.withColumn("window_no", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(windows - 1).cast("long")))).join(some, [group, "window_no"], "left")
     width = F.least(F.lit(window), F.lit(length) - F.col("window_no") * window)
-    x = F.try_element_at("m", F.col("window_no"))
-    mean, whole = F.coalesce(x["total"], F.lit(0)) / width, F.col("all") / length
+    mean, whole = F.coalesce("total", F.lit(0)) / width, F.col("all") / length
     flag = F.when(mean == 0, "zero_coverage").when(mean < 0.2 * whole, "low_relative_depth").when(mean > 3 * whole, "high_relative_depth").otherwise("")
-    return each.select(group, "window_no", F.round(mean, 6).alias("mean_depth"), F.round(F.coalesce(x["covered"], F.lit(0)) / width, 6).alias("covered_fraction"), flag.alias("flag"))
+    return each.select(group, "window_no", F.round(mean, 6).alias("mean_depth"), F.round(F.coalesce("covered", F.lit(0)) / width, 6).alias("covered_fraction"), flag.alias("flag"))
+
+
+def exact_median(rows: DataFrame, group: list[str], value: str) -> DataFrame:
+    """group and median (of the non-null values): values are counted first and then ranked, so that no group is held in one buffer."""
+    counted = rows.where(F.col(value).isNotNull()).groupBy(*group, value).agg(F.count("*").alias("_n"))
+    order = Window.partitionBy(*group).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    placed = counted.withColumn("_upto", F.sum("_n").over(order)).withColumn("_all", F.sum("_n").over(Window.partitionBy(*group)))
+    at = lambda k: F.min(F.when(F.col("_upto") >= k, F.col(value)))
+    return placed.groupBy(*group).agg(((at(F.floor((F.col("_all") + 1) / 2)) + at(F.floor(F.col("_all") / 2) + 1)) / 2.0).alias("median"))
+
+
+def weighted_if_complete(rows: DataFrame, group: list[str], value: str, weight: str) -> DataFrame:
+    """Weighted mean of a value where all members of a group have one, and how many have."""
+    whole = F.count("*") == F.count(value)
+    return rows.groupBy(*group).agg(F.round(F.when(whole, F.sum(F.col(value) * F.col(weight)) / F.sum(weight)), 6).alias("weighted"), F.count(value).cast("long").alias("known"))
+
+
+def strided(rows: DataFrame, place: str, stride: int, value: str) -> DataFrame:
+    """Mean and number of the values of each stride of places."""
+    return rows.groupBy(F.floor(F.col(place) / stride).cast("long").alias("stride")).agg(F.round(F.avg(value), 4).alias("mean"), F.count("*").cast("long").alias("n"))
+
+
+def tiles(rows: DataFrame, group: list[str], sample: str, size: str) -> DataFrame:
+    """Samples, bins, summed size and median size of each group."""
+    per = rows.groupBy(*group).agg(F.countDistinct(sample).cast("long").alias("samples"), F.count("*").cast("long").alias("bins"), F.sum(size).cast("long").alias("bp"))
+    return per.join(exact_median(rows, group, size), group).select(*group, "samples", "bins", "bp", F.col("median").alias("median_size"))
 
 
 def robust(rows: DataFrame, group: list[str], value: str) -> DataFrame:
     """Median and median absolute deviation of each group."""
-    centres = rows.groupBy(*group).agg(F.median(value).alias("med"))
-    return rows.join(centres, group).groupBy(*group).agg(F.first("med").alias("med"), F.median(F.abs(F.col(value) - F.col("med"))).alias("mad"))
+    centres = exact_median(rows, group, value).withColumnRenamed("median", "med")
+    spread = exact_median(rows.join(centres, group).withColumn("_d", F.abs(F.col(value) - F.col("med"))), group, "_d").withColumnRenamed("median", "mad")
+    return centres.join(spread, group)

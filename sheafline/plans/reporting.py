@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..operators import select
+from ..operators import checks, metrics, select
 from ..session import table
 
 
@@ -82,11 +82,9 @@ def q33_mate_routing(spark, d):
 
 def q39_conditional_rank(spark, d):
     """Rank among the customers that are kept, over the whole table, and each one's share of all."""
-    from ..operators.checks import running
-
     orders = table(spark, d, "orders").groupBy("o_custkey").agg(F.count("*").cast("long").alias("n"))
     kept = F.col("n") >= 10
-    ranked = running(orders, [F.desc("n"), F.col("o_custkey")], kept.cast("int"), "rank")
+    ranked = checks.running(orders, [F.desc("n"), F.col("o_custkey")], kept.cast("int"), "rank")
     total = orders.agg(F.sum("n").alias("total"))
     return ranked.join(F.broadcast(total)).select("o_custkey", "n", F.when(kept, F.col("rank")).alias("rank_retained"), F.round(F.col("n") / F.col("total"), 8).alias("fraction_all"))  # one row
 
@@ -109,19 +107,18 @@ def q48_tolerant_numbers(spark, d):
 
 
 def q51_freshness(spark, d):
-    docs = table(spark, d, "documents").select("doc_id", F.sha2("text", 256).alias("h"))
-    old = table(spark, d, "documents").where("doc_id % 5 <> 0").select("doc_id", F.sha2(F.when(F.col("doc_id") % 3 == 0, F.upper("text")).otherwise(F.col("text")), 256).alias("old"))
-    state = F.when(F.col("old").isNull(), "unverified").when(F.col("old") == F.col("h"), "current").otherwise("stale_input")
-    return docs.join(old, "doc_id", "left").groupBy(state.alias("source_state")).agg(F.count("*").cast("long").alias("n"))
+    docs = table(spark, d, "documents")
+    now = docs.select("doc_id", F.sha2("text", 256).alias("digest"))
+    moved = F.when(F.col("doc_id") % 5 == 0, -F.col("doc_id") - 1).otherwise(F.col("doc_id"))
+    old = docs.select(moved.alias("doc_id"), F.sha2(F.when(F.col("doc_id") % 3 == 0, F.upper("text")).otherwise(F.col("text")), 256).alias("digest"))
+    return checks.freshness(now, old, "doc_id").groupBy("source_state").agg(F.count("*").cast("long").alias("n"))
 
 
 def q52_joint_outliers(spark, d):
     docs = table(spark, d, "documents").select("doc_id", "source", F.col("n_chars").cast("double").alias("v"))
-    med = docs.groupBy("source").agg(F.median("v").alias("m"), F.count("*").alias("n"))
-    dev = docs.join(med, "source").withColumn("a", F.abs(F.col("v") - F.col("m")))
-    mad = dev.groupBy("source").agg(F.median("a").alias("mad"))
-    limit = F.greatest(F.col("mad") * 4.4478, F.lit(1500.0))
-    return dev.join(mad, "source").groupBy("source").agg(F.sum((F.col("a") > limit).cast("int")).cast("long").alias("outliers"), F.sum((F.col("a") <= limit).cast("int")).cast("long").alias("coherent"))
+    centre = metrics.robust(docs, ["source"], "v")
+    far = F.abs(F.col("v") - F.col("med")) > F.greatest(F.col("mad") * 4.4478, F.lit(1500.0))
+    return docs.join(centre, "source").groupBy("source").agg(F.sum(far.cast("int")).cast("long").alias("outliers"), F.sum((~far).cast("int")).cast("long").alias("coherent"))
 
 
 def q53_competitive_assign(spark, d):
@@ -171,8 +168,8 @@ SELECT o_custkey, n, CASE WHEN n >= 10 THEN CAST(sum(CASE WHEN n >= 10 THEN 1 EL
     "q46_sanitise": """SELECT p_partkey, regexp_replace(p_name || '#' || p_brand, '[^A-Za-z0-9_.-]', '_', 'g') AS safe, trim(regexp_replace(' ' || p_type || ' é x ', '[^\\p{L}\\p{N}._-]', '_', 'g'), '_') AS label FROM part""",
     "q47_json_extract": "SELECT event_id, CAST(coalesce(props->>'$.key', props->>'$.k') AS BIGINT) AS k FROM events",
     "q48_tolerant_numbers": """SELECT doc_id, TRY_CAST(CASE WHEN doc_id % 4 = 0 THEN CAST(n_chars AS VARCHAR) WHEN doc_id % 4 = 1 THEN 'NA' WHEN doc_id % 4 = 2 THEN '-' ELSE substring(split_part(text, ' ', 1), 1, 3) END AS DOUBLE) AS v FROM documents""",
-    "q51_freshness": """WITH o AS (SELECT doc_id, sha256(CASE WHEN doc_id % 3 = 0 THEN upper(text) ELSE text END) AS old FROM documents WHERE doc_id % 5 <> 0)
-SELECT CASE WHEN old IS NULL THEN 'unverified' WHEN old = sha256(text) THEN 'current' ELSE 'stale_input' END AS source_state, count(*) AS n FROM documents LEFT JOIN o USING (doc_id) GROUP BY 1""",
+    "q51_freshness": """WITH o AS (SELECT CASE WHEN doc_id % 5 = 0 THEN -doc_id - 1 ELSE doc_id END AS id, sha256(CASE WHEN doc_id % 3 = 0 THEN upper(text) ELSE text END) AS old FROM documents)
+SELECT CASE WHEN doc_id IS NULL THEN 'missing_bin' WHEN id IS NULL THEN 'unverified' WHEN old = sha256(text) THEN 'current' ELSE 'stale_input' END AS source_state, count(*) AS n FROM documents FULL JOIN o ON doc_id = id GROUP BY 1""",
     "q52_joint_outliers": """WITH m AS (SELECT source, median(CAST(n_chars AS DOUBLE)) AS m FROM documents GROUP BY 1), v AS (SELECT source, abs(n_chars - m) AS a FROM documents JOIN m USING (source)),
 k AS (SELECT source, greatest(median(a) * 4.4478, 1500.0) AS lim FROM v GROUP BY 1)
 SELECT source, CAST(sum(CASE WHEN a > lim THEN 1 ELSE 0 END) AS BIGINT) AS outliers, CAST(sum(CASE WHEN a <= lim THEN 1 ELSE 0 END) AS BIGINT) AS coherent FROM v JOIN k USING (source) GROUP BY source""",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import checks
+from ..operators import checks, metrics
 from ..session import table
 
 
@@ -40,13 +40,12 @@ def q64_same_sets(spark, d):
 
 
 def q65_stride_windows(spark, d):
-    docs = table(spark, d, "documents")
-    stride = F.floor(F.col("doc_id") / 25).cast("long")
-    return docs.groupBy(stride.alias("stride")).agg(F.round(F.avg("n_chars"), 4).alias("mean_len"), F.count("*").cast("long").alias("n"))
+    return metrics.strided(table(spark, d, "documents"), "doc_id", 25, "n_chars").withColumnRenamed("mean", "mean_len")
 
 
 def q66_dashboard(spark, d):
-    return table(spark, d, "documents").groupBy("lang").agg(F.countDistinct("source").cast("long").alias("sources"), F.count("*").cast("long").alias("bins"), F.sum("n_chars").cast("long").alias("bp"), F.median("n_chars").alias("median_len"))
+    got = metrics.tiles(table(spark, d, "documents"), ["lang"], "source", "n_chars")
+    return got.select("lang", F.col("samples").alias("sources"), "bins", "bp", F.col("median_size").alias("median_len"))
 
 
 def q67_provenance(spark, d):
@@ -63,11 +62,8 @@ def q68_audit_estimate(spark, d):
 
 
 def q69_top_per_group(spark, d):
-    from pyspark.sql import Window
-
     per = table(spark, d, "lineitem").groupBy("l_suppkey", "l_partkey").agg(F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).alias("v"))
-    w = Window.partitionBy("l_suppkey").orderBy(F.desc("v"), "l_partkey")
-    return per.withColumn("k", F.row_number().over(w)).where("k <= 4").select("l_suppkey", "l_partkey", F.col("k").cast("long").alias("k"))
+    return checks.top_each(per, ["l_suppkey"], [F.desc("v"), F.col("l_partkey")], 4).select("l_suppkey", "l_partkey", "k")
 
 
 def q70_sequential_ids(spark, d):
@@ -83,8 +79,7 @@ def q71_depth_profile(spark, d):
 def q72_complete_groups(spark, d):
     """Length-weighted mean only where every member has a value."""
     docs = table(spark, d, "documents").join(table(spark, d, "labels").select("doc_id", "quality"), "doc_id", "left").withColumn("g", F.col("doc_id") % 97)
-    all_ = F.count("*") == F.count("quality")
-    return docs.groupBy("g").agg(F.round(F.when(all_, F.sum(F.col("quality") * F.col("n_chars")) / F.sum("n_chars")), 6).alias("weighted"), F.count("quality").cast("long").alias("known"))
+    return metrics.weighted_if_complete(docs, ["g"], "quality", "n_chars")
 
 
 SQL = {

@@ -52,3 +52,54 @@ def test_streamed_windows_equal_batch(spark, small, tmp_path):
     want = events.groupBy(F.window("ts", "1 hour"), "event_type").agg(F.count("*").alias("n"))
     got = spark.table("tumbled")
     assert got.select("window", "event_type", "n").exceptAll(want).isEmpty() and got.count() == want.count()
+
+
+def test_strict_fasta(spark, tmp_path):
+    import pytest
+
+    for k, (text, error) in enumerate([("ACGT\n>c1\nAC\n", "before the first"), (">\nAC\n", "without identifier"), (">c1\n>c2\nAC\n", "without sequence")]):
+        (tmp_path / f"{k}.fa").write_text(text)
+        with pytest.raises(Exception, match=error):
+            records.fasta(spark, str(tmp_path / f"{k}.fa"), strict=True).collect()
+    assert [r["id"] for r in records.fasta(spark, str(tmp_path / "0.fa")).collect()] == ["c1"]
+    (tmp_path / "p.faa").write_text(">c1_1 # 5 # 10 # 1 # x\nMK*\n>c1_2 # 1 # 4 # -1 # x\nMV\n")
+    contigs = spark.createDataFrame([("c1", 10)], "contig string, length long")
+    got = {r["orf"]: (r["start"], r["strand"], r["seq"], r["place"]) for r in records.proteins(spark, str(tmp_path / "p.faa"), contigs).collect()}
+    assert got == {"c1_1": (5, 1, "MK", 1), "c1_2": (1, -1, "MV", 0)}
+    with pytest.raises(Exception, match="outside the contig"):
+        records.proteins(spark, str(tmp_path / "p.faa"), contigs.withColumn("length", F.lit(9).cast("long"))).collect()
+
+
+def test_strict_tables_and_pairs(spark, tmp_path):
+    import pytest
+
+    (tmp_path / "h3").write_text("g1\t50.5\t562;0\ng2\t3\tNA\n")
+    assert [(r["qseqid"], r["bitscore"], r["taxids"]) for r in records.strict_hits(spark, str(tmp_path / "h3")).collect()] == [("g1", 50.5, [562]), ("g2", 3.0, [])]
+    for k, bad in enumerate(["g1\t-1\t5\n", "g1\tinf\t5\n", "g1\t5\n"]):
+        (tmp_path / f"bad{k}").write_text(bad)
+        with pytest.raises(Exception, match="not a hit"):
+            records.strict_hits(spark, str(tmp_path / f"bad{k}")).collect()
+    with pytest.raises(ValueError, match="missing columns: original"):
+        (tmp_path / "m.csv").write_text("contig,length\nc,1\n")
+        records.contig_map(spark, str(tmp_path / "m.csv"))
+    for name in ("a_R1.fastq.gz", "a_R2.fastq.gz", "b_1.fq", "notes.txt"):
+        (tmp_path / "reads" / name).parent.mkdir(exist_ok=True)
+        (tmp_path / "reads" / name).write_text("@r\n")
+    got = {r["sample"]: (r["r1"] is not None, r["r2"] is not None) for r in records.file_pairs(spark, str(tmp_path / "reads")).collect()}
+    assert got == {"a": (True, True), "b": (True, False)}
+    (tmp_path / "bins" / "genus").mkdir(parents=True)
+    (tmp_path / "bins" / "genus" / "G1.fasta").write_text(">c1 x\nac\ngt\n>c2\nGG\n")
+    assert sorted((r["bin"], r["id"], r["seq"]) for r in records.bin_sequences(spark, str(tmp_path / "bins")).collect()) == [("G1", "c1", "ACGT"), ("G1", "c2", "GG")]
+    (tmp_path / "bins" / "genus" / "summary.tsv").write_text("bin\tbp\nG1\t6\n")
+    assert [(r["rank"], r["bin"], r["bp"]) for r in records.summaries(spark, str(tmp_path / "bins"), ["bin", "bp"]).collect()] == [("genus", "G1", "6")]
+
+
+def test_models_are_checked(spark, tmp_path):
+    import pytest
+
+    (tmp_path / "p.hmm").write_text("HMMER3/f\nNAME  a\nACC   M1\nLENG  50\nALPH  amino\nGA    20.5 18;\nHMM\n//\nHMMER3/f\nNAME  b\nACC   M2\nLENG  60\nALPH  amino\nTC    10 9;\nGA    1 1;\n//\n")
+    m = records.model_headers(spark, str(tmp_path / "p.hmm"))
+    assert sorted((r["accession"], r["length"], r["seq_cut"], r["dom_cut"]) for r in m.collect()) == [("M1", 50, 20.5, 18.0), ("M2", 60, 10.0, 9.0)]
+    assert records.checked_panel(m, m.select("accession", "body_sha")).count() == 2
+    with pytest.raises(Exception, match="changed model"):
+        records.checked_panel(m, spark.createDataFrame([("M1", "x")], "accession string, body_sha string")).collect()
