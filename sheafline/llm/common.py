@@ -21,17 +21,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder of spark.checkpoint.dir; a temporary one only where the session names none, as in tests."""
+    """The shared folder of spark.checkpoint.dir; a temporary one only in a local session that names none, as in tests."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
     set_ = spark.sparkContext._jsc.sc().getCheckpointDir()
     if set_.isEmpty():
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
         set_ = spark.sparkContext._jsc.sc().getCheckpointDir()
     return set_.get().rstrip("/")
 
 
+#: Tables that written() has made and no one has removed.
+TABLES: list[str] = []
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Writes a table in the shared folder and reads it again.
 
@@ -40,9 +46,29 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """
     path = f"{scratch_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    TABLES.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove_tables(spark: SparkSession, since: int = 0, keep_last: bool = True) -> None:
+    """Removes the tables written from a place of the list on, but for the last one; for callers whose result is written by then."""
+    gone = TABLES[since : len(TABLES) - keep_last]
+    for path in gone:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+        TABLES.remove(path)
+
+
+def columns(df: DataFrame) -> list:
+    """All columns, whatever is in their names."""
+    return [F.col(f"`{c}`") for c in df.columns]
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    """doc_id, text (null as empty) and row, a struct of the whole row, which keeps every column of any name."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), F.struct(*columns(docs)).alias("row"))
+
+
 def texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id and text alone, a null text as an empty one; any other column of the input is left out."""
     return docs.select(docs[doc_id].cast("long").alias("doc_id"), F.coalesce(docs[text].cast("string"), F.lit("")).alias("text"))

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, written
+from .common import WORD, columns, written
 from .quality import log_factorial
 
 WEIGHTS, SHARE, MOST, SEED = (3, 1, 2), 1.5, 2, 7
@@ -33,7 +33,7 @@ BLOCKS, SHARDS, BLOCK, SHARD = 4096, 16, 20_000, 50_000_000
 def measured(docs: DataFrame, seed: int = SEED) -> DataFrame:
     """doc_id, source, _size, _hash, and the whole row as a struct row, which keeps every column of any name."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    row = F.struct(*columns(docs)).alias("row")
     return docs.select("doc_id", "source", F.regexp_count(text, F.lit(WORD)).cast("long").alias("_size"), F.xxhash64(F.lit(seed), F.col("doc_id"), text).alias("_hash"), row)
 
 

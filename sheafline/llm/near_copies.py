@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import apart, texts, written
+from .common import apart, packed, texts, written
 from .components import components
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -299,8 +299,8 @@ def drop_near_copies(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame
     Documents are told apart by id and text: null and repeated ids are no copies of each other. All rows without words stay.
     """
     _, per_node = _classes(docs, threshold)
-    kept = per_node.where("node = class_node").select(F.col("node").alias("_kept"), F.col("doc_id").alias("_id"))
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    keyed = docs.withColumn("_node", F.xxhash64(text))
-    one = keyed.where(text.rlike(WORD.pattern)).join(kept, (F.col("_node") == F.col("_kept")) & F.col("doc_id").cast("long").eqNullSafe(F.col("_id")), "left_semi").dropDuplicates(["_node"])
-    return one.unionByName(keyed.where(~text.rlike(WORD.pattern))).drop("_node")
+    kept = per_node.where("node = class_node").select(F.col("node").alias("kept"), F.col("doc_id").alias("kept_id"))
+    keyed = packed(docs).withColumn("node", F.xxhash64("text"))
+    spoken = F.col("text").rlike(WORD.pattern)
+    one = keyed.where(spoken).join(kept, (F.col("node") == F.col("kept")) & F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi").dropDuplicates(["node"])
+    return one.unionByName(keyed.where(~spoken)).select("row.*")

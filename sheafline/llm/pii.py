@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, SPACE_SQL, texts, written
+from .common import SPACE, SPACE_SQL, packed, texts, written
 
 DISCLOSURE, LEAST_TOGETHER, NEAR, BOUND = 0.8, 2, 8, 1.96
 #: Items folded at a time.
@@ -207,6 +207,6 @@ def sanitise(docs: DataFrame, disclosure: float = DISCLOSURE, together: int = LE
         f"ELSE named_struct('out', a.out, 'at', greatest(a.at, x.end)) END"
     )
     fold = f"aggregate(_spans, named_struct('out', cast(array() AS array<string>), 'at', 0), {step}, a -> array_join(concat(a.out, array(substring(text, a.at + 1))), ''))"
-    clean = F.expr(f"CASE WHEN _spans IS NULL OR text IS NULL THEN text ELSE {fold} END")
-    keyed = docs.withColumn("_key", F.xxhash64(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit(""))))
-    return keyed.join(found, "_key", "left").withColumn("text", clean).select(*docs.columns)
+    keyed = packed(docs).withColumn("_key", F.xxhash64("doc_id", "text")).join(found, "_key", "left")
+    clean = F.expr(f"CASE WHEN _spans IS NULL OR row.text IS NULL THEN row.text ELSE {fold} END")
+    return keyed.select(F.col("row").withField("text", clean).alias("row")).select("row.*")

@@ -26,6 +26,36 @@ def test_swapped_terms_score_alike():
     assert held.score("stupid idiot crowd") > 0.7
 
 
+def test_train_equals_fit_in_one_process(spark):
+    """Spark's counts and rows give the model that plain Python fits on the same documents."""
+    d = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{d}/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.train(docs, labels)
+    rows = docs.join(labels.where("toxic IS NOT NULL"), "doc_id").where(~toxicity.held_out(F.col("doc_id"))).orderBy("doc_id").collect()
+    plain = toxicity.fit([(r["text"] or "", r["toxic"]) for r in rows])
+    assert model.weights.keys() == plain.weights.keys() and len(model.weights) > 20
+    assert max(abs(w - plain.weights[f]) for f, w in model.weights.items()) < 1e-6 and abs(model.bias - plain.bias) < 1e-6
+    for r in rows[:50]:
+        assert abs(model.score(r["text"] or "") - plain.score(r["text"] or "")) < 1e-6
+
+
+def test_neutral_mentions_are_no_longer_flagged():
+    """Where abuse is often aimed at some groups, the penalty lowers the false positives on neutral mentions of them."""
+    import random
+
+    rng = random.Random(6)
+    calm = "met for lunch in the old town and talked about music food and the long summer".split()
+    rude = "stupid idiot filth scum".split()
+    make = lambda g, bad: " ".join(rng.sample(calm, 6) + [g, "people"] + (rng.sample(rude, 1) if bad and rng.random() < 0.7 else []) + rng.sample(calm, 5))
+    aimed, others = ["muslim", "gay", "immigrant"], ["christian", "white", "young"]
+    rows = [(make(rng.choice(aimed), True), 1) for _ in range(300)] + [(make(rng.choice(others if rng.random() < 0.9 else aimed), False), 0) for _ in range(300)]
+    neutral = [make(g, False) for g in aimed for _ in range(60)]
+    flagged = lambda m: sum(m.score(t) >= toxicity.THRESHOLD for t in neutral)
+    plain, held = toxicity.fit(rows, counterfactual=0.0), toxicity.fit(rows)
+    assert flagged(plain) >= 30 and flagged(held) <= flagged(plain) / 3
+    assert sum(held.score(t) >= toxicity.THRESHOLD for t, y in rows if y and any(w in t.split() for w in rude)) >= 150
+
+
 def test_one_label_or_none():
     assert toxicity.fit([]).score("anything") == 0.5
     assert 0 <= toxicity.fit([("a", 1), ("b", 1)]).score("") <= 1

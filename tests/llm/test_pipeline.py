@@ -73,3 +73,30 @@ def test_mixture_and_encoding(stages):
 def test_run_equals_the_stages(spark, small):
     out = corpus_pipeline.run(spark, small)
     assert out.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] and out.where(F.col("n_tokens") <= 0).count() == 0
+
+
+def test_clashing_columns_null_and_repeated_ids_through_all_stages(spark, small):
+    """Every stage keeps extra columns of any name, and tells documents apart by id and text."""
+    names = ["_size", "_hash", "_block", "_draws", "_taken", "_node", "_kept", "_id", "_key", "_spans", "shard", "place", "node", "row", "score", "key", "found", "a.b"]
+    docs = spark.read.parquet(f"{small}/documents.parquet").limit(60)
+    words = lambda k: " ".join(f"w{k}x{i}" for i in range(40))
+    odd = [(None, words(1), "en", None, 1), (None, words(2), "en", None, 1), (7_000_001, words(3), "en", "s", 1), (7_000_001, words(4), "en", "s", 1), (None, None, None, None, None), (7_000_002, words(3) + " more", "en", "s", 1)]
+    docs = docs.unionByName(spark.createDataFrame(odd, docs.schema))
+    for n in names:
+        docs = docs.withColumn(n, F.lit(f"is {n}"))
+    now = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        now = stage(spark, now, small).cache()
+        assert now.columns == docs.columns and now.dtypes == docs.dtypes, name
+        assert all(r[n] == f"is {n}" for r in now.select(*[F.col(f"`{n}`").alias(n) for n in names]).distinct().collect() for n in names), name
+        if name == "near copies":
+            texts = sorted(r["text"] for r in now.where("text LIKE 'w%x0 %'").collect())
+            assert texts == sorted(words(k) for k in (1, 2, 3, 4))
+            assert now.where("text IS NULL").count() == 1
+    assert corpus_pipeline.STAGES[-1][1](spark, now, small).count() == now.count()
+
+
+def test_empty_tables_through_all_stages(spark, small, tmp_path):
+    for t in ("documents", "labels"):
+        spark.read.parquet(f"{small}/{t}.parquet").limit(0).write.parquet(f"{tmp_path}/{t}.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0

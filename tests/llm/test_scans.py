@@ -136,6 +136,20 @@ def test_random_keys_of_all_lengths_without_long_words(spark):
     assert sum("[SECRET]" in r["text"] for r in clean) == sum(hits.values())
 
 
+def test_random_keys_in_the_given_table(spark):
+    """Keys of four lengths planted among the documents of the given table, outside the base patterns."""
+    import random
+
+    rng = random.Random(11)
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    keys = {9_000_000 + i: "".join(rng.choice(secrets.ALNUM) for _ in range([18, 32, 40, 64][i % 4] - 2)) + "7k" for i in range(200)}
+    planted = spark.createDataFrame([(i, f"the note says {k} and no more") for i, k in keys.items()], "doc_id long, text string")
+    got = secrets.find_secrets(docs.unionByName(planted)).where("spans LIKE '%random%'").select("doc_id", "spans").collect()
+    hits = {n: sum(r["doc_id"] in keys and len(keys[r["doc_id"]]) == n for r in got) for n in (18, 32, 40, 64)}
+    assert all(n >= 45 for n in hits.values()), hits
+    assert sum(r["doc_id"] not in keys for r in got) <= 2
+
+
 def luhn(d):
     return sum(x if i % 2 == 0 else (2 * x - 9 if x > 4 else 2 * x) for i, x in enumerate(map(int, reversed(d)))) % 10 == 0
 
