@@ -12,24 +12,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheafline.llm import byte_bpe, mixing, near_copies, secrets, toxicity
-from sheafline.llm.common import table, written
+from sheafline.llm import byte_bpe, common, mixing, near_copies, secrets, toxicity
+from sheafline.llm.common import columns, table, written
 
 
 def _as_documents(found: DataFrame, like: DataFrame) -> DataFrame:
     """The columns of documents; n_chars follows the text where it is there."""
     if "n_chars" in like.columns:
         found = found.withColumn("n_chars", F.length("text").cast(like.schema["n_chars"].dataType))
-    return found.select(*like.columns)
+    return found.select(*columns(like))
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
-    return toxicity.drop_toxic(docs, model).select(*docs.columns)
+    return toxicity.drop_toxic(docs, model).select(*columns(docs))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return near_copies.drop_near_copies(docs).select(*docs.columns)
+    return near_copies.drop_near_copies(docs).select(*columns(docs))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,5 +52,8 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for k, (_, stage) in enumerate(STAGES):
+        before = len(common.TABLES)
         docs = written(stage(spark, docs, sf_dir), f"stage-{k}")
+        # the stage's own tables, and the stage before, are not needed any more
+        common.remove_tables(spark, max(0, before - (k > 0)))
     return docs
