@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from .common import texts
 
 #: Pieces that a task keeps in each of two generations, and the characters that a piece has at most to be kept.
-KEPT_PIECES, LONGEST_KEPT = 150_000, 48
+KEPT_PIECES, LONGEST_KEPT = 120_000, 48
 ADJOINING = re.compile(r"\s\s")
 CUT = re.compile(r"(?<=\S) (?=\S)")
 

@@ -109,16 +109,20 @@ def blocks(sizes: DataFrame, aims: DataFrame, shards: int = SHARDS, seed: int =
     shares = quotas(items.groupBy("place").agg(F.count("*").alias("n")), shards, seed)
     dealt = ranked.alias("r").join(shares.hint("merge").alias("q"), (F.col("r.place") == F.col("q.place")) & (F.col("r.rank") >= F.col("q.first")) & (F.col("r.rank") < F.col("q.last")))
     lists = dealt.groupBy("r.place", "r._block").agg(F.expr("transform(array_sort(collect_list(struct(r.pass, q.shard))), x -> x.shard)").alias("shards"))
-    return wanted.join(lists.hint("merge"), ["place", "_block"], "left").select("source", "_block", "source_size", "target", "whole", "wanted", "shards")
+    return wanted.join(lists.hint("merge"), ["place", "_block"], "left").select("source", "_block", "words", "source_size", "target", "whole", "wanted", "shards")
 
 
 def draw(rows: DataFrame, plan: DataFrame, seed: int = SEED) -> DataFrame:
-    """The rows with _source_size, _target, _taken and _draws: an array of shard, order within it, and words taken."""
+    """The rows with _source_size, _target, _taken and _draws: an array of shard, order within it, and words taken.
+
+    Only a source's block that crosses its target needs its documents in order; all other blocks are taken whole or not.
+    """
     renamed = plan.select(*[F.col(c).alias(f"_plan_{c}") for c in plan.columns])
-    # the plan grows with the corpus, so both sides are shuffled by block
-    both = rows.join(renamed.hint("merge"), rows["source"].eqNullSafe(F.col("_plan_source")) & (rows["_block"] == F.col("_plan__block")))
+    both = rows.join(renamed, rows["source"].eqNullSafe(F.col("_plan_source")) & (rows["_block"] == F.col("_plan__block")))
+    crossing = (F.col("_plan_wanted") > 0) & (F.col("_plan_wanted") < F.col("_plan_words"))
     before = Window.partitionBy("_plan_source", "_plan__block").orderBy("_hash", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
-    some = both.withColumn("_part", F.greatest(F.lit(0), F.least("_size", F.col("_plan_wanted") - F.coalesce(F.sum("_size").over(before), F.lit(0)))))
+    cut = both.where(crossing).withColumn("_part", F.greatest(F.lit(0), F.least("_size", F.col("_plan_wanted") - F.coalesce(F.sum("_size").over(before), F.lit(0)))))
+    some = both.where(~crossing).withColumn("_part", F.when(F.col("_plan_wanted") > 0, F.col("_size")).otherwise(F.lit(0))).unionByName(cut)
     order = f"xxhash64({seed}, i, _hash)"
     whole = f"CASE WHEN _size > 0 AND _plan_whole > 0 THEN transform(sequence(1, _plan_whole), i -> struct(_plan_shards[i - 1] AS shard, {order} AS place, _size AS words)) ELSE cast(array() AS array<struct<shard:int,place:bigint,words:bigint>>) END"
     part = f"CASE WHEN _part > 0 THEN array(struct(_plan_shards[_plan_whole] AS shard, {order.replace('i,', '0,')} AS place, _part AS words)) ELSE cast(array() AS array<struct<shard:int,place:bigint,words:bigint>>) END"
@@ -147,12 +151,13 @@ def drawn(docs: DataFrame, shards: int | None = None, seed: int = SEED) -> DataF
     """doc_id, size, source_size, target, taken and draws, shard:words for each draw, of every document."""
     sizes, plan, _ = prepare(docs, shards, seed)
     show = F.expr("array_join(transform(_draws, x -> concat(x.shard, ':', x.words)), ',')")
-    return draw(sizes, plan, seed).select("doc_id", F.col("_size").alias("size"), F.col("_source_size").alias("source_size"), F.col("_target").alias("target"), F.col("_taken").alias("taken"), show.alias("draws"))
+    return draw(sizes, plan.hint("merge"), seed).select("doc_id", F.col("_size").alias("size"), F.col("_source_size").alias("source_size"), F.col("_target").alias("target"), F.col("_taken").alias("taken"), show.alias("draws"))
 
 
 def placed(docs: DataFrame, shards: int | None = None, seed: int = SEED) -> DataFrame:
     """row (a struct of the document's columns, a document taken in part with its first words), shard and place, once for each draw."""
     _, plan, count = prepare(docs, shards, seed)
+    # the plan grows with the corpus: Spark sends it to every task only while the written table is under its threshold
     each = draw(in_blocks(measured(docs, seed), count, seed), plan, seed).select("row", "_size", F.explode("_draws").alias("_draw"))
     first = F.expr(r"array_join(slice(filter(split(row.text, '[\\x20\\x09-\\x0D]+'), w -> w != ''), 1, int(_draw.words)), ' ')")
     text = F.when(F.col("_draw.words") < F.col("_size"), first).otherwise(F.col("row.text"))
@@ -160,5 +165,9 @@ def placed(docs: DataFrame, shards: int | None = None, seed: int = SEED) -> Data
 
 
 def mixture(docs: DataFrame, shards: int | None = None, seed: int = SEED) -> DataFrame:
-    """The mixed documents with their own columns, brought together by shard and in the shuffled order within it."""
-    return placed(docs, shards, seed).repartition("shard").sortWithinPartitions("shard", "place").select("row.*")
+    """The mixed documents with their own columns, shard after shard and in the shuffled order within each.
+
+    Tasks take ranges of shards and places, so that a shard may be larger than a task.
+    """
+    order = ["shard", "place"]
+    return placed(docs, shards, seed).repartitionByRange(*order).sortWithinPartitions(*order).select("row.*")
