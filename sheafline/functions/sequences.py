@@ -126,5 +126,6 @@ def terminal_overlap(least: int = 30, most: int = 10_000):
 
 
 def human_bp(n: Column) -> Column:
-    """1234567 as 1.23 Mb."""
-    return F.when(n >= 1_000_000, F.format_string("%.2f Mb", n / 1e6)).when(n >= 1000, F.format_string("%.1f kb", n / 1e3)).otherwise(F.format_string("%d bp", n.cast("long")))
+    """1234567 as 1.23 Mb; halves go to the even digit."""
+    shown = lambda unit, places, name: F.format_string(f"%.{places}f {name}", F.bround(n / unit, places))
+    return F.when(n >= 1_000_000, shown(1e6, 2, "Mb")).when(n >= 1000, shown(1e3, 1, "kb")).otherwise(F.format_string("%d bp", n.cast("long")))

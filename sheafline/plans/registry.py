@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import assembly, biology, bins, files, networks, reads, reporting, taxa, upkeep
+from . import assembly, biology, bins, files, networks, panels, reads, reporting, taxa, upkeep
 
-MODULES = (assembly, networks, reporting, biology, upkeep, reads, taxa, bins, files)
+MODULES = (assembly, networks, reporting, biology, upkeep, reads, taxa, bins, files, panels)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
