@@ -59,6 +59,17 @@ def remove_tables(spark: SparkSession, since: int = 0, keep_last: bool = True) -
         TABLES.remove(path)
 
 
+#: Rows that Python gets at a time; ten thousand texts, which is Spark's default, can be more than a worker should hold.
+BATCH_ROWS = 512
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bounds the batches of texts that go to Python; a session that has set a number of its own keeps it."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def columns(df: DataFrame) -> list:
     """All columns, whatever is in their names."""
     return [F.col(f"`{c}`") for c in df.columns]
@@ -71,6 +82,7 @@ def packed(docs: DataFrame) -> DataFrame:
 
 def texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id and text alone, a null text as an empty one; any other column of the input is left out."""
+    small_batches(docs.sparkSession)
     return docs.select(docs[doc_id].cast("long").alias("doc_id"), F.coalesce(docs[text].cast("string"), F.lit("")).alias("text"))
 
 

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import texts, written
+from .common import small_batches, texts, written
 
 # The base patterns and the order of their kinds.
 ASSIGN = re.compile(
@@ -277,6 +277,7 @@ def redact(docs: DataFrame, mask: str = "[SECRET]", rate: float = RATE) -> DataF
 
     The text is read twice: once for the corpus's model and thresholds and once to replace, so that it need not be kept aside.
     """
+    small_batches(docs.sparkSession)
     scanned = written(scan(docs, rate).select("cand", "ordinary"), "secret-counts")
     model = fit(scanned)
     least = thresholds(with_cells(scanned, model), rate)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import texts, written
+from .common import small_batches, texts, written
 
 #: Labelled documents of each label that the fit takes at most.
 MOST_LABELLED = 4000
@@ -228,6 +228,7 @@ def score_texts(docs: DataFrame, model: Model, threshold: float = THRESHOLD) ->
 
 def drop_toxic(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """The documents that are not predicted toxic, with all their columns."""
+    small_batches(docs.sparkSession)
 
     @F.pandas_udf("double")
     def score(series):
