@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import binning, metrics
 from ..session import table
 from . import taxa
-from .shapes import shape, sql
+from .shapes import crc_sql, shape, sql
 
 CALL_RANKS = ["domain", "kingdom", "genus"]
 
@@ -292,6 +292,7 @@ SELECT decision, count(*) AS contigs, CAST(sum(length) AS BIGINT) AS bp FROM r W
     "q122_exclusions": f"WITH {_PRE} SELECT contig, string_agg(DISTINCT why, ';' ORDER BY why) AS why FROM excl GROUP BY 1",
     "q123_audit_estimate": f"""WITH {_PRE}, r AS (SELECT length, audited, audited AND domain IN ('Bacteria','Archaea') AS good FROM aud WHERE decision IN ('skip_eukarya','skip_organelle'))
 SELECT count(*) FILTER (audited) AS audited, count(*) FILTER (good) AS prokaryotic, round(CAST(coalesce(sum(length) FILTER (good), 0) AS DOUBLE) / greatest(coalesce(sum(length) FILTER (audited), 0), 1) * sum(length), 2) AS estimated_bp FROM r""",
+    "q123b_audit_sample": f"WITH {_PRE} SELECT decision, count(*) FILTER (decision LIKE 'skip%' AND orfs > 0 AND {crc_sql('CAST(contig AS VARCHAR)')} < {int(0.5 * 2**32)}) AS audited, count(*) AS contigs FROM pre GROUP BY 1",
     "q124_eligibility": f"""WITH {_M}, s AS (SELECT bin, domain, sum(length) AS bp, count(*) AS n FROM members WHERE bin <> 'Unclassified' GROUP BY ALL), p AS (SELECT bin, CAST(sum(n) AS BIGINT) AS contigs, CAST(sum(bp) AS BIGINT) AS bp, arg_min(domain, (-bp, domain)) AS domain FROM s GROUP BY 1)
 SELECT bin, contigs, bp, CASE WHEN starts_with(bin, 'unclassified_') THEN 'mixed' ELSE domain END AS domain, CASE WHEN starts_with(bin, 'unclassified_') THEN 'catch_all' WHEN domain NOT IN ('Bacteria','Archaea') THEN 'domain' WHEN bp > 800000 THEN 'size' END AS skip FROM p""",
     "q125_triage": f"""WITH {_PRE}, t AS (SELECT contig, CASE WHEN length < 3000 THEN 'uncertain_short_retained' WHEN round(density, 4) < 0.35 THEN 'eukaryotic_like_quarantined' ELSE 'prokaryotic_like_retained' END AS call, orfs FROM pre)

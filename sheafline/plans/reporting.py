@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import checks, metrics, select
 from ..session import table
+from .shapes import crc_sql
 
 
 def q17_seeded_sample(spark, d):
@@ -149,6 +150,7 @@ def _polygon_sql():
 
 
 SQL = {
+    "q17_seeded_sample": f"SELECT doc_id, n_chars FROM documents WHERE {crc_sql('CAST(doc_id AS VARCHAR)')} < {int(0.25 * 2**32)}",
     "q18_semi_anti_union": """SELECT c_custkey, 'many' AS why FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders GROUP BY 1 HAVING count(*) >= 12)
 UNION ALL SELECT c_custkey, 'no_big' FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice > 200000)""",
     "q19_left_join_defaults": "SELECT doc_id, CAST(coalesce(quality, -1) AS BIGINT) AS quality, CASE WHEN toxic IS NULL THEN 'NA' WHEN toxic = 1 THEN 'true' ELSE 'false' END AS toxic_text FROM documents LEFT JOIN labels USING (doc_id)",
@@ -183,4 +185,4 @@ SELECT l_suppkey, CASE WHEN n <= 10 THEN i + 1 ELSE 1 + CAST(round_even(i * (n -
 p AS (SELECT user_id, count(*) AS reads, count(DISTINCT (hour(ts), event_type)) AS starts FROM e WHERE flag & 4 = 0 AND value >= 2 GROUP BY 1)
 SELECT user_id, reads, starts, CASE WHEN reads >= 3 AND starts >= 2 THEN 'junction_read_supported' WHEN reads > 0 THEN 'limited_junction_support' ELSE 'no_unique_junction_support' END AS status FROM p""",
 }
-QUERIES = {name: globals()[name] for name in [*SQL, "q17_seeded_sample"]}
+QUERIES = {name: globals()[name] for name in SQL}

@@ -58,3 +58,12 @@ def shape(spark, d: str, name: str):
 def sql(*names: str) -> str:
     """The shapes as common table expressions."""
     return ", ".join(f"{n} AS (SELECT {', '.join(f'{e} AS {c}' for c, e in SHAPES[n][1].items())} FROM {SHAPES[n][0]})" for n in names)
+
+
+def crc_sql(text: str, start: int = 17) -> str:
+    """DuckDB's SQL for the CRC-32 of a short text of ASCII letters, continued from a start value."""
+    table_ = "range(256)"
+    for _ in range(8):
+        table_ = f"list_transform({table_}, lambda c: xor(c >> 1, 3988292384 * (c & 1)))"
+    bytes_ = f"list_transform(string_split({text}, ''), lambda c: CAST(ascii(c) AS BIGINT))"
+    return f"xor(list_reduce(list_concat([CAST({start ^ 0xFFFFFFFF} AS BIGINT)], {bytes_}), lambda a, x: xor(a >> 8, ({table_})[CAST(xor(a, x) & 255 AS INTEGER) + 1])), 4294967295)"
