@@ -194,12 +194,14 @@ def newick(text: str) -> list[tuple[str, str | None, float | None]]:
 def group_clusters(rows: DataFrame, group: str, features: str, ks: tuple[int, ...] = (2, 3, 4), least: int = 10, good: float = 0.5, seed: int = 7) -> DataFrame:
     """Adds cluster: within each group that is large enough, the number of clusters with the best silhouette, if it is good, else one.
 
-    Groups are the bins of one report, at most a few; each is fitted on its own rows by Spark's k-means.
+    Groups are the bins of one report; each is fitted on its own rows by Spark's k-means, and more than a thousand are an error.
     """
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.evaluation import ClusteringEvaluator
 
-    sizes = {r[group]: r["n"] for r in rows.groupBy(group).agg(F.count("*").alias("n")).orderBy(group).limit(1000).collect()}
+    sizes = {r[group]: r["n"] for r in rows.groupBy(group).agg(F.count("*").alias("n")).orderBy(group).limit(1001).collect()}
+    if len(sizes) > 1000:
+        raise ValueError("too many groups to fit one by one")
     out = None
     for name, n in sizes.items():
         part = rows.where(F.col(group).eqNullSafe(F.lit(name)))

@@ -165,7 +165,7 @@ def q233_group_clusters(spark, d):
 def q234_tree_nodes(spark, d):
     """Nodes of a tree in Newick form, written from the regions and nations and parsed again."""
     rows = table(spark, d, "nation").join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey")).groupBy("r_name").agg(F.concat(F.lit("("), F.array_join(F.array_sort(F.collect_list(F.concat("n_name", F.lit(":"), F.col("n_nationkey") % 4))), ","), F.lit(")'"), F.col("r_name"), F.lit("':2")).alias("t")).orderBy("r_name")
-    text = "(" + ",".join(r["t"] for r in rows.limit(1000).collect()) + ")root;"  # a tree is drawn from one text
+    text = "(" + ",".join(r["t"] for r in rows.collect()) + ")root;"  # a row for each region
     return spark.createDataFrame(report.newick(text), "node string, parent string, length double")
 
 

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sheafline.functions import sequences
-from sheafline.operators import binning, checks, graph, intervals, mapping, metrics, partition, pathways, select, taxonomy, votes
+from sheafline.operators import binning, checks, graph, intervals, mapping, metrics, partition, pathways, report, select, taxonomy, votes
 from sheafline.plans import biology, registry
 
 
@@ -306,3 +306,20 @@ def test_sequence_functions(spark):
     assert sum(got[0][3]) == 6 and got[2][3][5] == 2 and got[2][3][10] == 2  # CC and GG on both strands
     s = "ACGTA" * 2 + "T" * 30 + "ACGTA" * 2
     assert spark.createDataFrame([(s,), ("A" * 20,)], "s string").select(sequences.terminal_overlap(3, 50)("s")).collect()[0][0] == 10
+
+
+def test_finest_rank_and_tree_text():
+    assert binning.finest(["domain", "genus"]) == "genus" and binning.finest(["domain", "genus"], "domain") == "domain" and binning.finest([]) is None
+    assert report.newick("((a:1,'b c':2)x:0.5,d);") == [("node0", None, None), ("x", "node0", 0.5), ("a", "x", 1.0), ("b c", "x", 2.0), ("d", "node0", None)]
+    with pytest.raises(ValueError):
+        report.newick("((a,b);")
+
+
+def test_exact_median_of_counted_values(spark):
+    rng = random.Random(2)
+    rows = [(g, rng.choice([None, 1, 2, 5, 9])) for g in range(6) for _ in range(rng.randint(1, 9))] + [(9, None)]
+    import statistics
+
+    got = {r["g"]: r["median"] for r in metrics.exact_median(spark.createDataFrame(rows, "g int, v int"), ["g"], "v").collect()}
+    held = {g: [v for h, v in rows if h == g and v is not None] for g in range(10)}
+    assert got == {g: statistics.median(v) for g, v in held.items() if v}

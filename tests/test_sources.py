@@ -103,3 +103,15 @@ def test_models_are_checked(spark, tmp_path):
     assert records.checked_panel(m, m.select("accession", "body_sha")).count() == 2
     with pytest.raises(Exception, match="changed model"):
         records.checked_panel(m, spark.createDataFrame([("M1", "x")], "accession string, body_sha string")).collect()
+
+
+def test_unique_and_lower_case(spark, tmp_path):
+    import pytest
+
+    (tmp_path / "a.fa").write_text(">c1_1 # 3 # 9 # -1 # x\nacgt\n>c2_1 # 1 # 6 # 1 # x\nAC\n")
+    assert sorted(r["seq"] for r in records.fasta(spark, str(tmp_path / "a.fa"), upper=False).collect()) == ["AC", "acgt"]
+    assert sorted((r["contig"], r["start"], r["strand"]) for r in records.prodigal(spark, str(tmp_path / "a.fa")).collect()) == [("c1", 3, -1), ("c2", 1, 1)]
+    seqs = spark.createDataFrame([("a", "x"), ("b", "y")], "id string, seq string")
+    assert records.must_be_unique(seqs).count() == 2
+    with pytest.raises(Exception, match="Duplicate identifier: a"):
+        records.must_be_unique(seqs.unionByName(seqs.limit(1).select(F.lit("a").alias("id"), "seq"))).collect()
