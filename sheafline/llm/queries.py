@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, hard_negatives, licenses, long_repeats, mixing, near_copies, neighbours, phrases, pii, quality, secrets, toxicity
+from . import byte_bpe, hard_negatives, licenses, long_repeats, mixing, near_copies, neighbours, packing, phrases, pii, quality, secrets, toxicity
 from .common import table
 
 
@@ -52,6 +52,10 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_personal_data(table(spark, sf_dir, "documents")).drop("found")
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.top_phrases(phrases.phrases(table(spark, sf_dir, "documents")))
 
@@ -61,7 +65,7 @@ def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality, op2_neighbours, op3_near_copies, op4_long_repeats, op5_toxicity, op6_licenses, op7_mixing, op8_byte_bpe, op9_secrets, op10_personal_data, op12_phrases, op13_hard_negatives)}
+    return {f.__name__: f for f in (op1_quality, op2_neighbours, op3_near_copies, op4_long_repeats, op5_toxicity, op6_licenses, op7_mixing, op8_byte_bpe, op9_secrets, op10_personal_data, op11_packing, op12_phrases, op13_hard_negatives)}
 
 
 def oracle_sql() -> dict[str, str]:
