@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import written
+
 
 def reconcile(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Each distinct key and where it is: both, left_only or right_only."""
@@ -40,17 +44,24 @@ def same_sets(members: DataFrame, group: str, key: str) -> DataFrame:
     return per.join(F.broadcast(first)).select(group, "n", (F.struct("n", "h", "g") == F.col("f")).alias("same"))
 
 
-def running(rows: DataFrame, order: list, value: Column, name: str) -> DataFrame:
-    """Adds the running sum of a whole number over the whole table in order, the row itself included.
+def running(rows: DataFrame, order: list, value: Column, name: str, group: list[str] | None = None) -> DataFrame:
+    """Adds the running sum of a whole number in order, the row itself included, over the whole table or within each group.
 
-    The table is sorted in ranges; each range sums its own rows and starts from the sum of the ranges before it, so that no
-    task sees all rows. Rows with equal keys follow one another in no set order: give a key that is unique.
+    The table is sorted in ranges and written once, with the number of its range beside each row, so that all that is read of it
+    afterwards agrees on the ranges. Each range sums its own rows and starts from the sum of the ranges before it; no task sees all
+    rows, nor all rows of a large group. Rows with equal keys follow one another in no set order: give a key that is unique.
     """
-    sorted_ = rows.withColumn("_value", F.coalesce(value.cast("long"), F.lit(0))).repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
-    sums = sorted_.groupBy("_part").agg(F.sum("_value").alias("_sum"))
-    before = sums.withColumn("_before", F.coalesce(F.sum("_sum").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("_part", "_before")  # a row for each range
-    inner = F.sum("_value").over(Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
-    return sorted_.withColumn("_inner", inner).join(F.broadcast(before), "_part").withColumn(name, F.col("_before") + F.col("_inner")).drop("_part", "_value", "_inner", "_before")
+    group = group or []
+    ranged = rows.withColumn("_value", F.coalesce(value.cast("long"), F.lit(0))).repartitionByRange(*group, *order).withColumn("_part", F.spark_partition_id())
+    ranged = written(ranged, "ranges")
+    sums = ranged.groupBy(*group, "_part").agg(F.sum("_value").alias("_sum"))
+    # a row for each range, and for each group in it
+    before = F.coalesce(F.sum("_sum").over(Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    before = sums.select(*[F.col(c).alias(f"_g{i}") for i, c in enumerate(group)], F.col("_part").alias("_p"), before.alias("_before"))
+    inner = F.sum("_value").over(Window.partitionBy(*group, "_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    same = [F.col("_part") == F.col("_p"), *[F.col(c).eqNullSafe(F.col(f"_g{i}")) for i, c in enumerate(group)]]
+    met = ranged.withColumn("_inner", inner).join(before, reduce(lambda a, b: a & b, same))
+    return met.withColumn(name, F.col("_before") + F.col("_inner")).drop("_part", "_p", "_value", "_inner", "_before", *[f"_g{i}" for i in range(len(group))])
 
 
 def numbered(rows: DataFrame, order: list, prefix: str, width: int) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import written
+
 
 def reverse_complement(seq: Column) -> Column:
     """The other strand, with ambiguity codes."""
@@ -102,21 +104,26 @@ def resolve_contigs(contigs: DataFrame, aliases: DataFrame, paths: DataFrame, se
     return j.select("contig", place.alias("place"), orient.alias("orient"), method.alias("method"))
 
 
-def closure(parents: DataFrame, most: int = 64) -> DataFrame:
+def closure(parents: DataFrame) -> DataFrame:
     """node, ancestor and distance for a tree given as (node, parent), itself included; roots have no parent or themselves.
 
-    Levels are added until no path goes on; each is cut off by a checkpoint where the session has a folder for them. A tree
-    of more than the most levels, or a circle, is an error.
+    Paths are doubled: in each round a path of full length meets the paths from where it ends, so a tree of any depth takes a number
+    of rounds that grows as the logarithm of it. A node on a circle, or with two parents, is an error.
     """
-    up = cut(parents.where("parent IS NOT NULL AND parent <> node").select(F.col("node").alias("_n"), F.col("parent").alias("_p")))
-    now = parents.select("node", F.col("node").alias("ancestor"), F.lit(0).cast("long").alias("distance")).distinct()
-    out = now
-    for k in range(1, most + 1):
-        now = cut(now.join(up, F.col("ancestor") == F.col("_n")).select("node", F.col("_p").alias("ancestor"), F.lit(k).cast("long").alias("distance")))
-        if now.isEmpty():
-            return out
-        out = out.unionByName(now)
-    raise ValueError(f"the tree has more than {most} levels or a circle")
+    nodes = written(parents.select("node", F.when(F.col("parent") != F.col("node"), F.col("parent")).alias("parent")).distinct(), "tree")
+    if not nodes.groupBy("node").count().where("count > 1").isEmpty():
+        raise ValueError("a node has two parents")
+    known = nodes.count()
+    reach = 1
+    own = nodes.select("node", F.col("node").alias("ancestor"), F.lit(0).cast("long").alias("distance"))
+    paths = written(own.unionByName(nodes.where("parent IS NOT NULL").select("node", F.col("parent").alias("ancestor"), F.lit(1).cast("long").alias("distance"))), "paths")
+    while not (ends := paths.where(F.col("distance") == reach)).isEmpty():
+        if reach > known:
+            raise ValueError("the tree has a circle")
+        on = paths.where("distance > 0").select(F.col("node").alias("_n"), F.col("ancestor").alias("_a"), F.col("distance").alias("_d"))
+        more = ends.join(on, F.col("ancestor") == F.col("_n")).select("node", F.col("_a").alias("ancestor"), (F.col("distance") + F.col("_d")).alias("distance"))
+        paths, reach = written(paths.unionByName(more), "paths"), 2 * reach
+    return paths
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -127,6 +134,50 @@ def cut(df: DataFrame) -> DataFrame:
     return df.cache() if df.sparkSession.sparkContext._jsc.sc().getCheckpointDir().isEmpty() else df.checkpoint()
 
 
+def components(edges: DataFrame, rounds: int = 100) -> DataFrame:
+    """node and component, the least node of its connected component, for edges (u, v) of any order; self-loops make a node known.
+
+    Large and small stars by turns: every node ties its larger neighbours, then all its smaller ones and itself, to the least node it
+    knows, until each component is one star. Only minima are brought together by node, which Spark combines before the shuffle, and
+    the joins back are on a key that is unique on one side; so a hub is never gathered, and a chain takes a number of rounds that
+    grows as the logarithm of its length. Each round is a written table. Edges with a null end are left out.
+    """
+    given = written(edges.where("u IS NOT NULL AND v IS NOT NULL").select("u", "v"), "edges")
+    now = written(given.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
+    settled = lambda e: e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+    state = settled(now)
+    for _ in range(rounds):
+        near = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        least = near.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
+        large = near.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        tied = large.join(least, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
+        now, before = written(tied.select("e.*").where("u <> v").distinct(), "edges"), state
+        state = settled(now)
+        if state == before:
+            break
+    else:
+        raise RuntimeError(f"components did not settle in {rounds} rounds")
+    nodes = given.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+    return nodes.join(now.select(F.col("u").alias("node"), F.col("v").alias("_c")), "node", "left").select("node", F.coalesce("_c", "node").alias("component"))
+
+
+def layers(edges: DataFrame, seeds: DataFrame, most: int = 10_000) -> DataFrame:
+    """Each node that a seed reaches, with its layer, the least number of edges from a seed; edges (u, v) go both ways, seeds has node.
+
+    One round for each layer, over the edges of its newest nodes alone, until none is new.
+    """
+    both = written(edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))).where("u <> v").distinct(), "edges")
+    newest = reached = written(seeds.where("node IS NOT NULL").select("node").distinct().withColumn("layer", F.lit(0).cast("long")), "layer")
+    for k in range(1, most + 1):
+        met = newest.join(both, newest["node"] == both["u"]).select(F.col("v").alias("node")).distinct()
+        newest = written(met.join(reached.select("node"), "node", "left_anti").withColumn("layer", F.lit(k).cast("long")), "layer")
+        if newest.isEmpty():
+            return reached
+        reached = reached.unionByName(newest)
+    raise RuntimeError(f"more than {most} layers")
+
+
 def common_ancestor(members: DataFrame, group: str, tree: DataFrame, share: float = 1.0) -> DataFrame:
     """The deepest ancestor that holds a share of each group's distinct members; members: group, node; tree: closure()."""
     distinct = members.select(group, "node").distinct()

@@ -191,32 +191,6 @@ def newick(text: str) -> list[tuple[str, str | None, float | None]]:
     return [(names[k], None if p is None else names[p], None if b is ... else b) for k, (_, p, b) in enumerate(out)]
 
 
-def group_clusters(rows: DataFrame, group: str, features: str, ks: tuple[int, ...] = (2, 3, 4), least: int = 10, good: float = 0.5, seed: int = 7) -> DataFrame:
-    """Adds cluster: within each group that is large enough, the number of clusters with the best silhouette, if it is good, else one.
-
-    Groups are the bins of one report; each is fitted on its own rows by Spark's k-means, and more than a thousand are an error.
-    """
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.evaluation import ClusteringEvaluator
-
-    sizes = {r[group]: r["n"] for r in rows.groupBy(group).agg(F.count("*").alias("n")).orderBy(group).limit(1001).collect()}
-    if len(sizes) > 1000:
-        raise ValueError("too many groups to fit one by one")
-    out = None
-    for name, n in sizes.items():
-        part = rows.where(F.col(group).eqNullSafe(F.lit(name)))
-        best, made = good, part.withColumn("cluster", F.lit(0).cast("long"))
-        for k in ks if n >= least else ():
-            got = KMeans(k=k, seed=seed, featuresCol=features, predictionCol="_p").fit(part).transform(part)
-            if got.select("_p").distinct().count() < 2:
-                continue
-            score = ClusteringEvaluator(featuresCol=features, predictionCol="_p").evaluate(got)
-            if score > best:
-                best, made = score, got.withColumn("cluster", F.col("_p").cast("long")).drop("_p")
-        out = made if out is None else out.unionByName(made)
-    return rows.withColumn("cluster", F.lit(0).cast("long")) if out is None else out
-
-
 def coverage_classes(rows: DataFrame, group: str, value: str) -> DataFrame:
     """group with its number of rows without coverage, and the median of the others."""
     zero = rows.groupBy(group).agg(F.sum((F.coalesce(value, F.lit(0)) == 0).cast("int")).cast("long").alias("hidden"))

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
+
+from ..session import written
+from .checks import running
 
 
 def best_without_tie(rows: DataFrame, group: list[str], score: str, order: list[str], ratio: float = 0.9) -> DataFrame:
@@ -39,18 +42,32 @@ def seeded_sample(key: Column, share: float) -> Column:
 def capped_fill(rows: DataFrame, group: str, order: list[str], size: str, cap: int) -> DataFrame:
     """Rows taken in order as long as they fit under a cap; one that does not fit is passed over and later ones may still fit.
 
-    What fits depends on all rows before, so this is sequential within a group and runs there in Python.
+    In rounds over all groups at once: rows are taken up to the first that does not fit, and of those after it the ones larger than
+    the room left can never fit and go; the rest are the next round's. Running sums are made in sorted ranges, so a large group is
+    spread over tasks. Rows with equal order keys follow one another by their size and then their other columns. A null or negative size takes no room.
     """
-
-    def fill(pdf: pd.DataFrame) -> pd.DataFrame:
-        left, taken = cap, []
-        for x in pdf.sort_values(order, kind="stable")[size].tolist():
-            taken.append(x <= left)
-            left -= x if taken[-1] else 0
-        return pdf.sort_values(order, kind="stable").assign(taken=taken)
-
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema) + ", taken boolean"
-    return rows.groupBy(group).applyInPandas(fill, schema)
+    names = rows.columns
+    # maps have no order; their text has
+    key = [F.to_json(c) if isinstance(rows.schema[c].dataType, MapType) else F.col(c) for c in names if c not in (group, size, *order)]
+    numbered = written(running(rows.withColumn("_size", F.greatest(F.coalesce(F.col(size).cast("long"), F.lit(0)), F.lit(0))), [*map(F.col, order), F.col("_size"), *key], F.lit(1), "_k", [group]), "fill")
+    rest = numbered.select(group, "_k", "_size").where(F.col("_size") <= cap)
+    room, taken = None, None
+    while not rest.isEmpty():
+        summed = running(rest, [F.col("_k")], F.col("_size"), "_sum", [group])
+        left = F.lit(cap).cast("long") if room is None else F.col("_room")
+        at = summed if room is None else summed.join(room, summed[group].eqNullSafe(room["_g"])).drop("_g")
+        at = written(at.withColumn("_left", left).drop("_room"), "fill")
+        # sizes are not negative, so sums only grow and the taken rows of a round come before its first misfit
+        now = at.where("_sum <= _left").select(group, "_k")
+        taken = now if taken is None else taken.unionByName(now)
+        per = at.groupBy(F.col(group).alias("_g")).agg((F.max("_left") - F.coalesce(F.max(F.when(F.col("_sum") <= F.col("_left"), F.col("_sum"))), F.lit(0))).alias("_room"))
+        room = written(per, "fill")
+        rest = written(at.where("_sum > _left").join(room, at[group].eqNullSafe(room["_g"])).where("_size <= _room").select(group, "_k", "_size"), "fill")
+    if taken is None:
+        return numbered.select(*names, F.lit(False).alias("taken"))
+    t = taken.select(F.col(group).alias("_g"), F.col("_k").alias("_t"))
+    met = numbered.join(t, numbered[group].eqNullSafe(t["_g"]) & (F.col("_k") == F.col("_t")), "left")
+    return met.select(*names, F.col("_t").isNotNull().alias("taken"))
 
 
 def search(columns: list[str], query: str) -> Column:
@@ -85,18 +102,3 @@ def centroids(rows: DataFrame, group: str, vector: str) -> DataFrame:
     """group and centre: the mean of each component of whole-number vectors, rounded down."""
     parts = rows.select(group, F.posexplode(vector).alias("_i", "_x")).groupBy(group, "_i").agg(F.floor(F.avg("_x")).cast("long").alias("_c"))
     return parts.groupBy(group).agg(F.transform(F.array_sort(F.collect_list(F.struct("_i", "_c"))), lambda x: x["_c"]).alias("centre"))
-
-
-def nearest_centroid(rows: DataFrame, key: str, vector: str, centres: DataFrame, ratio: float) -> DataFrame:
-    """key, nearest group, distance and clear (the second nearest is farther by the ratio); centres: group, centre.
-
-    Each row meets each centre once; distances are reduced to the two least of a row before the shuffle ends. The centres are few
-    against the rows, and Spark decides by their size how they travel.
-    """
-    group = next(c for c in centres.columns if c != "centre")
-    dist = F.aggregate(F.zip_with(vector, "centre", lambda a, b: (a - b) * (a - b)), F.lit(0).cast("long"), lambda s, x: s + x)
-    listed = centres.agg(F.array_sort(F.collect_list(F.struct(F.col(group).alias("g"), "centre"))).alias("_all"))
-    both = rows.join(F.broadcast(listed)).select(key, vector, F.explode("_all").alias("_c")).select(key, F.col("_c.g").alias("g"), vector, F.col("_c.centre").alias("centre"))  # one row
-    near = both.select(key, F.struct(dist.alias("d"), "g").alias("x")).groupBy(key).agg(F.slice(F.array_sort(F.collect_list("x")), 1, 2).alias("two"))
-    d = lambda i: F.sqrt(F.get("two", F.lit(i))["d"].cast("double"))
-    return near.select(key, F.col("two")[0]["g"].alias("nearest"), F.round(d(0), 6).alias("distance"), F.coalesce(d(0) <= ratio * d(1), F.lit(True)).alias("clear"))

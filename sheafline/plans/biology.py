@@ -68,13 +68,6 @@ def q40_capped_fill(spark, d):
     return select.capped_fill(line, "l_suppkey", ["l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice"], "q", 500)
 
 
-def q41_centroid_ratio(spark, d):
-    """Nearest and second nearest label centre of each vector within its centre's radius, kept if the ratio of distances is small enough."""
-    e = table(spark, d, "embeddings").select("vec_id", "label", F.transform(F.slice("embedding", 1, 16), lambda x: F.floor(x * 1024).cast("long")).alias("v"))
-    centres = select.centroids(e, "label", "v")
-    return select.nearest_centroid(e, "vec_id", "v", centres, 0.97).select("vec_id", "nearest", "distance", "clear")
-
-
 def q42_gc(spark, d):
     s = _sequences(spark, d)
     return s.select("id", sequences.gc_percent(F.col("seq")).alias("gc"), F.round(sequences.gc_weighted(F.col("seq")), 4).alias("gc_eq"))
@@ -256,11 +249,6 @@ SELECT user_id, CAST(max(v4) AS BIGINT) AS slots_matched FROM st GROUP BY 1""",
     "q40_capped_fill": """WITH RECURSIVE l AS (SELECT l_suppkey, l_orderkey, l_linenumber, l_partkey, l_extendedprice, CAST(floor(l_quantity) AS BIGINT) AS q, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber, l_partkey, l_extendedprice) AS k FROM lineitem),
 st AS (SELECT DISTINCT l_suppkey, CAST(0 AS BIGINT) AS k, CAST(500 AS BIGINT) AS room, false AS taken FROM l UNION ALL SELECT l.l_suppkey, l.k, CASE WHEN q <= room THEN room - q ELSE room END, q <= room FROM st JOIN l ON l.l_suppkey = st.l_suppkey AND l.k = st.k + 1)
 SELECT l.l_suppkey, l_orderkey, l_linenumber, l_partkey, l_extendedprice, q, taken FROM l JOIN st ON st.l_suppkey = l.l_suppkey AND st.k = l.k""",
-    "q41_centroid_ratio": """WITH e AS (SELECT vec_id, label, list_transform(embedding[1:16], lambda x: CAST(floor(CAST(x AS DOUBLE) * 1024) AS BIGINT)) AS v FROM embeddings), u AS (SELECT label, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM e),
-c AS (SELECT label, i, CAST(floor(avg(x)) AS BIGINT) AS x FROM u GROUP BY ALL), cs AS (SELECT label, list(x ORDER BY i) AS c FROM c GROUP BY 1),
-m AS (SELECT vec_id, cs.label, list_sum(list_transform(range(1, 17), lambda i: (v[i] - c[i]) * (v[i] - c[i]))) AS d FROM e CROSS JOIN cs),
-k AS (SELECT vec_id, label, d, row_number() OVER w AS p, lead(d) OVER w AS nx FROM m WINDOW w AS (PARTITION BY vec_id ORDER BY d, label))
-SELECT vec_id, label AS nearest, round(sqrt(CAST(d AS DOUBLE)), 6) AS distance, nx IS NULL OR sqrt(CAST(d AS DOUBLE)) <= 0.97 * sqrt(CAST(nx AS DOUBLE)) AS clear FROM k WHERE p = 1""",
     "q44_terminal_overlap": f"""WITH {_SEQ}, w AS (SELECT id, CASE WHEN id % 3 = 0 THEN seq || left(seq, 20 + id % 60) ELSE seq END AS seq FROM seqs),
 b AS (SELECT id, seq, list_max(list_filter(range(1, least(10000, length(seq) // 5) + 1), lambda k: left(seq, k) = right(seq, k))) AS n FROM w)
 SELECT id, CASE WHEN n >= 30 AND NOT contains(left(seq, n), 'N') THEN n ELSE CAST(0 AS BIGINT) END AS overlap FROM b""",

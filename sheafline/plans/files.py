@@ -2,30 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import intervals
-from ..session import table
+from ..session import folder, table
 from ..sources import records, sinks
 from .networks import _SEQ, _sequences
 from .shapes import shape, sql
 
 
-def folder(spark: SparkSession) -> str:
-    """A new folder in the shared one that the session names; a local session without one takes a temporary folder."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        set_ = spark.sparkContext._jsc.sc().getCheckpointDir()
-        if set_.isEmpty() and not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        named = tempfile.mkdtemp(prefix="spark-") if set_.isEmpty() else set_.get()
-    return f"{named.rstrip('/')}/files-{uuid.uuid4().hex}"
-
-
 def lines(spark: SparkSession, rows: DataFrame, *columns, sep: str = "\t") -> str:
     """The path of a folder of text files with the columns of each row on a line."""
     path = folder(spark)

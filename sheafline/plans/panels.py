@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from ..functions import sequences
-from ..operators import binning, report
+from ..operators import binning, recruit, report
 from ..session import table
 from . import bins
 from .biology import COMPONENTS, _evidence
@@ -158,8 +157,9 @@ def q232_reference_ids(spark, d):
 
 
 def q233_group_clusters(spark, d):
-    e = table(spark, d, "embeddings").select("vec_id", (F.col("label") % 3).alias("group"), array_to_vector(F.slice("embedding", 1, 8).cast("array<double>")).alias("features"))
-    return report.group_clusters(e, "group", "features", (2, 3), good=0.1).select("vec_id", "group", "cluster")
+    """Vectors of every third label together, split by k-means where that gives good silhouettes."""
+    e = table(spark, d, "embeddings").where("embedding IS NOT NULL").select("vec_id", (F.col("label") % 3).alias("group"), F.col("embedding").cast("array<double>").alias("x"))
+    return recruit.seeded_clusters(e, "group", "vec_id", most=3, good=0.1).select("vec_id", "group", "cluster")
 
 
 def q234_tree_nodes(spark, d):

@@ -229,7 +229,7 @@ def test_closure_finds_deep_trees_and_circles(spark):
     chain = spark.createDataFrame([(i, i - 1) for i in range(1, 12)] + [(0, None)], "node long, parent long")
     assert graph.closure(chain).where("node = 11").count() == 12
     with pytest.raises(ValueError, match="circle"):
-        graph.closure(spark.createDataFrame([(1, 2), (2, 1)], "node long, parent long"), 5)
+        graph.closure(spark.createDataFrame([(1, 2), (2, 1)], "node long, parent long"))
     merged = spark.createDataFrame([(1, 2), (2, 3), (5, 6), (6, 5), (4, 5)], "old long, new long")
     got = {r["taxid"]: r["current"] for r in taxonomy.resolve_merged(spark.createDataFrame([(i,) for i in range(1, 8)], "taxid long"), merged).collect()}
     assert got == {1: 3, 2: 3, 3: 3, 4: 5, 5: 5, 6: 6, 7: 7}
