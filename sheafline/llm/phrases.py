@@ -11,7 +11,8 @@ every phrase of that length is; the next level takes its stripes from the runs.
 
 A block has about BLOCK words of one language, cut between pieces, and its words as numbers. The stripe of a prefix with more than
 PART occurrences is kept in 64, 4096, ... sub-stripes by the next word, by the prefix's count in the whole corpus, so that all
-blocks agree on them and a group has about PART occurrences, or one entry for each block that holds a pair.
+blocks agree on them. Stripes are dealt by hash to buckets of about PART occurrences, so a task adds up so many at a time, or one
+entry for each block where all of them hold one pair.
 
 Words are told apart by 64-bit hashes (by language), phrases by the hashes of their words. Scores are exact in decimals of 38 digits.
 A null text is an empty one, a null language is "und". Documents count as often as they are there. Bytes that are no letter A-Z
@@ -31,8 +32,8 @@ from pyspark.sql import functions as F
 from .common import small_batches, written
 
 LEAST, LONGEST, TOP, UNKNOWN = 100, 5, 2000, "und"
-#: Words of a block, bytes of a text taken at a time, occurrences in a sub-stripe, sub-stripes of a stripe that is split.
-BLOCK, CHUNK, PART, SPLIT = 2_000_000, 4_000_000, 1_000_000, 64
+#: Words of a block, bytes of a text taken at a time, occurrences in a bucket, sub-stripes of a stripe that is split.
+BLOCK, CHUNK, PART, SPLIT = 2_000_000, 4_000_000, 250_000, 64
 #: Ends a piece; a byte that no text has.
 END = b"\xff"
 #: Lower-cases A-Z, ends pieces, and makes tabs spaces.
@@ -41,7 +42,9 @@ BYTES = bytes(0xFF if chr(b) in ".,;:!?\n\x0b\x0c\r" else 0x20 if b == 9 else b
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 BLOCKS = "lang string, words array<binary>, ids array<bigint>, tokens binary, hot array<bigint>, parts array<bigint>, n long"
-STRIPES = "lang string, prefix array<bigint>, part long, block long, next array<bigint>, n array<bigint>"
+#: A row holds a block's stripes of one bucket, end to end: prefixes (hashes) and sizes, then all entries.
+STRIPES = "lang string, bucket long, block long, prefix array<bigint>, size array<bigint>, next array<bigint>, n array<bigint>"
+MERGED = "block long, lang string, prefix long, next array<bigint>, f array<bigint>, phrase array<bigint>, total long"
 
 
 def _pack(tokens: np.ndarray) -> bytes:
@@ -131,63 +134,53 @@ def _numbers(ids) -> np.ndarray:
     return np.concatenate([np.zeros(1, np.uint64), np.asarray(ids, np.int64).astype(np.uint64)])
 
 
-def stripes(block: int, lang: str, ids: np.ndarray, tokens: np.ndarray, parts_of: dict[int, int], k: int, parts: int = 1):
-    """The block's stripes of all prefixes of k words, as record batches. parts_of: sub-stripes by a prefix's hash, parts: of the others."""
+def stripes(block: int, lang: str, ids: np.ndarray, tokens: np.ndarray, parts_of: dict[int, int], k: int, buckets: int, parts: int = 1):
+    """The block's stripes of all prefixes of k words, as record batches with a row for each bucket that it has any for.
+
+    parts_of: sub-stripes by a prefix's hash, parts: those of the others.
+    """
     number = _numbers(ids)
     tokens = np.append(tokens, np.zeros(1, np.int32))
     if k:
         places = runs(tokens, k)
-        if k == 1:
-            group = tokens[places].astype(np.int64)
-            first = np.zeros(len(number), np.int64)
-            first[group[::-1]] = places[::-1]
-        else:
-            _, first, group = np.unique(hashes(number, tokens, places, k), return_index=True, return_inverse=True)
-            first = places[first]
         follows = tokens[places + k]
+        prefixes, group = np.unique(hashes(number, tokens, places, k), return_inverse=True) if k > 1 else (number, tokens[places].astype(np.int64))
     else:
         follows = tokens[tokens != 0]
-        group, first = np.zeros(len(follows), np.int64), np.zeros(1, np.int64)
+        prefixes, group = np.zeros(1, np.uint64), np.zeros(len(follows), np.int64)
     pairs, counts = np.unique(group * len(number) + follows, return_counts=True)
-    group, next_ = pairs // len(number), number[pairs % len(number)]
-    if not len(group):
+    if not len(pairs):
         return
-    split = np.full(len(first), parts, np.int64)
-    if parts_of and k:
-        held = hashes(number, tokens, first, k) if k > 1 else number
-        for x in np.flatnonzero(np.isin(held, np.array(list(parts_of), np.int64).astype(np.uint64))):
-            split[x] = parts_of[int(held[x].astype(np.int64))]
-    part = (next_ % split[group].astype(np.uint64)).astype(np.int64)
-    order = np.lexsort((part, group))
-    group, part, next_, counts = group[order], part[order], next_[order], counts[order]
-    starts = np.flatnonzero(np.concatenate([[True], (np.diff(group) != 0) | (np.diff(part) != 0)]))
-    ends = np.append(starts[1:], len(group))
-    for at in range(0, len(starts), 4096):
-        a, b = starts[at : at + 4096], ends[at : at + 4096]
-        offsets = pa.array(np.append(a, b[-1]) - a[0], pa.int32())
-        prefix = number[tokens[first[group[a]][:, None] + np.arange(k)]].astype(np.int64) if k else np.zeros((len(a), 0), np.int64)
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array([lang] * len(a), pa.string()), pa.ListArray.from_arrays(pa.array(np.arange(len(a) + 1) * k, pa.int32()), pa.array(prefix.ravel())),
-                pa.array(part[a]), pa.array(np.full(len(a), block)), pa.ListArray.from_arrays(offsets, pa.array(next_[a[0] : b[-1]].astype(np.int64))),
-                pa.ListArray.from_arrays(offsets, pa.array(counts[a[0] : b[-1]].astype(np.int64))),
-            ],
-            ["lang", "prefix", "part", "block", "next", "n"],
-        )
-
-
-def _stripes(k: int, parts: int):
+    prefix, next_ = prefixes[pairs // len(number)], number[pairs % len(number)]
+    split = np.full(len(prefixes), parts, np.uint64)
+    if parts_of:
+        for x in np.flatnonzero(np.isin(prefixes, np.array(list(parts_of), np.int64).astype(np.uint64))):
+            split[x] = parts_of[int(prefixes[x].astype(np.int64))]
+    bucket = ((prefix ^ (prefix >> np.uint64(29))) + next_ % split[pairs // len(number)] * FACTOR) % np.uint64(buckets)
+    order = np.lexsort((next_, prefix, bucket))
+    bucket, prefix, next_, counts = bucket[order].astype(np.int64), prefix[order].astype(np.int64), next_[order].astype(np.int64), counts[order].astype(np.int64)
+    new = np.concatenate([[True], np.diff(bucket) != 0])
+    starts = np.flatnonzero(new)
+    heads = np.flatnonzero(new | np.concatenate([[True], np.diff(prefix) != 0]))
+    ends, sizes = np.append(starts[1:], len(bucket)), np.diff(np.append(heads, len(bucket)))
+    for at in range(0, len(starts), 256):
+        a, b = starts[at : at + 256], ends[at : at + 256]
+        lo, hi = np.searchsorted(heads, [a[0], b[-1]])
+        of_head = pa.array(np.append(np.searchsorted(heads, a), hi) - lo, pa.int32())
+        of_entry = pa.array(np.append(a, b[-1]) - a[0], pa.int32())
+        lists = [pa.ListArray.from_arrays(o, pa.array(x)) for o, x in ((of_head, prefix[heads[lo:hi]]), (of_head, sizes[lo:hi]), (of_entry, next_[a[0] : b[-1]]), (of_entry, counts[a[0] : b[-1]]))]
+        yield pa.RecordBatch.from_arrays([pa.array([lang] * len(a), pa.string()), pa.array(bucket[a]), pa.array(np.full(len(a), block)), *lists], [x.split()[0] for x in STRIPES.split(", ")])
+
+
+def _stripes(k: int, buckets: int, parts: int):
     def run(batches):
         for batch in batches:
             for r in batch.to_pylist():
-                yield from stripes(r["block"], r["lang"], r["ids"], _unpack(r["tokens"]), dict(zip(r["hot"], r["parts"], strict=True)), k, parts)
+                yield from stripes(r["block"], r["lang"], r["ids"], _unpack(r["tokens"]), dict(zip(r["hot"], r["parts"], strict=True)), k, buckets, parts)
 
     return run
 
 
-MERGED = "block long, lang string, prefix array<bigint>, next array<bigint>, f array<bigint>, total long"
-
-
 def _flat(column) -> tuple[np.ndarray, np.ndarray]:
     """Values and lengths of a list column."""
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
@@ -201,40 +194,39 @@ def _lists(values: np.ndarray, row: np.ndarray, rows: int) -> pa.ListArray:
 
 
 def _add_up(table: pa.Table, group: np.ndarray, least: int):
-    """Stripes of whole groups, added up: the merged ones (block is null), then what each block is told of its own phrases."""
-    next_, sizes = _flat(table.column("next"))
+    """Stripes of whole buckets, added up: the merged ones (block is null), then what each block is told of its own phrases."""
+    prefix, stripes_ = _flat(table.column("prefix"))
+    sizes, _ = _flat(table.column("size"))
+    next_, _ = _flat(table.column("next"))
     n, _ = _flat(table.column("n"))
-    row = np.repeat(np.arange(len(sizes)), sizes)
-    order = np.lexsort((next_, group[row]))
-    g, x = group[row][order], next_[order]
-    starts = np.flatnonzero(np.concatenate([[True], (np.diff(g) != 0) | (np.diff(x) != 0)]))
-    f = np.add.reduceat(n[order], starts)
+    row = np.repeat(np.repeat(np.arange(len(stripes_)), stripes_), sizes)
+    prefix = np.repeat(prefix, sizes)
+    order = np.lexsort((next_, prefix, group[row]))
+    g, p, x, n = group[row][order], prefix[order], next_[order], n[order]
+    same = (np.diff(g) == 0) & (np.diff(p) == 0)
+    heads = np.flatnonzero(np.concatenate([[True], ~same]))
+    starts = np.flatnonzero(np.concatenate([[True], ~same | (np.diff(x) != 0)]))
+    f, total = np.add.reduceat(n, starts), np.add.reduceat(n, heads)
     often = (f >= least) & (x[starts] != 0)
-    heads = np.flatnonzero(np.concatenate([[True], np.diff(group) != 0]))
-    total = np.bincount(g, weights=n[order], minlength=len(heads)).astype(np.int64) if n.sum() < 2**52 else np.array([n[order][g == i].sum() for i in range(len(heads))])
-    names = ["block", "lang", "prefix", "next", "f", "total"]
-    first = table.take(pa.array(heads))
-    yield pa.RecordBatch.from_arrays(
-        [
-            pa.nulls(len(heads), pa.int64()), first.column("lang").combine_chunks(), first.column("prefix").combine_chunks(),
-            _lists(x[starts][often], g[starts][often], len(heads)), _lists(f[often], g[starts][often], len(heads)), pa.array(total),
-        ],
-        names,
-    )
-    back = np.empty(len(order), np.int64)
-    back[order] = np.repeat(np.where(often, f, 0), np.diff(np.append(starts, len(order))))
-    told = back > 0
-    rows, at = np.unique(row[told], return_inverse=True)
-    if len(rows):
-        own = table.take(pa.array(rows))
-        yield pa.RecordBatch.from_arrays(
-            [own.column("block").combine_chunks(), own.column("lang").combine_chunks(), own.column("prefix").combine_chunks(), _lists(next_[told], at, len(rows)), _lists(back[told], at, len(rows)), pa.nulls(len(rows), pa.int64())],
-            names,
-        )
-
-
-def _merge(least: int, k: int):
-    """Over stripes sorted by (lang, prefix, part): a group that goes on in the next batch waits for it."""
+    phrase = (p[starts].astype(np.uint64) * FACTOR + x[starts].astype(np.uint64)).astype(np.int64)
+    of = (np.searchsorted(heads, starts, side="right") - 1)[often]
+    names = [c.split()[0] for c in MERGED.split(", ")]
+    lang = table.column("lang").combine_chunks()
+    lists = [_lists(v[often], of, len(heads)) for v in (x[starts], f, phrase)]
+    yield pa.RecordBatch.from_arrays([pa.nulls(len(heads), pa.int64()), lang.take(pa.array(row[order][heads])), pa.array(p[heads]), *lists, pa.array(total)], names)
+    # a block meets each of its phrases once: it is told the count of those that are frequent
+    counted, place = np.repeat(np.where(often, f, 0), np.diff(np.append(starts, len(order)))), np.repeat(phrase, np.diff(np.append(starts, len(order))))
+    told = counted > 0
+    if told.any():
+        blocks = table.column("block").to_numpy()[row[order][told]]
+        by = np.argsort(blocks, kind="stable")
+        found, at = np.unique(blocks[by], return_inverse=True)
+        none = lambda t: pa.nulls(len(found), t)
+        yield pa.RecordBatch.from_arrays([pa.array(found), none(pa.string()), none(pa.int64()), none(pa.list_(pa.int64())), _lists(counted[told][by], at, len(found)), _lists(place[told][by], at, len(found)), none(pa.int64())], names)
+
+
+def _merge(least: int):
+    """Over stripes sorted by (lang, bucket): a bucket that goes on in the next batch waits for it."""
 
     def run(batches):
         held = None
@@ -242,25 +234,23 @@ def _merge(least: int, k: int):
             now = pa.Table.from_batches([batch])
             if not now.num_rows:
                 continue
-            held = now if held is None else pa.concat_tables([held, now])
-            group = _groups(held, k)
+            held = now if held is None else pa.concat_tables([held, now]).combine_chunks()
+            group = _groups(held)
             done = int(np.searchsorted(group, group[-1]))
             if done:
-                yield from _add_up(held.slice(0, done).combine_chunks(), group[:done], least)
-                held = held.slice(done).combine_chunks()
+                yield from _add_up(held.slice(0, done), group[:done], least)
+                held = held.slice(done)
         if held is not None:
-            yield from _add_up(held.combine_chunks(), _groups(held, k), least)
+            yield from _add_up(held, _groups(held), least)
 
     return run
 
 
-def _groups(table: pa.Table, k: int) -> np.ndarray:
-    """The number of each row's group."""
-    prefix, _ = _flat(table.column("prefix"))
+def _groups(table: pa.Table) -> np.ndarray:
+    """The number of each row's bucket."""
     lang = table.column("lang").combine_chunks().dictionary_encode()
     lang = (lang.combine_chunks() if isinstance(lang, pa.ChunkedArray) else lang).indices.to_numpy()
-    key = np.concatenate([lang[:, None], table.column("part").to_numpy()[:, None], prefix.reshape(table.num_rows, k)], axis=1)
-    return np.concatenate([[0], np.cumsum((np.diff(key, axis=0) != 0).any(axis=1))])
+    return np.concatenate([[0], np.cumsum((np.diff(lang) != 0) | (np.diff(table.column("bucket").to_numpy()) != 0))])
 
 
 def _prune(k: int, part: int):
@@ -271,13 +261,7 @@ def _prune(k: int, part: int):
             return pa.Table.from_batches([], _schema())
         b = left.to_pylist()[0]
         number, tokens = _numbers(b["ids"]), np.append(_unpack(b["tokens"]), np.zeros(1, np.int32))
-        prefix, _ = _flat(right.column("prefix"))
-        next_, sizes = _flat(right.column("next"))
-        f, _ = _flat(right.column("f"))
-        h = np.zeros(right.num_rows, np.uint64)
-        for column in prefix.reshape(right.num_rows, k - 1).T:
-            h = h * FACTOR + column.astype(np.uint64)
-        often = np.repeat(h, sizes) * FACTOR + next_.astype(np.uint64)
+        often, f = _flat(right.column("phrase"))[0].astype(np.uint64), _flat(right.column("f"))[0]
         places = runs(tokens, k)
         places = places[np.isin(hashes(number, tokens, places, k), often)]
         # consecutive places are a run, which ends k - 1 words after the last of them
@@ -310,21 +294,21 @@ def sub_stripes(occurrences: int, part: int) -> int:
 
 
 def merged_stripes(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, block: int = BLOCK, chunk: int = CHUNK, part: int = PART) -> tuple[DataFrame, list[DataFrame]]:
-    """The words (lang, id, word) of the corpus, and the merged stripes of prefixes of 0 to longest - 1 words: lang, prefix, next, f
-    (entries of least occurrences or more) and total."""
+    """The words (lang, id, word) of the corpus, and the merged stripes of prefixes of 0 to longest - 1 words: lang, prefix (its
+    hash, 0 for none), next, f and phrase (its hash; entries of least occurrences or more) and total."""
     small_batches(docs.sparkSession)
     given = docs.select(F.coalesce(docs["lang"].cast("string"), F.lit(UNKNOWN)).alias("lang"), F.coalesce(docs["text"].cast("string"), F.lit("")).cast("binary").alias("text"))
     blocks = written(given.mapInArrow(_read(block, chunk), BLOCKS).withColumn("block", F.monotonically_increasing_id()), "blocks")
-    total = blocks.agg(F.sum("n")).first()[0] or 0
     names = written(blocks.select("lang", F.explode(F.arrays_zip("words", "ids")).alias("x")).select("lang", F.col("x.ids").alias("id"), F.col("x.words").cast("string").alias("word")).distinct(), "words")
     out = []
     for k in range(longest):
-        mine = blocks.select("block", "lang", "ids", "tokens", "hot", "parts").mapInArrow(_stripes(k, sub_stripes(total, part) if k == 0 else 1), STRIPES)
-        keys = ["lang", "prefix", "part"]
-        merged = written(mine.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_merge(least, k), MERGED), "stripes")
-        out.append(merged.where("block IS NULL").select("lang", "prefix", "next", "f", "total"))
+        places = blocks.agg(F.sum("n")).first()[0] or 0
+        take = _stripes(k, -(-places // part) or 1, sub_stripes(places, part) if k == 0 else 1)
+        mine = blocks.select("block", "lang", "ids", "tokens", "hot", "parts").mapInArrow(take, STRIPES)
+        merged = written(mine.repartition("lang", "bucket").sortWithinPartitions("lang", "bucket").mapInArrow(_merge(least), MERGED), "stripes")
+        out.append(merged.where("block IS NULL").select("lang", "prefix", "next", "f", "phrase", "total"))
         if k + 1 < longest:
-            told = merged.where("block IS NOT NULL").select("block", "prefix", "next", "f")
+            told = merged.where("block IS NOT NULL").select("block", "phrase", "f")
             left = blocks.select("block", "lang", "ids", "tokens")
             pruned = left.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(_prune(k + 1, part), "block long, " + BLOCKS)
             blocks = written(pruned, "blocks")
@@ -335,23 +319,23 @@ def phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, **sizes
     """All candidates: lang, phrase, a, l, r, n, score, and subsumed, whether a longer candidate holds it as often. sizes: see merged_stripes()."""
     names, levels = merged_stripes(docs, least, longest, **sizes)
     totals = levels[0].groupBy("lang").agg(F.sum("total").alias("n"))
-    entries = lambda s: s.select("lang", "prefix", F.explode(F.arrays_zip("next", "f")).alias("x")).select("lang", "prefix", F.col("x.next").alias("next"), F.col("x.f").alias("a"))
-    words = names.join(entries(levels[0]).select("lang", F.col("next").alias("id"), "a"), ["lang", "id"]).groupBy("lang", "id", "a").agg(F.min("word").alias("phrase"))
+    entries = lambda s: s.select("lang", "prefix", F.explode(F.arrays_zip("next", "f", "phrase")).alias("x")).select("lang", "prefix", F.col("x.next").alias("next"), F.col("x.f").alias("a"), F.col("x.phrase").alias("id"))
+    words = names.join(entries(levels[0]).select("lang", "id", "a"), ["lang", "id"]).groupBy("lang", "id", "a").agg(F.min("word").alias("phrase"))
     none = F.array().cast("array<bigint>")
-    before = words.select("lang", F.array("id").alias("words"), "a", none.alias("pre"), none.alias("suf"), "phrase")
+    before = words.select("lang", "id", F.array("id").alias("words"), "a", none.alias("pre"), none.alias("suf"), "phrase")
     found = None
     for k in range(1, longest):
         # the count of a prefix is its stripe's total
         own = levels[k].groupBy("lang", "prefix").agg(F.sum("total").alias("whole"), F.max(F.array_max("f")).alias("right"))
-        two = entries(levels[k]).join(own.select("lang", "prefix", "whole"), ["lang", "prefix"]).select("lang", "prefix", F.concat("prefix", F.array("next")).alias("words"), "a", "whole")
-        first = before.select("lang", F.col("words").alias("prefix"), F.col("pre").alias("pre0"), F.col("phrase").alias("phrase0"))
+        two = entries(levels[k]).join(own.select("lang", "prefix", "whole"), ["lang", "prefix"])
+        first = before.select("lang", F.col("id").alias("prefix"), F.col("words").alias("words0"), F.col("pre").alias("pre0"), F.col("phrase").alias("phrase0"))
         rest = before.select("lang", F.col("words").alias("rest"), F.col("a").alias("a1"), F.col("suf").alias("suf1"), F.col("phrase").alias("phrase1"))
-        both = two.withColumn("rest", F.slice("words", 2, k)).join(first, ["lang", "prefix"]).join(rest, ["lang", "rest"])
-        now = both.select("lang", "words", "a", F.concat("pre0", F.array("whole")).alias("pre"), F.concat(F.array("a1"), "suf1").alias("suf"), F.concat_ws(" ", "phrase0", F.substring_index("phrase1", " ", -1)).alias("phrase"))
+        both = two.join(first, ["lang", "prefix"]).withColumn("words", F.concat("words0", F.array("next"))).withColumn("rest", F.slice("words", 2, k)).join(rest, ["lang", "rest"])
+        now = both.select("lang", "id", "words", "a", F.concat("pre0", F.array("whole")).alias("pre"), F.concat(F.array("a1"), "suf1").alias("suf"), F.concat_ws(" ", "phrase0", F.substring_index("phrase1", " ", -1)).alias("phrase"))
         now = written(now, "candidates")
         if k > 1:
             left = now.groupBy("lang", F.slice("words", 2, k).alias("words")).agg(F.max("a").alias("left"))
-            held = before.join(own.select("lang", F.col("prefix").alias("words"), "right"), ["lang", "words"], "left").join(left, ["lang", "words"], "left")
+            held = before.join(own.select("lang", F.col("prefix").alias("id"), "right"), ["lang", "id"], "left").join(left, ["lang", "words"], "left")
             judged = held.withColumn("most", F.coalesce(F.greatest("right", "left"), F.lit(0)))
             found = judged if found is None else found.unionByName(judged)
         before = now
