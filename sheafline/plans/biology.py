@@ -202,6 +202,23 @@ hits AS (SELECT bin, protein, accession, target, call, component, ievalue, domai
   CASE WHEN cov < greatest(0.3, lst) THEN 'fragment_candidate' WHEN context_only THEN 'context_candidate' ELSE 'accepted' END AS status FROM dh)"""
 _MEMBERS = ", ".join(f"('{a}', '{b}', {c}, {e}, {f})" for a, b, c, e, f in MEMBERS)
 
+_WINDOWS = """b AS (SELECT user_id, event_type, CAST(floor(epoch(ts) / 60) AS BIGINT) AS s, CAST(floor(epoch(ts) / 60) AS BIGINT) + CAST(trunc(value) AS BIGINT) AS e, event_id FROM events), g AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY s, e, event_id) AS place FROM b),
+j AS (SELECT a.user_id, a.place AS p, b.place AS q, b.event_type, b.event_id, max(b.e) OVER (PARTITION BY a.user_id, a.place ORDER BY b.place ROWS UNBOUNDED PRECEDING) - a.s + 1 AS span FROM g a JOIN g b ON a.user_id = b.user_id AND b.place >= a.place AND b.s - a.s < 900),
+w AS (SELECT user_id, p AS first_place, max(q) AS last_place, count(*) AS genes, string_agg(event_type || CASE WHEN event_id % 3 = 0 THEN '(-)' ELSE '(+)' END, ' | ' ORDER BY q) AS shown,
+  list(CASE event_type WHEN 'click' THEN 0 WHEN 'purchase' THEN 1 WHEN 'signup' THEN 1 WHEN 'error' THEN 2 WHEN 'view' THEN 3 ELSE -1 END ORDER BY q) AS slot, list(CASE WHEN event_id % 3 = 0 THEN -1 ELSE 1 END ORDER BY q) AS strand FROM j WHERE span <= 900 GROUP BY ALL),
+f AS (SELECT *, lag(last_place) OVER (PARTITION BY user_id ORDER BY first_place) AS before FROM w), win AS (SELECT * FROM f WHERE genes >= 2 AND (before IS NULL OR before <> last_place))"""
+#: Windows in both orientations; longest ordered fillings, gene by gene from the last one on, as lists of 10 * slot + 5 + strand.
+_CHAINS = """t AS (SELECT user_id, first_place, 1 AS turn, slot, strand FROM win UNION ALL SELECT user_id, first_place, -1, list_reverse(slot), list_reverse(strand) FROM win),
+o AS (SELECT *, len(list_filter(list_distinct(slot), lambda x: x >= 0)) AS observed FROM t),
+r AS (SELECT *, len(slot) AS i, CAST([] AS BIGINT[]) AS s0, CAST([] AS BIGINT[]) AS s1, CAST([] AS BIGINT[]) AS s2, CAST([] AS BIGINT[]) AS s3 FROM o WHERE observed >= 2 AND 4 - observed <= 2
+  UNION ALL SELECT user_id, first_place, turn, slot, strand, observed, i - 1,
+    CASE WHEN slot[i] = 0 AND 1 + len(s1) > greatest(len(s0), len(n1)) THEN list_prepend(10 * slot[i] + 5 + strand[i], s1) WHEN len(n1) > len(s0) THEN n1 ELSE s0 END, n1, n2, n3
+  FROM (SELECT *, CASE WHEN slot[i] = 1 AND 1 + len(s2) > greatest(len(s1), len(n2)) THEN list_prepend(10 * slot[i] + 5 + strand[i], s2) WHEN len(n2) > len(s1) THEN n2 ELSE s1 END AS n1
+  FROM (SELECT *, CASE WHEN slot[i] = 2 AND 1 + len(s3) > greatest(len(s2), len(n3)) THEN list_prepend(10 * slot[i] + 5 + strand[i], s3) WHEN len(n3) > len(s2) THEN n3 ELSE s2 END AS n2
+  FROM (SELECT *, CASE WHEN slot[i] = 3 AND len(s3) = 0 THEN [CAST(10 * slot[i] + 5 + strand[i] AS BIGINT)] ELSE s3 END AS n3 FROM r WHERE i > 0)))),
+judged AS (SELECT user_id, first_place, turn AS orientation, turn, CAST(observed AS INT) AS observed, len(s0) AS used, len(s0) / observed AS os, len(list_filter(s0, lambda x: x % 10 - 5 = turn)) / len(s0) AS ss,
+  (observed / 4.0E0) * os * ss AS score, array_to_string(list_transform(s0, lambda x: x // 10 + 1), ';') AS matched_slots FROM r WHERE i = 0)"""
+
 SQL = {
     "q34_component_evidence": f"WITH {_STATE} SELECT * FROM ev",
     "q35_pathway_summary": f"""WITH {_STATE}, m(pathway, component, place, scored, route) AS (VALUES {_MEMBERS}),
@@ -261,10 +278,9 @@ SELECT j.bin, target, CASE WHEN state = 'not_detected' AND ((coalesce(a, false)
     "q162_review_hits": f"""WITH {_HITS} SELECT bin, count(DISTINCT CASE WHEN status = 'accepted' THEN accession END) AS models, count(DISTINCT CASE WHEN status = 'accepted' THEN protein END) AS proteins, count(*) FILTER (status <> 'accepted' OR call <> 'specific') AS review FROM hits GROUP BY 1""",
     "q163_hit_rows": f"""WITH {_HITS}, {sql("orfs")}, pa(component, pathway) AS (VALUES {", ".join(map(str, PANEL))})
 SELECT bin, protein, accession, contig, start, stop, coalesce(string_agg(DISTINCT pathway, ';' ORDER BY pathway), '') AS pathways FROM hits JOIN orfs ON orf = protein LEFT JOIN pa USING (component) WHERE status = 'accepted' GROUP BY ALL""",
-    "q164b_window_order": f"""WITH b AS (SELECT user_id, event_type, CAST(floor(epoch(ts) / 60) AS BIGINT) AS s, CAST(floor(epoch(ts) / 60) AS BIGINT) + CAST(trunc(value) AS BIGINT) AS e, event_id FROM events), g AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY s, e, event_id) AS place FROM b),
-j AS (SELECT a.user_id, a.place AS p, b.place AS q, b.event_type, b.event_id, max(b.e) OVER (PARTITION BY a.user_id, a.place ORDER BY b.place ROWS UNBOUNDED PRECEDING) - a.s + 1 AS span FROM g a JOIN g b ON a.user_id = b.user_id AND b.place >= a.place AND b.s - a.s < 900),
-w AS (SELECT user_id, p AS first_place, max(q) AS last_place, count(*) AS genes, sha256(string_agg(event_type || CASE WHEN event_id % 3 = 0 THEN '(-)' ELSE '(+)' END, ' | ' ORDER BY q)) AS order_sha FROM j WHERE span <= 900 GROUP BY ALL),
-f AS (SELECT *, lag(last_place) OVER (PARTITION BY user_id ORDER BY first_place) AS before FROM w) SELECT user_id, first_place, last_place, order_sha, genes FROM f WHERE genes >= 2 AND (before IS NULL OR before <> last_place)""",
+    "q164b_window_order": f"""WITH {_WINDOWS} SELECT user_id, first_place, last_place, sha256(shown) AS order_sha, genes FROM win""",
+    "q164_operons": f"""WITH RECURSIVE {_WINDOWS}, {_CHAINS}
+SELECT user_id, first_place, round(score, 6) AS score, orientation, matched_slots, observed FROM (SELECT *, row_number() OVER (PARTITION BY user_id, first_place ORDER BY score DESC, os DESC, ss DESC, turn DESC) AS k FROM judged WHERE used >= 2) WHERE k = 1""",
     "q165_graph_places": f"""WITH {_SEQ}, sg AS (SELECT CASE WHEN id % 5 = 0 THEN 's' || id ELSE 'd' || id END AS segment, length(seq) AS length, CASE WHEN id % 7 = 0 THEN reverse(seq) WHEN id % 11 <> 0 THEN seq END AS sq FROM seqs),
 q AS (SELECT 'd' || id AS contig, id, CASE WHEN id % 4 <> 1 THEN CASE WHEN id % 9 = 0 THEN {_RC.format("seq")} ELSE seq END END AS seq, CASE WHEN id % 13 = 0 THEN 's' || id ELSE 'd' || id END AS key, id % 13 = 0 AS rec FROM seqs),
 pt AS (SELECT 'd' || id AS path FROM seqs WHERE id % 17 = 0), o AS (SELECT segment, sq AS x, '+' AS o FROM sg WHERE sq IS NOT NULL UNION ALL SELECT segment, {_RC.format("sq")}, '-' FROM sg WHERE sq IS NOT NULL),

@@ -188,17 +188,43 @@ def test_operon_score_takes_the_better_orientation(spark):
     df = spark.createDataFrame(rows, "w int, genes array<struct<place:long,strand:int,components:array<string>>>")
     got = {r["w"]: (round(r["score"], 6), r["orientation"], r["matched_slots"], r["matched_genes"]) for r in pathways.operons(df, slots).collect()}
     assert got == {1: (round(2 / 3, 6), 1, "1;2;3", "1;3;4"), 2: (1.0, -1, "1;2;3", "5;2;1"), 4: (1.0, 1, "1;2;3", "1;1;2")}
-    assert pathways.operon_score([(1, 1, ["a"]), (2, -1, ["b"])], [frozenset(s) for s in slots], 2, 0.5, 1, use_strand="strict") is None
+    strict = df.sparkSession.createDataFrame([(1, [(1, 1, ["a"]), (2, -1, ["b"])]), (2, [(1, 1, ["b"]), (2, 1, ["a"])])], df.schema)
+    assert [r["w"] for r in pathways.operons(strict, slots, use_strand="strict").collect()] == []
+    assert [(r["w"], r["score"], r["matched_genes"]) for r in pathways.operons(strict, slots, use_order="ignore").where("orientation = 1").orderBy("w").collect()] == [(1, 1 / 3, "1;2"), (2, 2 / 3, "2;1")]
 
 
-def test_chains_are_longest(spark):
+def chains_by_hand(genes, slots):
+    """All ordered fillings, as (gene, slot) pairs."""
+
+    def grow(i, j):
+        yield ()
+        for a in range(i, len(genes)):
+            for b in range(j, len(slots)):
+                if genes[a] & slots[b]:
+                    for rest in grow(a + 1, b + 1):
+                        yield ((a, b), *rest)
+                    for c in range(b + 1, len(slots)):
+                        if genes[a] & slots[c] and not slots[b] & slots[c]:
+                            for rest in grow(a + 1, c + 1):
+                                yield ((a, b), (a, c), *rest)
+
+    return list(grow(0, 0))
+
+
+def test_chains_are_the_longest_and_ties_go_to_late_genes(spark):
     rng = random.Random(3)
-    for _ in range(300):
-        genes = [frozenset(rng.sample("abcd", rng.randint(0, 2))) for _ in range(rng.randint(0, 7))]
-        slots = [frozenset(rng.sample("abcd", rng.randint(1, 2))) for _ in range(rng.randint(1, 5))]
-        chain = pathways.best_chain(genes, slots)
-        assert len(chain) == slots_by_hand(genes, slots)
-        assert all(genes[i] & slots[j] for i, j in chain) and [j for _, j in chain] == sorted({j for _, j in chain}) and [i for i, _ in chain] == sorted(i for i, _ in chain)
+    for slots in ([["a", "b"], ["c"], ["b", "d"]], [["a"], ["b"], ["c"], ["a", "d"]]):
+        sets = [frozenset(s) for s in slots]
+        windows = [[frozenset(rng.sample("abcd", rng.randint(0, 2))) for _ in range(rng.randint(0, 6))] for _ in range(150)]
+        rows = [(w, [(i, 1, [j for j, s in enumerate(sets) if g & s]) for i, g in enumerate(genes)]) for w, genes in enumerate(windows)]
+        df = spark.createDataFrame(rows, "w int, g array<struct<place:long,strand:int,fits:array<int>>>")
+        for r in df.select("w", pathways.chain(F.col("g"), slots).alias("c")).collect():
+            genes, got = windows[r["w"]], tuple((x["place"], x["slot"]) for x in r["c"])
+            every = chains_by_hand(genes, sets)
+            most = max(map(len, every))
+            # later genes first, then later slots; a second slot of a gene as early as may be
+            key = lambda c: [(a, -b if k and c[k - 1][0] == a else b) for k, (a, b) in enumerate(c)]
+            assert most == len(got) == slots_by_hand(genes, sets) and got == max((c for c in every if len(c) == most), key=key)
 
 
 def test_borders_equal_brute_force():
