@@ -149,8 +149,18 @@ ENDS = r"[.!?:;]+[\x20\x09-\x0D]+|\n[^\p{L}\p{N}\n]*\n"
 HOLDER = (r"^neither the name of .* nor the names of its contributors", "neither the name of the copyright holder nor the names of its contributors")
 
 
+def in_order(ids: F.Column, rule: tuple[int, ...]) -> F.Column:
+    """Whether the rule's identifiers occur in this order, by a fold over a document's identifiers that moves on with each one met."""
+    met = F.lit(True)
+    for i in rule:
+        met = met & F.array_contains(ids, i)
+    steps = F.array(*map(F.lit, rule))
+    fold = F.aggregate(ids, F.lit(0), lambda k, i: F.when(F.get(steps, k) == i, k + 1).otherwise(k)) == len(rule)
+    return met if len(rule) == 1 else F.when(met, fold).otherwise(F.lit(False))
+
+
 def rule_pattern(ids: tuple[int, ...]) -> str:
-    """Pattern over ",3,12,13," that holds if the identifiers occur in this order."""
+    """The SQL's pattern over ",3,12,13," that holds if the identifiers occur in this order."""
     return "," + ",(?:[0-9]+,)*".join(str(i) for i in ids) + ","
 
 
@@ -171,17 +181,14 @@ def scan_licenses(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     cut = F.split(F.regexp_replace("text", ENDS, "\u0001"), "\u0001")
     found = texts(docs, doc_id, text).select("doc_id", F.when(F.lower("text").rlike(KEYS), cut).otherwise(F.array().cast("array<string>")).alias("sentences"))
     found = found.select("doc_id", F.array_compact(F.flatten(F.transform("sentences", each))).alias("ids"))
-    found = found.select("doc_id", F.array_join(F.col("ids").cast("array<string>"), ",").alias("sentence_ids"), F.size("ids").cast("long").alias("n_sentences"))
-    inside = F.concat(F.lit(","), F.col("sentence_ids"), F.lit(","))
+    found = found.select("doc_id", "ids", F.array_join(F.col("ids").cast("array<string>"), ",").alias("sentence_ids"), F.size("ids").cast("long").alias("n_sentences"))
     held = {}
-    for name, patterns in _rules().items():
-        held[name] = F.lit(False)
-        for p in patterns:
-            held[name] = held[name] | inside.rlike(p)
+    for name, rule in RULES:
+        held[name] = held.get(name, F.lit(False)) | in_order(F.col("ids"), rule)
     names = F.array(*[F.when(c & ~held[WITHIN[n]] if n in WITHIN else c, F.lit(n)) for n, c in held.items()])
     joined = F.array_join(F.array_compact(names), ",")
     named = found.withColumn("licenses", joined)
-    return named.withColumn("licenses", F.when((F.col("licenses") == "") & inside.contains(f",{ALONE[1]},"), ALONE[0]).otherwise(F.col("licenses")))
+    return named.withColumn("licenses", F.when((F.col("licenses") == "") & F.array_contains("ids", ALONE[1]), ALONE[0]).otherwise(F.col("licenses"))).drop("ids")
 
 
 def oracle() -> str:
