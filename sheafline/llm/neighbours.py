@@ -13,8 +13,10 @@ cells the test cannot rule out, and only these are searched in a second round. A
 A cell of more than BLOCK vectors is dealt out in blocks, and more than QUERIES queries of a cell in blocks of queries, by the
 cell's own counts, so that a task's work is bounded.
 Equal vectors are one point with its k + 1 least ids, which is all that any result can hold of them. Vectors that are
-null, zero, of another length than the index or with a null or non-finite component take no part. Ties go to the smaller
-id; a repeated id counts once per vector. Fewer than k candidates give fewer rows; empty tables give none.
+null, zero or with a null or non-finite component take no part. Distances are taken between vectors of equal length: each length
+has directions, a tree and cells of its own; a length that the sample lacks is one cell. Ties go to the smaller id; a repeated id
+counts once per vector, and as a query it is the first of its vectors in their order. Fewer than k candidates give fewer rows;
+empty tables give none.
 """
 
 from __future__ import annotations
@@ -138,13 +140,14 @@ class Leaves:
 HITS = "query long, distance double, ids array<bigint>"
 
 
-def _search(size: int, confidence: float, k: int):
+def _search(confidence: float, k: int):
     def run(key: tuple, points: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(points) and len(queries):
             points = points.sort_values("vec_id", kind="stable")
             vectors, ids = np.array(points["vector"].tolist()), points["ids"].tolist()
-            projected, limit = vectors @ directions(size), chi_square_limit(DIMS, confidence)
+            across = directions(vectors.shape[1])
+            projected, limit = vectors @ across, chi_square_limit(DIMS, confidence)
             leaves, asked = Leaves(projected), set(queries["vec_id"])
             # points that no one but the query itself holds
             own: dict[int, list[int]] = {}
@@ -155,7 +158,7 @@ def _search(size: int, confidence: float, k: int):
                 q = np.array(vector)
                 # a bound known from another block stands for k candidates that are not in this one
                 known = [] if not np.isfinite(worst) else [(worst**2 * (1 + 1e-12), len(vectors))] * k
-                for d, row in leaves.search(q @ directions(size), q, vectors, own.get(qid, ()), known, limit, k):
+                for d, row in leaves.search(q @ across, q, vectors, own.get(qid, ()), known, limit, k):
                     if row < len(vectors):
                         out.append((qid, math.sqrt(d), ids[row]))
         return pd.DataFrame(out, columns=["query", "distance", "ids"])
@@ -178,51 +181,60 @@ def nearest(table: DataFrame, queries: DataFrame | None = None, k: int = K, conf
     rows = usable(table)
     ranked = rows.withColumn("at", F.row_number().over(Window.partitionBy("vector").orderBy("vec_id"))).where(F.col("at") <= k + 1)
     points = written(ranked.groupBy("vector").agg(F.min("vec_id").alias("vec_id"), F.array_sort(F.collect_set("vec_id")).alias("ids")).withColumn("n", F.size("vector")), "points")
-    sizes = points.groupBy("n").count().orderBy(F.desc("count"), "n").first()
-    if sizes is None:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    size, count = sizes["n"], sizes["count"]
-    points = points.where(F.col("n") == size)
-    asked = (usable(queries) if queries is not None else rows.where("vec_id % 100 = 0")).where(F.size("vector") == size).dropDuplicates(["vec_id"])
+    count = points.count()
+    asked = (usable(queries) if queries is not None else rows.where("vec_id % 100 = 0")).groupBy("vec_id").agg(F.min("vector").alias("vector"))
 
     @F.pandas_udf("array<double>")
     def project(vectors: pd.Series) -> pd.Series:
-        return pd.Series(list(np.array(vectors.tolist()).reshape(len(vectors), -1) @ directions(size)))
+        return pd.Series([v @ directions(len(v)) for v in vectors])
 
-    sample = points.orderBy(F.xxhash64("vec_id")).limit(SAMPLE).select(project("vector").alias("p")).toPandas()
-    tree = splits(np.array(sample["p"].tolist()), min(-(-count // CELL), max(1, len(sample) // PER_CELL)))
+    sample = points.orderBy(F.xxhash64("vec_id")).limit(SAMPLE).select("n", project("vector").alias("p")).toPandas()
+    trees = {}
+    for n, part in sample.groupby("n"):
+        trees[int(n)] = splits(np.array(part["p"].tolist()), min(-(-count * len(part) // len(sample) // CELL), max(1, len(part) // PER_CELL)))
+
+    def by_length(vectors: pd.Series):
+        """For each length among the vectors: their places, projections and tree."""
+        sizes = vectors.map(len).to_numpy()
+        for n in np.unique(sizes).tolist():
+            at = np.flatnonzero(sizes == n)
+            yield at, np.array(vectors.iloc[at].tolist()) @ directions(n), trees.get(n, [])
 
     @F.pandas_udf("long")
     def cell(vectors: pd.Series) -> pd.Series:
-        return pd.Series(cell_of(np.array(vectors.tolist()).reshape(len(vectors), -1) @ directions(size), tree))
+        out = np.zeros(len(vectors), np.int64)
+        for at, p, tree in by_length(vectors):
+            out[at] = cell_of(p, tree)
+        return pd.Series(out)
 
     @F.pandas_udf("array<long>")
     def others(vectors: pd.Series, worst: pd.Series) -> pd.Series:
-        p = np.array(vectors.tolist()).reshape(len(vectors), -1) @ directions(size)
-        at, cells = open_cells(p, tree, chi_square_limit(DIMS, confidence) * worst.to_numpy() ** 2)
-        away, found = cells != cell_of(p, tree)[at], [[] for _ in vectors]
-        for i, c in zip(at[away].tolist(), cells[away].tolist(), strict=True):
-            found[i].append(c)
+        found = [[] for _ in vectors]
+        for rows_, p, tree in by_length(vectors):
+            at, cells = open_cells(p, tree, chi_square_limit(DIMS, confidence) * worst.to_numpy()[rows_] ** 2)
+            away = cells != cell_of(p, tree)[at]
+            for i, c in zip(rows_[at[away]].tolist(), cells[away].tolist(), strict=True):
+                found[i].append(c)
         return pd.Series(found)
 
-    placed = written(points.select("vec_id", "vector", "ids", cell("vector").alias("cell")), "cells")
-    home = written(asked.select("vec_id", "vector", cell("vector").alias("cell")).withColumn("worst", F.lit(float("inf"))), "queries")
+    placed = written(points.select("vec_id", "vector", "ids", "n", cell("vector").alias("cell")), "cells")
+    home = written(asked.select("vec_id", "vector", F.size("vector").alias("n"), cell("vector").alias("cell")).withColumn("worst", F.lit(float("inf"))), "queries")
     # a row for each cell, of which there are as many as the sample allows
-    blocks = written(placed.groupBy("cell").agg(F.ceil(F.count("*") / BLOCK).alias("blocks")), "cell-blocks")
+    blocks = written(placed.groupBy("n", "cell").agg(F.ceil(F.count("*") / BLOCK).alias("blocks")), "cell-blocks")
 
     def search(these: DataFrame) -> DataFrame:
         """The hits of each query in its cell; every block of a cell's vectors meets every block of the cell's queries."""
-        parts = written(blocks.join(these.groupBy("cell").agg(F.ceil(F.count("*") / QUERIES).alias("deals")), "cell"), "cell-parts")
-        every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
-        mine = lambda n, seed: F.pmod(F.xxhash64(F.lit(seed), "vec_id"), F.col(n))
-        dealt = these.join(parts, "cell").select("cell", mine("deals", 4).alias("deal"), every("blocks").alias("block"), "vec_id", "vector", "worst")
-        against = placed.join(parts.toDF("cell", "n_blocks", "n_deals"), "cell").select("cell", mine("n_blocks", 3).alias("block"), every("n_deals").alias("deal"), "vec_id", "vector", "ids")
-        keys = ["cell", "block", "deal"]
-        return against.groupBy(*keys).cogroup(dealt.groupBy(*keys)).applyInPandas(_search(size, confidence, k), HITS)
+        parts = written(blocks.join(these.groupBy("n", "cell").agg(F.ceil(F.count("*") / QUERIES).alias("deals")), ["n", "cell"]), "cell-parts")
+        every = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1))
+        mine = lambda c, seed: F.pmod(F.xxhash64(F.lit(seed), "vec_id"), F.col(c))
+        dealt = these.join(parts, ["n", "cell"]).select("n", "cell", mine("deals", 4).alias("deal"), every("blocks").alias("block"), "vec_id", "vector", "worst")
+        against = placed.join(parts.toDF("n", "cell", "n_blocks", "n_deals"), ["n", "cell"]).select("n", "cell", mine("n_blocks", 3).alias("block"), every("n_deals").alias("deal"), "vec_id", "vector", "ids")
+        keys = ["n", "cell", "block", "deal"]
+        return against.groupBy(*keys).cogroup(dealt.groupBy(*keys)).applyInPandas(_search(confidence, k), HITS)
 
     hits = written(search(home), "hits")
-    first = _best(hits, k).groupBy("query").agg(F.max("distance").alias("worst"), F.count("*").alias("n"))
-    bound = home.drop("worst").join(first, home["vec_id"] == first["query"], "left").withColumn("worst", F.when(F.col("n") >= k, F.col("worst")).otherwise(F.lit(float("inf"))))
-    again = written(bound.select("vec_id", "vector", "worst", F.explode(others("vector", "worst")).alias("cell")), "other-cells")
+    first = _best(hits, k).groupBy("query").agg(F.max("distance").alias("worst"), F.count("*").alias("found"))
+    bound = home.drop("worst").join(first, home["vec_id"] == first["query"], "left").withColumn("worst", F.when(F.col("found") >= k, F.col("worst")).otherwise(F.lit(float("inf"))))
+    again = written(bound.select("vec_id", "vector", "n", "worst", F.explode(others("vector", "worst")).alias("cell")), "other-cells")
     hits = hits.unionByName(written(search(again), "hits"))
     return _best(hits, k).select(F.col("query").alias("query_id"), F.col("rank").cast("int").alias("rank"), "vec_id", F.col("distance").alias("score"))

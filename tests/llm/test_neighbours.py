@@ -92,3 +92,13 @@ def test_small_tables(spark):
     assert neighbours.nearest(none).count() == 0
     two = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 1.0])], "vec_id long, embedding array<float>")
     assert [(r["query_id"], r["vec_id"]) for r in neighbours.nearest(two).collect()] == [(0, 1)]
+
+
+def test_lengths_apart_and_repeated_ids(spark):
+    rng = np.random.default_rng(9)
+    rows = [(i, rng.standard_normal(4 if i % 3 else 7).tolist()) for i in range(900)] + [(100, [9.0] * 4), (100, [9.0] * 7), (300, [1.0, 2.0]), (5, [1.0, 3.0]), (1100, [1.0])]
+    got = found(neighbours.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)))
+    for q in (0, 100, 200, 300, 1100):
+        own = min(v for i, v in rows if i == q)
+        want = sorted((math.dist(own, v), i) for i, v in rows if i != q and len(v) == len(own))[:10]
+        assert [i for _, i in got.get(q, [])] == [i for _, i in want], q
