@@ -5,7 +5,7 @@ so inflected forms of a word share weight. Features whose share differs too litt
 label, those of the least hash of their id, so that every run takes the same ones). Besides the log loss, the fit
 penalises the squared change of the logit when an identity term in a labelled sentence is swapped for another one:
 the weight that a mere mention of a group can gain is driven towards that of every other group, and a neutral mention
-no longer raises the score.
+no longer raises the score. The identity terms given here are English; those of other languages can be passed to fit().
 
 Null texts count as empty and are scored; documents without label, and labels without document, take no part in the
 fit. With labels of one kind only, or none, every score is the base rate (0.5 without labels). Repeated rows are
@@ -64,16 +64,12 @@ def features(text: str) -> set[str]:
     return {f if k == 1 else f"{f}#{k}" for f, n in counts.items() for k in LEVELS if n >= k}
 
 
-def swaps(text: str, terms: tuple[str, ...], most: int = 32) -> list[tuple[str, str]]:
-    """(term, other term) of the sentences of a text that mention a group, four others for each, at most so many."""
-    place, out = {t: i for i, t in enumerate(terms)}, []
+def swaps(text: str, terms: tuple[str, ...]) -> Counter:
+    """How often a text's sentences mention (term, other term): four others stand in for each mention, so there are few pairs however long it is."""
+    place, found = {t: i for i, t in enumerate(terms)}, Counter()
     for sentence in SENTENCE.split(text.lower()):
-        for w in WORD.findall(sentence):
-            if w in place:
-                out += [(w, terms[(place[w] + k) % len(terms)]) for k in (1, 5, 13, 19) if k % len(terms)]
-                if len(out) >= most:
-                    return out[:most]
-    return out
+        found.update(w for w in WORD.findall(sentence) if w in place)
+    return Counter({(w, terms[(place[w] + k) % len(terms)]): n for w, n in found.items() for k in (1, 5, 13, 19) if k % len(terms)})
 
 
 class Model:
@@ -112,10 +108,10 @@ def informative(counts, n: tuple[int, int]) -> list[str]:
     return sorted(gain, key=lambda f: (-gain[f], f))[:MOST_FEATURES]
 
 
-def encoded(text: str, index: dict[str, int], terms: tuple[str, ...]) -> tuple[list[int], list[tuple[list[int], list[int]]]]:
-    """A document's features, and for each swap in it the features that go and those that come."""
+def encoded(text: str, index: dict[str, int], terms: tuple[str, ...]) -> tuple[list[int], list[tuple[list[int], list[int], int]]]:
+    """A document's features, and for each swap in it the features that go, those that come, and how often."""
     at = lambda fs: sorted(index[f] for f in fs if f in index)
-    return at(features(text)), [(at(features(a) - features(b)), at(features(b) - features(a))) for a, b in swaps(text, terms)]
+    return at(features(text)), [(at(features(a) - features(b)), at(features(b) - features(a)), n) for (a, b), n in swaps(text, terms).items()]
 
 
 def optimise(index: dict[str, int], y: np.ndarray, found: list, rounds: int = ROUNDS, counterfactual: float = COUNTERFACTUAL) -> Model:
@@ -123,7 +119,10 @@ def optimise(index: dict[str, int], y: np.ndarray, found: list, rounds: int = RO
     d = len(index)
     row_of = np.repeat(np.arange(len(found)), [len(x) for x, _ in found])
     col_of = np.array([c for x, _ in found for c in x], np.int64)
-    pairs = Counter((tuple(a), tuple(b)) for _, x in found for a, b in x)
+    pairs = Counter()
+    for _, x in found:
+        for a, b, n in x:
+            pairs[tuple(a), tuple(b)] += n
     swapped = [(np.array(a, np.int64), np.array(b, np.int64), c / len(y)) for (a, b), c in sorted(pairs.items()) if a or b]
     weight = np.where(y == 1, len(y) / (2 * y.sum()), len(y) / (2 * (len(y) - y.sum())))  # both labels weigh the same
     w, v, bias, vb, step = np.zeros(d), np.zeros(d), 0.0, 0.0, 0.5
@@ -202,15 +201,15 @@ def train(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> Mode
     index = with_terms(informative([tuple(r) for r in told.collect()], n), IDENTITY_TERMS)
 
     def encode(batches):
-        pair = pa.struct([("a", pa.list_(pa.int32())), ("b", pa.list_(pa.int32()))])
+        pair = pa.struct([("a", pa.list_(pa.int32())), ("b", pa.list_(pa.int32())), ("n", pa.int64())])
         for batch in batches:
             found = [encoded(t.as_py(), index, IDENTITY_TERMS) for t in batch.column(2)]
-            swapped = [[{"a": a, "b": b} for a, b in x] for _, x in found]
+            swapped = [[{"a": a, "b": b, "n": n} for a, b, n in x] for _, x in found]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([x for x, _ in found], pa.list_(pa.int32())), pa.array(swapped, pa.list_(pair))], ["doc_id", "toxic", "at", "swapped"])
 
-    rows = sample.mapInArrow(encode, "doc_id long, toxic int, at array<int>, swapped array<struct<a:array<int>,b:array<int>>>").collect()
+    rows = sample.mapInArrow(encode, "doc_id long, toxic int, at array<int>, swapped array<struct<a:array<int>,b:array<int>,n:long>>").collect()
     rows.sort(key=lambda r: (r["doc_id"], r["at"]))
-    found = [(r["at"], [(list(x["a"]), list(x["b"])) for x in r["swapped"]]) for r in rows]
+    found = [(r["at"], [(list(x["a"]), list(x["b"]), x["n"]) for x in r["swapped"]]) for r in rows]
     return optimise(index, np.array([r["toxic"] for r in rows], float), found)
 
 

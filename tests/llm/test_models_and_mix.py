@@ -56,6 +56,14 @@ def test_neutral_mentions_are_no_longer_flagged():
     assert sum(held.score(t) >= toxicity.THRESHOLD for t, y in rows if y and any(w in t.split() for w in rude)) >= 150
 
 
+def test_every_mention_of_a_long_text_is_swapped():
+    terms = ("women", "men", "young", "old", "poor", "rich")
+    text = "Women spoke. " * 300 + "The poor left! Men and women stayed?"
+    got = toxicity.swaps(text, terms)
+    assert got["women", "men"] == 301 and got["poor", "rich"] == 1 and got["men", "young"] == 1
+    assert sum(got.values()) == (301 + 1 + 1) * 2  # of six terms, one and five places on
+
+
 def test_one_label_or_none():
     assert toxicity.fit([]).score("anything") == 0.5
     assert 0 <= toxicity.fit([("a", 1), ("b", 1)]).score("") <= 1
