@@ -167,8 +167,14 @@ def mixed(text: str):
 
 def candidates(text: str, base: list[tuple[int, int, int]], rate: float = RATE) -> list[tuple[int, int, int, str | None]]:
     """Candidates outside the base spans as (start, end, class, token); no token if the battery finds it structured."""
-    outside = (m for m in mixed(text) if all(e <= m.start() or s >= m.end() for s, _, e in base))
-    return [(m.start(), m.end(), length_class(len(m[0].rstrip("="))), m[0] if score(m[0]) >= rate else None) for m in outside]
+    # both are in order; taken so far, base spans reach to the greatest of their ends
+    out, at, reach = [], 0, 0
+    for m in mixed(text):
+        while at < len(base) and base[at][0] < m.end():
+            reach, at = max(reach, base[at][2]), at + 1
+        if reach <= m.start():
+            out.append((m.start(), m.end(), length_class(len(m[0].rstrip("="))), m[0] if score(m[0]) >= rate else None))
+    return out
 
 
 def ordinary_pairs(text: str) -> np.ndarray:

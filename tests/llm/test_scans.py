@@ -436,3 +436,30 @@ def test_empty_tables(spark, small, tmp_path, name):
     for t in ("documents", "labels"):
         spark.read.parquet(f"{small}/{t}.parquet").limit(0).write.parquet(f"{tmp_path}/{t}.parquet")
     assert Q.queries()[name](spark, str(tmp_path)).count() == 0
+
+
+def test_rules_over_a_very_long_list_of_sentences(spark):
+    known = {i: s for i, s in licenses.SENTENCES.items()}
+    many = ". ".join([known[6]] + [known[58]] * 20_000 + [known[7]]) + "."
+    back = ". ".join([known[7], known[6]]) + "."
+    got = {r["doc_id"]: r["licenses"] for r in licenses.scan_licenses(spark.createDataFrame([(1, many), (2, back)], "doc_id long, text string")).collect()}
+    assert got[1] == "MIT" and got[2] == ""
+    ids = [([a, b, c], rule) for a in (6, 7, 10) for b in (6, 25) for c in (7, 26) for rule in ((6, 7), (10, 25, 26), (7,))]
+    for rule in ((6, 7), (10, 25, 26), (7,)):
+        rows = [(k, x) for k, (x, r) in enumerate(ids) if r == rule]
+        folded = {r["k"]: r["m"] for r in spark.createDataFrame(rows, "k int, ids array<int>").select("k", licenses.in_order(F.col("ids"), rule).alias("m")).collect()}
+        assert folded == {k: bool(re.search(licenses.rule_pattern(rule), "," + ",".join(map(str, x)) + ",")) for k, x in rows}
+
+
+def test_candidates_beside_many_base_spans():
+    text = " ".join(f"password=abc{i:05d} k{i:03d}zQ9xV7mB2nW4tR6 AKIA{i:016d}" for i in range(1500))
+    base = secrets.base_spans(text)
+    want = [(m.start(), m.end()) for m in secrets.mixed(text) if not any(s < m.end() and e > m.start() for s, _, e in base)]
+    assert [x[:2] for x in secrets.candidates(text, base)] == want and len(want) >= 1000
+
+
+def test_the_ranks_are_those_of_the_vocabulary():
+    import public_tokenizers
+
+    ranks = {int(b): base64.b64decode(a) for a, b in map(bytes.split, open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb"))}
+    assert ranks == dict(enumerate(byte_bpe.byte_table(byte_bpe.vocabulary_path())))
