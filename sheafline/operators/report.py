@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -157,40 +155,6 @@ def invalid_rules(rules: DataFrame, components: DataFrame, pathways: DataFrame)
     return unknown.distinct().unionByName(twice)
 
 
-def newick(text: str) -> list[tuple[str, str | None, float | None]]:
-    """(node, parent, branch length) of a tree in Newick form; inner nodes without a name are numbered. A tree is a driver's text."""
-    out: list[list] = []
-    stack: list[int] = []
-    at: int | None = None
-    for token in re.findall(r"'(?:[^']|'')*'|[(),:;]|[^\s(),:;']+", text):
-        if token == "(":
-            out.append([None, stack[-1] if stack else None, None])
-            stack.append(len(out) - 1)
-            at = None
-        elif token == ",":
-            at = None
-        elif token == ")":
-            if not stack:
-                raise ValueError("a bracket closes that was not opened")
-            at = stack.pop()
-        elif token == ";":
-            break
-        elif token == ":":
-            at = len(out) - 1 if at is None else at
-            out[at][2] = ...
-        elif at is not None and out[at][2] is ...:
-            out[at][2] = float(token)
-        elif at is None:
-            out.append([token.strip("'").replace("''", "'"), stack[-1] if stack else None, None])
-            at = len(out) - 1
-        else:
-            out[at][0] = token.strip("'")
-    if stack:
-        raise ValueError("a bracket is not closed")
-    names = [n if n else f"node{k}" for k, (n, _, _) in enumerate(out)]
-    return [(names[k], None if p is None else names[p], None if b is ... else b) for k, (_, p, b) in enumerate(out)]
-
-
 def coverage_classes(rows: DataFrame, group: str, value: str) -> DataFrame:
     """group with its number of rows without coverage, and the median of the others."""
     zero = rows.groupBy(group).agg(F.sum((F.coalesce(value, F.lit(0)) == 0).cast("int")).cast("long").alias("hidden"))

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import written
+
 UNCLASSIFIED = "Unclassified"
 
 
@@ -56,3 +60,28 @@ def majority(members: DataFrame, group: list[str], name: str, size: str) -> Data
     """The name that holds the most of a group's size; ties go to the smaller name."""
     summed = members.groupBy(*group, name).agg(F.sum(size).alias("held"))
     return summed.groupBy(*group).agg(F.max(F.struct("held", F.col(name))).alias("x"), F.min(F.struct(-F.col("held"), F.col(name).alias("n"))).alias("y")).select(*group, F.col("y.n").alias(name), F.col("x.held").alias("held"))
+
+
+def fingerprints(hits: DataFrame, contig: str) -> DataFrame:
+    """contig and fingerprint of all its hits, whatever their order: their number and two sums of hashes, combined before the shuffle."""
+    row = F.xxhash64(*[F.col(c) for c in hits.columns])
+    per = hits.groupBy(contig).agg(F.count("*").alias("n"), F.sum(row.cast("decimal(38,0)")).alias("s"), F.bit_xor(row).alias("x"))
+    return per.select(contig, F.sha2(F.concat_ws(":", "n", "s", "x"), 256).alias("fingerprint"))
+
+
+def cached_votes(hits: DataFrame, contig: str, vote: Callable[[DataFrame], DataFrame], cache: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """The votes of all contigs with the fingerprint of the hits they come from, and the contigs that were voted on again.
+
+    cache is an earlier result. Contigs whose hits are still those of the cache keep its votes; only the hits of the others are voted on;
+    contigs without hits now are dropped. vote makes a table with a column contig; hits whose contig is null have no vote.
+    """
+    now = written(fingerprints(hits.where(F.col(contig).isNotNull()), contig), "fingerprints")
+    if cache is None:
+        changed = now.select(contig)
+        kept = None
+    else:
+        before = cache.select(contig, F.col("fingerprint").alias("_f")).distinct()
+        changed = written(now.join(before, contig, "left").where(~F.col("fingerprint").eqNullSafe(F.col("_f"))).select(contig), "changed")
+        kept = cache.join(now, [contig, "fingerprint"], "left_semi")
+    again = vote(hits.join(changed, contig, "left_semi")).join(now, contig)
+    return (again if kept is None else kept.select(*again.columns).unionByName(again)), changed

@@ -164,9 +164,12 @@ def q233_group_clusters(spark, d):
 
 def q234_tree_nodes(spark, d):
     """Nodes of a tree in Newick form, written from the regions and nations and parsed again."""
-    rows = table(spark, d, "nation").join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey")).groupBy("r_name").agg(F.concat(F.lit("("), F.array_join(F.array_sort(F.collect_list(F.concat("n_name", F.lit(":"), F.col("n_nationkey") % 4))), ","), F.lit(")'"), F.col("r_name"), F.lit("':2")).alias("t")).orderBy("r_name")
-    text = "(" + ",".join(r["t"] for r in rows.collect()) + ")root;"  # a row for each region
-    return spark.createDataFrame(report.newick(text), "node string, parent string, length double")
+    from ..operators import trees
+
+    rows = table(spark, d, "nation").join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey")).groupBy("r_name").agg(F.concat(F.lit("("), F.array_join(F.array_sort(F.collect_list(F.concat("n_name", F.lit(":"), F.col("n_nationkey") % 4))), ","), F.lit(")'"), F.col("r_name"), F.lit("':2")).alias("t"))
+    text = rows.agg(F.concat(F.lit("("), F.array_join(F.array_sort(F.collect_list("t")), ","), F.lit(")root;")).alias("text")).select(F.lit(1).alias("tree"), "text")  # a row for each region
+    n = trees.nodes(text, "tree", "text")
+    return n.join(n.select(F.col("node").alias("parent"), F.col("label").alias("up")), "parent", "left").select(F.col("label").alias("node"), F.col("up").alias("parent"), "length")
 
 
 _ALIGN = f"""{_SEQ}, al AS (SELECT source, id, array_to_string(list_transform(range(1, 61), lambda i: CASE WHEN (id + i * i) % (2 + i % 5) = 0 THEN '-' ELSE substring(seq, 1, 1) END), '') AS seq FROM seqs JOIN documents ON id = doc_id WHERE length(seq) >= 60),

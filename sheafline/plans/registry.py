@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import assembly, biology, bins, files, networks, panels, reads, recruitment, reporting, taxa, upkeep
+from . import assembly, biology, bins, files, networks, panels, reads, recruitment, reporting, results, taxa, upkeep
 
-MODULES = (assembly, networks, reporting, biology, upkeep, reads, taxa, bins, files, panels, recruitment)
+MODULES = (assembly, networks, reporting, biology, upkeep, reads, taxa, bins, files, panels, recruitment, results)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

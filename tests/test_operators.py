@@ -334,11 +334,8 @@ def test_sequence_functions(spark):
     assert spark.createDataFrame([(s,), ("A" * 20,)], "s string").select(sequences.terminal_overlap(3, 50)("s")).collect()[0][0] == 10
 
 
-def test_finest_rank_and_tree_text():
+def test_finest_rank():
     assert binning.finest(["domain", "genus"]) == "genus" and binning.finest(["domain", "genus"], "domain") == "domain" and binning.finest([]) is None
-    assert report.newick("((a:1,'b c':2)x:0.5,d);") == [("node0", None, None), ("x", "node0", 0.5), ("a", "x", 1.0), ("b c", "x", 2.0), ("d", "node0", None)]
-    with pytest.raises(ValueError):
-        report.newick("((a,b);")
 
 
 def test_exact_median_of_counted_values(spark):
