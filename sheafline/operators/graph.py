@@ -127,11 +127,8 @@ def closure(parents: DataFrame) -> DataFrame:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """The table without its lineage, by a checkpoint in the session's folder; without a folder it is cached."""
-    named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-    if named and df.sparkSession.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        df.sparkSession.sparkContext.setCheckpointDir(named)
-    return df.cache() if df.sparkSession.sparkContext._jsc.sc().getCheckpointDir().isEmpty() else df.checkpoint()
+    """The table without its lineage: written in the shared folder and read again."""
+    return written(df, "cut")
 
 
 def components(edges: DataFrame, rounds: int = 100) -> DataFrame:

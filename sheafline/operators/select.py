@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import MapType
 
 from ..session import written
-from .checks import running
 
 
 def best_without_tie(rows: DataFrame, group: list[str], score: str, order: list[str], ratio: float = 0.9) -> DataFrame:
@@ -49,25 +48,29 @@ def capped_fill(rows: DataFrame, group: str, order: list[str], size: str, cap: i
     names = rows.columns
     # maps have no order; their text has
     key = [F.to_json(c) if isinstance(rows.schema[c].dataType, MapType) else F.col(c) for c in names if c not in (group, size, *order)]
-    numbered = written(running(rows.withColumn("_size", F.greatest(F.coalesce(F.col(size).cast("long"), F.lit(0)), F.lit(0))), [*map(F.col, order), F.col("_size"), *key], F.lit(1), "_k", [group]), "fill")
-    rest = numbered.select(group, "_k", "_size").where(F.col("_size") <= cap)
-    room, taken = None, None
+    key = [*map(F.col, order), F.col("_size"), *key]
+    sized = rows.withColumn("_size", F.greatest(F.coalesce(F.col(size).cast("long"), F.lit(0)), F.lit(0)))
+    ranged = written(sized.repartitionByRange(F.col(group), *key).withColumn("_part", F.spark_partition_id()).withColumn("_id", F.monotonically_increasing_id()), "fill")
+    rest = ranged.where(F.col("_size") <= cap).select(F.col(group).alias("_g"), "_part", "_id", "_size", F.row_number().over(Window.partitionBy(group, "_part").orderBy(*key)).alias("_k"))
+    rest, room, taken = written(rest, "fill"), None, None
     while not rest.isEmpty():
-        summed = running(rest, [F.col("_k")], F.col("_size"), "_sum", [group])
-        left = F.lit(cap).cast("long") if room is None else F.col("_room")
-        at = summed if room is None else summed.join(room, summed[group].eqNullSafe(room["_g"])).drop("_g")
-        at = written(at.withColumn("_left", left).drop("_room"), "fill")
+        # sums within the parts of a group, and before each part
+        before = F.coalesce(F.sum("_s").over(Window.partitionBy("_g").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        parts = rest.groupBy("_g", "_part").agg(F.sum("_size").alias("_s")).select(F.col("_g").alias("_h"), F.col("_part").alias("_p"), before.alias("_before"))
+        inner = F.sum("_size").over(Window.partitionBy("_g", "_part").orderBy("_k").rowsBetween(Window.unboundedPreceding, 0))
+        at = rest.withColumn("_sum", inner).join(parts, F.col("_g").eqNullSafe(F.col("_h")) & (F.col("_part") == F.col("_p")))
+        at = at.withColumn("_sum", F.col("_sum") + F.col("_before")).drop("_h", "_p", "_before")
+        at = at.withColumn("_left", F.lit(cap).cast("long")) if room is None else at.join(room, at["_g"].eqNullSafe(room["_h"])).drop("_h")
         # sizes are not negative, so sums only grow and the taken rows of a round come before its first misfit
-        now = at.where("_sum <= _left").select(group, "_k")
+        now = at.where("_sum <= _left").select("_id")
         taken = now if taken is None else taken.unionByName(now)
-        per = at.groupBy(F.col(group).alias("_g")).agg((F.max("_left") - F.coalesce(F.max(F.when(F.col("_sum") <= F.col("_left"), F.col("_sum"))), F.lit(0))).alias("_room"))
-        room = written(per, "fill")
-        rest = written(at.where("_sum > _left").join(room, at[group].eqNullSafe(room["_g"])).where("_size <= _room").select(group, "_k", "_size"), "fill")
+        per = at.groupBy(F.col("_g").alias("_h")).agg((F.max("_left") - F.coalesce(F.max(F.when(F.col("_sum") <= F.col("_left"), F.col("_sum"))), F.lit(0))).alias("_left"))
+        after = written(per, "fill")
+        left = at.where("_sum > _left").drop("_sum", "_left")
+        rest, room = written(left.join(after, left["_g"].eqNullSafe(after["_h"])).where("_size <= _left").drop("_h", "_left"), "fill"), after
     if taken is None:
-        return numbered.select(*names, F.lit(False).alias("taken"))
-    t = taken.select(F.col(group).alias("_g"), F.col("_k").alias("_t"))
-    met = numbered.join(t, numbered[group].eqNullSafe(t["_g"]) & (F.col("_k") == F.col("_t")), "left")
-    return met.select(*names, F.col("_t").isNotNull().alias("taken"))
+        return ranged.select(*names, F.lit(False).alias("taken"))
+    return ranged.join(taken.select("_id", F.lit(True).alias("_taken")), "_id", "left").select(*names, F.coalesce("_taken", F.lit(False)).alias("taken"))
 
 
 def search(columns: list[str], query: str) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import sequences
 from ..operators import graph, pathways, select
-from ..session import table
+from ..session import table, written
 from .networks import _RC, _SEQ, _sequences
 from .shapes import shape, sql
 
@@ -165,7 +165,8 @@ def q167_kmer_frequencies(spark, d):
 
 def q168_kmer_ordination(spark, d):
     """Two principal axes of the sequences' canonical k-mer shares, scaled."""
-    shares = _sequences(spark, d).select("id", sequences.kmer_frequencies(4)("seq").alias("f")).where("f IS NOT NULL").select("id", array_to_vector("f").alias("v"))
+    # counted once: both fits and the result read the table
+    shares = written(_sequences(spark, d).select("id", sequences.kmer_frequencies(4)("seq").alias("f")).where("f IS NOT NULL"), "shares").select("id", array_to_vector("f").alias("v"))
     scaled = StandardScaler(inputCol="v", outputCol="s", withMean=True, withStd=True).fit(shares).transform(shares)
     p = vector_to_array("p")
     return PCA(k=2, inputCol="s", outputCol="p").fit(scaled).transform(scaled).select("id", F.round(p[0], 4).alias("pc1"), F.round(p[1], 4).alias("pc2"))

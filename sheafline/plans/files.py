@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import intervals
 from ..session import folder, table
-from ..sources import records, sinks
+from ..sources import graphs, records, sinks
 from .networks import _SEQ, _sequences
 from .shapes import shape, sql
 
@@ -168,7 +168,7 @@ def q199_gfa(spark, d):
     line = table(spark, d, "lineitem").select(F.col("l_partkey").cast("string").alias("s"), F.when(F.col("l_linenumber") % 2 == 0, "+").otherwise("-").alias("so"), F.col("l_suppkey").cast("string").alias("t"), F.lit("+").alias("to"), F.lit("8M").alias("overlap")).distinct()
     path = folder(spark)
     sinks.gfa_lines(s, line, 100_000_000).write.text(path)
-    got = records.gfa(spark, path)
+    got = graphs.graph(spark, path, strict=False)  # links of the stand-in name segments that it has not
     return got["segments"].agg(F.count("*").cast("long").alias("n"), F.sum("length").alias("total")).withColumn("kind", F.lit("S")).unionByName(got["links"].groupBy(F.concat(F.lit("L"), "so").alias("kind")).agg(F.count("*").cast("long").alias("n"), F.sum(F.col("s").cast("long") + F.col("t").cast("long")).alias("total")))
 
 

@@ -103,23 +103,6 @@ def prodigal(spark: SparkSession, path: str) -> DataFrame:
     return fasta(spark, path).where(F.size(h) >= 4).select(F.col("id").alias("orf"), F.regexp_extract("id", r"^(.*)_[^_]*$", 1).alias("contig"), h[1].cast("long").alias("start"), h[2].cast("long").alias("end"), h[3].cast("int").alias("strand"), "seq")
 
 
-def gfa(spark: SparkSession, path: str) -> dict[str, DataFrame]:
-    """segments, links and path_steps of a GFA1 file, and the number of records of other kinds."""
-    f = F.split("value", "\t")
-    rows = spark.read.text(path)
-    of = lambda k: rows.where(F.col("value").startswith(k + "\t"))
-    tag = lambda t: F.regexp_extract("value", rf"\t{t}:[if]:([0-9.eE+-]+)", 1).try_cast("double")
-    seq = F.when(f[2] != "*", F.upper(f[2]))
-    length = F.coalesce(F.length(seq).cast("double"), tag("LN"))
-    segments = of("S").select(f[1].alias("id"), seq.alias("seq"), length.cast("long").alias("length"), F.coalesce(tag("DP"), tag("dp")).alias("depth"), tag("KC").cast("long").alias("kmer_count"), tag("RC").cast("long").alias("read_count"))
-    links = of("L").unionByName(of("J")).select(f[1].alias("s"), f[2].alias("so"), f[3].alias("t"), f[4].alias("to"), F.get(f, F.lit(5)).alias("overlap"), F.substring("value", 1, 1).alias("kind"))
-    steps = of("P").select(f[1].alias("path"), F.posexplode(F.split(f[2], ",")).alias("i", "x")).select("path", "i", F.expr("left(x, length(x) - 1)").alias("segment"), F.expr("right(x, 1)").alias("orient"))
-    walks = of("W").select(F.concat_ws("#", f[1], f[2], f[3], f[4], f[5]).alias("path"), F.posexplode(F.regexp_extract_all(f[6], F.lit("([<>][^<>]+)"), F.lit(1))).alias("i", "x"))
-    steps = steps.unionByName(walks.select("path", "i", F.expr("substring(x, 2)").alias("segment"), F.when(F.col("x").startswith(">"), "+").otherwise("-").alias("orient")))
-    other = rows.where(~F.col("value").rlike("^[HSLJPW](\t|$)") & (F.trim("value") != "") & ~F.col("value").startswith("#")).agg(F.count("*").alias("unsupported"))
-    return {"segments": segments, "links": links, "path_steps": steps, "unsupported": other}
-
-
 def domain_table(spark: SparkSession, path: str) -> DataFrame:
     """HMMER's table of domains, split at white space into its 22 fields and a description."""
     f = F.split(F.trim("value"), r"\s+", 23)

@@ -4,7 +4,7 @@ import gzip
 
 from pyspark.sql import functions as F
 
-from sheafline.sources import records, sinks
+from sheafline.sources import graphs, records, sinks
 from sheafline.streaming import windows
 
 
@@ -21,7 +21,7 @@ def test_fasta_round_trip(spark, tmp_path):
 
 def test_gfa(spark, tmp_path):
     (tmp_path / "g.gfa").write_text("H\tVN:Z:1.0\nS\ta\tACGT\tRC:i:40\tKC:i:60\nS\tb\tGG\nL\ta\t+\tb\t-\t*\nL\tb\t+\ta\t-\t*\nP\tp\ta+,b-\t*\nW\tsample\t0\tchr1\t0\t4\t>a<b\n")
-    g = records.gfa(spark, str(tmp_path / "g.gfa"))
+    g = graphs.graph(spark, str(tmp_path / "g.gfa"))
     assert g["segments"].count() == 2 and g["links"].count() == 2 and g["unsupported"].first()[0] == 0
     steps = sorted((r["path"], r["i"], r["segment"], r["orient"]) for r in g["path_steps"].collect())
     assert steps == [("p", 0, "a", "+"), ("p", 1, "b", "-"), ("sample#0#chr1#0#4", 0, "a", "+"), ("sample#0#chr1#0#4", 1, "b", "-")]
