@@ -305,3 +305,17 @@ def hard_negatives(table: DataFrame, rows: DataFrame | None = None, anchors: Dat
     return p.join(negatives, ["anchor", "anchor_hash", "of"]).select(
         F.col("anchor").alias("anchor_id"), "positive_id", F.col("rank").cast("int").alias("rank"), "negative_id", "positive_score", "negative_score"
     )
+
+
+def oracle(k: int = K, share: tuple[int, int] = (80, 100)) -> str:
+    """The same in DuckDB's SQL, from the scores of all rows with every anchor."""
+    return f"""
+    WITH e AS (SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: CAST(floor({SCALE} * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+        FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (SELECT a.vec_id AS anchor_id, a.label = b.label AS same, b.vec_id, CAST(list_sum(list_transform(range(1, len(a.v) + 1), lambda i: a.v[i] * b.v[i])) AS BIGINT) AS score
+        FROM e a JOIN e b ON b.vec_id <> a.vec_id AND len(a.v) = len(b.v) WHERE a.vec_id % 100 = 0),
+    p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= {k}),
+    n AS (SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score, row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) AS rank
+        FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same AND {share[0]} * positive_score <= {share[1]} * s.score AND s.score <= positive_score)
+    SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= {k}
+    """

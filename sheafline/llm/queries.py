@@ -69,4 +69,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_quality": quality.oracle(), "op6_licenses": licenses.oracle(), "op12_phrases": phrases.oracle()}
+    return {"op1_quality": quality.oracle(), "op6_licenses": licenses.oracle(), "op12_phrases": phrases.oracle(), "op13_hard_negatives": hard_negatives.oracle()}
