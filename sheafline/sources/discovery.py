@@ -17,7 +17,7 @@ PARTS = {
     "refinement": r"^classification/()()bin_refinement\.tsv$",
     "feature_table": r"^binarena/()()binarena_input\.tsv$",
     "provenance": r"^assembly/()()contig_provenance\.tsv$",
-    "pathways": r"^annotation/([^/]+)/()pathwaygenie/pathway_summary\.long\.csv$",
+    "pathways": r"^annotation/([^/]+)/()[^/]+/pathway_summary\.long\.csv$",
 }
 #: Parts that a stage should have once.
 EXPECTED = ("classification", "refinement", "feature_table")
