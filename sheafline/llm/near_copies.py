@@ -10,8 +10,13 @@ Prefixes are matched at full depth first. The candidates are compared exactly, a
 are. While those found are less than TARGET of the estimate, all prefixes are shortened by one level, down to SHORTEST, and
 the groups that have grown are compared again.
 
-Nodes of a run are tied to its first node; the connected groups of these ties hold all candidate pairs, and every pair
-within a group is compared exactly, on whole shingle sets, in blocks of at most BLOCK nodes: a large group becomes
+Nodes of a run are tied to its first node; the connected groups of these ties hold all candidate pairs. Texts that have a
+template in common can chain up to a huge group in which hardly any two are alike. A group of more than BLOCK nodes is
+therefore split first: put the shingles of a text in order of how many of the group hold them, rarest first; two texts of
+similarity t share one of the first n - ceil(t n) + 1 of their n shingles, whatever the order is. Nodes that share such a
+rare shingle are in one part, a template's own shingles come last and tie nothing, and no link joins two parts.
+
+The pairs within a part are compared exactly, on whole shingle sets, in blocks of at most BLOCK nodes: a large part becomes
 many tasks. A task returns, for each of its nodes, the number of partners, and a spanning forest of its links, never the
 pairs. Classes are the connected components of the links.
 
@@ -21,13 +26,14 @@ Texts are told apart by a 64-bit hash.
 
 from __future__ import annotations
 
+import math
 import re
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import apart, packed, texts, written
@@ -198,7 +204,7 @@ VERIFIED = "component long, u long, v long, links long, cell int"
 
 def _verify(threshold: float):
     def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        component, i, j = key
+        component, _, i, j = key
         pdf = pdf.sort_values("node", kind="stable").reset_index(drop=True)
         sets = [shingles(t) for t in pdf["text"]]
         sizes = np.array([len(s) for s in sets])
@@ -237,15 +243,44 @@ def _verify(threshold: float):
     return run
 
 
+def parted(texts_of: DataFrame, members: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK) -> DataFrame:
+    """component, node and part of the members; nodes of a large group that share no rare shingle with another one are left out."""
+
+    def run(batches):
+        for batch in batches:
+            for component, node, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                # a shingle within its group: one 64-bit key
+                keys = (shingles(text) ^ (np.array([component]).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))).view(np.int64)
+                first = len(keys) - math.ceil(threshold * len(keys) - 1e-9) + 1
+                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.full(len(keys), node)), pa.array(np.full(len(keys), first, np.int32))], ["key", "node", "first"])
+
+    sizes = members.groupBy("component").agg(F.count("*").alias("size"))
+    sized = written(members.join(apart(sizes), "component"), "sized-groups")
+    small = sized.where(F.col("size") <= block).select("component", "node", F.col("component").alias("part"))
+    large = sized.where(F.col("size") > block).select("component", "node")
+    if large.isEmpty():
+        return small
+    rows = written(large.join(texts_of, "node").select("component", "node", "text").mapInArrow(run, "key long, node long, first int"), "shingles")
+    common = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    order = Window.partitionBy("node").orderBy(F.coalesce("n", F.lit(1)), "key")
+    placed = rows.join(apart(common), "key", "left").withColumn("place", F.row_number().over(order))
+    rare = written(placed.where("n > 1 AND place <= first").select("key", "node"), "rare-shingles")
+    least = rare.groupBy("key").agg(F.min("node").alias("v"))
+    ties = rare.join(apart(least), "key").where("node <> v").select(F.col("node").alias("u"), "v").distinct()
+    parts = written(components(ties).select("node", F.col("component").alias("part")), "parts")
+    return small.unionByName(large.join(parts, "node").select("component", "node", "part"))
+
+
 def verified(texts_of: DataFrame, nodes: DataFrame, members: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK) -> DataFrame:
     """Partner counts (u = v), links of a spanning forest (u <> v), and links by cell of similarity among the members of each group."""
-    sizes = members.groupBy("component").agg(F.count("*").alias("size"))
-    placed = members.join(apart(sizes), "component").withColumn("blocks", F.ceil(F.col("size") / block).cast("int"))
+    members = parted(texts_of, members, threshold, block)
+    sizes = members.groupBy("component", "part").agg(F.count("*").alias("size"))
+    placed = members.join(apart(sizes), ["component", "part"]).withColumn("blocks", F.ceil(F.col("size") / block).cast("int"))
     placed = placed.withColumn("block", F.pmod(F.xxhash64(F.lit(5), "node"), F.col("blocks")).cast("int"))
     bodies = placed.join(nodes.select("node", "copies"), "node").join(texts_of, "node")
     pairs = bodies.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
-    pairs = pairs.select("component", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "copies", "block", "text")
-    return pairs.groupBy("component", "i", "j").applyInPandas(_verify(threshold), VERIFIED)
+    pairs = pairs.select("component", "part", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "copies", "block", "text")
+    return pairs.groupBy("component", "part", "i", "j").applyInPandas(_verify(threshold), VERIFIED)
 
 
 def _classes(docs: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
