@@ -41,6 +41,7 @@ from .components import components
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SHINGLE, THRESHOLD, TREES, LEVELS, SHORTEST, TARGET, BLOCK = 5, 0.8, 32, 8, 4, 0.9995, 256
+SPLIT = 4096
 #: Cells of the histogram of the similarities found, from the threshold to 1.
 CELLS = 50
 
@@ -243,8 +244,8 @@ def _verify(threshold: float):
     return run
 
 
-def parted(texts_of: DataFrame, members: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK) -> DataFrame:
-    """component, node and part of the members; nodes of a large group that share no rare shingle with another one are left out."""
+def parted(texts_of: DataFrame, members: DataFrame, threshold: float = THRESHOLD, split: int = SPLIT) -> DataFrame:
+    """component, node and part of the members; nodes of a group above split nodes that share no rare shingle with another one are left out."""
 
     def run(batches):
         for batch in batches:
@@ -256,8 +257,8 @@ def parted(texts_of: DataFrame, members: DataFrame, threshold: float = THRESHOLD
 
     sizes = members.groupBy("component").agg(F.count("*").alias("size"))
     sized = written(members.join(apart(sizes), "component"), "sized-groups")
-    small = sized.where(F.col("size") <= block).select("component", "node", F.col("component").alias("part"))
-    large = sized.where(F.col("size") > block).select("component", "node")
+    small = sized.where(F.col("size") <= split).select("component", "node", F.col("component").alias("part"))
+    large = sized.where(F.col("size") > split).select("component", "node")
     if large.isEmpty():
         return small
     rows = written(large.join(texts_of, "node").select("component", "node", "text").mapInArrow(run, "key long, node long, first int"), "shingles")
@@ -271,9 +272,9 @@ def parted(texts_of: DataFrame, members: DataFrame, threshold: float = THRESHOLD
     return small.unionByName(large.join(parts, "node").select("component", "node", "part"))
 
 
-def verified(texts_of: DataFrame, nodes: DataFrame, members: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK) -> DataFrame:
+def verified(texts_of: DataFrame, nodes: DataFrame, members: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK, split: int = SPLIT) -> DataFrame:
     """Partner counts (u = v), links of a spanning forest (u <> v), and links by cell of similarity among the members of each group."""
-    members = parted(texts_of, members, threshold, block)
+    members = parted(texts_of, members, threshold, split)
     sizes = members.groupBy("component", "part").agg(F.count("*").alias("size"))
     placed = members.join(apart(sizes), ["component", "part"]).withColumn("blocks", F.ceil(F.col("size") / block).cast("int"))
     placed = placed.withColumn("block", F.pmod(F.xxhash64(F.lit(5), "node"), F.col("blocks")).cast("int"))

@@ -144,14 +144,14 @@ def test_groups_of_a_template_are_split_without_losing_links(spark):
     links = {(a, b) for a in ids for b in ids if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
     members = spark.createDataFrame([(0, k) for k in ids] + [(-1, 1000), (-1, 1001)], "component long, node long")
     held = spark.createDataFrame([(k, t) for k, t in zip(ids, texts)] + [(1000, "a b"), (1001, "a c")], "node long, text string")
-    got = near_copies.parted(held, members, block=8).collect()
+    got = near_copies.parted(held, members, split=8).collect()
     part = {r["node"]: r["part"] for r in got}
     assert all(part[a] == part[b] for a, b in links)
     # the small group stays as it is; the large one falls into parts of the size of its classes
     assert part[1000] == part[1001] == -1
     assert max(sum(p == q for q in part.values()) for p in part.values()) <= 3 and len(part) - 2 == len({x for e in links for x in e})
     nodes = spark.createDataFrame([(k, 1) for k in ids + [1000, 1001]], "node long, copies long")
-    found = near_copies.verified(held, nodes, members, block=8).where("u = v AND cell < 0").groupBy("u").agg(F.sum("links").alias("n")).collect()
+    found = near_copies.verified(held, nodes, members, block=8, split=8).where("u = v AND cell < 0").groupBy("u").agg(F.sum("links").alias("n")).collect()
     assert {r["u"]: r["n"] for r in found} == {k: n for k in ids if (n := sum(k in e for e in links))}
 
 
