@@ -11,7 +11,7 @@ are. While those found are less than TARGET of the estimate, all prefixes are sh
 the groups that have grown are compared again.
 
 Nodes of a run are tied to its first node; the connected groups of these ties hold all candidate pairs. Texts that have a
-template in common can chain up to a huge group in which hardly any two are alike. A group of more than BLOCK nodes is
+template in common can chain up to a huge group in which hardly any two are alike. A group of more than SPLIT nodes is
 therefore split first: put the shingles of a text in order of how many of the group hold them, rarest first; two texts of
 similarity t share one of the first n - ceil(t n) + 1 of their n shingles, whatever the order is. Nodes that share such a
 rare shingle are in one part, a template's own shingles come last and tie nothing, and no link joins two parts.
