@@ -14,22 +14,31 @@ STEP starts, and in single starts where a block is not decided: a block is a rep
 windows is in a bucket of two, and holds none if the string common to them is alone. One of each kind of decided run or block
 goes along, as the partner of undecided ones.
 
-Null texts count as empty. Matches never cross documents. Repeated rows repeat each other. Texts shorter than LENGTH have
-no repeats. Very long texts are cut into overlapping segments within a task. Empty tables give empty results.
+Passages. The bytes that go are fixed by LENGTH, and 50 words are often fewer bytes than that. So a passage of PASSAGE words or
+more (51, white space between them of any kind) that another document also holds is reported beside them, as spans of words; it
+takes no bytes away. The same refinement finds it, with words in the place of bytes: buckets of 16, 32 and 51 words, anchors of 16
+words, runs of windows with one anchor. A run equal as a whole to one of another document is decided, the rest are looked at window
+by window, with two documents' runs of each decided kind as partners. A window's identifier is that of its anchor and its own.
+
+Null texts count as empty. Matches never cross documents. Repeated rows repeat each other, and are other documents to
+each other. Texts shorter than LENGTH have no repeats. Very long texts are cut into overlapping segments within a task. Empty tables give empty results.
 """
 
 from __future__ import annotations
 
 import hashlib
+import re
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import apart, texts, written
+from .common import TABLES, apart, remove_tables, texts, written
 
 LENGTH, GRAM, STEP = 400, 100, 16
+#: Words of the shortest passage reported, and of its anchor.
+PASSAGE, ANCHOR = 51, 16
 #: Bytes of a segment, and of the segments that are looked at together.
 SEGMENT = 1 << 20
 K = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0x27D4EB2F165667C5)]
@@ -80,10 +89,10 @@ def together(rows):
         yield held, np.frombuffer(b"".join(parts), np.uint8)
 
 
-def _anchors(h100: np.ndarray) -> np.ndarray:
-    """For each window the place of its least q-gram, the first of equal ones."""
-    v = (h100 & ~np.uint64(0xFFFFFF)) | np.arange(len(h100), dtype=np.uint64)
-    span, size = LENGTH - GRAM + 1, 1
+def _anchors(grams: np.ndarray, span: int = LENGTH - GRAM + 1) -> np.ndarray:
+    """For each window the place of its least q-gram, the first of equal ones; a window holds as many as span says."""
+    v = (grams & ~np.uint64(0xFFFFFF)) | np.arange(len(grams), dtype=np.uint64)
+    size = 1
     while 2 * size <= span:
         v = np.minimum(v[: len(v) - size], v[size:])
         size *= 2
@@ -91,6 +100,19 @@ def _anchors(h100: np.ndarray) -> np.ndarray:
     return (v & np.uint64(0xFFFFFF)).astype(np.int64)
 
 
+def _run_ends(held: list[tuple], anchor: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First and last window of each run with one anchor in one text, and the text's number among those held."""
+    valid, owner = np.zeros(len(anchor), bool), np.zeros(len(anchor), np.int64)
+    for n, (_, _, lo, hi) in enumerate(held):
+        valid[lo : max(lo, hi - length + 1)] = True
+        owner[lo:hi] = n
+    starts = np.flatnonzero(valid)
+    new = np.ones(len(starts), bool)
+    new[1:] = (np.diff(starts) > 1) | (np.diff(anchor[starts]) != 0) | (np.diff(owner[starts]) != 0)
+    s = starts[new]
+    return s, np.concatenate([starts[np.flatnonzero(new)[1:] - 1], starts[-1:]]), owner[s]
+
+
 RUNS = "key long, doc long, first int, width int, lead int, gram long, a long, b long"
 
 
@@ -101,23 +123,14 @@ def _runs(batches):
         for held, data in together((k, t.as_py().encode()) for k, t in zip(keys, batch.column(2), strict=True)):
             h100, _, ha, hb = identifiers(data)
             anchor = _anchors(h100)
-            valid = np.zeros(len(data) + 1, bool)
-            owner = np.zeros(len(data) + 1, np.int64)
-            for n, (_, _, lo, hi) in enumerate(held):
-                valid[lo : hi - LENGTH + 1] = True
-                owner[lo:hi] = n
-            starts = np.flatnonzero(valid)
-            if not len(starts):
+            s, e, own = _run_ends(held, anchor, LENGTH)
+            if not len(s):
                 continue
-            new = np.ones(len(starts), bool)
-            new[1:] = (np.diff(starts) > 1) | (np.diff(anchor[starts]) != 0) | (np.diff(owner[starts]) != 0)
-            s = starts[new]
-            e = np.concatenate([starts[np.flatnonzero(new)[1:] - 1], starts[-1:]])
             at = anchor[s]
-            shift = np.array([a - lo for _, a, lo, _ in held], np.int64)[owner[s]]
+            shift = np.array([a - lo for _, a, lo, _ in held], np.int64)[own]
             width = (e - s).astype(np.uint64)
             cols = [
-                np.array([k[0] for k, *_ in held], np.int64)[owner[s]], np.array([k[1] for k, *_ in held], np.int64)[owner[s]], (s + shift).astype(np.int32), (e - s).astype(np.int32),
+                np.array([k[0] for k, *_ in held], np.int64)[own], np.array([k[1] for k, *_ in held], np.int64)[own], (s + shift).astype(np.int32), (e - s).astype(np.int32),
                 (at - s).astype(np.int32), h100[at].view(np.int64), (_pair(ha[s], ha[e] + width)).view(np.int64), (_pair(hb[s], hb[e] + width, 1)).view(np.int64),
             ]
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names)
@@ -200,6 +213,127 @@ def _single_rows(batches):
         yield _rows(found, types, names)
 
 
+SPACES, SPACE_AT = re.compile(rb"[\x20\x09-\x0D]"), np.isin(np.arange(256), [32, 9, 10, 11, 12, 13])
+#: What is left of eight bytes if a word holds so many of them.
+MASKS = np.array([2 ** (8 * n) - 1 for n in range(9)], np.uint64)
+
+
+def words(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Identifiers of the words of a text, from their bytes by eights, and their starts."""
+    edges = np.flatnonzero(np.diff(SPACE_AT[np.frombuffer(data, np.uint8)], prepend=True, append=True))
+    s, e = edges[::2], edges[1::2]
+    if not len(s):
+        return np.zeros(0, np.uint64), s
+    counts = (e - s + 7) // 8
+    row, k = _spread(counts)
+    at = s[row] + 8 * k
+    n = np.minimum(8, e[row] - at)
+    eights = np.ndarray(len(data), "<u8", data + bytes(8), 0, (1,))[at] & MASKS[n]
+    return np.add.reduceat(_pair(eights, (8 * k + n).astype(np.uint64), 2), np.cumsum(counts) - counts), s
+
+
+def _all_words(data: bytes) -> np.ndarray:
+    """Identifiers of the words of a text of any length, taken in parts that end at white space."""
+    found, at = [np.zeros(0, np.uint64)], 0
+    while at < len(data):
+        space = SPACES.search(data, at + SEGMENT)
+        end = space.start() if space else len(data)
+        found.append(words(data[at:end])[0])
+        at = end
+    return np.concatenate(found)
+
+
+def _words_together(rows):
+    """Words of (key, text) rows, put together up to about SEGMENT bytes: (list of (key, first word in the text, first, end), identifiers)."""
+
+    def flushed():
+        ids, starts = words(b" ".join(parts))
+        ends = np.searchsorted(starts, np.cumsum([len(x) + 1 for x in parts])).tolist()
+        return [(key, 0, lo, hi) for key, lo, hi in zip(held, [0, *ends], ends, strict=False)], ids
+
+    held, parts, size = [], [], 0
+    for key, data in rows:
+        if len(data) > SEGMENT:
+            ids = _all_words(data)
+            for at in range(0, len(ids) - PASSAGE + 1, SEGMENT):
+                part = ids[at : at + SEGMENT + PASSAGE - 1]
+                yield [(key, at, 0, len(part))], part
+        elif len(data) >= 2 * PASSAGE - 1:
+            held.append(key)
+            parts.append(data)
+            size += len(data)
+            if size >= SEGMENT:
+                yield flushed()
+                held, parts, size = [], [], 0
+    if held:
+        yield flushed()
+
+
+def passage_identifiers(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each word with enough words behind it: buckets of ANCHOR and of PASSAGE words."""
+    for size in (1, 2, 4, 8):
+        ids = _pair(ids[:-size], ids[size:])
+    twice = _pair(ids[:-ANCHOR], ids[ANCHOR:])
+    return ids, _pair(twice[: 2 * ANCHOR - PASSAGE], twice[PASSAGE - 2 * ANCHOR :])
+
+
+PASSAGE_RUNS = "row long, key long, doc long, first int, width int, gram long, a long"
+WINDOWS = "key long, doc long, first int, gram long, a long"
+PASSAGES = "key long, doc long, n_shared_words long, passages array<struct<start:int,end:int>>"
+
+
+def _passage_runs(batches):
+    names = [x.split()[0] for x in PASSAGE_RUNS.split(", ")]
+    for batch in batches:
+        ids_of = list(zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True))
+        for held, ids in _words_together((k, t.as_py().encode()) for k, t in zip(ids_of, batch.column(3), strict=True)):
+            if len(ids) < PASSAGE:
+                continue
+            grams, whole = passage_identifiers(ids)
+            anchor = _anchors(grams, PASSAGE - ANCHOR + 1)
+            s, e, own = _run_ends(held, anchor, PASSAGE)
+            if not len(s):
+                continue
+            shift = np.array([a - lo for _, a, lo, _ in held], np.int64)[own]
+            keys = [np.array([k[i] for k, *_ in held], np.int64)[own] for i in range(3)]
+            a = _pair(whole[s], whole[e] + (e - s).astype(np.uint64))
+            cols = [*keys, (s + shift).astype(np.int32), (e - s).astype(np.int32), grams[anchor[s]].view(np.int64), a.view(np.int64)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names)
+
+
+def _windows(batches):
+    """Every window of the given runs of each text."""
+    names, types = [x.split()[0] for x in WINDOWS.split(", ")], [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64()]
+    for batch in batches:
+        found = []
+        for key, doc, text, runs in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), _lists(batch.column(3)), strict=True):
+            ids = _all_words(text.as_py().encode())
+            order = np.unique(runs["first"], return_index=True)[1]
+            first, width, gram = (runs[n][order].astype(np.int64) for n in ("first", "width", "gram"))
+            for part in _stretches(first, first + width):
+                lo = int(first[part][0])
+                whole = passage_identifiers(ids[lo : int((first + width)[part].max()) + PASSAGE])[1]
+                row, k = _spread(width[part] + 1)
+                at = first[part][row] + k
+                found.append((np.full(len(at), key), np.full(len(at), doc), at, gram[part][row], whole[at - lo]))
+        yield _rows(found, types, names)
+
+
+def _joined(batches):
+    """Spans of words of each text, those that meet made one."""
+    names, span = [x.split()[0] for x in PASSAGES.split(", ")], pa.struct([("start", pa.int32()), ("end", pa.int32())])
+    for batch in batches:
+        total, spans = [], []
+        for given in _lists(batch.column(2)):
+            order = np.argsort(given["start"], kind="stable")
+            start, end = given["start"][order], np.maximum.accumulate(given["end"][order])
+            new = np.flatnonzero(np.append(True, start[1:] > end[:-1]))
+            first, last = start[new], end[np.append(new[1:], len(end)) - 1]
+            total.append(int((last - first).sum()))
+            spans.append([{"start": x, "end": y} for x, y in zip(first.tolist(), last.tolist(), strict=True)])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(total, pa.int64()), pa.array(spans, pa.list_(span))], names)
+
+
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     out: list[list[int]] = []
     for s, e in sorted(spans):
@@ -242,23 +376,69 @@ def _twice(df: DataFrame, *by: str) -> DataFrame:
     return df.groupBy(*by).agg(F.count("*").alias("times")).where("times > 1").drop("times")
 
 
+def _shared(df: DataFrame, who: str, *by: str) -> DataFrame:
+    """The values that two rows or documents have, counted before the shuffle."""
+    return df.groupBy(*by).agg(F.min(who).alias("least"), F.max(who).alias("most")).where("least <> most").drop("least", "most")
+
+
+def _decided_passages(keyed: DataFrame) -> DataFrame:
+    """The runs whose anchor another document holds too; sure, if it holds the run."""
+    rows = keyed.select(F.monotonically_increasing_id().alias("row"), "key", "doc", "text")  # tells repeated rows apart; written at once
+    spark, since = keyed.sparkSession, len(TABLES)
+    runs = written(rows.mapInArrow(_passage_runs, PASSAGE_RUNS), "passage-runs")
+    live = written(runs.join(apart(_shared(runs, "row", "gram")), "gram", "left_semi"), "live-passages")
+    remove_tables(spark, since)
+    same = _shared(live, "row", "gram", "a").withColumn("sure", F.lit(True))
+    decided = written(live.drop("row").join(apart(same), ["gram", "a"], "left").withColumn("sure", F.coalesce("sure", F.lit(False))), "decided-passages")
+    remove_tables(spark, since)
+    return decided
+
+
+def _open_passages(decided: DataFrame) -> DataFrame:
+    """Undecided runs, and for each kind of decided ones with the same anchor those of two documents, by document."""
+    open_ = decided.where("NOT sure")
+    run, order = F.struct("key", "doc", "first", "width", "gram"), F.struct("key", "doc", "first")
+    # one row for each kind before the join, so that a common passage is counted where it is read
+    kinds = decided.where("sure").groupBy("gram", "a").agg(F.array(F.min_by(run, order), F.max_by(run, order)).alias("x"))
+    partners = kinds.join(apart(open_.select("gram").distinct()), "gram", "left_semi").select(F.explode("x").alias("x")).select("x.*")
+    both = open_.select("key", "doc", "first", "width", "gram").unionByName(partners)
+    return both.groupBy("key", "doc").agg(F.collect_list(F.struct("first", "width", "gram")).alias("runs"))
+
+
+def _passages(bodies: DataFrame, decided: DataFrame, per_doc: DataFrame) -> DataFrame:
+    """key, doc, n_shared_words and passages of the documents that share any."""
+    windows = written(bodies.join(per_doc, ["key", "doc"]).mapInArrow(_windows, WINDOWS), "windows")
+    hits = windows.join(apart(_shared(windows, "key", "gram", "a")), ["gram", "a"], "left_semi")
+    span = lambda df, end: df.select("key", "doc", F.col("first").alias("start"), F.expr(end).alias("end"))
+    found = span(decided.where("sure"), f"first + width + {PASSAGE}").unionByName(span(hits, f"first + {PASSAGE}"))
+    return found.groupBy("key", "doc").agg(F.collect_list(F.struct("start", "end")).alias("spans")).mapInArrow(_joined, PASSAGES)
+
+
 def long_repeats(docs: DataFrame) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, n_kept (bytes left), repeats (whether any went) and the removed spans (bytes) of each document."""
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, n_kept (bytes left), repeats (whether any went), n_shared_words (words in
+    passages of PASSAGE words or more that another document also holds), the removed spans (bytes) and the passages (words, from 0) of each document."""
     keyed = _keyed(docs)
+    alike = _decided_passages(keyed)
+    alike_per_doc = written(_open_passages(alike), "open-passages")
+    spark, since = docs.sparkSession, len(TABLES)
     runs = written(keyed.select("key", "doc", "text").mapInArrow(_runs, RUNS), "runs")
     live = written(runs.join(apart(_twice(runs, "gram")), "gram", "left_semi"), "live-runs")
+    remove_tables(spark, since)
     same = _twice(live, "a", "b").withColumn("sure", F.lit(True))
     decided = written(live.join(apart(same), ["a", "b"], "left").withColumn("sure", F.coalesce("sure", F.lit(False))), "decided-runs")
+    remove_tables(spark, since)
     open_ = decided.where("NOT sure")
     # one run of each kind that is decided, where an undecided one has the same anchor bucket
     partners = decided.where("sure").join(apart(open_.select("gram").distinct()), "gram", "left_semi").groupBy("a", "b").agg(F.min_by(F.struct("key", "doc", "first", "width", "lead", "sure"), F.struct("key", "doc", "first")).alias("x")).select("x.*")
     wanted = open_.select("key", "doc", "first", "width", "lead", "sure").unionByName(partners)
     per_doc = wanted.groupBy("key", "doc").agg(F.collect_list(F.struct("first", "width", "lead", "sure")).alias("runs"))
-    touched = decided.select("key", "doc").distinct()
+    touched = decided.select("key", "doc").unionByName(alike_per_doc.select("key", "doc")).distinct()
     bodies = written(keyed.select("key", "doc", "text").join(touched, ["key", "doc"], "left_semi").dropDuplicates(["key", "doc"]), "touched")
+    since = len(TABLES)
     blocks = written(bodies.join(per_doc, ["key", "doc"]).mapInArrow(_block_rows, BLOCKS), "blocks")
     whole = _twice(blocks.where("a <> 0 OR b <> 0"), "a", "b").withColumn("full", F.lit(True))
     judged = written(blocks.join(apart(_twice(blocks, "core")), "core", "left_semi").join(apart(whole), ["a", "b"], "left").withColumn("full", F.coalesce("full", F.lit(False))), "judged-blocks")
+    remove_tables(spark, since)
     undecided = judged.where("NOT full")
     with_ = judged.where("full").join(apart(undecided.select("core").distinct()), "core", "left_semi").groupBy("a", "b").agg(F.min_by(F.struct("key", "doc", "first", "n"), F.struct("key", "doc", "first")).alias("x")).select("x.*", F.lit(True).alias("sure"))
     singles = undecided.select("key", "doc", "first", "n", "sure").unionByName(with_)
@@ -271,6 +451,6 @@ def long_repeats(docs: DataFrame) -> DataFrame:
     spans = gone.groupBy("key", "doc").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
     cut = bodies.join(spans, ["key", "doc"]).mapInArrow(_cut, CUT)
     every = keyed.select("doc_id", "key", "doc", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("whole"))
-    out = every.join(cut, ["key", "doc"], "left")
+    out = every.join(cut, ["key", "doc"], "left").join(_passages(bodies, alike, alike_per_doc), ["key", "doc"], "left")
     zero = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
-    return out.select("doc_id", "n_bytes", zero("n_removed"), zero("n_spans"), F.coalesce("kept_sha256", "whole").alias("kept_sha256"), (F.col("n_bytes") - F.coalesce("n_removed", F.lit(0))).alias("n_kept"), (F.coalesce("n_removed", F.lit(0)) > 0).alias("repeats"), "spans")
+    return out.select("doc_id", "n_bytes", zero("n_removed"), zero("n_spans"), F.coalesce("kept_sha256", "whole").alias("kept_sha256"), (F.col("n_bytes") - F.coalesce("n_removed", F.lit(0))).alias("n_kept"), (F.coalesce("n_removed", F.lit(0)) > 0).alias("repeats"), zero("n_shared_words"), "spans", "passages")

@@ -24,7 +24,7 @@ def op3_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_long_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return long_repeats.long_repeats(table(spark, sf_dir, "documents")).drop("spans")
+    return long_repeats.long_repeats(table(spark, sf_dir, "documents")).drop("spans", "passages")
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

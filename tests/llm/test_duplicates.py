@@ -233,6 +233,63 @@ def test_long_repeats_across_segments(spark, monkeypatch):
     assert repeats_of(spark.createDataFrame(rows, "doc_id long, text string")) == brute_repeats(rows)
 
 
+def brute_passages(rows, length=51):
+    """Words in passages of at least so many words that another row also holds, and the spans of words."""
+    data = [(i, re.findall(rb"[^\x20\x09-\x0D]+", (t or "").encode())) for i, t in rows]
+    where = defaultdict(set)
+    for n, (_, w) in enumerate(data):
+        for p in range(len(w) - length + 1):
+            where[tuple(w[p : p + length])].add(n)
+    out = []
+    for i, w in data:
+        held = bytearray(len(w))
+        for p in range(len(w) - length + 1):
+            if len(where[tuple(w[p : p + length])]) > 1:
+                held[p : p + length] = b"\1" * length
+        out.append((i, sum(held), [m.span() for m in re.finditer(b"\1+", bytes(held))]))
+    return sorted(out, key=repr)
+
+
+def passages_of(df):
+    rows = long_repeats.long_repeats(df).collect()
+    return sorted(((r["doc_id"], r["n_shared_words"], [tuple(x) for x in r["passages"] or []]) for r in rows), key=repr)
+
+
+def test_passages_equal_brute_force(docs):
+    got = passages_of(docs)
+    assert got == brute_passages([(r["doc_id"], r["text"]) for r in docs.collect()]) and any(n for _, n, _ in got)
+
+
+def test_passages_of_over_fifty_words_in_fewer_bytes_than_go(spark):
+    rng = random.Random(5)
+    make = lambda n: [rng.choice("abcdefghé") * rng.randint(1, 3) + rng.choice("xyz") * rng.randint(0, 9) for _ in range(n)]
+    p, common, long_ = [w[:5] for w in make(51)], [w[:4] for w in make(60)], make(400)
+    j = " ".join
+    rows = [
+        (1, j(make(300) + p + make(200))), (2, "\t\n ".join(p)), (3, j(p[:50])), (4, j(make(9) + p[1:] + make(9))),  # 50 words are not over 50
+        (5, j(p[:30] + ["other"] + p[31:])), (6, j(make(80) + [w[:3] for w in p] * 3)), (7, j(common * 4)), (7, j(make(20) + common + make(20))), (None, j(make(5) + common)),
+        (8, j(long_)), (8, j(long_)), (9, j(long_[:200] + make(3) + long_[200:])), (10, j(make(60))), (11, None), (12, ""), (None, j(long_[20:90] + long_[10:80])),
+        (13, j(["w\0"] + ["w"] * 50)), (14, j(["w"] * 51)), (15, j(["w\0"] * 51)), (16, j(["n"] * 300)), (17, "x" * 3000 + " " + j(p)),
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = brute_passages(rows)
+    assert passages_of(df) == want
+    by = {i: n for i, n, _ in want}
+    assert (by[1], by[2], by[3], by[4], by[5], by[6], by[13], by[16], by[17]) == (51, 51, 0, 0, 0, 0, 0, 0, 51)
+    assert all(r["n_removed"] == 0 for r in long_repeats.long_repeats(df).where("doc_id IN (1, 2)").collect())
+
+
+def test_words_of_long_texts_keep_their_numbers(monkeypatch):
+    text = " ".join(f"word{n}" * (1 + n % 9) for n in range(500)).encode()
+    ids = long_repeats.words(text)[0]
+    monkeypatch.setattr(long_repeats, "SEGMENT", 100)
+    assert (long_repeats._all_words(text) == ids).all()
+    parts = list(long_repeats._words_together([(1, b"a b"), (2, text), (3, b"c " * 60)]))
+    seen = [at + n for held, _ in parts for key, at, lo, hi in held if key == 2 for n in range(hi - lo - 50)]
+    assert seen == list(range(len(ids) - 50)) and all((part == ids[at : at + len(part)]).all() for held, part in parts for key, at, *_ in held if key == 2)
+    assert [k for held, _ in parts for k, *_ in held if k != 2] == [3]
+
+
 def test_empty(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert near_copies.near_copies(none).count() == 0 and long_repeats.long_repeats(none).count() == 0
