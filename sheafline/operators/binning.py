@@ -20,6 +20,11 @@ def coding(orfs: DataFrame) -> DataFrame:
     return orfs.groupBy("contig").agg(F.count("*").cast("long").alias("orfs"), F.sum(F.abs(F.col("stop") - F.col("start")) + 1).cast("long").alias("coding_bp"))
 
 
+def coding_density() -> Column:
+    """coding_bp over length, 1 at most; null for a contig without genes."""
+    return F.when(F.col("coding_bp").isNotNull(), F.least(F.lit(1.0), F.col("coding_bp") / F.col("length")))  # least() passes over nulls
+
+
 def prefilter(contigs: DataFrame, genes: DataFrame, rescue: float, rescue_eukarya: bool = False, audit: float = 0.0) -> DataFrame:
     """Adds coding_density, orfs, decision and audited; contigs: contig, length, tiara (null: unknown); genes: coding().
 
@@ -143,7 +148,7 @@ def classification(contigs: DataFrame, calls: DataFrame, coverage: DataFrame, ge
     j = contigs.join(wide, "contig", "left").join(coverage, "contig", "left").join(genes, "contig", "left").join(pre.select("contig", "decision", "tiara", "audited"), "contig", "left").join(out, "contig", "left")
     no = lambda c: F.coalesce(c, F.lit(False))
     return j.select(
-        "contig", "length", number(F.col("gc") * 100, 3).alias("gc"), number(F.least(F.lit(1.0), F.col("coding_bp") / F.col("length")), 5).alias("coding_density"), F.coalesce(F.col("orfs").cast("string"), F.lit("NA")).alias("n_cds"),
+        "contig", "length", number(F.col("gc") * 100, 3).alias("gc"), number(coding_density(), 5).alias("coding_density"), F.coalesce(F.col("orfs").cast("string"), F.lit("NA")).alias("n_cds"),
         number(F.col("mean_depth"), 5).alias("mean_depth"), number(F.col("covered_fraction"), 5).alias("covered_fraction"), F.coalesce("decision", F.lit("not_evaluated")).alias("triage_call"), no(F.col("_prefilter")).alias("excluded_gene_density"),
         F.coalesce("orfs", F.lit(0)).alias("n_orfs"), *[F.coalesce(r, F.lit(UNCLASSIFIED)).alias(r) for r in ranks], *[F.coalesce(f"{r}_support", F.lit(0.0)).alias(f"{r}_support") for r in ranks],
         no(F.col("_kingdom")).alias("excluded_animal_plant"), F.coalesce("tiara", F.lit("NA")).alias("tiara_class"), no(selected()).alias("searched"),

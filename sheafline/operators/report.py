@@ -14,7 +14,7 @@ def feature_table(contigs: DataFrame, labels: dict[str, Column], coverage: DataF
     contigs: contig, length, gc, bin; coverage: contig, mean_depth, covered_fraction; genes: contig, orfs, coding_bp; extra holds
     coordinates by contig.
     """
-    from .binning import number
+    from .binning import coding_density, number
 
     out = excluded.select("contig", F.lit(True).alias("_out")).distinct()
     j = contigs.join(coverage, "contig", "left").join(genes, "contig", "left").join(out, "contig", "left")
@@ -25,7 +25,7 @@ def feature_table(contigs: DataFrame, labels: dict[str, Column], coverage: DataF
     gone = F.coalesce("_out", F.lit(False))
     return j.select(
         F.col("contig").alias("ID"), "length", number(F.col("gc") * 100, 2).alias("GC"), number(F.col("mean_depth"), 4, "").alias("coverage"), number(F.col("covered_fraction"), 4, "").alias("covered_fraction"),
-        number(F.least(F.lit(1.0), F.col("coding_bp") / F.col("length")), 4).alias("coding_density"), F.coalesce(F.col("orfs").cast("string"), F.lit("NA")).alias("n_cds"), *[c.alias(f"taxon_{r}") for r, c in labels.items()],
+        number(coding_density(), 4).alias("coding_density"), F.coalesce(F.col("orfs").cast("string"), F.lit("NA")).alias("n_cds"), *[c.alias(f"taxon_{r}") for r, c in labels.items()],
         F.when(gone, "excluded").otherwise(F.col("bin")).alias("bin"), F.when(gone, "false").otherwise("true").alias("retained"), *[number(F.col(c), 6, "").alias(c) for c in more],
     )
 

@@ -346,3 +346,15 @@ def test_exact_median_of_counted_values(spark):
     got = {r["g"]: r["median"] for r in metrics.exact_median(spark.createDataFrame(rows, "g int, v int"), ["g"], "v").collect()}
     held = {g: [v for h, v in rows if h == g and v is not None] for g in range(10)}
     assert got == {g: statistics.median(v) for g, v in held.items() if v}
+
+
+def test_density_of_contigs_without_genes(spark):
+    contigs = spark.createDataFrame([(1, 100, 0.5, "b"), (2, 100, 0.5, "b"), (3, 100, 0.5, "b")], "contig int, length long, gc double, bin string")
+    genes = spark.createDataFrame([(1, 2, 30), (2, 9, 400)], "contig int, orfs long, coding_bp long")
+    cov = spark.createDataFrame([], "contig int, mean_depth double, covered_fraction double")
+    table = report.feature_table(contigs, {}, cov, genes, contigs.limit(0))
+    assert {tuple(r) for r in table.select("ID", "coding_density", "n_cds").collect()} == {(1, "0.3000", "2"), (2, "1.0000", "9"), (3, "NA", "NA")}
+    calls = spark.createDataFrame([], "contig int, rank string, taxon string, support double")
+    pre = spark.createDataFrame([], "contig int, decision string, tiara string, audited boolean")
+    wide = binning.classification(contigs, calls, cov, genes, pre, spark.createDataFrame([], "contig int, why string"), ["domain"])
+    assert {tuple(r) for r in wide.select("contig", "coding_density", "n_cds").collect()} == {(1, "0.30000", "2"), (2, "1.00000", "9"), (3, "NA", "NA")}
