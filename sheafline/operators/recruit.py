@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,6 +18,8 @@ from .select import capped_fill
 
 #: Rows of a group, those of the least hash, of which its silhouettes are taken.
 SILHOUETTE_ROWS = 1000
+#: Points of a block in a join by distance, and rows of a block that are compared at once.
+BLOCK, STRIPE = 4096, 256
 
 
 def standardised(rows: DataFrame, features: list[Column], blocks: list[int]) -> DataFrame:
@@ -120,32 +125,164 @@ def pivots(centres: DataFrame, n: int = 3, rows: int = 1000) -> list[list[float]
     return [some[i] for i in picked]
 
 
-def in_reach(rows: DataFrame, key: str, vector: str, centres: DataFrame, center: str) -> DataFrame:
-    """key, centre's name and distance for all rows within a centre's radius; centres: name, centre, radius.
+def _flat(column: pa.Array) -> np.ndarray:
+    """Lists of one length as the rows of a matrix; a null component becomes NaN."""
+    return pc.list_flatten(column).to_numpy(zero_copy_only=False).astype(float).reshape(len(column), -1)
+
 
-    By the triangle inequality a row's distance to any pivot differs from a centre's by the radius at most. Radii fall into classes
-    by powers of two; in a class of width w a row stands in one cell of each pivot, a centre in the two or three cells that its radius
-    spans, and they meet by class and cells. Distances are only computed for these; the test is exact.
+def _packed(points: DataFrame, name: str, vector: str, at: list[list[float]], width: float, by: list[str]) -> DataFrame:
+    """Blocks of at most BLOCK points that agree in by and in their number of components: _block, by, _n, _lo and _hi, _names, _data, _radius.
+
+    Points lie in the order of by and of the cells of their distances to the pivots, in sorted ranges, so a block's distances to each
+    pivot are bounded by _lo and _hi, the points' radii included. Points without a vector or with a null or NaN in it reach nothing and
+    are left out. Within a block, points are in the order of their names.
+    """
+
+    def measured(batches):
+        for batch in batches:
+            size = pc.list_value_length(batch.column("_v"))
+            for n in pc.unique(size.drop_null()).to_pylist():
+                rows = batch.filter(pc.equal(size, n))
+                x = _flat(rows.column("_v")) if n else np.zeros((len(rows), 0))
+                good = ~np.isnan(x).any(axis=1)
+                x, rows = x[good], rows.filter(pa.array(good))
+                d = np.stack([np.sqrt(((x - np.array(p)) ** 2).sum(axis=1)) if len(p) == n else np.zeros(len(x)) for p in at], axis=1) if at else np.zeros((len(x), 0))
+                listed = lambda y: pa.FixedSizeListArray.from_arrays(pa.array(y.ravel()), y.shape[1]).cast(pa.list_(pa.float64())) if y.size else pa.array([[]] * len(y), pa.list_(pa.float64()))
+                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(np.full(len(x), n, np.int32)), listed(d), listed(np.floor(d / width))], [*rows.schema.names, "_n", "_d", "_cell"])
+
+    df = points.select(F.col(name).alias("_name"), F.col(vector).cast("array<double>").alias("_v"), F.col("radius").cast("double").alias("_radius"), *by)
+    df = df.mapInArrow(measured, ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields], "_n int, _d array<double>, _cell array<double>"]))
+    order = [*by, "_n", "_cell", "_name"]
+    kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    put = ", ".join(["_block long", *[f"`{c}` {kinds[c]}" for c in by], "_n int", f"_names array<{kinds['_name']}>", "_data binary, _radius binary, _lo array<double>, _hi array<double>"])
+
+    def pack(batches):
+        from pyspark import TaskContext
+
+        task, made = TaskContext.get().partitionId(), 0
+
+        def block(held, key):
+            nonlocal made
+            t = pa.Table.from_batches(held)
+            t = t.take(pc.sort_indices(t, [("_name", "ascending")], null_placement="at_start")).combine_chunks().to_batches()[0]
+            d, r = _flat(t.column("_d")), np.asarray(t.column("_radius"), dtype=float)
+            e = (r[:, None] + 1e-9 * (d + r[:, None])) if d.size else d  # the second term is for rounding
+            one = lambda x, kind: pa.array([x], kind)
+            keys = [pa.array([k], t.column(c).type) for c, k in zip([*by, "_n"], key, strict=True)]
+            names = pa.ListArray.from_arrays(pa.array([0, len(t)], pa.int32()), t.column("_name"))
+            bounds = [one((d - e).min(axis=0).tolist(), pa.list_(pa.float64())), one((d + e).max(axis=0).tolist(), pa.list_(pa.float64()))]
+            made += 1
+            return pa.RecordBatch.from_arrays([one((task << 32) + made, pa.int64()), *keys, names, one(_flat(t.column("_v")).tobytes(), pa.binary()), one(r.tobytes(), pa.binary()), *bounds], ["_block", *by, "_n", "_names", "_data", "_radius", "_lo", "_hi"])
+
+        held, size, at = [], 0, None
+        for batch in batches:
+            keys, i = list(zip(*[batch.column(c).to_pylist() for c in [*by, "_n"]], strict=True)), 0
+            while i < len(keys):
+                if held and (keys[i] != at or size == BLOCK):
+                    yield block(held, at)
+                    held, size = [], 0
+                at, j = keys[i], i + 1
+                while j < len(keys) and keys[j] == at and size + j - i < BLOCK:
+                    j += 1
+                held.append(batch.slice(i, j - i))
+                size, i = size + j - i, j
+        if held:
+            yield block(held, at)
+
+    return written(df.repartitionByRange(*order).sortWithinPartitions(*order).drop("_cell").mapInArrow(pack, put), "blocks")
+
+
+def _all_distances(a: np.ndarray, b: np.ndarray, whole: bool) -> np.ndarray:
+    """The distance of each row of a to each of b, as the sum of squares component by component gives it; for whole numbers a product
+    of matrices gives the same sums, exactly."""
+    if whole:
+        return np.sqrt((a * a).sum(axis=1)[:, None] + (b * b).sum(axis=1) - 2 * (a @ b.T))
+    sums = np.zeros((len(a), len(b)))
+    with np.errstate(invalid="ignore"):  # of infinite components
+        for i in range(a.shape[1]):
+            d = a[:, i, None] - b[:, i]
+            sums += d * d
+    return np.sqrt(sums)
+
+
+def _met(rows: DataFrame, key: str, vector: str, centres: DataFrame, center: str, found: Callable, columns: str, by: tuple[str, str] | None = None, agree: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """What found(names, centres' names, distances, within reach) makes of every pair of a block of rows and one of centres.
+
+    By the triangle inequality a row's distance to any pivot differs from that of a centre in reach by the radius at most, so pairs of
+    blocks whose bounds leave a gap are left out; so are those that agree() takes from the pairs of what rows and centres are told apart
+    by. All distances of the other pairs are computed, a stripe of rows at a time, and the test is exact. Each pair is a row of a table,
+    and the pairs are spread over the cluster: a task holds two blocks, however many rows and centres there are.
     """
     at = pivots(centres)
-    if not at:
-        return rows.select(key).join(centres.select(center).limit(0)).withColumn("distance", F.lit(0.0))
-    # the narrowest class is that of the widest radius over 4096, so there are thirteen at most
-    widest = centres.agg(F.max(F.col("radius").cast("double"))).first()[0]
-    level = F.ceil(F.log2(F.greatest(F.col("radius").cast("double"), F.lit(max(widest / 4096, 1e-6))))).cast("int")
-    near = written(centres.where("radius >= 0").select(F.col(center), F.col("centre"), F.col("radius").cast("double").alias("radius"), level.alias("_level")), "centres")
-    levels = sorted(r["_level"] for r in near.select("_level").distinct().collect())
-    far = lambda v: F.array(*[_distance(v.cast("array<double>"), F.array(*map(F.lit, p))) for p in at])
-    width = F.pow(F.lit(2.0), F.col("_level"))
-    cell = lambda d: F.floor(d / width).cast("long")
-    spread = near.withColumn("_d", far(F.col("centre")))
-    for i in range(len(at)):
-        d, e = F.get("_d", F.lit(i)), F.col("radius") + width * 1e-6  # for rounding
-        spread = spread.withColumn(f"_c{i}", F.explode(F.sequence(cell(d - e), cell(d + e))))
-    placed = rows.select(key, vector).withColumn("_d", far(F.col(vector))).withColumn("_level", F.explode(F.array(*map(F.lit, levels))))
-    placed = placed.select(key, vector, "_level", *[cell(F.get("_d", F.lit(i))).alias(f"_c{i}") for i in range(len(at))])
-    met = placed.join(spread, ["_level", *[f"_c{i}" for i in range(len(at))]])
-    return met.select(key, center, _distance(F.col(vector).cast("array<double>"), F.col("centre").cast("array<double>")).alias("distance"), "radius").where("distance <= radius").drop("radius")
+    width = centres.agg(F.avg(F.col("radius").cast("double"))).first()[0] or 1.0
+    level = F.ceil(F.log2(F.greatest(F.col("radius").cast("double"), F.lit(width / 4096)))).cast("int").alias("_level")  # wide radii apart from narrow ones
+    own, other = ([by[0]], [by[1]]) if by else ([], [])
+    a = _packed(rows.select(key, vector, *own, F.lit(0.0).alias("radius")), key, vector, at, width, own)
+    b = _packed(centres.where("radius >= 0").select(center, "centre", "radius", *other, level), center, "centre", at, width, [*other, "_level"])
+    ends = lambda df, p, more: df.select(*more, *[F.col(c).alias(f"{p}{c}") for c in ("_block", "_n", "_lo", "_hi")])
+    all_ = lambda x, y, f: F.forall(F.zip_with(x, y, f), lambda c: c)
+    pairs = ends(a, "a", own).join(ends(b, "b", other), F.col("a_n") == F.col("b_n"))
+    pairs = pairs.where(all_("a_hi", "b_lo", lambda x, y: x >= y) & all_("a_lo", "b_hi", lambda x, y: x <= y))
+    pairs = written((agree(pairs) if agree else pairs).select("a_block", "b_block"), "pairs")
+    side = lambda df, p: df.select(F.col("_n").alias(f"{p}_n"), *[F.col(c).alias(f"{p}{c}") for c in ("_block", "_names", "_data", "_radius")])
+    both = pairs.join(side(a, "a").drop("a_radius"), "a_block").join(side(b, "b").drop("b_n"), "b_block")
+    both = both.repartition(min(max(pairs.count(), 1), 10_000), "a_block", "b_block").select("a_n", "a_names", "a_data", "b_names", "b_data", "b_radius")
+
+    def compare(batches):
+        for batch in batches:
+            for i in range(len(batch)):
+                x = {c: batch.column(c)[i] for c in batch.schema.names}
+                get = lambda c: np.frombuffer(x[c].as_buffer())  # noqa: E731, B023
+                p, q = get("a_data").reshape(len(x["a_names"].values), -1), get("b_data").reshape(len(x["b_names"].values), -1)
+                most = max(np.abs(p).max(initial=0), np.abs(q).max(initial=0))
+                whole = bool(4 * most * most * p.shape[1] < 2**53 and (p == np.floor(p)).all() and (q == np.floor(q)).all())
+                for k in range(0, len(p), STRIPE):
+                    d = _all_distances(p[k : k + STRIPE], q, whole)
+                    yield from found(x["a_names"].values.slice(k, STRIPE), x["b_names"].values, d, d <= get("b_radius"))
+
+    return both.mapInArrow(compare, columns)
+
+
+def in_reach(rows: DataFrame, key: str, vector: str, centres: DataFrame, center: str) -> DataFrame:
+    """key, centre's name and distance for all rows within a centre's radius; centres: name, centre, radius. See _met()."""
+
+    def found(names, others, d, near):
+        i, j = np.nonzero(near)
+        if len(i):
+            yield pa.RecordBatch.from_arrays([names.take(pa.array(i)), others.take(pa.array(j)), pa.array(d[i, j])], ["_key", "_centre", "distance"])
+
+    kind = lambda df, c: df.schema[c].dataType.simpleString()
+    met = _met(rows, key, vector, centres, center, found, f"_key {kind(rows, key)}, _centre {kind(centres, center)}, distance double")
+    return met.select(F.col("_key").alias(key), F.col("_centre").alias(center), "distance")
+
+
+def nearest(rows: DataFrame, key: str, vector: str, centres: DataFrame, center: str, by: tuple[str, str] | None = None, agree: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """key, the nearest centre in reach, its distance, that of the next one (null if there is none) and how many centres are in reach.
+
+    Ties go to the smaller name; rows that reach no centre are left out. by names a column of the rows and one of the centres, and
+    agree() keeps the pairs of their values that may meet. Each pair of blocks tells each row's two nearest centres and the number in
+    reach, so what is shuffled grows with rows times blocks of centres, not with the pairs in reach. See _met().
+    """
+
+    def found(names, others, d, near):
+        reached = near.sum(axis=1)
+        some = np.flatnonzero(reached)
+        if not len(some):
+            return
+        d, out = np.where(near[some], d[some], np.inf), []
+        for k in range(2):
+            at = d.argmin(axis=1)  # the first one: centres are in the order of their names
+            has = reached[some] > k
+            out += [pa.array(d[np.arange(len(some)), at], mask=~has), others.take(pa.array(at, mask=~has))]
+            d[np.arange(len(some)), at] = np.inf
+        yield pa.RecordBatch.from_arrays([names.take(pa.array(some)), pa.array(reached[some].astype(np.int64)), *out], ["_key", "_reached", "_d0", "_c0", "_d1", "_c1"])
+
+    kind = lambda df, c: df.schema[c].dataType.simpleString()
+    met = _met(rows, key, vector, centres, center, found, f"_key {kind(rows, key)}, _reached long, _d0 double, _c0 {kind(centres, center)}, _d1 double, _c1 {kind(centres, center)}", by, agree)
+    each = [F.when(F.col(f"_d{k}").isNotNull(), F.struct(F.col(f"_d{k}").alias("d"), F.col(f"_c{k}").alias("c"))) for k in range(2)]
+    per = met.groupBy("_key").agg(F.sort_array(F.flatten(F.collect_list(F.array_compact(F.array(*each))))).alias("_two"), F.sum("_reached").alias("reached"))
+    two = lambda k: F.get("_two", F.lit(k))
+    return per.select(F.col("_key").alias(key), two(0)["c"].alias(center), two(0)["d"].alias("distance"), two(1)["d"].alias("next"), "reached")
 
 
 def compatible(pairs: DataFrame, taxon: str, other: str, tree: DataFrame, domains: list) -> DataFrame:

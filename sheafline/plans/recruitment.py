@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import graph, recruit, select
-from ..session import table
+from ..session import table, written
 
 #: A centre's radius and taxon, a row's taxon and length; every expression means the same in Spark and in DuckDB.
 BIN, RADIUS, BIN_TAXON, HELD = "label * 1000 + CAST(floor(vec_id / 50) AS INT)", "960 + 20 * (bin % 7)", "200 + CAST(floor(bin / 1000) AS INT)", "1000 * (bin % 3)"
@@ -20,7 +20,7 @@ def _rows(spark, d):
 
 
 def _centres(rows):
-    return select.centroids(rows, "bin", "v").selectExpr("bin", "centre", f"{RADIUS} AS radius", f"{BIN_TAXON} AS bin_taxon")
+    return written(select.centroids(rows, "bin", "v").selectExpr("bin", "centre", f"{RADIUS} AS radius", f"{BIN_TAXON} AS bin_taxon"), "centres")
 
 
 def _taxa(rows):
@@ -33,10 +33,8 @@ def _taxa(rows):
 def q41_centroid_ratio(spark, d):
     """The nearest centre in reach of each vector, and whether the next one in reach is farther by the ratio."""
     rows = _rows(spark, d)
-    met = recruit.in_reach(rows, "vec_id", "v", _centres(rows).select("bin", "centre", "radius"), "bin")
-    per = met.groupBy("vec_id").agg(F.slice(F.array_sort(F.collect_list(F.struct("distance", "bin"))), 1, 2).alias("two"), F.count("*").alias("reached"))
-    d_ = lambda i: F.get("two", F.lit(i))["distance"]
-    return per.select("vec_id", F.col("two")[0]["bin"].alias("nearest"), F.round(d_(0), 6).alias("distance"), "reached", F.coalesce(d_(0) <= RATIO * d_(1), F.lit(True)).alias("clear"))
+    near = recruit.nearest(rows, "vec_id", "v", _centres(rows), "bin")
+    return near.select("vec_id", F.col("bin").alias("nearest"), F.round("distance", 6).alias("distance"), "reached", F.coalesce(F.col("distance") <= RATIO * F.col("next"), F.lit(True)).alias("clear"))
 
 
 def q240_components(spark, d):

@@ -146,3 +146,31 @@ def test_standardised_blocks(spark):
     s = x.std(axis=0)
     want = (x - x.mean(axis=0)) / np.where(s > 1e-9, s, 1) * [1, 1, 0.5**0.5, 0.5**0.5]
     assert np.allclose(got[:, [0, 1, 3]], want[:, [0, 1, 3]]) and np.allclose(got[:, 2], 0, atol=1e-6)
+
+
+@pytest.mark.parametrize("whole", [True, False])
+def test_nearest_in_blocks_equals_all_distances(spark, monkeypatch, whole):
+    monkeypatch.setattr(recruit, "BLOCK", 16)
+    monkeypatch.setattr(recruit, "STRIPE", 5)
+    rng = np.random.default_rng(5)
+    points, centres = rng.normal(size=(150, 4)) * 20, rng.normal(size=(70, 4)) * 20
+    if whole:
+        points, centres = points.round(), centres.round()
+    centres[40:] = centres[:30]  # ties
+    radius = np.concatenate([rng.uniform(1, 40, 68), [0.0, 300.0]])
+    taxa, kinds = [[None, 1, 2, 3][i % 4] for i in range(150)], [1 + j % 3 for j in range(70)]
+    odd = [(900, None, 1), (901, [1.0, None, 2.0, 3.0], 1), (902, [float("nan")] * 4, 1), (903, [0.0], 1)]
+    rows = spark.createDataFrame([(i, p.tolist(), t) for i, (p, t) in enumerate(zip(points, taxa, strict=True))] + odd, "k int, v array<double>, t int")
+    df = spark.createDataFrame([(f"c{j:02}", c.tolist(), float(r), t) for j, (c, r, t) in enumerate(zip(centres, radius, kinds, strict=True))], "c string, centre array<double>, radius double, ct int")
+    d = np.sqrt(((points[:, None] - centres[None]) ** 2).sum(axis=2))
+    for by, agree in ((None, None), (("t", "ct"), lambda pairs: pairs.where("t IS NULL OR t = ct"))):
+        want = {}
+        for i in range(150):
+            near = sorted((d[i, j], f"c{j:02}") for j in range(70) if d[i, j] <= radius[j] and (not by or taxa[i] in (None, kinds[j])))
+            if near:
+                want[i] = (near[0][1], near[0][0], near[1][0] if len(near) > 1 else None, len(near))
+        got = {r["k"]: (r["c"], r["distance"], r["next"], r["reached"]) for r in recruit.nearest(rows, "k", "v", df, "c", by, agree).collect()}
+        assert got.keys() == want.keys() and len({n for *_, n in want.values()}) > 3
+        for i, (name, first, second, n) in want.items():
+            assert got[i][0] == name and got[i][3] == n and got[i][1:3] == pytest.approx((first, second))
+    assert recruit.nearest(rows, "k", "v", df.limit(0), "c").collect() == [] and recruit.nearest(rows.limit(0), "k", "v", df, "c").collect() == []
