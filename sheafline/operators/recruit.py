@@ -297,12 +297,9 @@ def compatible(pairs: DataFrame, taxon: str, other: str, tree: DataFrame, domain
 
 def proposals(rows: DataFrame, key: str, vector: str, taxon: str, centres: DataFrame, center: str, center_taxon: str, tree: DataFrame, domains: list, ratio: float = 0.75) -> DataFrame:
     """key, centre and distance: the nearest compatible centre in reach, unless the next is not farther by the ratio. Ties go to the smaller name."""
-    met = in_reach(rows, key, vector, centres.select(center, "centre", "radius"), center)
-    pairs = met.join(rows.select(key, taxon), key).join(centres.select(center, center_taxon), center)
-    fit = compatible(pairs, taxon, center_taxon, tree, domains)
-    w = Window.partitionBy(key).orderBy("distance", center)
-    two = fit.select(key, center, "distance", F.row_number().over(w).alias("_k"), F.lead("distance").over(w).alias("_next")).where("_k = 1")
-    return two.where(F.col("_next").isNull() | (F.col("distance") <= F.lit(ratio) * F.col("_next"))).select(key, center, "distance")
+    agree = lambda pairs: compatible(pairs, taxon, center_taxon, tree, domains)
+    found = nearest(rows, key, vector, centres, center, (taxon, center_taxon), agree)
+    return found.where(F.col("next").isNull() | (F.col("distance") <= F.lit(ratio) * F.col("next"))).select(key, center, "distance")
 
 
 def recruited(rows: DataFrame, found: DataFrame, key: str, center: str, size: str, held: DataFrame, cap: int) -> DataFrame:

@@ -24,8 +24,8 @@ def _centres(rows):
 
 
 def _taxa(rows):
-    """Species under genera under a domain under the root."""
-    labels = rows.select("label").distinct()
+    """Species, of rows and of centres, under genera under a domain under the root."""
+    labels = rows.select("label").unionByName(rows.selectExpr(f"{BIN_TAXON} - 200 AS label")).distinct()
     species = labels.selectExpr("200 + label AS node", "100 + label % 5 AS parent")
     return species.unionByName(labels.selectExpr("100 + label % 5 AS node", "2 AS parent").distinct()).unionByName(rows.sparkSession.sql("SELECT 2 AS node, 1 AS parent UNION ALL SELECT 1, CAST(NULL AS INT)"))
 

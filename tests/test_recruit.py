@@ -174,3 +174,10 @@ def test_nearest_in_blocks_equals_all_distances(spark, monkeypatch, whole):
         for i, (name, first, second, n) in want.items():
             assert got[i][0] == name and got[i][3] == n and got[i][1:3] == pytest.approx((first, second))
     assert recruit.nearest(rows, "k", "v", df.limit(0), "c").collect() == [] and recruit.nearest(rows.limit(0), "k", "v", df, "c").collect() == []
+
+
+def test_proposals_know_the_taxa_of_all_centres(spark, tmp_path):
+    from sheafline.plans import recruitment
+
+    spark.createDataFrame([(60003, [0.5, 0.25], 9)], "vec_id long, embedding array<float>, label int").write.parquet(str(tmp_path / "embeddings.parquet"))
+    assert [tuple(r) for r in recruitment.q242_proposals(spark, str(tmp_path)).collect()] == [(60003, 10200, 0.0)]
