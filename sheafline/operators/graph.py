@@ -73,9 +73,13 @@ def unique_match(queries: DataFrame, segments: DataFrame) -> DataFrame:
     queries: qid, seq; segments: sid, seq. Sequences meet by length and SHA-256 of themselves; the segments of a key are
     counted before the join, so that many equal ones are one row.
     """
-    both = keyed(segments, "sid").select("sid", "n", F.explode(F.array(F.struct(F.lit("+").alias("o"), F.col("h")), F.struct(F.lit("-").alias("o"), F.col("r").alias("h")))).alias("x"))
+    return matched(queries.select("qid", F.length("seq").alias("n"), F.sha2("seq", 256).alias("h")), keyed(segments, "sid"))
+
+
+def matched(wanted: DataFrame, segments: DataFrame) -> DataFrame:
+    """unique_match() of what is left of the sequences: wanted has qid, n and h, segments have sid, n, h and r, as keyed() gives them."""
+    both = segments.select("sid", "n", F.explode(F.array(F.struct(F.lit("+").alias("o"), F.col("h")), F.struct(F.lit("-").alias("o"), F.col("r").alias("h")))).alias("x"))
     per = both.groupBy("n", F.col("x.h").alias("h")).agg(F.countDistinct("sid").alias("hits"), F.min("sid").alias("sid"), F.min("x.o").alias("orient"))
-    wanted = queries.select("qid", F.length("seq").alias("n"), F.sha2("seq", 256).alias("h"))
     one = F.col("hits") == 1
     reason = F.when(one, "unique_exact_sequence").when(F.col("hits") > 1, "ambiguous_exact_sequence").otherwise("no_exact_segment_match")
     return wanted.join(per, ["n", "h"], "left").select("qid", F.when(one, F.col("sid")).alias("sid"), F.when(one, F.col("orient")).alias("orient"), reason.alias("method"))
@@ -86,13 +90,16 @@ def resolve_contigs(contigs: DataFrame, aliases: DataFrame, paths: DataFrame, se
 
     contigs: contig, seq (null if unknown); aliases: contig, alias; paths: path; segments: segment, length, seq (null if not
     recorded). A recorded alias goes before the contig's own name; a path goes before a segment of the name, and a segment counts only
-    if its content agrees as far as it is known; contigs without a name in the graph are looked up by their sequence.
+    if its content agrees as far as it is known; contigs without a name in the graph are looked up by their sequence. Each sequence is
+    read once, for its length and its hashes.
     """
-    key = contigs.join(aliases, "contig", "left").select("contig", "seq", F.coalesce("alias", "contig").alias("key"), F.col("alias").isNotNull().alias("recorded"))
-    key = key.select("contig", "key", "recorded", F.length("seq").alias("n"), F.sha2("seq", 256).alias("h"))
+    asked = written(contigs.select("contig", F.length("seq").alias("n"), F.sha2("seq", 256).alias("h")), "contigs")
+    held = written(segments.select("segment", "length", F.length("seq").alias("n"), F.sha2("seq", 256).alias("h"), F.sha2(reverse_complement(F.col("seq")), 256).alias("r")), "segments")
+    key = asked.join(aliases, "contig", "left").select("contig", F.coalesce("alias", "contig").alias("key"), F.col("alias").isNotNull().alias("recorded"), "n", "h")
     p = paths.select(F.col("path").alias("key"), F.lit(True).alias("is_path")).distinct()
-    own = keyed(segments, "segment").select(F.col("segment").alias("key"), "h", "r").join(segments.select(F.col("segment").alias("key"), "length"), "key").select("key", F.col("h").alias("sh"), F.col("r").alias("sr"), "length", F.lit(True).alias("is_segment"))
-    same = unique_match(contigs.where("seq IS NOT NULL").select(F.col("contig").alias("qid"), "seq"), segments.where("seq IS NOT NULL").select(F.col("segment").alias("sid"), "seq")).select(F.col("qid").alias("contig"), "sid", F.col("orient").alias("match_orient"), F.col("method").alias("match"))
+    own = held.select(F.col("segment").alias("key"), F.col("h").alias("sh"), F.col("r").alias("sr"), "length", F.lit(True).alias("is_segment"))
+    same = matched(asked.where("n IS NOT NULL").select(F.col("contig").alias("qid"), "n", "h"), held.where("n IS NOT NULL").select(F.col("segment").alias("sid"), "n", "h", "r"))
+    same = same.select(F.col("qid").alias("contig"), "sid", F.col("orient").alias("match_orient"), F.col("method").alias("match"))
     j = key.join(p, "key", "left").join(own, "key", "left").join(same, "contig", "left")
     known, ahead, back = F.col("n").isNotNull(), F.col("h") == F.col("sh"), F.col("h") == F.col("sr")
     named = F.when(F.col("recorded"), "recorded_segment").otherwise("source_segment_name")

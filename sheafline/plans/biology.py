@@ -143,7 +143,7 @@ def q164b_window_order(spark, d):
 
 
 def q165_graph_places(spark, d):
-    seqs = _sequences(spark, d).select(F.concat(F.lit("d"), "id").alias("contig"), "id", "seq")
+    seqs = written(_sequences(spark, d), "sequences").select(F.concat(F.lit("d"), "id").alias("contig"), "id", "seq")
     segments = seqs.select(F.when(F.col("id") % 5 == 0, F.concat(F.lit("s"), "id")).otherwise(F.col("contig")).alias("segment"), F.length("seq").cast("long").alias("length"), F.when(F.col("id") % 7 == 0, F.reverse("seq")).when(F.col("id") % 11 != 0, F.col("seq")).alias("seq"))
     aliases = seqs.where("id % 13 = 0").select("contig", F.concat(F.lit("s"), "id").alias("alias"))
     paths = seqs.where("id % 17 = 0").select(F.col("contig").alias("path"))

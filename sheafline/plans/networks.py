@@ -28,7 +28,8 @@ def q29_khop(spark, d):
 
 
 def _sequences(spark, d):
-    letters = F.translate(F.upper(F.regexp_replace("text", "[^A-Za-z .,\n]", "0")), "ETAOINSHRDLUBCFGJKMPQVWXYZ .,\n", "ACGTACGTACGTACGTACGTACGTACACGTA")
+    known = "ETAOINSHRDLUBCFGJKMPQVWXYZ"
+    letters = F.translate("text", known + known.lower() + " .,\n", 2 * "ACGTACGTACGTACGTACGTACGTAC" + "ACGT")
     return table(spark, d, "documents").select(F.col("doc_id").alias("id"), F.regexp_replace(letters, "[^ACGT]", "N").alias("seq"))
 
 

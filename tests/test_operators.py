@@ -6,6 +6,7 @@ from datetime import datetime, timedelta
 from functools import lru_cache
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from sheafline.functions import sequences
@@ -368,3 +369,21 @@ def test_equal_windows_are_judged_once(spark, monkeypatch):
     got = {r["w"]: (r["score"], r["matched_slots"], r["matched_genes"]) for r in pathways.operons(df, [["a"], ["b"]]).collect()}
     assert got == {w: (1.0 - 0.5 * (w % 2), "1;2", f"{10 * w + 1};{10 * w + 4}") for w in range(400)}
     assert held["kinds"].count() == 2
+
+
+def test_segments_given_twice_are_read_once_each(spark):
+    contigs = spark.createDataFrame([("a", "ACGT"), ("b", "AACC"), ("c", None), ("d", "GGTT"), ("e", "ACCA")], "contig string, seq string")
+    segments = spark.createDataFrame([("a", 4, "ACGT"), ("a", 5, "ACGTT"), ("b", 4, "AACG"), ("c", 9, None), ("x", 4, "AACC"), ("y", 4, None)], "segment string, length long, seq string")
+    got = graph.resolve_contigs(contigs, spark.createDataFrame([], "contig string, alias string"), spark.createDataFrame([], "path string"), segments)
+    assert sorted(map(str, got.collect())) == sorted(
+        str(Row(contig=c, place=p, orient=o, method=m))
+        for c, p, o, m in [("a", "a", "+", "source_segment_name"), ("a", None, None, "source_name_length_mismatch"), ("b", None, None, "source_name_sequence_mismatch"), ("c", "c", "+", "source_segment_name"), ("d", "x", "-", "unique_exact_sequence"), ("e", None, None, "no_exact_segment_match")]
+    )
+
+
+def test_sequences_have_one_letter_for_each_character(spark, tmp_path):
+    from sheafline.plans import networks
+
+    rows = [(1, "eTa oB.z,\nQ"), (2, "7ßİ\U0001f600x\ré-N"), (3, ""), (4, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    assert {r["id"]: r["seq"] for r in networks._sequences(spark, str(tmp_path)).collect()} == {1: "ACGATACCGTA", 2: "NNNNTNNNC", 3: "", 4: None}
