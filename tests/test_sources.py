@@ -115,3 +115,14 @@ def test_unique_and_lower_case(spark, tmp_path):
     assert records.must_be_unique(seqs).count() == 2
     with pytest.raises(Exception, match="Duplicate identifier: a"):
         records.must_be_unique(seqs.unionByName(seqs.limit(1).select(F.lit("a").alias("id"), "seq"))).collect()
+
+
+def test_gfa_lines_are_dealt_by_their_beginnings(spark):
+    rows = [(("x" * 80 if i % 3 else "") + str(i * 7919 % 3000), "ACGT" * 500) for i in range(3000)]
+    segments = spark.createDataFrame(rows, "id string, seq string").repartition(8)
+    links = spark.createDataFrame([(str(i % 50), "+", str(i), "-", None) for i in range(400)], "s string, so string, t string, to string, overlap string")
+    lines = sinks.gfa_lines(segments, links, 400)
+    got = [r["value"] for r in lines.collect()]
+    assert got == ["H\tVN:Z:1.0", *sorted(f"S\t{i}\t{s}" for i, s in rows), *sorted(f"L\t{i % 50}\t+\t{i}\t-\t*" for i in range(400))]
+    dealt = [x for x in lines._jdf.queryExecution().executedPlan().toString().splitlines() if "rangepartitioning" in x]
+    assert dealt and all("substr" in x for x in dealt)  # the driver samples what ranges are made of
