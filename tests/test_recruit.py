@@ -181,3 +181,4 @@ def test_proposals_know_the_taxa_of_all_centres(spark, tmp_path):
 
     spark.createDataFrame([(60003, [0.5, 0.25], 9)], "vec_id long, embedding array<float>, label int").write.parquet(str(tmp_path / "embeddings.parquet"))
     assert [tuple(r) for r in recruitment.q242_proposals(spark, str(tmp_path)).collect()] == [(60003, 10200, 0.0)]
+    assert [tuple(r) for r in recruitment.q243_recruited(spark, str(tmp_path)).collect()] == [(60003, 10200, 0.0, True)]
